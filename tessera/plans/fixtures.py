@@ -11,11 +11,13 @@ from pyspark.sql import functions as F
 
 from tessera.functions.geohash import geohash
 from tessera.model import DEL_COLUMN, DEL_ROW, PUT, Catalog, ColumnSpec
+from tessera.operators.partitioning import spread
 from tessera.operators.shape import melt_to_cells
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A source table, spread over the cores when its file is a single split (see :func:`spread`)."""
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 # ------------------------------------------------------------------ orders
