@@ -67,6 +67,19 @@ def geohash(lat: Column, lon: Column, precision: int) -> Column:
     return hash_of_cells(gx, gy, precision)
 
 
+def with_geohash(df, lat: str, lon: str, precision: int, out: str = "geohash"):
+    """Add column ``out`` = geohash of ``(lat, lon)``.
+
+    The two cell indices are materialised as columns first; each is then a
+    plain reference in the bit extraction (Catalyst keeps a non-trivial
+    expression that is referenced many times in its own projection), so the
+    grid arithmetic runs once per row instead of once per hash bit.
+    """
+    gx, gy = cells(F.col(lat), F.col(lon), precision)
+    staged = df.withColumn("__gx", gx).withColumn("__gy", gy)
+    return staged.withColumn(out, hash_of_cells(F.col("__gx"), F.col("__gy"), precision)).drop("__gx", "__gy")
+
+
 def neighbor_cells(gx: Column, gy: Column, precision: int, *, wrap_lat: bool = True) -> Column:
     """Distinct 3x3 block around ``(gx, gy)`` as ``array<struct<dx, dy, cx, cy>>``.
 

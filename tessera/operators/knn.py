@@ -21,7 +21,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.geohash import cells, hash_of_cells, neighbor_cells
+from tessera.session import ensure_checkpoint_dir
+from tessera.functions.geohash import LAT_RANGE, LON_RANGE, bits_for, cells, hash_of_cells, neighbor_cells
 
 
 def planar_distance(x1, y1, x2, y2):
@@ -69,16 +70,65 @@ def cell_candidates(points: DataFrame, queries: DataFrame, precision: int, *, ce
     )
 
 
+def _top_n(cand: DataFrame, n: int) -> DataFrame:
+    w = Window.partitionBy("qid").orderBy(F.col("distance").asc(), F.col("uid").asc())
+    return cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
+
+
+def _join_points(blocks: DataFrame, pts: DataFrame, salt_buckets: int) -> DataFrame:
+    salts = F.sequence(F.lit(0), F.lit(salt_buckets - 1))
+    b = blocks.select("qid", "qlon", "qlat", "cx", "cy", F.explode(salts).alias("salt"))
+    joined = b.join(pts, (b.cx == pts.cell_x) & (b.cy == pts.cell_y) & (b.salt == pts.salt), "inner")
+    return joined.select(
+        "qid", "uid", "hash", "lon", "lat",
+        planar_distance(F.col("qlon"), F.col("qlat"), F.col("lon"), F.col("lat")).alias("distance"))
+
+
+def cell_min_distance(qlon, qlat, cx, cy, precision: int):
+    """Planar distance from a query to the nearest point of cell ``(cx, cy)``'s rectangle.
+
+    Cell edges are exact dyadic numbers and IEEE operations are monotone, so
+    this is never above the computed distance of any point inside the cell.
+    """
+    lon_bits, lat_bits = bits_for(precision)
+    w = LON_RANGE[1] / (1 << lon_bits)
+    h = LAT_RANGE[1] / (1 << lat_bits)
+    x0 = F.lit(LON_RANGE[0]) + cx.cast("double") * F.lit(w)
+    y0 = F.lit(LAT_RANGE[0]) + cy.cast("double") * F.lit(h)
+    ddx = F.greatest(x0 - qlon, qlon - (x0 + F.lit(w)), F.lit(0.0))
+    ddy = F.greatest(y0 - qlat, qlat - (y0 + F.lit(h)), F.lit(0.0))
+    return F.sqrt(ddx * ddx + ddy * ddy)
+
+
 def knn_geohash(points: DataFrame, queries: DataFrame, n: int = 5, precision: int = 1, *,
-                salt_buckets: int = 16, wrap_lat: bool = True) -> DataFrame:
+                salt_buckets: int = 16, wrap_lat: bool = True, prune: bool = True) -> DataFrame:
     """Top ``n`` points by planar distance over each query's 3x3 geohash block.
 
     Output: ``qid, rank, uid, hash, lon, lat, distance`` (rank 1 = nearest).
+
+    With ``prune=True`` (exact, same result) the centre cell is joined first;
+    its ``n``-th distance bounds the search, and only neighbour cells whose
+    rectangle lies within that bound are joined in a second pass.  Cells are
+    large at low precision, so this removes most of the candidate volume.
     """
-    cand = cell_candidates(points, queries, precision, salt_buckets=salt_buckets, wrap_lat=wrap_lat)
-    w = Window.partitionBy("qid").orderBy(F.col("distance").asc(), F.col("uid").asc())
-    return (
-        cand.withColumn("rank", F.row_number().over(w))
-        .filter(F.col("rank") <= n)
-        .select("qid", "rank", "uid", "hash", "lon", "lat", "distance")
-    )
+    blocks = query_blocks(queries, precision, wrap_lat=wrap_lat)
+    pts = with_cells(points.select("uid", "hash", "lon", "lat"), precision).withColumn(
+        "salt", F.pmod(F.xxhash64("uid"), F.lit(salt_buckets)).cast("int"))
+    out_cols = ["qid", "rank", "uid", "hash", "lon", "lat", "distance"]
+    if not prune:
+        return _top_n(_join_points(blocks, pts, salt_buckets), n).select(*out_cols)
+
+    centre = (F.col("dx") == 0) & (F.col("dy") == 0)
+    # The centre-cell top n (at most n rows per query) feeds both the bound and
+    # the final merge; a reliable checkpoint in the shared checkpoint folder
+    # computes it once and cuts its lineage.
+    ensure_checkpoint_dir(points.sparkSession)
+    first = _top_n(_join_points(blocks.filter(centre), pts, salt_buckets), n).checkpoint(eager=True)
+    bound = first.groupBy("qid").agg(F.count("*").alias("k"), F.max("distance").alias("dn"))
+    ring = blocks.filter(~centre).join(bound, "qid", "left")
+    ring = ring.filter(F.col("k").isNull() | (F.col("k") < n)
+                       | (cell_min_distance(F.col("qlon"), F.col("qlat"), F.col("cx"), F.col("cy"), precision)
+                          <= F.col("dn")))
+    second = _join_points(ring, pts, salt_buckets)
+    merged = first.drop("rank").unionByName(second)
+    return _top_n(merged, n).select(*out_cols)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.functions.geohash import geohash
+from tessera.functions.geohash import with_geohash
 from tessera.model import DEL_COLUMN, DEL_ROW, PUT, Catalog, ColumnSpec
 from tessera.operators.partitioning import spread
 from tessera.operators.shape import melt_to_cells
@@ -158,7 +158,7 @@ def locations(spark: SparkSession, sf_dir: str) -> DataFrame:
     lon = ((F.col("p_partkey") * 7919) % 36000) / F.lit(100.0) - 180
     lat = ((F.col("p_partkey") * 104729) % 18000) / F.lit(100.0) - 90
     pts = p.select(F.col("p_partkey").alias("uid"), lon.alias("lon"), lat.alias("lat"), F.col("p_brand").alias("tag1"))
-    return pts.withColumn("hash", F.concat(geohash(F.col("lat"), F.col("lon"), 12), F.col("uid").cast("string")))
+    return with_geohash(pts, "lat", "lon", 12, "hash").withColumn("hash", F.concat("hash", F.col("uid").cast("string")))
 
 
 def locations_log(spark: SparkSession, sf_dir: str) -> DataFrame:
