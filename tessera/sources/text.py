@@ -15,7 +15,7 @@ def parse_text_puts(lines: DataFrame, family: str, *, ts=1, seq=0) -> tuple[Data
     ts_col = F.lit(ts).cast("bigint") if isinstance(ts, int) else ts
     puts = parts.filter(good).select(
         F.col("f")[0].alias("rowkey"), F.lit(family).alias("family"), F.col("f")[1].alias("qualifier"),
-        ts_col.alias("ts"), F.lit(seq).cast("bigint").alias("seq"), F.lit(PUT).alias("op"),
+        ts_col.cast("bigint").alias("ts"), F.lit(seq).cast("bigint").alias("seq"), F.lit(PUT).alias("op"),
         F.encode(F.col("f")[2], "UTF-8").alias("value"))
     rejects = parts.filter(~good).select("line")
     return puts, rejects
