@@ -58,22 +58,28 @@ def orders_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def orders_tombstones(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """del_row for key % 10 = 0 and del_column(priority) for % 7 = 0 at ts 2; re-put of priority at ts 3 for % 21 = 0."""
-    o = table(spark, sf_dir, "orders").select("o_orderkey")
-    k = order_key("o_orderkey").alias("rowkey")
+    """del_row for key % 10 = 0 and del_column(priority) for % 7 = 0 at ts 2; re-put of priority at ts 3 for % 21 = 0.
+
+    One pass over orders: each order yields an array of its (possibly absent) mutations.
+    """
+    from tessera.functions.codec import encode
+
+    ok = F.col("o_orderkey")
+
+    def mutation(cond, family, qualifier, ts, seq, op, value):
+        return F.when(cond, F.struct(
+            F.lit(family).cast("string").alias("family"), F.lit(qualifier).cast("string").alias("qualifier"),
+            F.lit(ts).cast("bigint").alias("ts"), F.lit(seq).cast("bigint").alias("seq"), F.lit(op).alias("op"),
+            value.alias("value")))
+
     null_bin = F.lit(None).cast("binary")
-    del_rows = o.filter(F.col("o_orderkey") % 10 == 0).select(
-        k, F.lit(None).cast("string").alias("family"), F.lit(None).cast("string").alias("qualifier"),
-        F.lit(2).cast("bigint").alias("ts"), F.lit(1).cast("bigint").alias("seq"), F.lit(DEL_ROW).alias("op"),
-        null_bin.alias("value"))
-    del_cols = o.filter(F.col("o_orderkey") % 7 == 0).select(
-        k, F.lit("cf").alias("family"), F.lit("priority").alias("qualifier"), F.lit(2).cast("bigint").alias("ts"),
-        F.lit(1).cast("bigint").alias("seq"), F.lit(DEL_COLUMN).alias("op"), null_bin.alias("value"))
-    reput = melt_to_cells(
-        o.filter(F.col("o_orderkey") % 21 == 0).select(order_key("o_orderkey").alias("pk"),
-                                                         F.lit(REPUT_PRIORITY).alias("priority")),
-        "pk", [ColumnSpec("priority", "cf", "priority", "string")], ts=3, seq=2)
-    return del_rows.unionByName(del_cols).unionByName(reput)
+    muts = F.array(
+        mutation(ok % 10 == 0, None, None, 2, 1, DEL_ROW, null_bin),
+        mutation(ok % 7 == 0, "cf", "priority", 2, 1, DEL_COLUMN, null_bin),
+        mutation(ok % 21 == 0, "cf", "priority", 3, 2, PUT, encode(F.lit(REPUT_PRIORITY), "string")),
+    )
+    o = table(spark, sf_dir, "orders").select(order_key("o_orderkey").alias("rowkey"), F.explode(muts).alias("m"))
+    return o.filter(F.col("m").isNotNull()).select("rowkey", "m.family", "m.qualifier", "m.ts", "m.seq", "m.op", "m.value")
 
 
 # ------------------------------------------------------------------ events

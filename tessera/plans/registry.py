@@ -270,14 +270,16 @@ def q_filter_row_regex(spark, sf):
 @query("filter_column_value", _with(O.ORDERS_CELLS) +
        f"SELECT {CELL_COLS} FROM orders_cells WHERE ok IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')")
 def q_filter_column_value(spark, sf):
-    return orders_view(FL.by_single_column_value("cf", "status", "F")(latest_cells(fx.orders_log(spark, sf))))
+    return orders_view(S.scan_rows_where_column(fx.orders_log(spark, sf), "cf", "status",
+                                                F.col("value") == F.lit(b"F")))
 
 
 @query("filter_column_regex", _with(O.ORDERS_CELLS) +
        f"SELECT {CELL_COLS} FROM orders_cells WHERE ok IN "
        f"(SELECT o_orderkey FROM orders WHERE regexp_matches(o_orderpriority, '.IG.', 's'))")
 def q_filter_column_regex(spark, sf):
-    return orders_view(FL.by_single_column_regex("cf", "priority", ".IG.")(latest_cells(fx.orders_log(spark, sf))))
+    return orders_view(S.scan_rows_where_column(fx.orders_log(spark, sf), "cf", "priority",
+                                                FL.find_regex(decode("value", "string"), ".IG.")))
 
 
 @query("filter_key_only", _with(O.ORDERS_CELLS) +
@@ -342,8 +344,8 @@ def q_filter_first_cell(spark, sf):
        f"SELECT {CELL_COLS} FROM orders_cells WHERE qualifier <> 'status' AND "
        f"ok IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')")
 def q_filter_column_value_exclude(spark, sf):
-    f = FL.by_single_column_value("cf", "status", "F", exclude_tested=True)
-    return orders_view(f(latest_cells(fx.orders_log(spark, sf))))
+    return orders_view(S.scan_rows_where_column(fx.orders_log(spark, sf), "cf", "status",
+                                                F.col("value") == F.lit(b"F"), exclude_tested=True))
 
 
 @query("filter_compound",

@@ -120,3 +120,24 @@ def prefix_first_row(log: DataFrame, prefix: str, family: str, **resolve) -> Dat
                      **resolve).filter(F.col("family") == family)
     first = cells.agg(F.min("rowkey").alias("k")).scalar()
     return cells.filter(F.col("rowkey") == first)
+
+
+def scan_rows_where_column(log: DataFrame, family: str, qualifier: str, value_pred, *, start: str | None = None,
+                           stop: str | None = None, exclude_tested: bool = False, **resolve) -> DataFrame:
+    """SingleColumnValueFilter applied during the scan (rows missing the column drop).
+
+    1. Resolve only the tested column (the column restriction reaches the
+       scan) and keep the keys whose live value satisfies ``value_pred``
+       (a predicate over the ``value`` bytes).
+    2. Semi-join the log with those keys and resolve only the matching rows.
+
+    Version resolution of the full table never runs twice; the key frame is
+    an aggregate whose size AQE measures before choosing broadcast or shuffle.
+    """
+    tested = raw_scan(log, start, stop, columns=[(family, qualifier)], **resolve)
+    keys = tested.filter(value_pred).select("rowkey")
+    rows = log.filter(row_range(start, stop)).join(keys, "rowkey", "left_semi")
+    out = latest_cells(rows, **resolve)
+    if exclude_tested:
+        out = out.filter(~((F.col("family") == family) & (F.col("qualifier") == qualifier)))
+    return out
