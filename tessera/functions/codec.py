@@ -10,6 +10,11 @@ codegen, are deterministic (usable in aggregates and filters) and need no
 Python worker.  IEEE bits are derived arithmetically: ``pow(2, k)`` is exact
 for integral ``k`` and scaling by a power of two is exact, so the bit
 patterns are exact, ``-0.0`` and subnormals included.
+
+The expressions are written as SQL text and parsed once by Spark
+(``F.expr``): the same Catalyst tree as chained ``functions`` calls, built
+with one call instead of hundreds of Python-to-JVM round trips.  Inputs are
+SQL expressions -- usually a column name (see :func:`col_ref`).
 """
 
 from __future__ import annotations
@@ -19,130 +24,144 @@ from pyspark.sql import functions as F
 
 from tessera.model import SPARK_TYPES, normalize_type
 
-def _pow2(k: Column) -> Column:
-    return F.pow(F.lit(2.0), k.cast("double"))
+
+def col_ref(name: str) -> str:
+    """SQL reference to a column name (quoted; ``a.b`` addresses a struct field)."""
+    return ".".join("`" + part.replace("`", "``") + "`" for part in name.split("."))
+
+
+def _in(x: Column | str) -> str:
+    if isinstance(x, Column):
+        raise TypeError("codec inputs are column names or SQL expression text, not Column objects")
+    return x if _is_sql(x) else col_ref(x)
+
+
+def _is_sql(x: str) -> bool:
+    """Plain identifiers (letters, digits, _, :, -) are names; anything else is SQL text."""
+    return not all(ch.isalnum() or ch in "_:-" for ch in x)
 
 
 # ---------------------------------------------------------------- integers
-def _int_bytes(x: Column, nbytes: int) -> Column:
+def int_bytes_sql(x: str, nbytes: int) -> str:
     """Two's-complement big-endian bytes of the low ``nbytes`` of a long."""
-    h = F.lpad(F.hex(x.cast("bigint")), 16, "0")
-    return F.unhex(F.substring(h, 17 - 2 * nbytes, 2 * nbytes))
+    return f"unhex(substring(lpad(hex(CAST({x} AS BIGINT)), 16, '0'), {17 - 2 * nbytes}, {2 * nbytes}))"
 
 
-def _bytes_int(b: Column, nbytes: int, out: str) -> Column:
-    """Signed big-endian integer of ``nbytes`` bytes (shorter input is zero padded)."""
-    h = F.lpad(F.hex(b), 2 * nbytes, "0")
+def bytes_int_sql(b: str, nbytes: int) -> str:
+    """Signed big-endian integer (BIGINT) of ``nbytes`` bytes."""
+    h = f"lpad(hex({b}), {2 * nbytes}, '0')"
     if nbytes < 8:
-        neg = F.substring(h, 1, 1).isin("8", "9", "A", "B", "C", "D", "E", "F")
-        h = F.concat(F.when(neg, F.lit("F" * (16 - 2 * nbytes))).otherwise(F.lit("0" * (16 - 2 * nbytes))), h)
-    return F.conv(h, 16, -10).cast("bigint").cast(out)
+        pad = 16 - 2 * nbytes
+        h = (f"concat(CASE WHEN substring({h}, 1, 1) IN ('8','9','A','B','C','D','E','F') "
+             f"THEN '{'F' * pad}' ELSE '{'0' * pad}' END, {h})")
+    return f"CAST(conv({h}, 16, -10) AS BIGINT)"
 
 
 # ------------------------------------------------------------------ floats
-def _float_bits(x: Column, exp_bits: int, man_bits: int) -> Column:
-    """IEEE-754 bit pattern (as bigint) of a double/float value."""
+def float_bits_sql(x: str, exp_bits: int, man_bits: int) -> str:
+    """IEEE-754 bit pattern (BIGINT) of a double/float value."""
     bias = (1 << (exp_bits - 1)) - 1
     emin = 1 - bias
     exp_all = (1 << exp_bits) - 1
-    d = x.cast("double")
-    a = F.abs(d)
+    nan = (exp_all << man_bits) | (1 << (man_bits - 1))
+    d = f"CAST({x} AS DOUBLE)"
+    a = f"abs({d})"
+    e0 = f"floor(log2({a}))"
+    e1 = (f"({e0} - CASE WHEN pow(2D, {e0}) > {a} THEN 1 ELSE 0 END "
+          f"+ CASE WHEN pow(2D, {e0} + 1) <= {a} THEN 1 ELSE 0 END)")
+    body = (f"CASE WHEN {d} IS NULL THEN CAST(NULL AS BIGINT) "
+            f"WHEN isnan({d}) THEN {nan}L "
+            f"WHEN {a} = CAST('Infinity' AS DOUBLE) THEN {exp_all << man_bits}L "
+            f"WHEN {a} = 0D THEN 0L "
+            f"WHEN {e1} >= {emin} THEN shiftleft(CAST({e1} + {bias} AS BIGINT), {man_bits}) "
+            f"| CAST(({a} / pow(2D, {e1}) - 1D) * {float(1 << man_bits)!r}D AS BIGINT) "
+            f"ELSE CAST({a} / pow(2D, {emin - man_bits}) AS BIGINT) END")
     # The sign of -0.0 is only visible in its text form; the cast runs for zeros only.
-    negative = F.when(a == 0.0, F.startswith(d.cast("string"), F.lit("-"))).otherwise(d < 0)
-    sign = F.when(negative, F.lit(1)).otherwise(F.lit(0)).cast("bigint")
-    e0 = F.floor(F.log2(a))
-    e1 = e0 - F.when(_pow2(e0) > a, 1).otherwise(0) + F.when(_pow2(e0 + 1) <= a, 1).otherwise(0)
-    normal = e1 >= emin
-    man_normal = ((a / _pow2(e1) - 1.0) * float(1 << man_bits)).cast("bigint")
-    man_sub = (a / _pow2(F.lit(emin - man_bits))).cast("bigint")
-    body = (
-        F.when(d.isNull(), F.lit(None).cast("bigint"))
-        .when(F.isnan(d), F.lit(((exp_all << man_bits) | (1 << (man_bits - 1)))).cast("bigint"))
-        .when(a == float("inf"), F.lit(exp_all << man_bits).cast("bigint"))
-        .when(a == 0.0, F.lit(0).cast("bigint"))
-        .when(normal, F.shiftleft((e1 + bias).cast("bigint"), man_bits).bitwiseOR(man_normal))
-        .otherwise(man_sub)
-    )
-    return F.when(sign == 1, body.bitwiseOR(F.shiftleft(F.lit(1).cast("bigint"), exp_bits + man_bits))).otherwise(body)
-
-
-def _bits_float(bits: Column, exp_bits: int, man_bits: int) -> Column:
-    """Double value of an IEEE-754 bit pattern held in a bigint."""
+    negative = f"CASE WHEN {a} = 0D THEN startswith(CAST({d} AS STRING), '-') ELSE {d} < 0 END"
+    return f"(CASE WHEN {negative} THEN ({body}) | shiftleft(1L, {exp_bits + man_bits}) ELSE {body} END)"
+
+
+def bits_float_sql(bits: str, exp_bits: int, man_bits: int) -> str:
+    """DOUBLE value of an IEEE-754 bit pattern held in a BIGINT."""
     bias = (1 << (exp_bits - 1)) - 1
     exp_all = (1 << exp_bits) - 1
-    width = exp_bits + man_bits
-    sign = F.shiftrightunsigned(bits, width).bitwiseAND(F.lit(1))
-    e = F.shiftrightunsigned(bits, man_bits).bitwiseAND(F.lit(exp_all))
-    m = bits.bitwiseAND(F.lit((1 << man_bits) - 1).cast("bigint"))
-    mag = (
-        F.when(e == exp_all, F.when(m == 0, F.lit(float("inf"))).otherwise(F.lit(float("nan"))))
-        .when(e == 0, m.cast("double") * _pow2(F.lit(1 - bias - man_bits)))
-        .otherwise((m + F.lit(1 << man_bits)).cast("double") * _pow2(e - (bias + man_bits)))
-    )
-    return F.when(sign == 1, -mag).otherwise(mag)
+    e = f"(shiftrightunsigned({bits}, {man_bits}) & {exp_all})"
+    m = f"({bits} & {(1 << man_bits) - 1}L)"
+    mag = (f"CASE WHEN {e} = {exp_all} THEN CASE WHEN {m} = 0 THEN CAST('Infinity' AS DOUBLE) "
+           f"ELSE CAST('NaN' AS DOUBLE) END "
+           f"WHEN {e} = 0 THEN CAST({m} AS DOUBLE) * pow(2D, {1 - bias - man_bits}) "
+           f"ELSE CAST({m} + {1 << man_bits}L AS DOUBLE) * pow(2D, {e} - {bias + man_bits}) END")
+    sign = f"(shiftrightunsigned({bits}, {exp_bits + man_bits}) & 1)"
+    return f"(CASE WHEN {sign} = 1 THEN -({mag}) ELSE {mag} END)"
 
 
 # ------------------------------------------------------------------ public
-def encode(x: Column | str, type_name: str) -> Column:
-    """Column -> BINARY cell value in the store's byte layout."""
-    c = F.col(x) if isinstance(x, str) else x
+def encode_sql(x: str, type_name: str) -> str:
     t = normalize_type(type_name)
     if t in ("string", "rowkey"):
-        return F.encode(c.cast("string"), "UTF-8")
+        return f"encode(CAST({x} AS STRING), 'UTF-8')"
     if t == "long":
-        return _int_bytes(c, 8)
+        return int_bytes_sql(x, 8)
     if t == "int":
-        return _int_bytes(c, 4)
+        return int_bytes_sql(x, 4)
     if t == "short":
-        return _int_bytes(c, 2)
+        return int_bytes_sql(x, 2)
     if t == "boolean":
-        return F.when(c.isNull(), F.lit(None).cast("binary")).when(c, F.unhex(F.lit("FF"))).otherwise(F.unhex(F.lit("00")))
+        return f"(CASE WHEN {x} IS NULL THEN CAST(NULL AS BINARY) WHEN {x} THEN X'FF' ELSE X'00' END)"
     if t == "double":
-        return _int_bytes(_float_bits(c, 11, 52), 8)
+        return int_bytes_sql(float_bits_sql(x, 11, 52), 8)
     if t == "float":
-        return _int_bytes(_float_bits(c.cast("float").cast("double"), 8, 23), 4)
+        return int_bytes_sql(float_bits_sql(f"CAST(CAST({x} AS FLOAT) AS DOUBLE)", 8, 23), 4)
     raise ValueError(t)
 
 
-def decode(b: Column | str, type_name: str) -> Column:
-    """BINARY cell value -> typed column (NULL stays NULL)."""
-    c = F.col(b) if isinstance(b, str) else b
+def decode_sql(b: str, type_name: str) -> str:
     t = normalize_type(type_name)
     if t in ("string", "rowkey"):
-        return F.decode(c, "UTF-8")
+        return f"decode({b}, 'UTF-8')"
     if t == "long":
-        return _bytes_int(c, 8, "bigint")
+        return bytes_int_sql(b, 8)
     if t == "int":
-        return _bytes_int(c, 4, "int")
+        return f"CAST({bytes_int_sql(b, 4)} AS INT)"
     if t == "short":
-        return _bytes_int(c, 2, "smallint")
+        return f"CAST({bytes_int_sql(b, 2)} AS SMALLINT)"
     if t == "boolean":
-        return F.when(c.isNull(), F.lit(None).cast("boolean")).otherwise(F.translate(F.hex(c), "0", "") != F.lit(""))
+        return f"(CASE WHEN {b} IS NULL THEN CAST(NULL AS BOOLEAN) ELSE translate(hex({b}), '0', '') != '' END)"
     if t == "double":
-        return _bits_float(_bytes_int(c, 8, "bigint"), 11, 52)
+        return bits_float_sql(bytes_int_sql(b, 8), 11, 52)
     if t == "float":
-        return _bits_float(_bytes_int(c, 4, "bigint").bitwiseAND(F.lit(0xFFFFFFFF)), 8, 23).cast("float")
+        return f"CAST({bits_float_sql(f'({bytes_int_sql(b, 4)} & 4294967295L)', 8, 23)} AS FLOAT)"
     raise ValueError(t)
 
 
+DEFAULT_SQL = {
+    "string": "''", "rowkey": "''", "int": "CAST(0 AS INT)", "long": "CAST(0 AS BIGINT)",
+    "short": "CAST(0 AS SMALLINT)", "double": "CAST(0 AS DOUBLE)", "float": "CAST(0 AS FLOAT)", "boolean": "false",
+}
+
+
+def encode(x: str, type_name: str) -> Column:
+    """Column (name or SQL text) -> BINARY cell value in the store's byte layout."""
+    return F.expr(encode_sql(_in(x), type_name))
+
+
+def decode(b: str, type_name: str) -> Column:
+    """BINARY cell value (column name or SQL text) -> typed column; NULL stays NULL."""
+    return F.expr(decode_sql(_in(b), type_name))
+
+
 def default_value(type_name: str) -> Column:
     """Value a decoded column takes when the cell is missing."""
+    return F.expr(DEFAULT_SQL[normalize_type(type_name)])
+
+
+def decode_or_default_sql(b: str, type_name: str) -> str:
     t = normalize_type(type_name)
-    return {
-        "string": F.lit(""),
-        "rowkey": F.lit(""),
-        "int": F.lit(0).cast("int"),
-        "long": F.lit(0).cast("bigint"),
-        "short": F.lit(0).cast("smallint"),
-        "double": F.lit(0.0).cast("double"),
-        "float": F.lit(0.0).cast("float"),
-        "boolean": F.lit(False),
-    }[t]
-
-
-def decode_or_default(b: Column | str, type_name: str) -> Column:
-    t = normalize_type(type_name)
-    return F.coalesce(decode(b, t), default_value(t)).cast(SPARK_TYPES[t])
+    return f"CAST(coalesce({decode_sql(b, t)}, {DEFAULT_SQL[t]}) AS {SPARK_TYPES[t].simpleString()})"
+
+
+def decode_or_default(b: str, type_name: str) -> Column:
+    return F.expr(decode_or_default_sql(_in(b), type_name))
 
 
 def value_type_of(dtype) -> str:

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.codec import decode, decode_or_default, encode, value_type_of
+from tessera.functions.codec import decode, decode_or_default, decode_sql, encode, value_type_of
 from tessera.model import PUT, SPARK_TYPES, ColumnSpec, column_specs, normalize_type
 
 
@@ -39,7 +39,7 @@ def melt_to_cells(
             F.struct(
                 F.lit(s.family).alias("family"),
                 F.lit(s.qualifier).alias("qualifier"),
-                encode(F.col(s.name), s.type).alias("value"),
+                encode(s.name, s.type).alias("value"),
             )
             for s in specs
         ]
@@ -95,7 +95,7 @@ def explode_map_batch(df: DataFrame, key: str, map_col: str, *, family: str | No
     seq_col = F.lit(seq) if isinstance(seq, int) else seq
     return exploded.select(
         "rowkey", fam.alias("family"), qual.alias("qualifier"), ts_col.cast("bigint").alias("ts"),
-        seq_col.cast("bigint").alias("seq"), F.lit(PUT).alias("op"), encode(F.col("v"), vtype).alias("value"),
+        seq_col.cast("bigint").alias("seq"), F.lit(PUT).alias("op"), encode("v", vtype).alias("value"),
     ).filter(F.col("value").isNotNull())
 
 
@@ -129,7 +129,7 @@ def decode_columns(cells: DataFrame, columns, *, family: str | None = None, with
     if with_key:
         out.append(F.col("rowkey").alias("ROWKEY"))
     for i, s in enumerate(specs):
-        conv = decode_or_default(F.col(f"__v{i}"), s.type) if defaults else decode(F.col(f"__v{i}"), s.type)
+        conv = decode_or_default(f"__v{i}", s.type) if defaults else decode(f"__v{i}", s.type)
         out.append(conv.cast(SPARK_TYPES[s.type]).alias(s.name))
     return pivoted.select(*out)
 
@@ -139,13 +139,12 @@ def typed_view(cells: DataFrame, types: dict[str, str], extra: Sequence[str] = (
 
     ``types`` maps qualifier -> type name; unlisted qualifiers decode as text.
     """
-    s_val = F.lit(None).cast("string")
-    n_val = F.lit(None).cast("double")
     numeric = {q: normalize_type(t) for q, t in types.items() if normalize_type(t) not in ("string", "rowkey", "boolean")}
-    for q, t in numeric.items():
-        n_val = F.when(F.col("qualifier") == q, decode(F.col("value"), t).cast("double")).otherwise(n_val)
-    is_num = F.col("qualifier").isin(*numeric.keys()) if numeric else F.lit(False)
-    s_val = F.when(~is_num, decode(F.col("value"), "string"))
+    branches = " ".join(f"WHEN qualifier = '{q}' THEN CAST({decode_sql('value', t)} AS DOUBLE)" for q, t in numeric.items())
+    n_val = F.expr(f"CASE {branches} END") if numeric else F.lit(None).cast("double")
+    quoted = ", ".join(f"'{q}'" for q in numeric)
+    s_val = F.expr(f"CASE WHEN qualifier NOT IN ({quoted}) THEN {decode_sql('value', 'string')} END") if numeric \
+        else decode("value", "string")
     return cells.select("rowkey", "family", "qualifier", *extra, s_val.alias("s_val"), n_val.alias("n_val"))
 
 
@@ -194,7 +193,7 @@ def single_column_and_key(rows: DataFrame, cells: DataFrame) -> DataFrame:
 def format_rows(cells: DataFrame, long_qualifiers: Sequence[str] = ("counter",)) -> DataFrame:
     """rowKeyAndResult: ``key:(q,v)(q,v)...`` in cell order; listed qualifiers print as Long."""
     as_long = F.col("qualifier").isin(*long_qualifiers) if long_qualifiers else F.lit(False)
-    text = F.when(as_long, decode(F.col("value"), "long").cast("string")).otherwise(F.decode("value", "UTF-8"))
+    text = F.when(as_long, decode("value", "long").cast("string")).otherwise(F.decode("value", "UTF-8"))
     piece = F.concat(F.lit("("), F.col("qualifier"), F.lit(","), text, F.lit(")"))
     grouped = cells.groupBy("rowkey").agg(
         F.array_sort(F.collect_list(F.struct("family", "qualifier", piece.alias("p")))).alias("parts"))

@@ -76,7 +76,7 @@ def orders_tombstones(spark: SparkSession, sf_dir: str) -> DataFrame:
     muts = F.array(
         mutation(ok % 10 == 0, None, None, 2, 1, DEL_ROW, null_bin),
         mutation(ok % 7 == 0, "cf", "priority", 2, 1, DEL_COLUMN, null_bin),
-        mutation(ok % 21 == 0, "cf", "priority", 3, 2, PUT, encode(F.lit(REPUT_PRIORITY), "string")),
+        mutation(ok % 21 == 0, "cf", "priority", 3, 2, PUT, encode(f"'{REPUT_PRIORITY}'", "string")),
     )
     o = table(spark, sf_dir, "orders").select(order_key("o_orderkey").alias("rowkey"), F.explode(muts).alias("m"))
     return o.filter(F.col("m").isNotNull()).select("rowkey", "m.family", "m.qualifier", "m.ts", "m.seq", "m.op", "m.value")
@@ -102,9 +102,9 @@ def events_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     cells = F.array(
         F.struct(F.lit("cf").alias("family"), F.col("event_type").alias("qualifier"),
-                 encode(F.col("value"), "double").alias("value")),
+                 encode("value", "double").alias("value")),
         F.struct(F.lit("meta").alias("family"), F.lit("props").alias("qualifier"),
-                 encode(F.col("props"), "string").alias("value")),
+                 encode("props", "string").alias("value")),
     )
     return base.select("rowkey", "ts", "seq", F.inline(cells)).filter(F.col("value").isNotNull()).select(
         "rowkey", "family", "qualifier", "ts", "seq", F.lit(PUT).alias("op"), "value")

@@ -464,7 +464,7 @@ def q_upsert_cf_map(spark, sf):
 
 def _user_cells(users: DataFrame) -> DataFrame:
     """User mapper: a UserData row -> its four cells under a salted key."""
-    cells = F.array(*[F.struct(F.lit("cf").alias("family"), F.lit(n).alias("qualifier"), encode(F.col(n), t).alias("value"))
+    cells = F.array(*[F.struct(F.lit("cf").alias("family"), F.lit(n).alias("qualifier"), encode(n, t).alias("value"))
                       for n, t in fx.USER_COLUMNS])
     return users.select(K.salted_key("uid").alias("rowkey"), F.inline(cells))
 

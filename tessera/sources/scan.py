@@ -49,14 +49,14 @@ def scan_column_typed(log: DataFrame, family: str, qualifier: str, type_name: st
     cells = raw_scan(log, start, stop, **resolve)
     tested = (F.col("family") == family) & (F.col("qualifier") == qualifier)
     per_row = cells.groupBy("rowkey").agg(F.max(F.when(tested, F.col("value"))).alias("v"))
-    return per_row.select("rowkey", decode(F.col("v"), type_name).alias("value"))
+    return per_row.select("rowkey", decode("v", type_name).alias("value"))
 
 
 def scan_column_string(log: DataFrame, family: str, qualifier: str, start: str = DEFAULT_START,
                        stop: str = DEFAULT_STOP, **resolve) -> DataFrame:
     """getRDD -> String: ``(rowkey, value)`` for rows that have the column."""
     cells = scan_column(log, family, qualifier, start, stop, **resolve)
-    return cells.select("rowkey", decode(F.col("value"), "string").alias("value"))
+    return cells.select("rowkey", decode("value", "string").alias("value"))
 
 
 def scan_columns(log: DataFrame, family: str, columns: Sequence[tuple[str, str]], start: str | None = None,
@@ -102,13 +102,13 @@ def get_value(log: DataFrame, keys: DataFrame, family: str, qualifier: str, type
     k = keys.select(F.col("rowkey").cast("string")).distinct()
     col_log = log.filter(((F.col("family") == family) & (F.col("qualifier") == qualifier)) | F.col("family").isNull())
     cells = latest_cells(col_log.join(k, "rowkey", "left_semi"), **resolve)
-    return k.join(cells.select("rowkey", decode(F.col("value"), type_name).alias("value")), "rowkey", "left")
+    return k.join(cells.select("rowkey", decode("value", type_name).alias("value")), "rowkey", "left")
 
 
 def scan_record(log: DataFrame, family: str, qualifier: str, type_name: str = "string", **resolve) -> DataFrame:
     """scanRecord: ``(rowkey, value)`` of one column over the whole table."""
     cells = raw_scan(log, columns=[(family, qualifier)], **resolve)
-    return cells.select("rowkey", decode(F.col("value"), type_name).alias("value"))
+    return cells.select("rowkey", decode("value", type_name).alias("value"))
 
 
 def prefix_first_row(log: DataFrame, prefix: str, family: str, **resolve) -> DataFrame:

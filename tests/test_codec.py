@@ -8,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F, types as T
 
-from tessera.functions.codec import decode, decode_or_default, encode
+from tessera.functions.codec import decode, decode_or_default, decode_sql, encode, encode_sql
 
 SPECIAL_DOUBLES = [0.0, -0.0, 1.0, -1.0, 5e-324, -5e-324, 2.2250738585072014e-308, 2.225073858507201e-308,
                    1.7976931348623157e308, -1.7976931348623157e308, float("inf"), float("-inf"), 0.1, 1e7,
@@ -18,8 +18,8 @@ SPECIAL_DOUBLES = [0.0, -0.0, 1.0, -1.0, 5e-324, -5e-324, 2.2250738585072014e-30
 def _roundtrip(spark, values, spark_type, type_name, fmt):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], T.StructType([
         T.StructField("i", T.LongType()), T.StructField("v", spark_type)]))
-    out = df.select("i", "v", F.hex(encode(F.col("v"), type_name)).alias("h"),
-                    decode(encode(F.col("v"), type_name), type_name).alias("back")).orderBy("i").collect()
+    out = df.select("i", "v", F.hex(encode("v", type_name)).alias("h"),
+                    F.expr(decode_sql(encode_sql("v", type_name), type_name)).alias("back")).orderBy("i").collect()
     for r, v in zip(out, values):
         if v is None:
             assert r.h is None and r.back is None
@@ -76,11 +76,11 @@ def test_int_short(spark):
 
 def test_string_boolean_defaults(spark):
     df = spark.createDataFrame([("lily", True), ("", False), ("日本", None)], "s string, b boolean")
-    out = df.select(F.hex(encode("s", "string")).alias("hs"), decode(encode("s", "string"), "string").alias("s2"),
-                    F.hex(encode("b", "boolean")).alias("hb"), decode(encode("b", "boolean"), "boolean").alias("b2"),
-                    decode_or_default(F.lit(None).cast("binary"), "int").alias("d_int"),
-                    decode_or_default(F.lit(None).cast("binary"), "string").alias("d_str"),
-                    decode(F.unhex(F.lit("07")), "boolean").alias("nonzero")).collect()
+    out = df.select(F.hex(encode("s", "string")).alias("hs"), F.expr(decode_sql(encode_sql("s", "string"), "string")).alias("s2"),
+                    F.hex(encode("b", "boolean")).alias("hb"), F.expr(decode_sql(encode_sql("b", "boolean"), "boolean")).alias("b2"),
+                    decode_or_default("CAST(NULL AS BINARY)", "int").alias("d_int"),
+                    decode_or_default("CAST(NULL AS BINARY)", "string").alias("d_str"),
+                    decode("X'07'", "boolean").alias("nonzero")).collect()
     assert [r.s2 for r in out] == ["lily", "", "日本"]
     assert [r.hs for r in out] == ["6C696C79", "", "E697A5E69CAC"]
     assert [r.hb for r in out] == ["FF", "00", None]
