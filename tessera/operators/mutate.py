@@ -103,6 +103,12 @@ def delete_columns(data: DataFrame, family: str, key: str = "rowkey", cols: str
     return _tomb(exploded, DEL_COLUMN, ts, seq, family=family, qualifier=F.col("qualifier"))
 
 
+def delete_mapped(data: DataFrame, mapper: Callable[[DataFrame], DataFrame], *, ts=None, seq=0) -> DataFrame:
+    """deleteRDD with a user mapper: ``mapper`` yields ``(rowkey, family, qualifier)`` columns to delete (all versions)."""
+    cells = data.transform(mapper)
+    return _tomb(cells, DEL_COLUMN, ts, seq, family=F.col("family"), qualifier=F.col("qualifier"))
+
+
 def delete_latest_version(log: DataFrame, targets: DataFrame, *, seq=0, **resolve) -> DataFrame:
     """deleteRecord: delete only the newest live version of each ``(rowkey, family, qualifier)`` target.
 

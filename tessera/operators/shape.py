@@ -199,3 +199,16 @@ def format_rows(cells: DataFrame, long_qualifiers: Sequence[str] = ("counter",))
         F.array_sort(F.collect_list(F.struct("family", "qualifier", piece.alias("p")))).alias("parts"))
     return grouped.select(
         "rowkey", F.concat(F.col("rowkey"), F.lit(":"), F.array_join(F.transform("parts", lambda s: s["p"]), "")).alias("line"))
+
+
+# ----------------------------------------------------- opaque row mappers
+def map_rows_arrow(cells: DataFrame, fn, schema) -> DataFrame:
+    """Apply an opaque per-row mapper in Arrow batches (the getRDD ``Result => T`` form).
+
+    Rows are assembled in Spark (``family:qualifier`` -> value map per key,
+    one shuffle on ``rowkey``); ``fn`` receives an iterator of
+    ``pyarrow.RecordBatch`` with columns ``rowkey`` and ``cells`` (a map) and
+    yields batches matching ``schema``.  Use it only for logic that column
+    expressions cannot state: Python runs here, batch by batch.
+    """
+    return rows_to_cf_map(cells).mapInArrow(fn, schema)

@@ -136,6 +136,30 @@ def q_scan_mapped(spark, sf):
     return S.scan_mapped(fx.customer_log(spark, sf), _row_summary)
 
 
+@query("scan_mapped_arrow",
+       f"SELECT {O.CKEY} AS rowkey, CAST(CASE WHEN c_acctbal < 0 THEN 4 ELSE 3 END AS BIGINT) AS n_cells, "
+       f"'stats:counter' AS longest FROM customer")
+def q_scan_mapped_arrow(spark, sf):
+    def row_summary(batches):
+        """Opaque mapper run in Arrow batches: number of cells and the longest qualifier of each row.
+
+        Defined inside the query so it is shipped to the Python workers by value.
+        """
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        for b in batches:
+            cells = b.column("cells")
+            n = pc.subtract(cells.offsets[1:], cells.offsets[:-1])
+            longest = [max((k for k, _ in row), key=lambda q: (len(q), q)) for row in cells.to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [b.column("rowkey"), pc.cast(n, pa.int64()), pa.array(longest, pa.string())],
+                names=["rowkey", "n_cells", "longest"])
+
+    return S.scan_mapped(fx.customer_log(spark, sf), lambda cells: P.map_rows_arrow(
+        cells, row_summary, "rowkey string, n_cells bigint, longest string"))
+
+
 @query("scan_keys", f"SELECT {O.OKEY} AS rowkey FROM orders WHERE {O.ALIVE} "
                     f"AND {O.OKEY} >= '0000001000' AND {O.OKEY} < '0000003000'")
 def q_scan_keys(spark, sf):
@@ -563,6 +587,20 @@ def q_delete_columns(spark, sf):
     return decoded_orders(W.apply_batch(fx.orders_log(spark, sf), W.delete_columns(data, "cf", ts=2)))
 
 
+@query("delete_mapped",
+       f"SELECT {O.OKEY} AS ROWKEY, CASE WHEN o_orderstatus = 'F' THEN '' ELSE o_orderstatus END AS status, "
+       f"CASE WHEN o_orderstatus = 'F' THEN '' ELSE o_orderpriority END AS priority, o_custkey AS custkey, "
+       f"o_totalprice AS totalprice FROM orders")
+def q_delete_mapped(spark, sf):
+    def mapper(orders: DataFrame) -> DataFrame:
+        """Finished orders lose their status and priority columns."""
+        done = orders.filter(F.col("o_orderstatus") == "F").select(fx.order_key("o_orderkey").alias("rowkey"))
+        return done.select("rowkey", F.lit("cf").alias("family"),
+                           F.explode(F.array(F.lit("status"), F.lit("priority"))).alias("qualifier"))
+    tomb = W.delete_mapped(fx.table(spark, sf, "orders"), mapper, ts=2)
+    return decoded_orders(W.apply_batch(fx.orders_log(spark, sf), tomb))
+
+
 @query("delete_latest_version", _with(O.EVENTS_VERSIONS) +
        "SELECT rowkey, family, qualifier, ts, seq, s_val, n_val FROM evr "
        "WHERE (family = 'cf' AND user_id % 3 = 0 AND rn = 2) OR (NOT (family = 'cf' AND user_id % 3 = 0) AND rn = 1)")
