@@ -82,30 +82,3 @@ def latest_cells(log: DataFrame, *, version_deletes: bool = True, row_deletes: b
             .select(*CELL_COLUMNS)
         )
     return cells
-
-
-def latest_versions(log: DataFrame, n: int, *, row_deletes: bool = True) -> DataFrame:
-    """Up to ``n`` newest visible versions of every cell, newest first (``version`` = 1..n).
-
-    ``WindowGroupLimit`` keeps at most ``n`` rows per cell in each task before
-    the shuffle, so a hot cell does not travel whole.
-    """
-    from pyspark.sql import Window
-
-    entries = log.select(*LOG_COLUMNS)
-    op = F.col("op")
-    # Version tombstones remove exact versions; column / row tombstones hide
-    # everything at or below their ts.
-    vdel = entries.filter(op == DEL_VERSION).select(*CELL, "ts").distinct()
-    puts = entries.filter(op == PUT).join(vdel, CELL + ["ts"], "left_anti")
-    col_marks = entries.filter(op == DEL_COLUMN).groupBy(*CELL).agg(F.max("ts").alias("tc"))
-    puts = puts.join(col_marks, CELL, "left").filter(F.col("tc").isNull() | (F.col("ts") > F.col("tc")))
-    if row_deletes:
-        row_marks = entries.filter(op == DEL_ROW).groupBy("rowkey").agg(F.max("ts").alias("tr"))
-        puts = puts.join(row_marks, "rowkey", "left").filter(F.col("tr").isNull() | (F.col("ts") > F.col("tr")))
-    w = Window.partitionBy(*CELL).orderBy(F.col("ts").desc(), F.col("seq").desc())
-    return (
-        puts.withColumn("version", F.row_number().over(w))
-        .filter(F.col("version") <= n)
-        .select(*CELL_COLUMNS, "version")
-    )

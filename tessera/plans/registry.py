@@ -542,11 +542,8 @@ def q_catalog_write(spark, sf):
 
 
 def bulk_load_sorted(users: DataFrame, path: str, partitions: int) -> None:
-    """generateHFile: salted keys, cells of each user under their own names, range-partitioned and sorted."""
-    cells = W.upsert_mapped(users, _user_cells, ts=1)
-    (cells.repartitionByRange(partitions, "rowkey")
-     .sortWithinPartitions("rowkey", "family", "qualifier")
-     .write.mode("overwrite").parquet(path))
+    """Users -> salted-key cells under their own names -> sorted, range-partitioned files."""
+    W.bulk_load(W.upsert_mapped(users, _user_cells, ts=1), path, partitions)
 
 
 @query("bulk_load_sorted", _with(O.USERS) +
@@ -566,7 +563,7 @@ def q_bulk_load_staged(spark, sf):
     stage = scratch_path(spark, "bulk-stage")
     table_path = scratch_path(spark, "bulk-table")
     bulk_load_sorted(fx.users(spark, sf), stage, partitions=max(1, spark.sparkContext.defaultParallelism))
-    W.append(spark.read.parquet(stage), table_path)
+    W.load_staged(spark, stage, table_path)
     live = latest_cells(spark.read.parquet(table_path))
     return P.decode_columns(live, fx.USER_COLUMNS, family="cf", with_key=True)
 

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.model import LOG_SCHEMA
-from tessera.operators.versions import latest_cells, latest_versions
+from tessera.operators.versions import latest_cells
 
 
 def log(spark, rows):
@@ -51,13 +51,6 @@ def test_row_deletes_flag(spark):
     assert live(latest_cells(log(spark, rows))) == live(latest_cells(log(spark, rows), row_deletes=False))
 
 
-def test_latest_versions(spark):
-    df = latest_versions(log(spark, ROWS), 2)
-    got = sorted((r.rowkey, r.qualifier, r.version, r.value.decode()) for r in df.collect())
-    assert ("r1", "a", 1, "a2b") in got and ("r1", "a", 2, "a2") in got
-    assert ("r3", "a", 1, "y1") in got and all(g[0] != "r4" for g in got)
-
-
 def test_hot_cell_many_versions(spark):
     """One cell with many versions resolves to its newest version."""
     hot = spark.range(200000).select(
@@ -66,3 +59,17 @@ def test_hot_cell_many_versions(spark):
         F.col("id").cast("string").cast("binary").alias("value"))
     out = latest_cells(hot).collect()
     assert len(out) == 1 and out[0].ts == 199999
+
+
+def test_scan_time_column_filter_equals_filter_on_resolved_cells(spark):
+    from tessera.operators import filters as FL
+    from tessera.sources import scan as S
+
+    rows = ROWS + [("r5", "cf", "a", 1, 0, "put", "a1"), ("r5", "cf", "b", 1, 0, "put", "zz")]
+    lg = log(spark, rows)
+    pred = F.col("value") == F.lit(b"a1")
+    a = live(S.scan_rows_where_column(lg, "cf", "a", pred))
+    b = live(FL.by_single_column_value("cf", "a", "a1")(latest_cells(lg)))
+    assert a == b == [("r5", "cf", "a", 1, "a1"), ("r5", "cf", "b", 1, "zz")]
+    # r3's resurfaced version a = y1 is what the scan-time filter sees too
+    assert live(S.scan_rows_where_column(lg, "cf", "a", F.col("value") == F.lit(b"y1"))) == [("r3", "cf", "a", 1, "y1")]
