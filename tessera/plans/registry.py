@@ -124,14 +124,17 @@ def q_scan_columns(spark, sf):
 
 
 def _row_summary(cells: DataFrame) -> DataFrame:
+    """Row mapper with bounded state per row (partial aggregation): cell count, value bytes, last column."""
     return cells.groupBy("rowkey").agg(
         F.count("*").alias("n_cells"),
-        F.array_join(F.array_sort(F.collect_list("qualifier")), ",").alias("quals"))
+        F.sum(F.length("value")).cast("bigint").alias("value_bytes"),
+        F.max(F.concat_ws(":", "family", "qualifier")).alias("last_column"))
 
 
 @query("scan_mapped",
        f"SELECT {O.CKEY} AS rowkey, CAST(CASE WHEN c_acctbal < 0 THEN 4 ELSE 3 END AS BIGINT) AS n_cells, "
-       f"CASE WHEN c_acctbal < 0 THEN 'counter,flag,name,segment' ELSE 'counter,name,segment' END AS quals FROM customer")
+       f"CAST(strlen(c_name) + strlen(c_mktsegment) + 8 + CASE WHEN c_acctbal < 0 THEN 3 ELSE 0 END AS BIGINT) "
+       f"AS value_bytes, 'stats:counter' AS last_column FROM customer")
 def q_scan_mapped(spark, sf):
     return S.scan_mapped(fx.customer_log(spark, sf), _row_summary)
 
