@@ -32,14 +32,30 @@ CELL = ["rowkey", "family", "qualifier"]
 CELL_COLUMNS = ["rowkey", "family", "qualifier", "ts", "seq", "value"]
 
 
-def latest_cells(log: DataFrame, *, version_deletes: bool = True, row_deletes: bool = True) -> DataFrame:
+def has_op(log: DataFrame, op_name: str) -> bool:
+    """Whether the log holds any mutation of kind ``op_name``.
+
+    A one-row probe (``isEmpty``) over the ``op`` column, with the equality
+    pushed to the Parquet scan; when ``op`` is a literal of the plan (a
+    derived batch of puts) Catalyst folds the probe away without a job.
+    """
+    return not log.select("op").filter(F.col("op") == op_name).isEmpty()
+
+
+def latest_cells(log: DataFrame, *, version_deletes: bool | str = "auto",
+                 row_deletes: bool | str = "auto") -> DataFrame:
     """Live latest cells ``(rowkey, family, qualifier, ts, seq, value)``.
 
-    ``version_deletes=False`` / ``row_deletes=False`` skip stages for logs
-    known to contain no such tombstones (e.g. a bulk-loaded table); the
-    result is then identical but one aggregation or join cheaper.
+    ``version_deletes`` / ``row_deletes``: ``True`` plans the stage, ``False``
+    skips it (for logs known to hold no such tombstones), ``"auto"`` probes
+    the log first (:func:`has_op`).  The result is the same either way; a
+    skipped stage saves a full shuffle (version level) or a join (row level).
     """
     entries = log.select(*LOG_COLUMNS)
+    if version_deletes == "auto":
+        version_deletes = has_op(entries, DEL_VERSION)
+    if row_deletes == "auto":
+        row_deletes = has_op(entries, DEL_ROW)
     op = F.col("op")
     is_put = op == PUT
 
