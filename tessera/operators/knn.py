@@ -100,24 +100,127 @@ def cell_min_distance(qlon, qlat, cx, cy, precision: int):
     return F.sqrt(ddx * ddx + ddy * ddy)
 
 
-def knn_geohash(points: DataFrame, queries: DataFrame, n: int = 5, precision: int = 1, *,
-                salt_buckets: int = 16, wrap_lat: bool = True, prune: bool = True) -> DataFrame:
-    """Top ``n`` points by planar distance over each query's 3x3 geohash block.
+# Average points per coarse cell above which the multi-level search pays for its extra passes.
+COARSE_CELL_LIMIT = 50_000
 
-    Output: ``qid, rank, uid, hash, lon, lat, distance`` (rank 1 = nearest).
 
-    With ``prune=True`` (exact, same result) the centre cell is joined first;
-    its ``n``-th distance bounds the search, and only neighbour cells whose
-    rectangle lies within that bound are joined in a second pass.  Cells are
-    large at low precision, so this removes most of the candidate volume.
+def _fine_level(points: DataFrame, n: int, precision: int) -> int:
+    """Search level for ``fine_precision="auto"`` from the measured point count (one count job).
+
+    While a coarse cell holds few points on average, joining the coarse
+    block directly is cheapest.  Beyond ``COARSE_CELL_LIMIT`` the finest
+    level whose cells still hold about ``2n`` points is used, so the work per
+    query follows the local density instead of the coarse cell size.
     """
-    blocks = query_blocks(queries, precision, wrap_lat=wrap_lat)
-    pts = with_cells(points.select("uid", "hash", "lon", "lat"), precision).withColumn(
+    import math
+
+    total = max(points.count(), 1)
+    if total / float(32 ** precision) <= COARSE_CELL_LIMIT:
+        return precision
+    level = int(math.floor(math.log2(max(total / (2.0 * n), 1.0)) / 5))
+    return max(precision, min(level, 12))
+
+
+def _in_coarse_block(fx, fy, qcx, qcy, fine: int, coarse: int, wrap_lat: bool):
+    """Whether fine cell (fx, fy) lies in the 3x3 coarse block around (qcx, qcy)."""
+    lf, tf = bits_for(fine)
+    lc, tc = bits_for(coarse)
+    nxc, nyc = 1 << lc, 1 << tc
+    dx = F.pmod(F.shiftright(fx, lf - lc) - qcx, F.lit(nxc).cast("bigint"))
+    ok_x = dx.isin(0, 1, nxc - 1) if nxc > 2 else F.lit(True)
+    py = F.shiftright(fy, tf - tc)
+    if wrap_lat:
+        dy = F.pmod(py - qcy, F.lit(nyc).cast("bigint"))
+        ok_y = dy.isin(0, 1, nyc - 1) if nyc > 2 else F.lit(True)
+    else:
+        ok_y = F.abs(py - qcy) <= 1
+    return ok_x & ok_y
+
+
+def _offsets(rx: int, ry: int):
+    return F.array(*[F.struct(F.lit(dx).alias("ox"), F.lit(dy).alias("oy"))
+                     for dy in range(-ry, ry + 1) for dx in range(-rx, rx + 1)])
+
+
+def _knn_multilevel(pts: DataFrame, queries: DataFrame, n: int, precision: int, fine: int,
+                    salt_buckets: int, wrap_lat: bool) -> DataFrame:
+    import math
+
+    lf, tf = bits_for(fine)
+    nxf, nyf = 1 << lf, 1 << tf
+    w, h = LON_RANGE[1] / nxf, LAT_RANGE[1] / nyf
+    dmax = math.sqrt((2 * w) ** 2 + (2 * h) ** 2)       # farthest point of a 3x3 fine block
+    rx, ry = math.ceil(dmax / w), math.ceil(dmax / h)   # fine cells a disc of that radius can touch
+
+    fgx, fgy = cells(F.col("lat"), F.col("lon"), fine)
+    cgx, cgy = cells(F.col("lat"), F.col("lon"), precision)
+    q = queries.select("qid", F.col("lon").alias("qlon"), F.col("lat").alias("qlat"), fgx.alias("qfx"),
+                       fgy.alias("qfy"), cgx.alias("qcx"), cgy.alias("qcy"))
+    fine_pts = with_cells(pts.select("uid", "hash", "lon", "lat"), fine).withColumn(
+        "salt", F.pmod(F.xxhash64("uid"), F.lit(salt_buckets)).cast("int"))
+    member = lambda: _in_coarse_block(F.col("cx"), F.col("cy"), F.col("qcx"), F.col("qcy"), fine, precision,
+                                      wrap_lat)
+
+    # Round 1: the 3x3 fine block (inside the coarse block) gives each query a distance bound.
+    r1 = q.select("*", F.inline(_offsets(1, 1))).select(
+        "qid", "qlon", "qlat", "qcx", "qcy",
+        F.pmod(F.col("qfx") + F.col("ox"), F.lit(nxf).cast("bigint")).alias("cx"),
+        F.pmod(F.col("qfy") + F.col("oy"), F.lit(nyf).cast("bigint")).alias("cy"))
+    r1 = r1.filter(member())
+    first = _top_n(_join_points(r1, fine_pts, salt_buckets), n)
+    bound = first.groupBy("qid").agg(F.count("*").alias("k"), F.max("distance").alias("dn"))
+    ensure_checkpoint_dir(pts.sparkSession)
+    bound = bound.checkpoint(eager=True)
+    qb = q.join(bound, "qid", "left")
+
+    # Round 2: every fine cell (planar neighbourhood) within the bound and inside the coarse block.
+    full = qb.filter(F.col("k") == n)
+    r2 = full.select("*", F.inline(_offsets(rx, ry))).select(
+        "qid", "qlon", "qlat", "qcx", "qcy", "dn",
+        (F.col("qfx") + F.col("ox")).alias("cx"), (F.col("qfy") + F.col("oy")).alias("cy"))
+    r2 = r2.filter((F.col("cx") >= 0) & (F.col("cx") < nxf) & (F.col("cy") >= 0) & (F.col("cy") < nyf))
+    r2 = r2.filter(member() & (cell_min_distance(F.col("qlon"), F.col("qlat"), F.col("cx"), F.col("cy"), fine)
+                               <= F.col("dn")))
+    second = _join_points(r2, fine_pts, salt_buckets)
+
+    # Sparse queries (fewer than n points in the fine block) search the coarse block itself.
+    sparse = qb.filter(F.col("k").isNull() | (F.col("k") < n)).select("qid", F.col("qlon").alias("lon"),
+                                                                      F.col("qlat").alias("lat"))
+    coarse_pts = with_cells(pts.select("uid", "hash", "lon", "lat"), precision).withColumn(
         "salt", F.pmod(F.xxhash64("uid"), F.lit(salt_buckets)).cast("int"))
+    third = _join_points(query_blocks(sparse, precision, wrap_lat=wrap_lat), coarse_pts, salt_buckets)
+    return _top_n(second.unionByName(third), n)
+
+
+def knn_geohash(points: DataFrame, queries: DataFrame, n: int = 5, precision: int = 1, *,
+                salt_buckets: int = 16, wrap_lat: bool = True, fine_precision: int | str | None = "auto") -> DataFrame:
+    """Top ``n`` points by planar distance over each query's 3x3 geohash block at ``precision``.
+
+    Output: ``qid, rank, uid, hash, lon, lat, distance`` (rank 1 = nearest).
+    The result is exact for every strategy:
+
+    * ``fine_precision`` (``"auto"``: see :func:`_fine_level`): a 3x3 block at the fine level bounds the n-th distance, then
+      only fine cells whose rectangle lies within that bound are joined --
+      the work per query follows the local density, not the coarse cell
+      size.  Queries with fewer than ``n`` points nearby use the coarse
+      block.
+    * ``fine_precision=None``: join the coarse centre cell first, then only
+      the neighbour cells within its n-th distance.
+    """
+    pts = points.select("uid", "hash", "lon", "lat")
     out_cols = ["qid", "rank", "uid", "hash", "lon", "lat", "distance"]
-    if not prune:
-        return _top_n(_join_points(blocks, pts, salt_buckets), n).select(*out_cols)
+    if fine_precision == "auto":
+        fine_precision = _fine_level(pts, n, precision)
+    if fine_precision is not None and fine_precision > precision:
+        return _knn_multilevel(pts, queries, n, precision, fine_precision, salt_buckets, wrap_lat).select(*out_cols)
+    return _knn_coarse(pts, queries, n, precision, salt_buckets=salt_buckets, wrap_lat=wrap_lat).select(*out_cols)
+
 
+def _knn_coarse(points: DataFrame, queries: DataFrame, n: int, precision: int, *,
+                salt_buckets: int, wrap_lat: bool) -> DataFrame:
+    blocks = query_blocks(queries, precision, wrap_lat=wrap_lat)
+    pts = with_cells(points, precision).withColumn(
+        "salt", F.pmod(F.xxhash64("uid"), F.lit(salt_buckets)).cast("int"))
     centre = (F.col("dx") == 0) & (F.col("dy") == 0)
     # The centre-cell top n (at most n rows per query) feeds both the bound and
     # the final merge; a reliable checkpoint in the shared checkpoint folder
@@ -130,5 +233,4 @@ def knn_geohash(points: DataFrame, queries: DataFrame, n: int = 5, precision: in
                        | (cell_min_distance(F.col("qlon"), F.col("qlat"), F.col("cx"), F.col("cy"), precision)
                           <= F.col("dn")))
     second = _join_points(ring, pts, salt_buckets)
-    merged = first.drop("rank").unionByName(second)
-    return _top_n(merged, n).select(*out_cols)
+    return _top_n(first.drop("rank").unionByName(second), n)

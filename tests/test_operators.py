@@ -2,6 +2,8 @@
 
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -160,13 +162,14 @@ def test_single_column_and_key_empty_row(spark):
     assert got == [("", "b"), ("v", "a")]
 
 
-def test_knn_against_brute_force(spark):
+@pytest.mark.parametrize("fine", [None, 3, 4, "auto"])
+def test_knn_against_brute_force(spark, fine):
     pts = spark.range(3000).select(
         F.col("id").alias("uid"), (((F.col("id") * 7919) % 36000) / 100.0 - 180).alias("lon"),
         (((F.col("id") * 104729) % 18000) / 100.0 - 90).alias("lat")).withColumn("hash", F.col("uid").cast("string"))
     qs = spark.range(40).select(F.col("id").alias("qid"), (((F.col("id") * 3571) % 36000) / 100.0 - 180).alias("lon"),
                                 (((F.col("id") * 1013) % 18000) / 100.0 - 90).alias("lat"))
-    got = sorted((r.qid, r.rank, r.uid) for r in G.knn_geohash(pts, qs, n=4, precision=2).collect())
+    got = sorted((r.qid, r.rank, r.uid) for r in G.knn_geohash(pts, qs, n=4, precision=2, fine_precision=fine).collect())
     # brute force on the driver for a 3,000-point fixture
     import math
     P_ = [(r.uid, r.lon, r.lat) for r in pts.collect()]
