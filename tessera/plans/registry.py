@@ -691,15 +691,24 @@ def q_planar_distance(spark, sf):
     return cand.select("qid", "uid", "distance")
 
 
-@query("knn_geohash", _with(O.LOCATIONS, O.QUERY_POINTS, O.blocks_sql(1),
+KNN_SQL = (_with(O.LOCATIONS, O.QUERY_POINTS, O.blocks_sql(1),
                             f"lc AS ({O.cells_sql(1, 'locations', 'uid', 'uid, hash, lon, lat')})") +
        f"SELECT qid, rank, uid, hash, lon, lat, distance FROM (SELECT q.qid, l.uid, l.hash, l.lon, l.lat, "
        f"{DIST_SQL} AS distance, row_number() OVER (PARTITION BY q.qid ORDER BY {DIST_SQL}, l.uid) AS rank "
        f"FROM blocks q JOIN lc l ON q.cx = l.gx AND q.cy = l.gy) t WHERE rank <= 5")
+
+
+@query("knn_geohash", KNN_SQL)
 def q_knn_geohash(spark, sf):
     return G.knn_geohash(fx.locations(spark, sf), fx.query_points(spark, sf), n=5, precision=1)
 
 
+@query("knn_geohash_multilevel", KNN_SQL)
+def q_knn_geohash_multilevel(spark, sf):
+    """The same kNN through the multi-resolution search (fine level 2), as used on dense data."""
+    return G.knn_geohash(fx.locations(spark, sf), fx.query_points(spark, sf), n=5, precision=1, fine_precision=2)
+
+
 # ============================================================ J joins
 @query("join_decoded",
        f"SELECT {O.OKEY} AS pk, c_name, o_orderstatus AS status, o_totalprice AS totalprice FROM orders "
