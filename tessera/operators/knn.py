@@ -45,29 +45,30 @@ def query_blocks(queries: DataFrame, precision: int, *, wrap_lat: bool = True) -
     return q.withColumn("cell", hash_of_cells(F.col("cx"), F.col("cy"), precision))
 
 
-def cell_candidates(points: DataFrame, queries: DataFrame, precision: int, *, centre_only: bool = False,
-                    salt_buckets: int = 16, wrap_lat: bool = True) -> DataFrame:
-    """takeN without the limit: all points in the block (or centre cell) of each query.
+def cell_candidates(points: DataFrame, queries: DataFrame, precision: int, n: int, *,
+                    salt_buckets: int = 16) -> DataFrame:
+    """takeN: the ``n`` points of each query's own cell nearest to the query (bounded per query).
 
     ``points``: ``uid, hash, lon, lat``; ``queries``: ``qid, lon, lat``.
-    Output: ``qid, qlon, qlat, uid, hash, lon, lat, distance``.
+    Output: ``qid, rank, uid, hash, lon, lat, distance``.
     """
-    blocks = query_blocks(queries, precision, wrap_lat=wrap_lat)
-    if centre_only:
-        blocks = blocks.filter((F.col("dx") == 0) & (F.col("dy") == 0))
-    salts = F.sequence(F.lit(0), F.lit(salt_buckets - 1))
-    blocks = blocks.select("qid", "qlon", "qlat", "cx", "cy", F.explode(salts).alias("salt"))
+    blocks = query_blocks(queries, precision).filter((F.col("dx") == 0) & (F.col("dy") == 0))
     pts = with_cells(points.select("uid", "hash", "lon", "lat"), precision).withColumn(
         "salt", F.pmod(F.xxhash64("uid"), F.lit(salt_buckets)).cast("int"))
-    joined = blocks.join(
-        pts,
-        (blocks.cx == pts.cell_x) & (blocks.cy == pts.cell_y) & (blocks.salt == pts.salt),
-        "inner",
-    )
-    return joined.select(
-        "qid", "qlon", "qlat", "uid", "hash", "lon", "lat",
-        planar_distance(F.col("qlon"), F.col("qlat"), F.col("lon"), F.col("lat")).alias("distance"),
-    )
+    return _top_n(_join_points(blocks, pts, salt_buckets), n).select(
+        "qid", "rank", "uid", "hash", "lon", "lat", "distance")
+
+
+def distance_to_cell_centre(points: DataFrame, precision: int) -> DataFrame:
+    """Planar distance of every point to the centre of its geohash cell: ``uid, cell, distance``."""
+    lon_bits, lat_bits = bits_for(precision)
+    w = LON_RANGE[1] / (1 << lon_bits)
+    h = LAT_RANGE[1] / (1 << lat_bits)
+    c = with_cells(points, precision)
+    cx = F.lit(LON_RANGE[0]) + (F.col("cell_x").cast("double") + 0.5) * F.lit(w)
+    cy = F.lit(LAT_RANGE[0]) + (F.col("cell_y").cast("double") + 0.5) * F.lit(h)
+    return c.select("uid", hash_of_cells(F.col("cell_x"), F.col("cell_y"), precision).alias("cell"),
+                    planar_distance(cx, cy, F.col("lon"), F.col("lat")).alias("distance"))
 
 
 def _top_n(cand: DataFrame, n: int) -> DataFrame:

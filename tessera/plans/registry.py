@@ -677,18 +677,30 @@ def _centre_sql(p: int) -> str:
 
 
 @query("cell_candidates", _centre_sql(1) +
-       f"SELECT q.qid, l.uid, l.hash, l.lon, l.lat, {DIST_SQL} AS distance FROM qc q JOIN lc l "
-       f"ON q.gx = l.gx AND q.gy = l.gy")
+       f"SELECT qid, rank, uid, hash, lon, lat, distance FROM (SELECT q.qid, l.uid, l.hash, l.lon, l.lat, "
+       f"{DIST_SQL} AS distance, row_number() OVER (PARTITION BY q.qid ORDER BY {DIST_SQL}, l.uid) AS rank "
+       f"FROM qc q JOIN lc l ON q.gx = l.gx AND q.gy = l.gy) t WHERE rank <= 5")
 def q_cell_candidates(spark, sf):
-    cand = G.cell_candidates(_decoded_locations(spark, sf), fx.query_points(spark, sf), 1, centre_only=True)
-    return cand.select("qid", "uid", "hash", "lon", "lat", "distance")
+    """takeN over the location *log*: decoded cells of each query's own cell, nearest 5."""
+    return G.cell_candidates(_decoded_locations(spark, sf), fx.query_points(spark, sf), 1, 5)
+
+
+def _centre_dist_sql(p: int) -> str:
+    from tessera.functions.geohash import LAT_RANGE, LON_RANGE, bits_for
+
+    lon_bits, lat_bits = bits_for(p)
+    w = LON_RANGE[1] / (1 << lon_bits)
+    h = LAT_RANGE[1] / (1 << lat_bits)
+    cx = f"(CAST('{LON_RANGE[0]!r}' AS DOUBLE) + (CAST(gx AS DOUBLE) + CAST('0.5' AS DOUBLE)) * CAST('{w!r}' AS DOUBLE))"
+    cy = f"(CAST('{LAT_RANGE[0]!r}' AS DOUBLE) + (CAST(gy AS DOUBLE) + CAST('0.5' AS DOUBLE)) * CAST('{h!r}' AS DOUBLE))"
+    return (_with(O.LOCATIONS, f"lc AS ({O.cells_sql(p, 'locations', 'uid', 'uid, lon, lat')})") +
+            f"SELECT uid, {O.hash_sql('gx', 'gy', p)} AS cell, sqrt((lon - {cx}) * (lon - {cx}) + "
+            f"(lat - {cy}) * (lat - {cy})) AS distance FROM lc")
 
 
-@query("planar_distance", _centre_sql(2) +
-       f"SELECT q.qid, l.uid, {DIST_SQL} AS distance FROM qc q JOIN lc l ON q.gx = l.gx AND q.gy = l.gy")
+@query("planar_distance", _centre_dist_sql(2))
 def q_planar_distance(spark, sf):
-    cand = G.cell_candidates(fx.locations(spark, sf), fx.query_points(spark, sf), 2, centre_only=True)
-    return cand.select("qid", "uid", "distance")
+    return G.distance_to_cell_centre(fx.locations(spark, sf).select("uid", "lon", "lat"), 2)
 
 
 KNN_SQL = (_with(O.LOCATIONS, O.QUERY_POINTS, O.blocks_sql(1),
