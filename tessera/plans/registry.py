@@ -116,11 +116,9 @@ def q_scan_column_string(spark, sf):
 
 
 @query("scan_columns",
-       f"SELECT {O.OKEY} AS ROWKEY, o_orderstatus AS status, o_totalprice AS totalprice FROM orders "
-       f"WHERE {O.OKEY} >= '0000005000' AND {O.OKEY} < '0000010000'")
+       f"SELECT {O.OKEY} AS ROWKEY, o_orderstatus AS status, o_totalprice AS totalprice FROM orders")
 def q_scan_columns(spark, sf):
-    return S.scan_columns(fx.orders_log(spark, sf), "cf", [("status", "string"), ("totalprice", "double")],
-                          "0000005000", "0000010000")
+    return S.scan_columns(fx.orders_log(spark, sf), "cf", [("status", "string"), ("totalprice", "double")])
 
 
 def _row_summary(cells: DataFrame) -> DataFrame:
@@ -163,10 +161,9 @@ def q_scan_mapped_arrow(spark, sf):
         cells, row_summary, "rowkey string, n_cells bigint, longest string"))
 
 
-@query("scan_keys", f"SELECT {O.OKEY} AS rowkey FROM orders WHERE {O.ALIVE} "
-                    f"AND {O.OKEY} >= '0000001000' AND {O.OKEY} < '0000003000'")
+@query("scan_keys", f"SELECT {O.OKEY} AS rowkey FROM orders WHERE {O.ALIVE}")
 def q_scan_keys(spark, sf):
-    return S.scan_keys(orders_with_tombstones(spark, sf), "0000001000", "0000003000")
+    return S.scan_keys(orders_with_tombstones(spark, sf))
 
 
 @query("scan_count", f"SELECT count(*) AS n_rows FROM orders WHERE {O.ALIVE}")
@@ -178,10 +175,9 @@ FORMAT_LINE_SQL = (f"{O.CKEY} || ':' || CASE WHEN c_acctbal < 0 THEN '(flag,neg)
                    f"|| ')(segment,' || c_mktsegment || ')(counter,' || CAST(c_nationkey AS VARCHAR) || ')'")
 
 
-@query("scan_formatted", f"SELECT {O.CKEY} AS rowkey, {FORMAT_LINE_SQL} AS line FROM customer "
-                         f"WHERE {O.CKEY} >= '000100' AND {O.CKEY} < '000600'")
+@query("scan_formatted", f"SELECT {O.CKEY} AS rowkey, {FORMAT_LINE_SQL} AS line FROM customer")
 def q_scan_formatted(spark, sf):
-    return S.scan_mapped(fx.customer_log(spark, sf), P.format_rows, "000100", "000600")
+    return S.scan_mapped(fx.customer_log(spark, sf), P.format_rows)
 
 
 def _probe_keys(spark, sf) -> DataFrame:
@@ -310,9 +306,9 @@ def q_filter_column_regex(spark, sf):
 
 
 @query("filter_key_only", _with(O.ORDERS_CELLS) +
-       "SELECT rowkey, family, qualifier, ts, CAST(0 AS INTEGER) AS nbytes FROM orders_cells WHERE rowkey < '0000001000'")
+       "SELECT rowkey, family, qualifier, ts, CAST(0 AS INTEGER) AS nbytes FROM orders_cells")
 def q_filter_key_only(spark, sf):
-    cells = FL.key_only(FL.by_row_range(None, "0000001000")(latest_cells(fx.orders_log(spark, sf))))
+    cells = FL.key_only(latest_cells(fx.orders_log(spark, sf)))
     return cells.select("rowkey", "family", "qualifier", "ts", F.length("value").alias("nbytes"))
 
 
