@@ -46,3 +46,16 @@ def test_while_match_uses_scalar_subquery(stored_log):
 
     p = plan(FL.while_match(F.col("rowkey") != "0000000100")(latest_cells(stored_log)))
     assert "Subquery" in p and "CartesianProduct" not in p and "NestedLoop" not in p
+
+
+def test_wide_catalog_table_pushes_compound_filter(spark):
+    from tessera.sources import catalog as C
+
+    path = scratch_path(spark, "plan-wide")
+    C.write_wide(fx.ORDERS_CATALOG, fx.orders_wide(spark, SF), path, regions=5)
+    df = C.read_wide(fx.ORDERS_CATALOG, spark.read.parquet(path))
+    pk = F.col("pk")
+    q = df.filter(((pk >= "0000000100") & (pk < "0000000200")) & (F.col("status") == "O")).select("pk", "totalprice")
+    p = plan(q)
+    assert "GreaterThanOrEqual(pk,0000000100)" in p and "EqualTo(status,O)" in p
+    assert "ReadSchema: struct<pk:string,status:string,totalprice:double>" in p
