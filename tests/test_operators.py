@@ -214,3 +214,18 @@ def test_scans(spark):
     assert S.scan_column_string(log, "cf", "a").count() == 20
     typed = S.scan_column_typed(log, "cf", "zz", "string")
     assert typed.count() == 20 and typed.filter(F.col("value").isNotNull()).count() == 0
+
+
+def test_cf_map_keys_split_at_first_colon_and_reject_missing_family(spark):
+    import pytest as _pytest
+
+    ok = spark.createDataFrame([("k", {"cf:a:b": "v"})], "rowkey string, cells map<string,string>")
+    c = W.upsert_cf_map(ok, ts=1).first()
+    assert (c.family, c.qualifier) == ("cf", "a:b")
+    bad = spark.createDataFrame([("k", {"nofamily": "v"})], "rowkey string, cells map<string,string>")
+    with _pytest.raises(Exception, match="family:qualifier"):
+        W.upsert_cf_map(bad, ts=1).collect()
+    from tessera.model import column_specs, normalize_type
+    with _pytest.raises(ValueError):
+        normalize_type("Decimal")
+    assert [(s.family, s.qualifier) for s in column_specs([("cf:x:y", "String")])] == [("cf", "x:y")]
