@@ -673,7 +673,7 @@ def _centre_sql(p: int) -> str:
 
 
 @query("cell_candidates", _centre_sql(1) +
-       f"SELECT qid, rank, uid, hash, lon, lat, distance FROM (SELECT q.qid, l.uid, l.hash, l.lon, l.lat, "
+       f"SELECT qid, CAST(rank AS INTEGER) AS rank, uid, hash, lon, lat, distance FROM (SELECT q.qid, l.uid, l.hash, l.lon, l.lat, "
        f"{DIST_SQL} AS distance, row_number() OVER (PARTITION BY q.qid ORDER BY {DIST_SQL}, l.uid) AS rank "
        f"FROM qc q JOIN lc l ON q.gx = l.gx AND q.gy = l.gy) t WHERE rank <= 5")
 def q_cell_candidates(spark, sf):
@@ -701,7 +701,7 @@ def q_planar_distance(spark, sf):
 
 KNN_SQL = (_with(O.LOCATIONS, O.QUERY_POINTS, O.blocks_sql(1),
                             f"lc AS ({O.cells_sql(1, 'locations', 'uid', 'uid, hash, lon, lat')})") +
-       f"SELECT qid, rank, uid, hash, lon, lat, distance FROM (SELECT q.qid, l.uid, l.hash, l.lon, l.lat, "
+       f"SELECT qid, CAST(rank AS INTEGER) AS rank, uid, hash, lon, lat, distance FROM (SELECT q.qid, l.uid, l.hash, l.lon, l.lat, "
        f"{DIST_SQL} AS distance, row_number() OVER (PARTITION BY q.qid ORDER BY {DIST_SQL}, l.uid) AS rank "
        f"FROM blocks q JOIN lc l ON q.cx = l.gx AND q.cy = l.gy) t WHERE rank <= 5")
 

@@ -10,6 +10,8 @@ from tools.check_oracles import TABLES, rows_of
 
 SF = "/root/testdata/sf0.001"
 NAMES = sorted(entry.queries())
+SPARK_TO_DUCK = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
+                 "smallint": "SMALLINT", "float": "FLOAT", "boolean": "BOOLEAN"}
 
 
 @pytest.fixture(scope="module")
@@ -30,10 +32,12 @@ def test_every_query_has_an_oracle():
 def test_query_matches_oracle(spark, con, name):
     df = entry.queries()[name](spark, SF)
     got = rows_of(df.columns, [tuple(r) for r in df.collect()])
-    cur = con.execute(entry.oracle_sql()[name])
-    names = [d[0] for d in cur.description]
+    rel = con.sql(entry.oracle_sql()[name])
+    names = rel.columns
     assert sorted(names) == sorted(df.columns)
-    assert got == rows_of(names, cur.fetchall())
+    spark_types = {c: SPARK_TO_DUCK.get(t, t) for c, t in df.dtypes}
+    assert spark_types == {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    assert got == rows_of(names, rel.fetchall())
 
 
 def test_entry_smoke(spark):
