@@ -13,7 +13,12 @@ equi-joined with the points on ``(cell_x, cell_y, salt)``:
   ships at most ``n`` candidates per query.
 
 Results are exact within the 3x3 block (the reference's contract); ties in
-distance are broken by ``uid``.
+distance are broken by ``uid``.  Two search strategies reach that result
+(:func:`knn_geohash`): on small data the coarse centre cell is joined first
+and its n-th distance prunes the neighbour cells; on dense data a fine-level
+3x3 block bounds the distance and only fine cells within the bound are
+joined, so the work per query follows the local density.  Both prune only
+cells that provably hold no point within the bound.
 """
 
 from __future__ import annotations
