@@ -471,6 +471,15 @@ def q_generated_keys(spark, sf):
     return k.agg(F.count("*").alias("n"), F.count_distinct("rowkey").alias("n_distinct"))
 
 
+@query("generated_keys_ordered",
+       "SELECT event_id, strftime(ts, '%Y%m%d%H%M%S%g') || '_' || md5(concat_ws(chr(1), CAST(event_id AS VARCHAR), "
+       "CAST(user_id AS VARCHAR), event_type)) AS rowkey FROM events")
+def q_generated_keys_ordered(spark, sf):
+    """Reproducible time-ordered keys for key-less rows (events)."""
+    e = fx.table(spark, sf, "events")
+    return e.select("event_id", K.time_ordered_key("ts", "event_id", "user_id", "event_type").alias("rowkey"))
+
+
 # ============================================================ W writes
 @query("upsert_cf_map",
        f"SELECT {O.OKEY} AS ROWKEY, CASE WHEN o_orderkey % 13 = 0 THEN 'U' ELSE o_orderstatus END AS status, "
