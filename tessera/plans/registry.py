@@ -194,6 +194,14 @@ def q_bulk_get(spark, sf):
     return orders_view(S.bulk_get(fx.orders_log(spark, sf), _probe_keys(spark, sf)))
 
 
+@query("bulk_get_keep_missing", _with(O.ORDERS_CELLS) +
+       f"SELECT {CELL_COLS} FROM orders_cells WHERE ok % 97 = 0 UNION ALL "
+       f"SELECT lpad(CAST(o_orderkey + 1000000000 AS VARCHAR), 10, '0'), CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR), "
+       f"CAST(NULL AS BIGINT), CAST(NULL AS VARCHAR), CAST(NULL AS DOUBLE) FROM orders WHERE o_orderkey % 997 = 0")
+def q_bulk_get_keep_missing(spark, sf):
+    return orders_view(S.bulk_get(fx.orders_log(spark, sf), _probe_keys(spark, sf), keep_missing=True))
+
+
 @query("get_value",
        f"SELECT {O.OKEY} AS rowkey, o_orderstatus AS value FROM orders WHERE o_orderkey % 97 = 0 "
        f"UNION ALL SELECT lpad(CAST(o_orderkey + 1000000000 AS VARCHAR), 10, '0'), CAST(NULL AS VARCHAR) "
