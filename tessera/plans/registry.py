@@ -353,6 +353,13 @@ def q_filter_column_count(spark, sf):
     return customer_view(FL.column_count(2)(latest_cells(fx.customer_log(spark, sf))))
 
 
+@query("filter_column_count_stop", _with(O.CUSTOMER_CELLS) +
+       f"SELECT {CELL_COLS} FROM (SELECT *, row_number() OVER (PARTITION BY rowkey ORDER BY family, qualifier) AS rn "
+       f"FROM customer_cells) t WHERE rn <= 3 AND rowkey <= (SELECT min({O.CKEY}) FROM customer WHERE c_acctbal < 0)")
+def q_filter_column_count_stop(spark, sf):
+    return customer_view(FL.column_count(3, stop_scan=True)(latest_cells(fx.customer_log(spark, sf))))
+
+
 @query("filter_while_match", _with(O.CUSTOMER_CELLS) + f"SELECT {CELL_COLS} FROM customer_cells WHERE rowkey < '000700'")
 def q_filter_while_match(spark, sf):
     return customer_view(FL.while_match(F.col("rowkey") != "000700")(latest_cells(fx.customer_log(spark, sf))))
