@@ -411,6 +411,15 @@ def q_rows_to_map(spark, sf):
     return m.select("rowkey", P.render_map(F.col("cells")).alias("entries"))
 
 
+@query("rows_to_str_map",
+       f"SELECT {O.CKEY} AS rowkey, CASE WHEN c_acctbal < 0 THEN 'flag=neg;' ELSE '' END || 'name=' || c_name || "
+       f"';segment=' || c_mktsegment AS entries FROM customer")
+def q_rows_to_str_map(spark, sf):
+    live = latest_cells(fx.customer_log(spark, sf)).filter(F.col("family") == "cf")
+    m = P.rows_to_map(live, as_string=True)
+    return m.select("rowkey", P.render_map(F.col("cells"), value_render=lambda v: v).alias("entries"))
+
+
 @query("rows_to_cf_map", f"SELECT {O.CKEY} AS rowkey, {CUST_CF_MAP_SQL} AS entries FROM customer")
 def q_rows_to_cf_map(spark, sf):
     m = P.rows_to_cf_map(latest_cells(fx.customer_log(spark, sf)))
