@@ -5,7 +5,6 @@ import os
 import pytest
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tessera.functions.geohash import geohash
 from tessera.functions.keys import salted_key
