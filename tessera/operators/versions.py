@@ -19,6 +19,10 @@ Plan, chosen for skew and scale:
 3. *Row level*: one row per deleted row (max tombstone ts) joined by key.
    AQE turns it into a broadcast when the tombstone side is small at run
    time and splits skewed key partitions otherwise.
+
+Stages 1 and 3 are planned only when the log holds version or row
+tombstones (``"auto"``: a one-row probe on the ``op`` column), so a log of
+puts and column deletes resolves with a single partially aggregated shuffle.
 """
 
 from __future__ import annotations
