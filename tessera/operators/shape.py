@@ -115,7 +115,9 @@ def decode_columns(cells: DataFrame, columns, *, family: str | None = None, with
     shuffle on ``rowkey``); missing cells take the type's default value.
     Rows with none of the requested columns do not appear (no cells read).
     """
-    specs = [s for s in column_specs(columns, family) if not s.is_key]
+    all_specs = column_specs(columns, family)
+    with_key = with_key or any(s.is_key for s in all_specs)  # a ROWKEY entry asks for the key column
+    specs = [s for s in all_specs if not s.is_key]
     wanted = F.lit(False)
     for s in specs:
         wanted = wanted | ((F.col("family") == s.family) & (F.col("qualifier") == s.qualifier))

@@ -228,3 +228,14 @@ def test_cf_map_keys_split_at_first_colon_and_reject_missing_family(spark):
     with _pytest.raises(ValueError):
         normalize_type("Decimal")
     assert [(s.family, s.qualifier) for s in column_specs([("cf:x:y", "String")])] == [("cf", "x:y")]
+
+
+def test_rowkey_column_info_and_default_bounds(spark):
+    data = spark.createDataFrame([("a1", {"cf:q": "1"}), ("été", {"cf:q": "2"}), ("/x", {"cf:q": "3"}),
+                                  ("500", {"cf:q": "4"})], "rowkey string, cells map<string,string>")
+    log = W.upsert_cf_map(data, ts=1)
+    d = P.decode_columns(latest_cells(log), [("", "ROWKEY"), ("q", "String")], family="cf")
+    assert d.columns == ["ROWKEY", "q"] and d.count() == 4
+    # default bounds "0".."~~~~": keys sorting before "0" or after "~~~~" (non-ASCII) are not scanned
+    keys = sorted(r.rowkey for r in S.scan_column_string(log, "cf", "q").collect())
+    assert keys == ["500", "a1"]
