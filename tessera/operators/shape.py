@@ -136,6 +136,54 @@ def decode_columns(cells: DataFrame, columns, *, family: str | None = None, with
     return pivoted.select(*out)
 
 
+def decode_log(log: DataFrame, columns, *, family: str | None = None, with_key: bool = False,
+               defaults: bool = True, version_deletes: bool | str = "auto",
+               row_deletes: bool | str = "auto") -> DataFrame:
+    """Version resolution + decode of a *log*, with row tombstones applied after the pivot.
+
+    Cells are resolved without the row stage, pivoted to one row per key
+    (partial aggregation: a row with millions of cells leaves each task as one
+    row), and only then joined with the row tombstones -- a join of one row
+    per key on each side, so neither a wide row nor a hot key concentrates
+    work in one task.  Each column carries its cell's ts so that a row
+    tombstone hides exactly the columns written at or before it.
+    """
+    from tessera.model import DEL_ROW, LOG_COLUMNS
+    from tessera.operators.versions import has_op, latest_cells
+
+    entries = log.select(*LOG_COLUMNS)
+    if row_deletes == "auto":
+        row_deletes = has_op(entries, DEL_ROW)
+    cells = latest_cells(entries, version_deletes=version_deletes, row_deletes=False)
+    all_specs = column_specs(columns, family)
+    with_key = with_key or any(s.is_key for s in all_specs)
+    specs = [s for s in all_specs if not s.is_key]
+    match = [(F.col("family") == s.family) & (F.col("qualifier") == s.qualifier) for s in specs]
+    wanted = F.lit(False)
+    for m in match:
+        wanted = wanted | m
+    pivoted = cells.filter(wanted).groupBy("rowkey").agg(
+        *[F.max(F.when(m, F.struct("ts", "value"))).alias(f"__c{i}") for i, m in enumerate(match)])
+    if row_deletes:
+        marks = entries.filter(F.col("op") == DEL_ROW).groupBy("rowkey").agg(F.max("ts").alias("__tr"))
+        pivoted = pivoted.join(marks, "rowkey", "left")
+        live = [F.when(F.col("__tr").isNull() | (F.col(f"__c{i}.ts") > F.col("__tr")), F.col(f"__c{i}.value"))
+                for i in range(len(specs))]
+    else:
+        live = [F.col(f"__c{i}.value") for i in range(len(specs))]
+    staged = pivoted.select("rowkey", *[v.alias(f"__v{i}") for i, v in enumerate(live)])
+    if row_deletes:
+        any_live = F.lit(False)
+        for i in range(len(specs)):
+            any_live = any_live | F.col(f"__v{i}").isNotNull()
+        staged = staged.filter(any_live)
+    out = [F.col("rowkey").alias("ROWKEY")] if with_key else []
+    for i, s in enumerate(specs):
+        conv = decode_or_default(f"__v{i}", s.type) if defaults else decode(f"__v{i}", s.type)
+        out.append(conv.cast(SPARK_TYPES[s.type]).alias(s.name))
+    return staged.select(*out)
+
+
 def typed_view(cells: DataFrame, types: dict[str, str], extra: Sequence[str] = ("ts",)) -> DataFrame:
     """Comparable projection of cells: text values in ``s_val``, numbers in ``n_val`` (as double).
 

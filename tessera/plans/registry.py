@@ -262,7 +262,7 @@ def q_catalog_read(spark, sf):
        f"ELSE o_orderpriority END AS priority, CASE WHEN o_orderkey % 10 = 0 THEN NULL ELSE o_custkey END AS custkey, "
        f"CASE WHEN o_orderkey % 10 = 0 THEN NULL ELSE o_totalprice END AS totalprice FROM orders WHERE {O.ALIVE}")
 def q_catalog_read_log(spark, sf):
-    return C.read_log(fx.ORDERS_CATALOG, latest_cells(orders_with_tombstones(spark, sf)))
+    return C.read_log_table(fx.ORDERS_CATALOG, orders_with_tombstones(spark, sf))
 
 
 @query("sql_query",
@@ -445,14 +445,12 @@ DECODE_TYPED_SQL = (
 
 @query("decode_typed", "SELECT " + DECODE_TYPED_SQL)
 def q_decode_typed(spark, sf):
-    live = latest_cells(orders_with_tombstones(spark, sf))
-    return P.decode_columns(live, fx.ORDERS_COLUMNS, family="cf")
+    return P.decode_log(orders_with_tombstones(spark, sf), fx.ORDERS_COLUMNS, family="cf")
 
 
 @query("decode_typed_with_key", f"SELECT {O.OKEY} AS ROWKEY, " + DECODE_TYPED_SQL)
 def q_decode_typed_with_key(spark, sf):
-    live = latest_cells(orders_with_tombstones(spark, sf))
-    return P.decode_columns(live, fx.ORDERS_COLUMNS, family="cf", with_key=True)
+    return P.decode_log(orders_with_tombstones(spark, sf), fx.ORDERS_COLUMNS, family="cf", with_key=True)
 
 
 @query("encode_family", f"SELECT {DECODED_ORDERS_SQL} FROM orders")

@@ -33,6 +33,17 @@ def read_log(catalog: Catalog, cells: DataFrame) -> DataFrame:
     return decoded.select(*renamed).select(*[c.name for c in catalog.columns])
 
 
+def read_log_table(catalog: Catalog, log: DataFrame) -> DataFrame:
+    """Catalog decode straight from a mutation log (resolution and pivot in one plan, see ``decode_log``)."""
+    from tessera.operators.shape import decode_log
+
+    cols = [(f"{c.family}:{c.qualifier}", c.type) for c in catalog.value_columns]
+    decoded = decode_log(log, cols, with_key=True, defaults=False)
+    renamed = [F.col("ROWKEY").alias(catalog.key_name)] + [
+        F.col(f"`{c.family}:{c.qualifier}`").alias(c.name) for c in catalog.value_columns]
+    return decoded.select(*renamed).select(*[c.name for c in catalog.columns])
+
+
 def to_cells(catalog: Catalog, df: DataFrame, *, ts, seq=0) -> DataFrame:
     """Catalog write to the log: every non-null catalog column becomes a put."""
     return melt_to_cells(df, catalog.key_name, catalog.value_columns, ts=ts, seq=seq)

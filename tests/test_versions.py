@@ -73,3 +73,16 @@ def test_scan_time_column_filter_equals_filter_on_resolved_cells(spark):
     assert a == b == [("r5", "cf", "a", 1, "a1"), ("r5", "cf", "b", 1, "zz")]
     # r3's resurfaced version a = y1 is what the scan-time filter sees too
     assert live(S.scan_rows_where_column(lg, "cf", "a", F.col("value") == F.lit(b"y1"))) == [("r3", "cf", "a", 1, "y1")]
+
+
+def test_decode_log_equals_decode_of_resolved_cells(spark):
+    from tessera.operators import shape as P
+
+    extra = [("r6", "cf", "a", 1, 0, "put", "old"), ("r6", "cf", "b", 3, 0, "put", "new"),
+             ("r6", None, None, 2, 0, "del_row", None)]   # a hidden by the row delete, b survives
+    lg = log(spark, ROWS + extra)
+    cols = [("a", "string"), ("b", "string")]
+    want = sorted(tuple(r) for r in P.decode_columns(latest_cells(lg), cols, family="cf", with_key=True).collect())
+    got = sorted(tuple(r) for r in P.decode_log(lg, cols, family="cf", with_key=True).collect())
+    assert got == want
+    assert ("r6", "", "new") in got and ("r2", "x3", "") in got
