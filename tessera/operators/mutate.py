@@ -35,12 +35,17 @@ def append(batch: DataFrame, path: str) -> None:
     batch.select(*LOG_COLUMNS).write.mode("append").parquet(path)
 
 
-def apply_batch(log: DataFrame, *batches: DataFrame, **resolve) -> DataFrame:
-    """Live cells after applying ``batches`` to ``log`` (union -> latest_cells)."""
+def with_batches(log: DataFrame, *batches: DataFrame) -> DataFrame:
+    """The log as it reads after appending ``batches`` (a union; nothing is written)."""
     out = log.select(*LOG_COLUMNS)
     for b in batches:
         out = out.unionByName(b.select(*LOG_COLUMNS))
-    return latest_cells(out, **resolve)
+    return out
+
+
+def apply_batch(log: DataFrame, *batches: DataFrame, **resolve) -> DataFrame:
+    """Live cells after applying ``batches`` to ``log`` (union -> latest_cells)."""
+    return latest_cells(with_batches(log, *batches), **resolve)
 
 
 # ------------------------------------------------------------------- puts

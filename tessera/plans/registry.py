@@ -77,6 +77,10 @@ def decoded_orders(cells: DataFrame, extra=()) -> DataFrame:
     return P.decode_columns(cells, fx.ORDERS_COLUMNS + list(extra), family="cf", with_key=True)
 
 
+def decoded_orders_log(log: DataFrame, extra=()) -> DataFrame:
+    return P.decode_log(log, fx.ORDERS_COLUMNS + list(extra), family="cf", with_key=True)
+
+
 CELL_COLS = "rowkey, family, qualifier, ts, s_val, n_val"
 DECODED_ORDERS_SQL = (f"{O.OKEY} AS ROWKEY, o_orderstatus AS status, o_orderpriority AS priority, "
                       f"o_custkey AS custkey, o_totalprice AS totalprice")
@@ -512,8 +516,8 @@ def q_upsert_cf_map(spark, sf):
     batch = o.select(fx.order_key("o_orderkey").alias("rowkey"),
                      F.create_map(F.lit("cf:status"), F.lit("U"), F.lit("cf:note"),
                                   F.concat(F.lit("n"), F.col("o_orderstatus"))).alias("cells"))
-    live = W.apply_batch(fx.orders_log(spark, sf), W.upsert_cf_map(batch))
-    return decoded_orders(live, extra=[("note", "string")])
+    return decoded_orders_log(W.with_batches(fx.orders_log(spark, sf), W.upsert_cf_map(batch)),
+                              extra=[("note", "string")])
 
 
 def _user_cells(users: DataFrame) -> DataFrame:
@@ -544,8 +548,8 @@ def q_bulk_put(spark, sf):
         F.struct(F.lit("cf").alias("family"), F.lit("status").alias("qualifier"), F.lit("B").alias("value")),
         F.struct(F.lit("cf").alias("family"), F.lit("extra").alias("qualifier"),
                  F.lower("o_orderpriority").alias("value"))).alias("cells"))
-    live = W.apply_batch(fx.orders_log(spark, sf), W.bulk_put(batch))
-    return decoded_orders(live, extra=[("extra", "string")])
+    return decoded_orders_log(W.with_batches(fx.orders_log(spark, sf), W.bulk_put(batch)),
+                              extra=[("extra", "string")])
 
 
 @query("bulk_put_timestamp",
@@ -561,7 +565,7 @@ def q_bulk_put_timestamp(spark, sf):
                              F.lit(text).alias("value"))).alias("cells"))
     older = W.bulk_put_with_timestamp(batch(11, "OLD"), 0, seq=1)   # older than the table: must not win
     newer = W.bulk_put_with_timestamp(batch(17, "NEW"), 5, seq=2)
-    return decoded_orders(W.apply_batch(fx.orders_log(spark, sf), older, newer))
+    return decoded_orders_log(W.with_batches(fx.orders_log(spark, sf), older, newer))
 
 
 @query("catalog_write", CATALOG_SQL)
@@ -602,7 +606,7 @@ def q_bulk_load_staged(spark, sf):
 def q_delete_rows(spark, sf):
     keys = fx.table(spark, sf, "orders").filter(F.col("o_orderkey") % 10 == 0).select(
         fx.order_key("o_orderkey").alias("rowkey"))
-    return decoded_orders(W.apply_batch(fx.orders_log(spark, sf), W.delete_rows(keys, ts=2)))
+    return decoded_orders_log(W.with_batches(fx.orders_log(spark, sf), W.delete_rows(keys, ts=2)))
 
 
 @query("delete_columns",
@@ -611,7 +615,7 @@ def q_delete_rows(spark, sf):
 def q_delete_columns(spark, sf):
     data = fx.table(spark, sf, "orders").filter(F.col("o_orderkey") % 7 == 0).select(
         fx.order_key("o_orderkey").alias("rowkey"), F.array(F.lit("priority")).alias("columns"))
-    return decoded_orders(W.apply_batch(fx.orders_log(spark, sf), W.delete_columns(data, "cf", ts=2)))
+    return decoded_orders_log(W.with_batches(fx.orders_log(spark, sf), W.delete_columns(data, "cf", ts=2)))
 
 
 @query("delete_mapped",
@@ -625,7 +629,7 @@ def q_delete_mapped(spark, sf):
         return done.select("rowkey", F.lit("cf").alias("family"),
                            F.explode(F.array(F.lit("status"), F.lit("priority"))).alias("qualifier"))
     tomb = W.delete_mapped(fx.table(spark, sf, "orders"), mapper, ts=2)
-    return decoded_orders(W.apply_batch(fx.orders_log(spark, sf), tomb))
+    return decoded_orders_log(W.with_batches(fx.orders_log(spark, sf), tomb))
 
 
 @query("delete_latest_version", _with(O.EVENTS_VERSIONS) +
@@ -645,7 +649,7 @@ def q_delete_latest_version(spark, sf):
                        f"AND {O.OKEY} < '0000004000')")
 def q_delete_range(spark, sf):
     log = fx.orders_log(spark, sf)
-    return decoded_orders(W.apply_batch(log, W.delete_range(log, "0000002000", "0000004000", ts=2)))
+    return decoded_orders_log(W.with_batches(log, W.delete_range(log, "0000002000", "0000004000", ts=2)))
 
 
 @query("copy_table", _with(O.ORDERS_CELLS) +
