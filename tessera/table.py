@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tessera.model import LOG_COLUMNS, LOG_SCHEMA, Catalog
 from tessera.operators import mutate as W
-from tessera.operators.versions import latest_cells
+from tessera.operators.shape import decode_log
 from tessera.sources import catalog as C
 from tessera.sources import scan as S
 
@@ -42,7 +42,11 @@ class WideTable:
 
     def read(self) -> DataFrame:
         """readFromHBase(catalog): the typed view of the live cells."""
-        return C.read_log(self._catalog(), latest_cells(self.log()))
+        return C.read_log_table(self._catalog(), self.log())
+
+    def decode(self, columns, *, family: str | None = None, with_key: bool = False) -> DataFrame:
+        """getDF / getDFWithK: schema-on-read columns ``[(name, type)]`` with type defaults."""
+        return decode_log(self.log(), columns, family=family, with_key=with_key)
 
     # ----------------------------------------------------------- writes
     def apply(self, batch: DataFrame) -> None:

@@ -27,3 +27,10 @@ def test_table_round_trip(spark):
     assert t.get(spark.createDataFrame([("lily",), ("nobody",)], "rowkey string")).select("rowkey").distinct().count() == 1
     cells = t.cells("l", "m")
     assert cells.select("rowkey").distinct().count() == 2
+
+
+def test_table_schema_on_read(spark):
+    t = WideTable(spark, scratch_path(spark, "table2"))
+    t.put_columns(spark.createDataFrame([("lily", "female", 12)], "uid string, sex string, age int"), "uid", "cf", ts=1)
+    d = t.decode([("", "ROWKEY"), ("sex", "String"), ("age", "Int"), ("missing", "Long")], family="cf")
+    assert [tuple(r) for r in d.collect()] == [("lily", "female", 12, 0)]
