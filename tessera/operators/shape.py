@@ -137,7 +137,7 @@ def decode_columns(cells: DataFrame, columns, *, family: str | None = None, with
 
 
 def decode_log(log: DataFrame, columns, *, family: str | None = None, with_key: bool = False,
-               defaults: bool = True, version_deletes: bool | str = "auto",
+               defaults: bool = True, all_rows: bool = False, version_deletes: bool | str = "auto",
                row_deletes: bool | str = "auto") -> DataFrame:
     """Version resolution + decode of a *log*, with row tombstones applied after the pivot.
 
@@ -147,6 +147,10 @@ def decode_log(log: DataFrame, columns, *, family: str | None = None, with_key:
     per key on each side, so neither a wide row nor a hot key concentrates
     work in one task.  Each column carries its cell's ts so that a row
     tombstone hides exactly the columns written at or before it.
+
+    ``all_rows=True`` keeps every live row, also rows without any requested
+    column (their columns are NULL or the default): a row is live while its
+    newest live cell is newer than its row tombstone.
     """
     from tessera.model import DEL_ROW, LOG_COLUMNS
     from tessera.operators.versions import has_op, latest_cells
@@ -162,8 +166,10 @@ def decode_log(log: DataFrame, columns, *, family: str | None = None, with_key:
     wanted = F.lit(False)
     for m in match:
         wanted = wanted | m
-    pivoted = cells.filter(wanted).groupBy("rowkey").agg(
-        *[F.max(F.when(m, F.struct("ts", "value"))).alias(f"__c{i}") for i, m in enumerate(match)])
+    source = cells if all_rows else cells.filter(wanted)
+    row_ts = [F.max("ts").alias("__rowts")] if all_rows else []
+    pivoted = source.groupBy("rowkey").agg(
+        *[F.max(F.when(m, F.struct("ts", "value"))).alias(f"__c{i}") for i, m in enumerate(match)], *row_ts)
     if row_deletes:
         marks = entries.filter(F.col("op") == DEL_ROW).groupBy("rowkey").agg(F.max("ts").alias("__tr"))
         pivoted = pivoted.join(marks, "rowkey", "left")
@@ -171,8 +177,11 @@ def decode_log(log: DataFrame, columns, *, family: str | None = None, with_key:
                 for i in range(len(specs))]
     else:
         live = [F.col(f"__c{i}.value") for i in range(len(specs))]
-    staged = pivoted.select("rowkey", *[v.alias(f"__v{i}") for i, v in enumerate(live)])
-    if row_deletes:
+    staged = pivoted.select("rowkey", *[v.alias(f"__v{i}") for i, v in enumerate(live)],
+                            *(["__rowts", "__tr"] if all_rows and row_deletes else []))
+    if all_rows and row_deletes:
+        staged = staged.filter(F.col("__tr").isNull() | (F.col("__rowts") > F.col("__tr")))
+    elif row_deletes:
         any_live = F.lit(False)
         for i in range(len(specs)):
             any_live = any_live | F.col(f"__v{i}").isNotNull()

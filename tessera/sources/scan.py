@@ -45,11 +45,15 @@ def scan_column(log: DataFrame, family: str, qualifier: str, start: str = DEFAUL
 
 def scan_column_typed(log: DataFrame, family: str, qualifier: str, type_name: str, start: str | None = None,
                       stop: str | None = None, **resolve) -> DataFrame:
-    """getRDD[T] (single column, all rows): ``(rowkey, value)``; NULL for rows without the column."""
-    cells = raw_scan(log, start, stop, **resolve)
-    tested = (F.col("family") == family) & (F.col("qualifier") == qualifier)
-    per_row = cells.groupBy("rowkey").agg(F.max(F.when(tested, F.col("value"))).alias("v"))
-    return per_row.select("rowkey", decode("v", type_name).alias("value"))
+    """getRDD[T] (single column, all rows): ``(rowkey, value)``; NULL for rows without the column.
+
+    Pivot-first (``decode_log``): one row per key before the row tombstones are joined.
+    """
+    from tessera.operators.shape import decode_log
+
+    d = decode_log(log.filter(row_range(start, stop)), [(f"{family}:{qualifier}", type_name)], with_key=True,
+                   defaults=False, all_rows=True, **resolve)
+    return d.select(F.col("ROWKEY").alias("rowkey"), F.col(f"`{family}:{qualifier}`").alias("value"))
 
 
 def scan_column_string(log: DataFrame, family: str, qualifier: str, start: str = DEFAULT_START,

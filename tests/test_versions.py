@@ -86,3 +86,17 @@ def test_decode_log_equals_decode_of_resolved_cells(spark):
     got = sorted(tuple(r) for r in P.decode_log(lg, cols, family="cf", with_key=True).collect())
     assert got == want
     assert ("r6", "", "new") in got and ("r2", "x3", "") in got
+
+
+def test_scan_column_typed_keeps_live_rows_without_the_column(spark):
+    from tessera.sources import scan as S
+
+    extra = [("r6", "cf", "a", 1, 0, "put", "old"), ("r6", "cf", "b", 3, 0, "put", "new"),
+             ("r6", None, None, 2, 0, "del_row", None)]
+    lg = log(spark, ROWS + extra)
+    got = sorted(tuple(r) for r in S.scan_column_typed(lg, "cf", "b", "string").collect())
+    # same answer as resolving first and grouping the live cells by row
+    live_rows = latest_cells(lg).groupBy("rowkey").agg(
+        F.max(F.when(F.col("qualifier") == "b", F.decode("value", "UTF-8"))).alias("value"))
+    assert got == sorted(tuple(r) for r in live_rows.collect())
+    assert got == [("r1", None), ("r2", None), ("r3", None), ("r6", "new")]
