@@ -16,9 +16,9 @@ Plan, chosen for skew and scale:
    aggregation combines map-side, so a hot cell leaves each task as one row.
    Because tombstones hide everything at or below their ts, comparing only
    the newest put with the watermark is exact.
-3. *Row level*: one row per deleted row (max tombstone ts) joined by key.
-   AQE turns it into a broadcast when the tombstone side is small at run
-   time and splits skewed key partitions otherwise.
+3. *Row level*: one row per deleted row (max tombstone ts) joined by key,
+   salted by column so a wide hot row is joined by many tasks.  AQE turns
+   it into a broadcast when the tombstone side is small at run time.
 
 Stages 1 and 3 are planned only when the log holds version or row
 tombstones (``"auto"``: a one-row probe on the ``op`` column), so a log of
@@ -46,8 +46,11 @@ def has_op(log: DataFrame, op_name: str) -> bool:
     return not log.select("op").filter(F.col("op") == op_name).isEmpty()
 
 
+ROW_JOIN_SALTS = 16
+
+
 def latest_cells(log: DataFrame, *, version_deletes: bool | str = "auto",
-                 row_deletes: bool | str = "auto") -> DataFrame:
+                 row_deletes: bool | str = "auto", row_join_salts: int = ROW_JOIN_SALTS) -> DataFrame:
     """Live latest cells ``(rowkey, family, qualifier, ts, seq, value)``.
 
     ``version_deletes`` / ``row_deletes``: ``True`` plans the stage, ``False``
@@ -95,9 +98,17 @@ def latest_cells(log: DataFrame, *, version_deletes: bool | str = "auto",
     cells = cells.select(*CELL, "top.ts", "top.seq", "top.value")
 
     if row_deletes:
+        # The row watermark (one row per deleted key) is replicated over
+        # ``row_join_salts`` salts and the cells are salted by column, so a row
+        # with a third of all cells is joined by many tasks, and row-level
+        # aggregates downstream get a fresh, partially aggregated exchange.
         row_marks = entries.filter(op == DEL_ROW).groupBy("rowkey").agg(F.max("ts").alias("tr"))
+        salts = F.sequence(F.lit(0), F.lit(row_join_salts - 1))
+        row_marks = row_marks.select("rowkey", "tr", F.explode(salts).alias("__salt"))
+        salted = cells.withColumn(
+            "__salt", F.pmod(F.xxhash64("family", "qualifier"), F.lit(row_join_salts)).cast("int"))
         cells = (
-            cells.join(row_marks, "rowkey", "left")
+            salted.join(row_marks, ["rowkey", "__salt"], "left")
             .filter(F.col("tr").isNull() | (F.col("ts") > F.col("tr")))
             .select(*CELL_COLUMNS)
         )

@@ -51,3 +51,14 @@ def test_knn_single_hot_cell(spark):
     best = {r.qid: r for r in rows if r.rank == 1}
     # query 0 sits exactly on point (12.0, 10.2): uid = 20 * 1000 + 200
     assert best[0].uid == 20200 and best[0].distance == 0.0
+
+
+def test_hot_row_with_row_tombstones(spark):
+    from tessera.model import LOG_SCHEMA
+
+    tombs = spark.createDataFrame([("hot", None, None, 0, 0, "del_row", None),    # older than the hot row's puts
+                                   ("r0001", None, None, 5, 0, "del_row", None)], LOG_SCHEMA)
+    cells = latest_cells(hot_log(spark).unionByName(tombs))
+    assert cells.filter(F.col("rowkey") == "hot").count() == N
+    assert cells.filter(F.col("rowkey") == "r0001").count() == 0
+    assert FL.first_cell(cells).count() == 1000   # hot + 999 cold rows
