@@ -106,22 +106,25 @@ def cell_min_distance(qlon, qlat, cx, cy, precision: int):
     return F.sqrt(ddx * ddx + ddy * ddy)
 
 
-# Average points per coarse cell above which the multi-level search pays for its extra passes.
-COARSE_CELL_LIMIT = 50_000
+# Estimated centre-cell candidate rows (queries x points per coarse cell) above which the
+# multi-resolution search pays for its extra passes.
+COARSE_CANDIDATE_LIMIT = 200_000_000
 
 
-def _fine_level(points: DataFrame, n: int, precision: int) -> int:
-    """Search level for ``fine_precision="auto"`` from the measured point count (one count job).
+def _fine_level(points: DataFrame, queries: DataFrame, n: int, precision: int) -> int:
+    """Search level for ``fine_precision="auto"`` from measured sizes (two count jobs).
 
-    While a coarse cell holds few points on average, joining the coarse
-    block directly is cheapest.  Beyond ``COARSE_CELL_LIMIT`` the finest
+    The coarse plan joins every query with its whole centre cell: about
+    ``|Q| * |P| / 32^p`` candidate rows.  While that stays under
+    ``COARSE_CANDIDATE_LIMIT`` it is the cheapest plan; beyond it the finest
     level whose cells still hold about ``2n`` points is used, so the work per
     query follows the local density instead of the coarse cell size.
     """
     import math
 
     total = max(points.count(), 1)
-    if total / float(32 ** precision) <= COARSE_CELL_LIMIT:
+    per_cell = total / float(32 ** precision)
+    if per_cell * max(queries.count(), 1) <= COARSE_CANDIDATE_LIMIT:
         return precision
     level = int(math.floor(math.log2(max(total / (2.0 * n), 1.0)) / 5))
     return max(precision, min(level, 12))
@@ -216,7 +219,7 @@ def knn_geohash(points: DataFrame, queries: DataFrame, n: int = 5, precision: in
     pts = points.select("uid", "hash", "lon", "lat")
     out_cols = ["qid", "rank", "uid", "hash", "lon", "lat", "distance"]
     if fine_precision == "auto":
-        fine_precision = _fine_level(pts, n, precision)
+        fine_precision = _fine_level(pts, queries, n, precision)
     if fine_precision is not None and fine_precision > precision:
         return _knn_multilevel(pts, queries, n, precision, fine_precision, salt_buckets, wrap_lat).select(*out_cols)
     return _knn_coarse(pts, queries, n, precision, salt_buckets=salt_buckets, wrap_lat=wrap_lat).select(*out_cols)
