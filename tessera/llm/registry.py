@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import decontaminate, quality, sharding, toxicity
+from tessera.llm import decontaminate, packing, quality, secret_scan, sharding, toxicity, warc
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,9 @@ def queries() -> dict[str, QueryFn]:
     found = (
         sharding.op1_feistel_sharding,
         toxicity.op3_subword_toxicity,
+        packing.op5_grouping_genetic_packing,
+        warc.op7_legacy_archive_converter,
+        secret_scan.op8_random_forest_secrets,
         quality.op9_boosted_quality,
         decontaminate.op10_blockmax_wand_decontamination,
     )
