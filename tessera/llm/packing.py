@@ -118,7 +118,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> Da
         for s in texts:
             yield pd.Series([cut(encoder.encode(t), capacity) for t in s])
 
-    rows = docs.select("doc_id", F.explode(pieces_of("text")).alias("p")).select("doc_id", "p.*")
+    rows = docs.select("doc_id", F.explode(pieces_of.asNondeterministic()("text")).alias("p")).select("doc_id", "p.*")
     return rows.withColumn("uid", F.monotonically_increasing_id())
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import decontaminate, packing, quality, secret_scan, sharding, toxicity, warc
+from tessera.llm import decontaminate, exact_topk, ngram_jaccard, packing, quality, secret_scan, sharding, toxicity, warc
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -14,8 +14,10 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 def queries() -> dict[str, QueryFn]:
     found = (
         sharding.op1_feistel_sharding,
+        ngram_jaccard.op2_adaptive_jaccard,
         toxicity.op3_subword_toxicity,
         packing.op5_grouping_genetic_packing,
+        exact_topk.op6_maxscore_topk,
         warc.op7_legacy_archive_converter,
         secret_scan.op8_random_forest_secrets,
         quality.op9_boosted_quality,
@@ -25,4 +27,4 @@ def queries() -> dict[str, QueryFn]:
 
 
 def oracles() -> dict[str, str]:
-    return {}
+    return {"op6_maxscore_topk": exact_topk.ORACLE}
