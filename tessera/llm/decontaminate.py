@@ -200,7 +200,7 @@ def _matched(docs: DataFrame, group: pd.DataFrame, least: float, question: float
         for s in texts:
             yield pd.Series([matcher.leaks(t) for t in s])
 
-    return docs.withColumn("_leaks", leaks_of("text"))
+    return docs.withColumn("_leaks", leaks_of.asNondeterministic()("text"))  # so that Spark runs it once
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, least: float = THRESHOLD, question: float = QUESTION_OVERLAP,
