@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import decontaminate, exact_topk, ngram_jaccard, packing, quality, secret_scan, sharding, toxicity, warc
+from tessera.llm import decontaminate, exact_topk, ngram_jaccard, packing, quality, secret_scan, sharding, suffix_dedup, toxicity, warc
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,7 @@ def queries() -> dict[str, QueryFn]:
         sharding.op1_feistel_sharding,
         ngram_jaccard.op2_adaptive_jaccard,
         toxicity.op3_subword_toxicity,
+        suffix_dedup.op4_suffix_dedup,
         packing.op5_grouping_genetic_packing,
         exact_topk.op6_maxscore_topk,
         warc.op7_legacy_archive_converter,
