@@ -50,5 +50,6 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, m
          .where(~held_out(F.col("doc_id")))
          .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows))
     t = docs.select("doc_id", "text").where(F.octet_length(F.coalesce("text", F.lit(""))) <= max_bytes)
-    one = t.join(y, "doc_id").groupBy("doc_id", "y").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))
+    # y has at most ``rows`` rows of two numbers, so it is broadcast and no text but the sample moves
+    one = t.join(F.broadcast(y), "doc_id").groupBy("doc_id", "y").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))
     return one.select("doc_id", "text", "y").orderBy("doc_id")
