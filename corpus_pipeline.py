@@ -9,6 +9,7 @@ so there is no oracle; tests hold the stages against brute force.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tessera.llm import decontaminate, ngram_jaccard, packing, secret_scan, toxicity
 from tessera.llm.common import stored
@@ -31,8 +32,10 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document stays; secrets in its text are masked."""
-    return secret_scan.redact(docs, secret_scan.fit_on(docs.select("doc_id", "text")))
+    """Every document stays; secrets in its text are masked, and ``n_chars`` follows the text."""
+    masked = secret_scan.redact(docs, secret_scan.fit_on(docs.select("doc_id", "text")))
+    changed = F.contains("text", F.lit(secret_scan.MASK))
+    return masked.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
