@@ -179,20 +179,20 @@ class Matcher:
                 for i, v in sorted(best.items())]
 
 
-def _groups(benchmark: DataFrame, group_bytes: int) -> Iterator[pd.DataFrame]:
+def _groups(benchmark: DataFrame, group_bytes: int) -> Iterator[list]:
     """The items in groups of about ``group_bytes`` of text, one at a time on the driver."""
     items = benchmark.select("item_id", "text")
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = int(total // group_bytes) + 1
     for k in range(n):
         part = items if n == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k)
-        group = part.orderBy("item_id", "text").toPandas()
-        if len(group):
+        group = part.orderBy("item_id", "text").collect()
+        if group:
             yield group
 
 
-def _matched(docs: DataFrame, group: pd.DataFrame, least: float, question: float, answer: float) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(Index(group["text"].tolist(), least))
+def _matched(docs: DataFrame, group: list, least: float, question: float, answer: float) -> DataFrame:
+    shared = docs.sparkSession.sparkContext.broadcast(Index([r["text"] for r in group], least))
 
     @F.pandas_udf(LEAK)
     def leaks_of(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -200,7 +200,7 @@ def _matched(docs: DataFrame, group: pd.DataFrame, least: float, question: float
         for s in texts:
             yield pd.Series([matcher.leaks(t) for t in s])
 
-    return docs.withColumn("_leaks", leaks_of.asNondeterministic()("text"))  # so that Spark runs it once
+    return docs.withColumn("__leaks", leaks_of.asNondeterministic()("text"))  # so that Spark runs it once
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, least: float = THRESHOLD, question: float = QUESTION_OVERLAP,
@@ -208,9 +208,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, least: float = THRESHOLD, quest
     """One row per document and item that leaks into it, with the best passage's score and overlaps."""
     out = docs.sparkSession.createDataFrame([], "doc_id long, item_id long, score double, question_overlap double, answer_overlap double, passages int")
     for group in _groups(benchmark, group_bytes):
-        found = _matched(docs.select("doc_id", "text"), group, least, question, answer).select("doc_id", F.explode("_leaks").alias("x"))
+        found = _matched(docs.select("doc_id", "text"), group, least, question, answer).select("doc_id", F.explode("__leaks").alias("x"))
         names = docs.sparkSession.createDataFrame(  # bounded like the group
-            [(k, None if pd.isna(i) else int(i)) for k, i in enumerate(group["item_id"])], "item int, item_id long")
+            [(k, r["item_id"]) for k, r in enumerate(group)], "item int, item_id long")
         rows = found.join(F.broadcast(names), F.col("x.item") == F.col("item"))
         out = out.unionByName(rows.select("doc_id", "item_id", "x.score", "x.question_overlap", "x.answer_overlap", "x.passages"))
     return out
@@ -221,7 +221,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, **limits) -> DataFrame:
     columns = docs.columns
     for group in _groups(benchmark, limits.pop("group_bytes", GROUP_BYTES)):
         docs = _matched(docs, group, limits.get("least", THRESHOLD), limits.get("question", QUESTION_OVERLAP),
-                        limits.get("answer", ANSWER_OVERLAP)).where(F.size("_leaks") == 0).select(*columns)
+                        limits.get("answer", ANSWER_OVERLAP)).where(F.size("__leaks") == 0).select(*columns)
     return docs
 
 

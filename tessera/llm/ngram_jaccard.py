@@ -20,6 +20,7 @@ repeat an id are documents each; other columns are ignored by ``near_duplicates`
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -37,26 +38,61 @@ CELLS = 1 << 20
 CHUNKS = 16
 MOST_SHARED = 8
 FILTER_BITS = 1 << 25
-CACHE_WORDS = 1_000_000
-_words: dict[bytes, int] = {}
+SEGMENT = 1 << 20
+BASE = 0x5851F42D4C957F2D
+_SPACE = re.compile(rb"[ \t-\r]")
+_bytes = np.arange(256)
+_INSIDE = ~((_bytes == 32) | ((_bytes >= 9) & (_bytes <= 13)))
+_VALUE = mix64(np.where((_bytes >= 65) & (_bytes <= 90), _bytes + 32, _bytes).astype(np.uint64))  # by lower case
+_ZERO = np.zeros(1, dtype=np.uint64)
+_POWERS = [np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.uint64)]
+
+
+def word_hashes(raw: bytes) -> np.ndarray:
+    """A 64-bit hash of each word, in order: polynomial sums over the bytes between white space, all words at once.
+
+    Long texts go by segments cut at white space.
+    """
+    out, start = [], 0
+    while start < len(raw):
+        stop = len(raw)
+        if stop - start > SEGMENT:
+            cut = _SPACE.search(raw, start + SEGMENT)
+            stop = cut.start() if cut else stop
+        seg = np.frombuffer(raw, dtype=np.uint8, count=stop - start, offset=start)
+        power, back = _powers(len(seg))
+        inside = np.concatenate(([False], _INSIDE[seg], [False]))
+        edge = np.flatnonzero(inside[1:] != inside[:-1])
+        first, end = edge[::2], edge[1::2]
+        total = np.concatenate((_ZERO, np.cumsum(_VALUE[seg] * power[:len(seg)])))
+        out.append(mix64((total[end] - total[first]) * back[first] + (end - first).astype(np.uint64) * GOLDEN))
+        start = stop
+    return np.concatenate(out) if out else np.empty(0, dtype=np.uint64)
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd number and of its inverse modulo 2**64, at least ``n`` of each."""
+    if len(_POWERS[0]) < n:
+        m = max(n, 1 << 16)
+        for i, base in enumerate((BASE, pow(BASE, -1, 1 << 64))):
+            _POWERS[i] = np.concatenate((np.ones(1, dtype=np.uint64), np.cumprod(np.full(m, base, dtype=np.uint64))))
+    return _POWERS[0], _POWERS[1]
 
 
 def shingles(text: str | None, k: int) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the text's ``k``-word shingles (ASCII lower case, ASCII white space)."""
-    words = (text or "").encode("utf-8", "replace").lower().split()
-    if not words:
-        return np.empty(0, dtype=np.uint64)
-    if len(_words) > CACHE_WORDS:
-        _words.clear()
-    for w in set(words).difference(_words):
-        _words[w] = xxhash.xxh3_64_intdigest(w)
-    ids = np.fromiter(map(_words.__getitem__, words), dtype=np.uint64, count=len(words))
+    ids = word_hashes((text or "").encode("utf-8", "replace"))
+    if not len(ids):
+        return ids
     k = min(k, len(ids))
     n = len(ids) - k + 1
-    h = mix64(ids[:n] + np.uint64(k))
-    for j in range(1, k):
-        h = mix64(h * GOLDEN + ids[j:n + j])
-    return np.unique(h)
+    odd = mix64(np.arange(1, k + 1, dtype=np.uint64)) | np.uint64(1)
+    h = np.full(n, k, dtype=np.uint64)
+    for j in range(k):
+        h += ids[j:n + j] * odd[j]
+    h = mix64(h)
+    h.sort()
+    return h[np.concatenate(([True], h[1:] != h[:-1]))]
 
 
 def node_of(found: np.ndarray) -> int:
@@ -230,8 +266,11 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
                                                         F.struct(F.col("top").alias("node2"), F.col("top_n").alias("n2")))).alias("o")).select("node", "n", "o.*")
     linear = linear.where(similar_size).select(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")).distinct()
 
-    wanted = met.select("node").distinct().join(first, "node").select(F.col("first_id").alias("doc_id"))
-    sets = stored(_sets(docs, wanted, k), "sets").dropDuplicates(["node"])
+    # A set with a partner of similar size in a list has its neighbour in size, on that side, of similar size too: so
+    # the nodes of these pairs are all that any candidate pair can hold, and only their sets are fetched.
+    linear = stored(linear, "linear")
+    nodes = linear.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    sets = stored(_sets(docs, nodes.join(first, "node").select(F.col("first_id").alias("doc_id")), k), "sets")
     links = stored(_verified(linear, sets, percent), "links")
     merged = components(links)
 

@@ -8,8 +8,8 @@ high precision: assignments to a secret's name and vendor formats are secrets; c
 words beside them, are not.  The forest does not see the rules, only the features, and scores every finding.
 
 Defined cases: null and empty texts hold no finding; a null ``doc_id`` is kept; repeated rows give repeated
-findings; a sample with one label only, or none, accepts every finding; other columns pass through ``redact`` and are
-ignored by ``scan``; columns starting with ``_`` are refused with ``ValueError``.
+findings; a sample with one label only, or none, accepts every finding; other columns, whatever their names, pass
+through ``redact`` and are ignored by ``scan``.
 """
 
 from __future__ import annotations
@@ -46,8 +46,6 @@ def findings(docs: DataFrame) -> DataFrame:
 
     The texts between the candidates come from splitting by the same pattern, so starts are sums of lengths.
     """
-    if clash := [c for c in docs.columns if c.startswith("_")]:
-        raise ValueError(f"columns clash with those added: {clash}")
     hit = docs.select("doc_id", "text").withColumn("_m", F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0))).where(F.size("_m") > 0)
     # what the rows need of the text between the candidates: its length and the ends that touch a candidate
     around = F.transform(F.split("text", PATTERN, -1), lambda s: F.struct(
@@ -143,15 +141,13 @@ def redact(docs: DataFrame, forest: RandomForestClassificationModel | None, thre
     Secrets come back as starts, one row a document, and the text between them is kept.  Only texts with a secret
     travel: they are marked by a key of the text itself, which is also what rows with a null or repeated id need.
     """
-    if clash := [c for c in docs.columns if c.startswith("_")]:
-        raise ValueError(f"columns clash with those added: {clash}")
     rows = findings(docs.select(F.sha2("text", 256).alias("doc_id"), "text"))
     spans = (score(rows, forest).where(F.col("score") >= threshold)
-             .groupBy(F.col("doc_id").alias("_k")).agg(F.collect_set(F.struct("start", F.length("value").alias("n"))).alias("_spans")))
-    marked = docs.withColumn("_k", F.when(F.col("text").rlike(PATTERN), F.sha2("text", 256)))
-    clear = marked.where(F.col("_k").isNull()).select(*docs.columns)
-    keyed = marked.where(F.col("_k").isNotNull()).join(spans, "_k", "left")
-    cuts = F.sort_array(F.coalesce("_spans", F.expr("cast(array() as array<struct<start:int,n:int>>)")))
+             .groupBy(F.col("doc_id").alias("__k")).agg(F.collect_set(F.struct("start", F.length("value").alias("n"))).alias("__spans")))
+    marked = docs.withColumn("__k", F.when(F.col("text").rlike(PATTERN), F.sha2("text", 256)))
+    clear = marked.where(F.col("__k").isNull()).select(*docs.columns)
+    keyed = marked.where(F.col("__k").isNotNull()).join(spans, "__k", "left")
+    cuts = F.sort_array(F.coalesce("__spans", F.expr("cast(array() as array<struct<start:int,n:int>>)")))
     masked = F.aggregate(cuts, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), lambda s, x: F.struct(
         (x["start"] + x["n"]).alias("at"),
         F.concat(s["out"], F.substring(F.col("text"), s["at"] + 1, x["start"] - s["at"]), F.lit(MASK)).alias("out")),

@@ -6,8 +6,8 @@ Anyone who knows ``n``, the seed and a row's number can compute its place withou
 row.  Only DataFrame and SQL functions are used.
 
 Defined cases: a null key value sorts first and takes part like any other; rows equal in the whole key
-are interchangeable and get different places; an empty table gives an empty result; columns of the
-input called like a column added here are refused with ``ValueError``.
+are interchangeable and get different places; an empty table gives an empty result; a column of the
+input called like one added here is read as a key if named so, and replaced in the result.
 """
 
 from __future__ import annotations
@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 ROUNDS = 6  # even, so that the halves end in their own ranges
 PRIME = 2147483647
 BUCKETS = 4096
-ADDED = ("row_number", "n_rows", "position", "shard", "slot")
 
 
 def round_keys(seed: int) -> list[tuple[int, int]]:
@@ -71,14 +70,15 @@ def row_numbers(df: DataFrame, key: list[str], buckets: int = BUCKETS) -> DataFr
     One exchange by bucket serves the numbering and the bucket counts; the counts (``buckets`` rows, whatever
     the data) are summed and broadcast.  The bucket hashes the whole key, so no single value is hot.
     """
-    bucketed = df.withColumn("_bucket", F.pmod(F.xxhash64(*key), F.lit(buckets))).repartition("_bucket")
-    counts = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_c"))
-    before = W.orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
-    counts = counts.select(F.col("_bucket").alias("_b"), F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_start"),
-                           F.sum("_c").over(W.partitionBy()).alias("n_rows"))
-    ranked = bucketed.withColumn("_r", F.row_number().over(W.partitionBy("_bucket").orderBy(*key)))
-    return (ranked.join(F.broadcast(counts), F.col("_bucket") == F.col("_b"))
-            .withColumn("row_number", F.col("_start") + F.col("_r") - 1).drop("_bucket", "_b", "_start", "_r"))
+    bucketed = df.withColumn("__bucket", F.pmod(F.xxhash64(*key), F.lit(buckets))).repartition("__bucket")
+    counts = bucketed.groupBy(F.col("__bucket").alias("__of")).agg(F.count(F.lit(1)).alias("__count"))
+    before = W.orderBy("__of").rowsBetween(W.unboundedPreceding, -1)
+    counts = counts.select("__of", F.coalesce(F.sum("__count").over(before), F.lit(0)).alias("__start"),
+                           F.sum("__count").over(W.partitionBy()).alias("__rows"))
+    ranked = bucketed.withColumn("__rank", F.row_number().over(W.partitionBy("__bucket").orderBy(*key)))
+    return (ranked.join(F.broadcast(counts), F.col("__bucket") == F.col("__of"))
+            .withColumn("row_number", F.col("__start") + F.col("__rank") - 1).withColumn("n_rows", F.col("__rows"))
+            .drop("__bucket", "__of", "__start", "__rank", "__rows"))
 
 
 def shard(df: DataFrame, n_shards: int, key: list[str], seed: int = 42) -> DataFrame:
@@ -86,9 +86,6 @@ def shard(df: DataFrame, n_shards: int, key: list[str], seed: int = 42) -> DataF
 
     Shard sizes differ by one row at most.  ``key`` must tell apart rows that are not interchangeable.
     """
-    clash = [c for c in df.columns if c.lower() in ADDED or c.startswith("_")]
-    if clash:
-        raise ValueError(f"columns clash with those added: {clash}")
     return (row_numbers(df, key)
             .withColumn("position", F.expr(permuted_sql("row_number", "n_rows", seed)))
             .withColumn("shard", (F.col("position") % n_shards).cast("int"))

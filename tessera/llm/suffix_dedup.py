@@ -402,14 +402,14 @@ def _split_by(docs: DataFrame, found: DataFrame, bits: int = 1 << 25) -> DataFra
 def clean(docs: DataFrame) -> DataFrame:
     """``docs`` with the removed bytes cut from their texts (bytes of a character cut in two are dropped with it)."""
     found = spans(docs)
-    keyed = docs.withColumn("_id", F.col("doc_id").cast("long")).withColumn("_th", F.xxhash64("text"))
+    keyed = docs.withColumn("__id", F.col("doc_id").cast("long")).withColumn("__th", F.xxhash64("text"))
 
     @F.pandas_udf("string")
     def cut(text, removed):
         return pd.Series([None if t is None else kept(_raw(t), [(s["start"], s["stop"]) for s in (r if r is not None else ())]).decode("utf-8", "ignore") for t, r in zip(text, removed)])
 
-    return (keyed.join(found.select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), "spans"), ["_id", "_th"], "left")
-            .withColumn("text", cut("text", "spans")).select(*docs.columns))
+    return (keyed.join(found.select(F.col("doc_id").alias("__id"), F.col("th").alias("__th"), F.col("spans").alias("__spans")), ["__id", "__th"], "left")
+            .withColumn("text", cut("text", "__spans")).select(*docs.columns))
 
 
 def op4_suffix_dedup(spark, sf_dir: str) -> DataFrame:

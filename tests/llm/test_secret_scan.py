@@ -1,0 +1,54 @@
+import re
+
+from pyspark.sql import functions as F
+
+from tessera.llm import secret_scan as S
+
+
+def made():
+    rows = []
+    for i in range(40):
+        key = "%040x" % (i * 7919 ** 9 + 12345678901234567890 ** 2 % (i + 3))
+        rows.append((i, f'some words here token = "{key[-40:]}" and more words'))
+        rows.append((100 + i, f"card {4000000000000000 + i * 104729} was used by them, order {i}"))
+        rows.append((200 + i, "AKIA" + f"{i:02d}QWERTYUIOPAS"[:16] + "ZX" + " is here" if i % 2 else f"see /usr/local/share{i}/page1 for it"))
+    return rows
+
+
+def test_findings_and_starts(spark, docs, corpus):
+    rows = made() + corpus[:10]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r["doc_id"], r["start"], r["value"]) for r in S.findings(df).collect())
+    want = sorted((i, m.start(), m[0]) for i, t in rows for m in re.finditer(S.PATTERN, t or ""))
+    assert got == want and want
+
+
+def test_forest_removes_false_positives(spark):
+    df = spark.createDataFrame(made(), "doc_id long, text string")
+    forest = S.fit_on(df)
+    got = S.scan(df, forest).collect()
+    secret = {r["doc_id"] for r in got if r["secret"]}
+    assert set(range(40)) <= secret and not secret & set(range(100, 140))
+
+
+def test_redaction_keeps_the_rest(spark):
+    rows = made() + [(None, None), (900, ""), (901, made()[0][1]), (901, made()[0][1])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").select("*", F.lit(1).alias("start"), F.lit(2).alias("_k"))
+    out = S.redact(df, S.fit_on(df))
+    assert out.columns == df.columns
+    got = sorted((str(r["doc_id"]), r["text"]) for r in out.collect() if r["text"] is not None)
+    want = sorted((str(i), re.sub(r'[0-9a-f]{40}|AKIA[0-9A-Z]{16,}', S.MASK, t)) for i, t in rows if t is not None)
+    assert got == want and out.count() == len(rows)
+
+
+def test_without_labels_every_finding_counts(spark, no_docs):
+    df = spark.createDataFrame([(1, "x abcdefghij0123456789 y")], "doc_id long, text string")
+    assert S.fit_on(df) is None
+    assert [r["secret"] for r in S.scan(df, None).collect()] == [1]
+    assert S.scan(no_docs, None).count() == 0 and S.redact(no_docs, None).count() == 0
+
+
+def test_plan_is_native(spark):
+    df = spark.createDataFrame(made(), "doc_id long, text string")
+    plan = S.scan(df, S.fit_on(df))._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
