@@ -39,7 +39,7 @@ LEVELS = 3
 SETTLED = 0.995
 CACHE_WORDS = 1_000_000
 SEGMENT = 1 << 22
-SEPARATOR = "|"
+CLOSING = b"!\"#$%&()*+,-./:;=?@[\\]^_`{}~"  # ASCII punctuation but quote marks and what special tokens hold
 PIECES = "array<struct<piece:int,start:long,length:long,ids_crc32:long>>"
 _SPACE = re.compile(rb"[ \t-\r]")
 _encoders: dict[str, "Encoder"] = {}
@@ -48,8 +48,9 @@ _encoders: dict[str, "Encoder"] = {}
 class Encoder:
     """Ids of whole texts, word by word: the tokenizer never joins across white space, so words can be remembered.
 
-    New words are encoded many at a time, with a separator whose one id tells them apart; words that hold the
-    separator (and so the special tokens) are encoded alone.
+    New words are encoded many at a time.  A word of letters alone is one piece for the tokenizer, whose last id closes a
+    word, so the ids of a line of such words can be told apart.  A word that ends in ASCII punctuation after a letter
+    or digit is that word and the punctuation.  Other words, and lines whose ids do not add up, are encoded alone.
     """
 
     def __init__(self, path: str):
@@ -57,33 +58,52 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.known = Tokenizer.from_file(path), {}
-        ids = self._ids([SEPARATOR])[0]
-        self.separator = ids[0] if len(ids) == 1 else None
+        vocab = self.tokenizer.get_vocab()
+        self.closes = np.zeros(max(vocab.values()) + 1, dtype=bool)
+        self.closes[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _meet(self, words: list[bytes]) -> None:
-        mark = SEPARATOR.encode()
-        joined = sorted(w for w in words if mark not in w) if self.separator is not None else []
-        alone = [w for w in words if mark in w] if self.separator is not None else words
-        groups = [joined[i:i + 256] for i in range(0, len(joined), 256)]
-        texts = [f" {SEPARATOR} ".join(w.decode("utf-8", "replace") for w in g) for g in groups]
-        for g, ids in zip(groups, self._ids(texts) if texts else []):
+    def _alone(self, words: list[bytes]) -> None:
+        for w, ids in zip(words, self._ids([w.decode("utf-8", "replace") for w in words])):
+            self.known[w] = np.array(ids, dtype="<u4").tobytes()
+
+    def _meet(self, words: set[bytes]) -> None:
+        known, parts = self.known, []
+        simple, alone = set(), set()
+        for w in words:
+            base = w.rstrip(CLOSING)
+            if base is not w and len(base) < len(w) and base and base[-1:].isalnum():
+                parts.append((w, base, w[len(base):]))
+                todo = (base, w[len(base):])
+            else:
+                todo = (w,)
+            for x in todo:
+                if x not in known:
+                    (simple if x.isalpha() or x.decode("utf-8", "replace").isalpha() else alone).add(x)
+        lines = sorted(simple)
+        groups = [lines[i:i + 256] for i in range(0, len(lines), 256)]
+        for g, ids in zip(groups, self._ids([b" ".join(g).decode("utf-8", "replace") for g in groups]) if groups else []):
             ids = np.array(ids, dtype="<u4")
-            cuts = np.flatnonzero(ids == self.separator)
-            if len(cuts) != len(g) - 1:
-                alone = alone + g
+            ends = np.flatnonzero(self.closes[ids]) + 1
+            if len(ends) != len(g) or ends[-1] != len(ids):
+                alone.update(g)
                 continue
-            for w, a, b in zip(g, [0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)]):
-                self.known[w] = ids[a:b].tobytes()
+            raw, at = ids.tobytes(), 0
+            for w, end in zip(g, (4 * ends).tolist()):
+                known[w] = raw[at:end]
+                at = end
         if alone:
-            for w, ids in zip(alone, self._ids([w.decode("utf-8", "replace") for w in alone])):
-                self.known[w] = np.array(ids, dtype="<u4").tobytes()
+            self._alone(sorted(alone))
+        for w, base, tail in parts:
+            known[w] = known[base] + known[tail]
 
     def encode(self, text: str | None) -> bytes:
         """The ids as little-endian unsigned 32-bit numbers, the end id included."""
         raw, out, start = (text or "").encode("utf-8", "replace"), [], 0
+        if raw.isascii() and b"<|" not in raw:
+            raw = raw.lower()  # as the tokenizer would; fewer words to remember
         while start < len(raw):
             stop = len(raw)
             if stop - start > SEGMENT:
@@ -94,7 +114,7 @@ class Encoder:
                 self.known.clear()
             new = set(words).difference(self.known)
             if new:
-                self._meet(list(new))
+                self._meet(new)
             out.append(b"".join(map(self.known.__getitem__, words)))
             start = stop
         out.append(np.array([END_ID], dtype="<u4").tobytes())
