@@ -5,10 +5,11 @@ distinct sets and then by hash, so common ones come last.  A set of ``n`` that m
 shingles with any partner keeps its first ``n - T + l`` shingles: two similar sets then share at least ``l`` of them.
 Each document chooses its own ``l``: a longer prefix has more postings to meet but needs more of them shared, and the
 ``l`` of least estimated cost (postings met, plus verifications, which ``l`` divides) is taken.  A pair is a candidate
-when it shares at least the smaller ``l`` of the two.
+when it shares at least the smaller ``l`` of the two; of the prefixes only the part counts that the sizes of both
+leave room for, which keeps sets with many shingles of their own from meeting over common ones.
 
 Groups need connectivity, not all pairs.  Equal sets are one node from the start.  Then every posting list links
-its neighbours in size and its smallest set, a number of candidates linear in the postings; those verified exactly are
+its neighbours in size and the set that reaches it first, a number of candidates linear in the postings; those verified exactly are
 merged, and only sets that are still in different components go through the multi-match count.  Any link between
 different texts joins its two ends, directly or through others, so the components are those of the whole graph.
 
@@ -172,7 +173,7 @@ def _sketch(rows: DataFrame) -> np.ndarray:
 
 
 def _postings(docs: DataFrame, sketch: np.ndarray, k: int, percent: int) -> DataFrame:
-    """``token, node, n, l`` of every prefix, once a task for equal sets."""
+    """``token, node, n, l, pos`` (place in the prefix, from 1) of every prefix, once a task for equal sets."""
     shared = docs.sparkSession.sparkContext.broadcast(sketch)
     noise = float(sketch.mean())
 
@@ -194,10 +195,11 @@ def _postings(docs: DataFrame, sketch: np.ndarray, k: int, percent: int) -> Data
                 each = list(map(len, tokens))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(tokens).view(np.int64)), pa.array(np.repeat(np.array(nodes, dtype=np.int64), each)),
-                     pa.array(np.repeat(np.array(sizes, dtype=np.int32), each)), pa.array(np.repeat(np.array(ls, dtype=np.int32), each))],
-                    names=["token", "node", "n", "l"])
+                     pa.array(np.repeat(np.array(sizes, dtype=np.int32), each)), pa.array(np.repeat(np.array(ls, dtype=np.int32), each)),
+                     pa.array(np.concatenate([np.arange(1, m + 1, dtype=np.int32) for m in each]))],
+                    names=["token", "node", "n", "l", "pos"])
 
-    return docs.select("text").mapInArrow(run, "token long, node long, n int, l int")
+    return docs.select("text").mapInArrow(run, "token long, node long, n int, l int, pos int")
 
 
 def _filter(hashes: DataFrame) -> np.ndarray:
@@ -256,34 +258,37 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     by_token = W.partitionBy("token")
     postings = _postings(docs, sketch, k, percent).repartition("token")
     met = postings.withColumn("lo", F.min("node").over(by_token)).withColumn("hi", F.max("node").over(by_token))
-    met = stored(met.where("lo <> hi").select("token", "node", "n", "l"), "met")
+    met = stored(met.where("lo <> hi").select("token", "node", "n", "l", "pos"), "met")
 
-    similar_size = f"100 * least(n, n2) >= {percent} * greatest(n, n2) and node <> node2"
+    # Two similar sets share ``need`` shingles or more, so of the first n - need + l of each they share l or more.
+    need = f"(({percent} * (n + n2) + {99 + percent}) div {100 + percent})"
+    within = (f"100 * least(n, n2) >= {percent} * greatest(n, n2) and node <> node2 "
+              f"and pos <= n - {need} + least(l, l2) and pos2 <= n2 - {need} + least(l, l2)")
+    mine = ("node", "n", "l", "pos")
     in_size = by_token.orderBy("n", "node")
-    near = met.select("node", "n", F.lag("node").over(in_size).alias("prev"), F.lag("n").over(in_size).alias("prev_n"),
-                      F.first("node").over(in_size).alias("top"), F.first("n").over(in_size).alias("top_n"))
-    linear = near.select("node", "n", F.explode(F.array(F.struct(F.col("prev").alias("node2"), F.col("prev_n").alias("n2")),
-                                                        F.struct(F.col("top").alias("node2"), F.col("top_n").alias("n2")))).alias("o")).select("node", "n", "o.*")
-    linear = linear.where(similar_size).select(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")).distinct()
-
-    # A set with a partner of similar size in a list has its neighbour in size, on that side, of similar size too: so
-    # the nodes of these pairs are all that any candidate pair can hold, and only their sets are fetched.
-    linear = stored(linear, "linear")
-    nodes = linear.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    sets = stored(_sets(docs, nodes.join(first, "node").select(F.col("first_id").alias("doc_id")), k), "sets")
-    links = stored(_verified(linear, sets, percent), "links")
+    before = F.struct(*[F.lag(c).over(in_size).alias(c + "2") for c in mine])
+    first_in = F.min(F.struct("pos", "n", "node", "l")).over(by_token)
+    top = F.struct(*[first_in[c].alias(c + "2") for c in mine])  # the set of the list with the fewest rarer shingles
+    near = met.select(*mine, F.array(before, top).alias("o")).select(*mine, F.inline("o"))
+    linear = stored(near.where(within).select(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")).distinct(), "linear")
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        sets = stored(_sets(docs, nodes.join(first, "node").select(F.col("first_id").alias("doc_id")), k), "sets")
+        return stored(_verified(pairs, sets, percent), "links")
+
+    links = verified(linear)
     merged = components(links)
 
     # what still lies in different components: count the shared prefix shingles of each pair
     labelled = met.join(merged, "node", "left").withColumn("c", F.coalesce("component", "node")).drop("component")
     parts = labelled.groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("token")
     apart = stored(labelled.join(parts, "token", "left_semi").dropDuplicates(["token", "node"]), "apart")
-    other = apart.select("token", *[F.col(c).alias(c + "2") for c in ("node", "n", "l", "c")])
-    pairs = (apart.join(other, "token").where("node < node2 and c <> c2").where(similar_size)
+    other = apart.select("token", *[F.col(c).alias(c + "2") for c in (*mine, "c")])
+    pairs = (apart.join(other, "token").where("node < node2 and c <> c2").where(within)
              .groupBy(F.col("node").alias("a"), F.col("node2").alias("b")).agg(F.count(F.lit(1)).alias("shared"), F.first(F.least("l", "l2")).alias("l"))
              .where("shared >= l").select("a", "b"))
-    more = _verified(pairs, sets, percent)
-    final = components(links.unionByName(stored(more, "links")))
+    final = components(links.unionByName(verified(stored(pairs, "pairs"))))
 
     # the component's id is its smallest document
     named = final.join(first, "node")
