@@ -37,7 +37,7 @@ GENERATIONS = 3
 EPOCHS = 2
 LEVELS = 3
 SETTLED = 0.995
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 2_000_000
 SEGMENT = 1 << 22
 CLOSING = b"!\"#$%&()*+,-./:;=?@[\\]^_`{}~"  # ASCII punctuation but quote marks and what special tokens hold
 PIECES = "array<struct<piece:int,start:long,length:long,ids_crc32:long>>"
@@ -82,7 +82,7 @@ class Encoder:
             for x in todo:
                 if x not in known:
                     (simple if x.isalpha() or x.decode("utf-8", "replace").isalpha() else alone).add(x)
-        lines = sorted(simple)
+        lines = list(simple)
         groups = [lines[i:i + 256] for i in range(0, len(lines), 256)]
         for g, ids in zip(groups, self._ids([b" ".join(g).decode("utf-8", "replace") for g in groups]) if groups else []):
             ids = np.array(ids, dtype="<u4")
@@ -102,8 +102,10 @@ class Encoder:
     def encode(self, text: str | None) -> bytes:
         """The ids as little-endian unsigned 32-bit numbers, the end id included."""
         raw, out, start = (text or "").encode("utf-8", "replace"), [], 0
-        if raw.isascii() and b"<|" not in raw:
-            raw = raw.lower()  # as the tokenizer would; fewer words to remember
+        if b"<|" not in raw and b"\xcc" not in raw and b"\xcd" not in raw:
+            # as the tokenizer would, with fewer words to remember; not before a combining mark (which starts with one
+            # of these bytes), because the tokenizer composes letter and mark first
+            raw = raw.lower()
         while start < len(raw):
             stop = len(raw)
             if stop - start > SEGMENT:
