@@ -6,19 +6,21 @@ suffixes at every byte would move the corpus many times over, so suffixes are sa
 equal strings have their anchors at the same place.  Only suffixes at anchors enter the order.
 
 1. Each task lists the tokens at its anchors; those met in two documents or more are marked in a bitmap of a fixed
-   number of bits (others may be marked by chance; none is missed).
-2. Suffixes at marked anchors, with the bytes before them that a string through the anchor can hold, are pre-aggregated
-   in each task: equal contexts become one row with their least document and a list of members that stays behind.
-3. The rows are range-partitioned by leading tokens (Spark samples the splitters; equal tokens share a range); whole
-   leading tokens of a range are sorted locally by multikey quicksort, on eight bytes at a time, once for each place of
-   the anchor in the string, and runs of equal strings take their least document.  Ranges hold whole leading tokens, and a
-   context comes once a task, so no string crosses a boundary and none is hot.
-4. The least documents go back to the members by the row's own number; documents get their removed spans, and only
-   texts that may have some meet them in a join.
-
-Documents equal to an earlier one are settled by a digest of the text.  Defined cases: a null text is empty; texts under
-``LENGTH`` bytes lose nothing; a null ``doc_id`` is smaller than none and loses nothing; rows of one id never
-match each other; other columns are ignored by ``spans`` and ``report`` and pass through ``clean``.
+   number of bits (others may be marked by chance; none is missed).  Tokens met in very many batches are marked as hot
+   in a second one, and a sample of the suffixes' leading bytes gives the splitters.
+2. Suffixes at marked anchors, with the bytes that a string through the anchor can hold, are pre-aggregated in each
+   batch of a task: equal contexts become one row with their least document and a list of members.  Rows of hot tokens
+   go to ``SALTS`` places, each with a share of the members, so no passage gathers all its members in one task.
+3. The rows are range-partitioned by leading bytes between the splitters; whole leading tokens of a range are sorted
+   locally by multikey quicksort, on eight bytes at a time, once for each place of the anchor in the string, and runs
+   of equal strings take their least document.  A range holds all contexts of its tokens, so no string crosses a
+   boundary between ranges.
+4. Members with a larger id than the least of their string get its bytes as removed; documents gather their spans, and
+   only texts that may have some (by a bitmap) meet them in a join.
+
+Defined cases: a null text is empty; texts under ``LENGTH`` bytes lose nothing; a null ``doc_id`` is smaller than none
+and loses nothing; rows of one id never match each other; other columns are ignored by ``spans`` and ``report``
+and pass through ``clean``.
 """
 
 from __future__ import annotations
@@ -40,6 +42,10 @@ FILTER_BITS = 1 << 27
 TASK_ROWS = 1_000_000
 BATCH_BYTES = 16_000_000
 SEGMENT = 1 << 22
+SAMPLED = 1024  # one suffix in so many is sampled for the splitters
+SPLIT_SAMPLE = 1_000_000
+HOT_BATCHES = 1000  # a token of so many batches is hot
+SALTS = 16
 _TABLE = mix64(np.arange(256, dtype=np.uint64))
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                                0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3)]
@@ -85,11 +91,17 @@ def _raw(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "replace")
 
 
+def _leads(raw: bytes, places: np.ndarray) -> np.ndarray:
+    """The first 16 bytes at each place as two signed numbers in byte order."""
+    at = places[:, None] + np.arange(16)
+    return (np.frombuffer(raw, dtype=np.uint8)[at].copy().view(">u8").astype(np.uint64) ^ np.uint64(1 << 63)).view(np.int64)
+
+
 def _repeated_tokens(docs: DataFrame, buckets: int) -> DataFrame:
-    """``bits`` (array of places in the bitmap) of the tokens that two documents or more hold."""
+    """``kind, bits``: bitmap places of the tokens that two documents hold (0) and many batches hold (1); sampled leading bytes (2)."""
 
     def local(batches):
-        held, size = [], 0
+        held, picked, size = [], [], 0
 
         def flush():
             every = np.sort(np.concatenate(held))
@@ -98,35 +110,44 @@ def _repeated_tokens(docs: DataFrame, buckets: int) -> DataFrame:
             twice = np.diff(np.concatenate((np.flatnonzero(one), [len(every)]))) > 1
             cuts = np.searchsorted((tokens >> np.uint64(32)).astype(np.int64) * buckets >> 32, np.arange(buckets + 1))
             rows = [(b, tokens[x:y].tobytes(), np.packbits(twice[x:y]).tobytes()) for b, (x, y) in enumerate(zip(cuts[:-1], cuts[1:])) if y > x]
+            rows.append((-1, np.concatenate(picked).tobytes(), b""))
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.binary(), pa.binary()))], names=["bucket", "tokens", "twice"])
 
         for batch in batches:
             for t in batch.column(0).to_pylist():
-                found = np.unique(anchors(_raw(t))[1])
-                if len(found):
+                raw = _raw(t)
+                place, token, _, _ = anchors(raw)
+                if len(place):
+                    pick = np.flatnonzero(token % np.uint64(SAMPLED) == 0)
+                    picked.append(_leads(raw, place[pick])[:, 0])
+                    found = np.unique(token)
                     held.append(found)
                     size += len(found)
                 if size > TASK_ROWS * 4:
                     yield flush()
-                    held, size = [], 0
+                    held, picked, size = [], [], 0
         if held:
             yield flush()
 
     def merge(frame):
+        if frame["bucket"].iloc[0] < 0:
+            return pd.DataFrame({"kind": [2], "bits": [b"".join(frame["tokens"])]})
         tokens = [np.frombuffer(t, dtype=np.uint64) for t in frame["tokens"]]
         flags = [np.unpackbits(np.frombuffer(f, dtype=np.uint8))[:len(t)] for f, t in zip(frame["twice"], tokens)]
         every, flag = np.concatenate(tokens), np.concatenate(flags).astype(bool)
         order = np.argsort(every, kind="stable")
         every, flag = every[order], flag[order]
-        again = np.concatenate((every[1:] == every[:-1], [False]))
-        hit = np.unique((every[again | flag] % np.uint64(FILTER_BITS)).astype(np.int32))
-        return frame.iloc[:1].assign(bits=[hit.tobytes()])[["bucket", "bits"]]
+        first = np.flatnonzero(np.concatenate(([True], every[1:] != every[:-1])))
+        count = np.diff(np.concatenate((first, [len(every)])))
+        shared = (count > 1) | np.logical_or.reduceat(flag, first)
+        place = (every[first] % np.uint64(FILTER_BITS)).astype(np.int32)
+        return pd.DataFrame({"kind": [0, 1], "bits": [np.unique(place[shared]).tobytes(), np.unique(place[count >= HOT_BATCHES]).tobytes()]})
 
-    return docs.select("text").mapInArrow(local, "bucket int, tokens binary, twice binary").groupBy("bucket").applyInPandas(merge, "bucket int, bits binary")
+    return docs.select("text").mapInArrow(local, "bucket int, tokens binary, twice binary").groupBy("bucket").applyInPandas(merge, "kind int, bits binary")
 
 
 def _bitmap(marked: DataFrame) -> np.ndarray:
-    """The marks of all buckets as one bitmap of ``FILTER_BITS`` bits, whatever the corpus: word by word in Spark, then one array."""
+    """The marks as one bitmap of ``FILTER_BITS`` bits, whatever the corpus: block by block in Spark, then one array."""
 
     def words(batches):
         for batch in batches:
@@ -152,33 +173,45 @@ def _bitmap(marked: DataFrame) -> np.ndarray:
     return out.reshape(-1)
 
 
+def _splitters(marked: DataFrame, ranges: int) -> np.ndarray:
+    """``ranges - 1`` leading numbers that part the sampled suffixes evenly; from at most ``SPLIT_SAMPLE`` of them."""
+    per = F.expr(f"substring(bits, 1, {8 * SPLIT_SAMPLE})")
+    sample = np.sort(np.concatenate([np.empty(0, dtype=np.int64)] + [np.frombuffer(r[0], dtype=np.int64) for r in marked.where("kind = 2").select(per).collect()]))
+    return np.unique(sample[np.arange(1, ranges) * len(sample) // ranges]) if len(sample) else sample
+
+
 # ------------------------------------------------------------------ 2: contexts of marked anchors
-def _contexts(docs: DataFrame, bitmap: np.ndarray) -> DataFrame:
-    """``lead, context, lo, hi, least, members``: one row for equal contexts of a task's batch.
+def _contexts(docs: DataFrame, bitmap: np.ndarray, hot: np.ndarray, splitters: np.ndarray) -> DataFrame:
+    """``part, lead, lead2, context, lo, hi, least, members``: one row for equal contexts of a task's batch.
 
-    A context is the ``REACH`` bytes before an anchor and ``LENGTH`` from it, zero-filled beyond the text; ``lo..hi`` are
-    the distances from string start to anchor that all its members use; members are (doc_id, th, place) as bytes.
+    ``lo..hi`` are the distances from string start to anchor that all members use; a context is the ``hi`` bytes before
+    the anchor and ``LENGTH - lo`` from it; members are (doc_id, th, place) as bytes; ``part`` is the range (and, for a
+    hot token, the salt).
     """
-    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
-    width = REACH + LENGTH
+    shared = docs.sparkSession.sparkContext.broadcast((bitmap, hot, splitters))
 
     def run(batches):
-        bits = shared.value
+        bits, hot_bits, limits = shared.value
         held: dict[tuple, list] = {}
         size = 0
 
         def flush():
-            rows = list(held.items())
-            members = [np.array(v, dtype=np.int64) for _, v in rows]
-            return pa.RecordBatch.from_arrays(
-                [pa.array([k[0][REACH:REACH + GRAM] for k, _ in rows], pa.binary()), pa.array([k[0] for k, _ in rows], pa.binary()),
-                 pa.array([k[1] for k, _ in rows], pa.int32()), pa.array([k[2] for k, _ in rows], pa.int32()),
-                 pa.array([int(m[:, 0].min()) for m in members], pa.int64()), pa.array([m.tobytes() for m in members], pa.binary())],
-                names=["lead", "context", "lo", "hi", "least", "members"])
+            keys, members = list(held), [np.array(v[1:], dtype=np.int64) for v in held.values()]
+            start = np.frombuffer(b"".join(k[0][k[2]:k[2] + 16] for k in keys), dtype=">u8").astype(np.uint64).reshape(-1, 2)
+            lead = (start ^ np.uint64(1 << 63)).view(np.int64)
+            part = np.searchsorted(limits, lead[:, 0], side="right") * SALTS
+            rows = []
+            for i, (k, m, v) in enumerate(zip(keys, members, held.values())):
+                least = int(m[:, 0].min())
+                for salt in range(SALTS if v[0] else 1):
+                    own = m[salt::SALTS] if v[0] else m
+                    rows.append((int(part[i]) + salt, int(lead[i, 0]), int(lead[i, 1]), k[0], k[1], k[2], least, own.tobytes()))
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.int64(), pa.binary())
+            names = ["part", "lead", "lead2", "context", "lo", "hi", "least", "members"]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
 
         for batch in batches:
-            ids, hashes = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for doc_id, th, text in zip(ids, hashes, batch.column(2).to_pylist()):
+            for doc_id, th, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 if doc_id is None:
                     continue
                 raw = _raw(text)
@@ -187,13 +220,13 @@ def _contexts(docs: DataFrame, bitmap: np.ndarray) -> DataFrame:
                 hit = np.flatnonzero((bits[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1)
                 if not len(hit):
                     continue
-                padded = b"\0" * REACH + raw + b"\0" * LENGTH
-                for p, a, b in zip(place[hit].tolist(), first[hit].tolist(), last[hit].tolist()):
-                    key = (padded[p:p + width], p - b, p - a)
+                hot_here = ((hot_bits[bit[hit] >> 3] >> (bit[hit] & 7).astype(np.uint8)) & 1).tolist()
+                for p, a, b, h in zip(place[hit].tolist(), first[hit].tolist(), last[hit].tolist(), hot_here):
+                    key = (raw[a:b + LENGTH], p - b, p - a)
                     got = held.get(key)
                     if got is None:
-                        held[key] = [(doc_id, th, p)]
-                        size += width + 60
+                        held[key] = [h, (doc_id, th, p)]
+                        size += LENGTH + 80
                     else:
                         got.append((doc_id, th, p))
                     size += 24
@@ -203,9 +236,8 @@ def _contexts(docs: DataFrame, bitmap: np.ndarray) -> DataFrame:
         if held:
             yield flush()
 
-    rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("th"), "text").mapInArrow(
-        run, "lead binary, context binary, lo int, hi int, least long, members binary")
-    return rows.withColumn("row", F.monotonically_increasing_id())
+    return docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("th"), "text").mapInArrow(
+        run, "part long, lead long, lead2 long, context binary, lo int, hi int, least long, members binary")
 
 
 # ------------------------------------------------------------------ 3: one range of the suffix order
@@ -253,16 +285,39 @@ def least_documents(contexts: np.ndarray, lo: np.ndarray, hi: np.ndarray, least:
     return out
 
 
-def _verdicts(rows: DataFrame, parts: int) -> DataFrame:
-    """``row, least``: for each context row with a string of a smaller document elsewhere, the least document by distance (bytes of longs)."""
+def _laid_out(context: pa.Array, hi: np.ndarray) -> np.ndarray:
+    """Contexts as rows of REACH + LENGTH bytes with their anchors in one column, zero-filled."""
+    n, width = len(context), REACH + LENGTH
+    raw = b"".join(context.to_pylist())
+    size = np.diff(np.frombuffer(context.buffers()[1], dtype=np.int32)[context.offset:context.offset + n + 1]).astype(np.int64)
+    begin = np.cumsum(size) - size
+    out = np.zeros(n * width, dtype=np.uint8)
+    out[np.repeat(np.arange(n) * width + REACH - hi - begin, size) + np.arange(len(raw))] = np.frombuffer(raw, dtype=np.uint8)
+    return out.reshape(n, width)
+
+
+def _removed(rows: DataFrame, parts: int) -> DataFrame:
+    """``doc_id, th, start, stop`` of removed bytes, merged within a member."""
 
     def settle(table: pa.Table) -> pa.RecordBatch:
         table = table.combine_chunks()
-        ids, lo, hi, n = (table.column(c).to_numpy() for c in ("least", "lo", "hi", "n"))
-        context = np.frombuffer(b"".join(table.column("context").to_pylist()), dtype=np.uint8).reshape(len(ids), REACH + LENGTH)
-        low = least_documents(context, lo, hi, ids)
-        tell = np.flatnonzero((low < ids[:, None]).any(axis=1) | (n > 1))
-        return pa.RecordBatch.from_arrays([pa.array(table.column("row").to_numpy()[tell]), pa.array([low[i].tobytes() for i in tell], pa.binary())], names=["row", "low"])
+        ids, lo, hi = (table.column(c).to_numpy() for c in ("least", "lo", "hi"))
+        low = least_documents(_laid_out(table.column("context").chunk(0), hi.astype(np.int64)), lo, hi, ids)
+        members = [np.frombuffer(m, dtype=np.int64).reshape(-1, 3) for m in table.column("members").to_pylist()]
+        many = np.array([len(m) for m in members]) > 1
+        docs, ths, starts, stops = [], [], [], []
+        for i in np.flatnonzero((low < ids[:, None]).any(axis=1) | many).tolist():
+            m, r = members[i], np.arange(lo[i], hi[i] + 1)
+            hit = low[i, r][None, :] < m[:, 0][:, None]
+            for j in np.flatnonzero(hit.any(axis=1)).tolist():
+                b = m[j, 2] - r[hit[j]][::-1]  # string starts, rising
+                cut = np.flatnonzero(np.diff(b) > LENGTH)
+                starts.append(np.concatenate((b[:1], b[cut + 1])))
+                stops.append(np.concatenate((b[cut], b[-1:])) + LENGTH)
+                docs.append(np.repeat(m[j, 0], len(cut) + 1))
+                ths.append(np.repeat(m[j, 1], len(cut) + 1))
+        none = np.empty(0, dtype=np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate([none, *x])) for x in (docs, ths, starts, stops)], names=["doc_id", "th", "start", "stop"])
 
     def run(batches):
         held, size = [], 0
@@ -272,68 +327,31 @@ def _verdicts(rows: DataFrame, parts: int) -> DataFrame:
             if size < TASK_ROWS // 4:
                 continue
             table = pa.Table.from_batches(held)
-            lead = table.column("lead").to_pylist()
-            cut = size - 1
-            while cut > 0 and lead[cut - 1] == lead[size - 1]:
-                cut -= 1
+            lead = np.stack([table.column(c).to_numpy() for c in ("lead", "lead2")], axis=1)
+            cut = int(np.flatnonzero((lead != lead[-1]).any(axis=1))[-1]) + 1 if (lead != lead[-1]).any() else 0
             if cut:  # whole leading tokens only; the last one may go on
                 yield settle(table.slice(0, cut))
                 held, size = table.slice(cut).combine_chunks().to_batches(), size - cut
         if size:
             yield settle(pa.Table.from_batches(held))
 
-    ranged = (rows.select("row", "lead", "context", "lo", "hi", "least", F.expr("cast(octet_length(members) div 24 as int)").alias("n"))
-              .repartitionByRange(parts, "lead").sortWithinPartitions("lead"))
-    return ranged.mapInArrow(run, "row long, low binary")
+    return (rows.repartition(parts, "part").sortWithinPartitions("lead", "lead2")
+            .mapInArrow(run, "doc_id long, th long, start long, stop long"))
 
 
 # ------------------------------------------------------------------ 4: spans of documents
-def _member_spans(rows: DataFrame, verdicts: DataFrame) -> DataFrame:
-    """``doc_id, th, start, stop`` of removed bytes (merged within a member)."""
-
-    def run(batches):
-        for batch in batches:
-            docs, ths, starts, stops = [], [], [], []
-            for members, low, lo, hi in zip(*(batch.column(i) for i in range(4))):
-                m = np.frombuffer(members.as_buffer(), dtype=np.int64).reshape(-1, 3)
-                low = np.frombuffer(low.as_buffer(), dtype=np.int64)
-                r = np.arange(lo.as_py(), hi.as_py() + 1)
-                hit = low[r][None, :] < m[:, 0][:, None]
-                begins = m[:, 2][:, None] - r[None, :]  # string starts, falling
-                for i in np.flatnonzero(hit.any(axis=1)):
-                    b = np.sort(begins[i, hit[i]])
-                    cut = np.flatnonzero(np.diff(b) > LENGTH)
-                    starts.append(np.concatenate((b[:1], b[cut + 1])))
-                    stops.append(np.concatenate((b[cut], b[-1:])) + LENGTH)
-                    docs.append(np.repeat(m[i, 0], len(cut) + 1))
-                    ths.append(np.repeat(m[i, 1], len(cut) + 1))
-            if docs:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (docs, ths, starts, stops)], names=["doc_id", "th", "start", "stop"])
-
-    return rows.select("row", "members", "lo", "hi").join(verdicts, "row").select("members", "low", "lo", "hi").mapInArrow(
-        run, "doc_id long, th long, start long, stop long")
-
-
 def spans(docs: DataFrame) -> DataFrame:
     """``doc_id, th, spans``: the maximal removed runs (array of start, stop) of each document that loses bytes.
 
-    ``th`` is the hash of the text, which tells rows of one id apart.  Documents equal to one of smaller id lose all.
+    ``th`` is the hash of the text, which tells rows of one id apart.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    text = F.coalesce("text", F.lit(""))
-    sized = stored(docs.select("doc_id", F.octet_length(text).alias("n"), F.xxhash64("text").alias("th"), F.xxhash64("text", F.lit(1)).alias("th2")), "sized")
-    total = sized.agg(F.sum("n")).first()[0] or 0
-    tokens = total // 12 + 1
-    buckets = int(tokens // TASK_ROWS) + 1
-    bitmap = _bitmap(stored(_repeated_tokens(docs, buckets), "tokens"))
-    rows = stored(_contexts(docs, bitmap), "contexts")
-    n_rows = rows.count()
-    verdicts = _verdicts(rows, int(n_rows // (TASK_ROWS // 4)) + 1)
-    found = _member_spans(rows, verdicts)
-    copies = (sized.where(f"n >= {LENGTH}").groupBy("th", "th2", "n").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most"))
-    whole = (sized.join(copies, ["th", "th2", "n"]).where("doc_id > least")
-             .select("doc_id", "th", F.lit(0).cast("long").alias("start"), F.col("n").cast("long").alias("stop")).distinct())
-    gathered = found.unionByName(whole).groupBy("doc_id", "th").agg(F.sort_array(F.collect_set(F.struct("start", "stop"))).alias("parts"))
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    suffixes = int(total // (REACH // 2 + 1)) + 1
+    marked = stored(_repeated_tokens(docs, suffixes // TASK_ROWS + 1), "tokens")
+    ranges = suffixes // (TASK_ROWS // 2) + 1
+    rows = _contexts(docs, _bitmap(marked.where("kind = 0")), _bitmap(marked.where("kind = 1")), _splitters(marked, ranges * 4))
+    gathered = _removed(rows, ranges * 2).groupBy("doc_id", "th").agg(F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("parts"))
     empty = F.expr("cast(array() as array<struct<start:bigint,stop:bigint>>)")
     merged = F.aggregate("parts", F.struct(empty.alias("done"), F.col("parts")[0].alias("open")), lambda s, x: F.when(
         x["start"] <= s["open"]["stop"], F.struct(s["done"].alias("done"), F.struct(

@@ -71,3 +71,8 @@ def test_empty_and_clean(spark, docs, no_docs, corpus):
     removed = {r[0] for r in brute(corpus) if r[2]}
     want = {i: t for i, t in corpus}
     assert all(r["text"] == want[r["doc_id"]] for r in out.collect() if r["doc_id"] not in removed)
+
+
+def test_hot_tokens_and_single_range(docs, corpus, monkeypatch):
+    monkeypatch.setattr(S, "HOT_BATCHES", 1)
+    assert found(S.report(docs)) == brute(corpus)
