@@ -17,7 +17,8 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from tessera.plans import registry  # noqa: E402
 from tessera.session import local_session  # noqa: E402
 
-HEADLINE = ["latest_cells", "filter_column_value", "decode_typed", "bulk_load_sorted", "knn_geohash"]
+HEADLINE = ["latest_cells", "filter_column_value", "decode_typed", "bulk_load_sorted", "knn_geohash", "latest_cells_stored",
+            "filter_column_value_stored", "decode_typed_stored", "scan_range_stored"]
 
 
 def main() -> None:

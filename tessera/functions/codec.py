@@ -13,8 +13,10 @@ patterns are exact, ``-0.0`` and subnormals included.
 
 The expressions are written as SQL text and parsed once by Spark
 (``F.expr``): the same Catalyst tree as chained ``functions`` calls, built
-with one call instead of hundreds of Python-to-JVM round trips.  Inputs are
-SQL expressions -- usually a column name (see :func:`col_ref`).
+with one call instead of hundreds of Python-to-JVM round trips.  ``encode``
+and ``decode`` take column names, always quoted; ``encode_sql`` and
+``decode_sql`` take SQL text.  Bytes of the wrong length for a fixed-length
+type raise an error instead of becoming another number.
 """
 
 from __future__ import annotations
@@ -26,19 +28,22 @@ from tessera.model import SPARK_TYPES, normalize_type
 
 
 def col_ref(name: str) -> str:
-    """SQL reference to a column name (quoted; ``a.b`` addresses a struct field)."""
-    return ".".join("`" + part.replace("`", "``") + "`" for part in name.split("."))
+    """SQL reference to the column of exactly this name."""
+    if not isinstance(name, str):
+        raise TypeError("codec inputs are column names")
+    return "`" + name.replace("`", "``") + "`"
 
 
-def _in(x: Column | str) -> str:
-    if isinstance(x, Column):
-        raise TypeError("codec inputs are column names or SQL expression text, not Column objects")
-    return x if _is_sql(x) else col_ref(x)
+def text_literal(value: str) -> str:
+    """SQL literal of a string."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _is_sql(x: str) -> bool:
-    """Plain identifiers (letters, digits, _, :, -) are names; anything else is SQL text."""
-    return not all(ch.isalnum() or ch in "_:-" for ch in x)
+def _sized(b: str, nbytes: int, type_name: str, body: str, spark_type: str) -> str:
+    """``body`` for NULL or ``nbytes`` bytes, an error otherwise."""
+    message = f"concat('a {type_name} cell holds ', octet_length({b}), ' bytes instead of {nbytes}')"
+    return (f"(CASE WHEN {b} IS NULL OR octet_length({b}) = {nbytes} THEN {body} "
+            f"ELSE CAST(raise_error({message}) AS {spark_type}) END)")
 
 
 # ---------------------------------------------------------------- integers
@@ -120,17 +125,17 @@ def decode_sql(b: str, type_name: str) -> str:
     if t in ("string", "rowkey"):
         return f"decode({b}, 'UTF-8')"
     if t == "long":
-        return bytes_int_sql(b, 8)
+        return _sized(b, 8, t, bytes_int_sql(b, 8), "BIGINT")
     if t == "int":
-        return f"CAST({bytes_int_sql(b, 4)} AS INT)"
+        return _sized(b, 4, t, f"CAST({bytes_int_sql(b, 4)} AS INT)", "INT")
     if t == "short":
-        return f"CAST({bytes_int_sql(b, 2)} AS SMALLINT)"
+        return _sized(b, 2, t, f"CAST({bytes_int_sql(b, 2)} AS SMALLINT)", "SMALLINT")
     if t == "boolean":
-        return f"(CASE WHEN {b} IS NULL THEN CAST(NULL AS BOOLEAN) ELSE translate(hex({b}), '0', '') != '' END)"
+        return _sized(b, 1, t, f"(CASE WHEN {b} IS NULL THEN CAST(NULL AS BOOLEAN) ELSE hex({b}) != '00' END)", "BOOLEAN")
     if t == "double":
-        return bits_float_sql(bytes_int_sql(b, 8), 11, 52)
+        return _sized(b, 8, t, bits_float_sql(bytes_int_sql(b, 8), 11, 52), "DOUBLE")
     if t == "float":
-        return f"CAST({bits_float_sql(f'({bytes_int_sql(b, 4)} & 4294967295L)', 8, 23)} AS FLOAT)"
+        return _sized(b, 4, t, f"CAST({bits_float_sql(f'({bytes_int_sql(b, 4)} & 4294967295L)', 8, 23)} AS FLOAT)", "FLOAT")
     raise ValueError(t)
 
 
@@ -141,13 +146,13 @@ DEFAULT_SQL = {
 
 
 def encode(x: str, type_name: str) -> Column:
-    """Column (name or SQL text) -> BINARY cell value in the store's byte layout."""
-    return F.expr(encode_sql(_in(x), type_name))
+    """Column of this name -> BINARY cell value in the store's byte layout."""
+    return F.expr(encode_sql(col_ref(x), type_name))
 
 
 def decode(b: str, type_name: str) -> Column:
-    """BINARY cell value (column name or SQL text) -> typed column; NULL stays NULL."""
-    return F.expr(decode_sql(_in(b), type_name))
+    """BINARY cell value of the column of this name -> typed column; NULL stays NULL."""
+    return F.expr(decode_sql(col_ref(b), type_name))
 
 
 def default_value(type_name: str) -> Column:
@@ -161,7 +166,7 @@ def decode_or_default_sql(b: str, type_name: str) -> str:
 
 
 def decode_or_default(b: str, type_name: str) -> Column:
-    return F.expr(decode_or_default_sql(_in(b), type_name))
+    return F.expr(decode_or_default_sql(col_ref(b), type_name))
 
 
 def value_type_of(dtype) -> str:

@@ -18,7 +18,15 @@ def unique_key() -> Column:
 
 
 def time_ordered_key(ts: Column | str, *row: Column | str) -> Column:
-    """Reproducible, time-ordered key: ``yyyyMMddHHmmssSSS_`` + md5 of the row's values."""
+    """Reproducible, time-ordered key: ``yyyyMMddHHmmssSSS_`` + md5 of the row's values.
+
+    Each value is written as its length and text, NULL as ``-``, so different rows have different digests; rows
+    equal in all ``row`` columns share a key (and overwrite each other), so include a unique column where there is one.
+    """
     t = F.col(ts) if isinstance(ts, str) else ts
     cols = [F.col(c) if isinstance(c, str) else c for c in row]
-    return F.concat(F.date_format(t, "yyyyMMddHHmmssSSS"), F.lit("_"), F.md5(F.concat_ws("\u0001", *[c.cast("string") for c in cols])))
+    return F.concat(F.date_format(t, "yyyyMMddHHmmssSSS"), F.lit("_"), F.md5(F.concat(*[_field(c.cast("string")) for c in cols])))
+
+
+def _field(text: Column) -> Column:
+    return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-"))

@@ -11,6 +11,7 @@ so the whole row is kept or dropped without collecting it.
 from __future__ import annotations
 
 import functools
+import random
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
@@ -57,9 +58,27 @@ def by_row_regex(pattern: str) -> CellFilter:
     return lambda cells: cells.filter(find_regex(F.col("rowkey"), pattern))
 
 
+# ---------------------------------------------------------- rows by key frame
+ROW_SALTS = 16
+
+
+def rows_in(df: DataFrame, keys: DataFrame, *, salts: int = ROW_SALTS) -> DataFrame:
+    """Rows of ``df`` (log or cells) whose ``rowkey`` is in ``keys``, splittable within a hot row.
+
+    The distinct keys are replicated over ``salts`` and the cells salted by
+    column, so a wide row goes to many tasks; the explode on top of the
+    distinct leaves a plain exchange below the join, which AQE can split
+    further or turn into a broadcast.
+    """
+    spread = keys.select("rowkey").distinct().select(
+        "rowkey", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("__salt"))
+    salted = df.withColumn("__salt", F.pmod(F.xxhash64("family", "qualifier"), F.lit(salts)).cast("int"))
+    return salted.join(spread, ["rowkey", "__salt"], "left_semi").drop("__salt")
+
+
 # ---------------------------------------------------------- column value
 def _rows_where(cells: DataFrame, cell_pred: Column) -> DataFrame:
-    return cells.filter(cell_pred).select("rowkey").distinct()
+    return cells.filter(cell_pred).select("rowkey")
 
 
 def by_single_column_value(family: str, qualifier: str, value: bytes | str | Column, *,
@@ -72,8 +91,7 @@ def by_single_column_value(family: str, qualifier: str, value: bytes | str | Col
     def run(cells: DataFrame) -> DataFrame:
         target = value if isinstance(value, Column) else F.lit(value.encode() if isinstance(value, str) else value)
         tested = (F.col("family") == family) & (F.col("qualifier") == qualifier)
-        keys = _rows_where(cells, tested & (F.col("value") == target))
-        out = cells.join(keys, "rowkey", "left_semi")
+        out = rows_in(cells, _rows_where(cells, tested & (F.col("value") == target)))
         return out.filter(~tested) if exclude_tested else out
     return run
 
@@ -81,8 +99,7 @@ def by_single_column_value(family: str, qualifier: str, value: bytes | str | Col
 def by_single_column_regex(family: str, qualifier: str, pattern: str) -> CellFilter:
     def run(cells: DataFrame) -> DataFrame:
         tested = (F.col("family") == family) & (F.col("qualifier") == qualifier)
-        keys = _rows_where(cells, tested & find_regex(_text(), pattern))
-        return cells.join(keys, "rowkey", "left_semi")
+        return rows_in(cells, _rows_where(cells, tested & find_regex(_text(), pattern)))
     return run
 
 
@@ -119,7 +136,7 @@ def skip_rows(cell_pred: Column) -> CellFilter:
     """
     def run(cells: DataFrame) -> DataFrame:
         ok = cells.groupBy("rowkey").agg(F.bool_and(F.coalesce(cell_pred, F.lit(False))).alias("ok"))
-        return cells.join(ok.filter("ok").select("rowkey"), "rowkey", "left_semi")
+        return rows_in(cells, ok.filter("ok"))
     return run
 
 
@@ -127,16 +144,17 @@ def column_count(n: int, *, stop_scan: bool = False) -> CellFilter:
     """ColumnCountGetFilter: first ``n`` cells of each row in (family, qualifier) order.
 
     ``stop_scan=True`` also ends the scan at the first row having more than
-    ``n`` cells (that row keeps its first ``n`` cells).
+    ``n`` cells (that row keeps its first ``n`` cells): the stop key comes
+    from partially aggregated counts, and the rank keeps Spark's group limit.
     """
     def run(cells: DataFrame) -> DataFrame:
-        w = Window.partitionBy("rowkey").orderBy("family", "qualifier")
-        out = cells.withColumn("__n", F.row_number().over(w))
+        out = cells
         if stop_scan:
-            over = out.filter(F.col("__n") > n).agg(F.min("rowkey").alias("m"))
-            stop = over.scalar()
+            counts = cells.groupBy("rowkey").agg(F.count(F.lit(1)).alias("c"))
+            stop = counts.filter(F.col("c") > n).agg(F.min("rowkey").alias("m")).scalar()
             out = out.filter(stop.isNull() | (F.col("rowkey") <= stop))
-        return out.filter(F.col("__n") <= n).drop("__n")
+        w = Window.partitionBy("rowkey").orderBy("family", "qualifier")
+        return out.withColumn("__n", F.row_number().over(w)).filter(F.col("__n") <= n).drop("__n")
     return run
 
 
@@ -155,16 +173,17 @@ def while_match(cell_pred: Column) -> CellFilter:
 def random_rows(fraction: float, *, seed: int | None = None, deterministic: bool = False) -> CellFilter:
     """RandomRowFilter: keep each *row* with probability ``fraction``.
 
-    The decision is per row key, so a row's cells stay together: ``rand``
-    over a hash of the key and the seed, or -- ``deterministic=True`` -- the
-    first 8 hex digits of md5(rowkey) against ``fraction * 16^8``, which is
-    reproducible across engines.
+    The decision is per row key, so a row's cells stay together: a hash of
+    the key and the seed (drawn anew for each filter when none is given), or
+    -- ``deterministic=True`` -- the first 8 hex digits of md5(rowkey) as a
+    number below ``fraction * 16^8``, which is reproducible across engines.
     """
+    s = random.randrange(1 << 62) if seed is None else seed
+
     def run(cells: DataFrame) -> DataFrame:
         if deterministic:
-            cut = format(int(fraction * (16 ** 8)), "08x")
-            return cells.filter(F.substring(F.md5(F.col("rowkey")), 1, 8) < F.lit(cut))
-        s = 0 if seed is None else seed
+            u = F.conv(F.substring(F.md5(F.col("rowkey")), 1, 8), 16, 10).cast("bigint")
+            return cells.filter(u < F.lit(int(fraction * (16 ** 8))))
         u = F.pmod(F.xxhash64(F.col("rowkey"), F.lit(s)), F.lit(1 << 30)) / F.lit(float(1 << 30))
         return cells.filter(u < fraction)
     return run

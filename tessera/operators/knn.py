@@ -13,12 +13,16 @@ equi-joined with the points on ``(cell_x, cell_y, salt)``:
   ships at most ``n`` candidates per query.
 
 Results are exact within the 3x3 block (the reference's contract); ties in
-distance are broken by ``uid``.  Two search strategies reach that result
-(:func:`knn_geohash`): on small data the coarse centre cell is joined first
-and its n-th distance prunes the neighbour cells; on dense data a fine-level
-3x3 block bounds the distance and only fine cells within the bound are
-joined, so the work per query follows the local density.  Both prune only
-cells that provably hold no point within the bound.
+distance are broken by ``uid``.  The work per query follows the local density
+(:func:`knn_geohash`): point counts per cell of a few finer levels give each
+query the finest level whose 3x3 neighbourhood holds ``n`` points, which bounds
+the n-th distance, and only cells of that level within the bound are joined.
+Queries without such a level search the coarse block.  Building the plan runs no
+job, and no size decides between plans.
+
+The top ``n`` relies on Spark's window group limit, which applies up to
+``spark.sql.optimizer.windowGroupLimitThreshold`` (1,000 by default); beyond it
+all candidates of a query meet in its window.
 """
 
 from __future__ import annotations
@@ -26,7 +30,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.session import ensure_checkpoint_dir
 from tessera.functions.geohash import LAT_RANGE, LON_RANGE, bits_for, cells, hash_of_cells, neighbor_cells
 
 
@@ -81,10 +84,13 @@ def _top_n(cand: DataFrame, n: int) -> DataFrame:
     return cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
 
 
-def _join_points(blocks: DataFrame, pts: DataFrame, salt_buckets: int) -> DataFrame:
+def _join_points(blocks: DataFrame, pts: DataFrame, salt_buckets: int, also: tuple[str, ...] = ()) -> DataFrame:
     salts = F.sequence(F.lit(0), F.lit(salt_buckets - 1))
-    b = blocks.select("qid", "qlon", "qlat", "cx", "cy", F.explode(salts).alias("salt"))
-    joined = b.join(pts, (b.cx == pts.cell_x) & (b.cy == pts.cell_y) & (b.salt == pts.salt), "inner")
+    b = blocks.select("qid", "qlon", "qlat", "cx", "cy", *also, F.explode(salts).alias("salt"))
+    same = (b.cx == pts.cell_x) & (b.cy == pts.cell_y) & (b.salt == pts.salt)
+    for c in also:
+        same = same & (b[c] == pts[c])
+    joined = b.join(pts, same, "inner")
     return joined.select(
         "qid", "uid", "hash", "lon", "lat",
         planar_distance(F.col("qlon"), F.col("qlat"), F.col("lon"), F.col("lat")).alias("distance"))
@@ -106,30 +112,6 @@ def cell_min_distance(qlon, qlat, cx, cy, precision: int):
     return F.sqrt(ddx * ddx + ddy * ddy)
 
 
-# Estimated centre-cell candidate rows (queries x points per coarse cell) above which the
-# multi-resolution search pays for its extra passes.
-COARSE_CANDIDATE_LIMIT = 200_000_000
-
-
-def _fine_level(points: DataFrame, queries: DataFrame, n: int, precision: int) -> int:
-    """Search level for ``fine_precision="auto"`` from measured sizes (two count jobs).
-
-    The coarse plan joins every query with its whole centre cell: about
-    ``|Q| * |P| / 32^p`` candidate rows.  While that stays under
-    ``COARSE_CANDIDATE_LIMIT`` it is the cheapest plan; beyond it the finest
-    level whose cells still hold about ``2n`` points is used, so the work per
-    query follows the local density instead of the coarse cell size.
-    """
-    import math
-
-    total = max(points.count(), 1)
-    per_cell = total / float(32 ** precision)
-    if per_cell * max(queries.count(), 1) <= COARSE_CANDIDATE_LIMIT:
-        return precision
-    level = int(math.floor(math.log2(max(total / (2.0 * n), 1.0)) / 5))
-    return max(precision, min(level, 12))
-
-
 def _in_coarse_block(fx, fy, qcx, qcy, fine: int, coarse: int, wrap_lat: bool):
     """Whether fine cell (fx, fy) lies in the 3x3 coarse block around (qcx, qcy)."""
     lf, tf = bits_for(fine)
@@ -151,54 +133,50 @@ def _offsets(rx: int, ry: int):
                      for dy in range(-ry, ry + 1) for dx in range(-rx, rx + 1)])
 
 
-def _knn_multilevel(pts: DataFrame, queries: DataFrame, n: int, precision: int, fine: int,
-                    salt_buckets: int, wrap_lat: bool) -> DataFrame:
+def _fine_levels(precision: int, finest: int) -> list[int]:
+    """Levels above ``precision`` whose bound stays clear of cells that only wrapping brings into the block."""
+    lon_bits, lat_bits = bits_for(precision)
+    clear = min(LON_RANGE[1] - 2 * LON_RANGE[1] / (1 << lon_bits), LAT_RANGE[1] - 2 * LAT_RANGE[1] / (1 << lat_bits))
+    return [level for level in range(precision + 1, min(finest, 12) + 1) if _reach(level)[0] < clear]
+
+
+def _reach(level: int) -> tuple[float, int, int]:
+    """Farthest point of a 3x3 block at ``level`` from its centre cell, and the cells a disc of that radius can touch."""
     import math
 
-    lf, tf = bits_for(fine)
-    nxf, nyf = 1 << lf, 1 << tf
-    w, h = LON_RANGE[1] / nxf, LAT_RANGE[1] / nyf
-    dmax = math.sqrt((2 * w) ** 2 + (2 * h) ** 2)       # farthest point of a 3x3 fine block
-    rx, ry = math.ceil(dmax / w), math.ceil(dmax / h)   # fine cells a disc of that radius can touch
-
-    fgx, fgy = cells(F.col("lat"), F.col("lon"), fine)
-    cgx, cgy = cells(F.col("lat"), F.col("lon"), precision)
-    q = queries.select("qid", F.col("lon").alias("qlon"), F.col("lat").alias("qlat"), fgx.alias("qfx"),
-                       fgy.alias("qfy"), cgx.alias("qcx"), cgy.alias("qcy"))
-    fine_pts = with_cells(pts.select("uid", "hash", "lon", "lat"), fine).withColumn(
-        "salt", F.pmod(F.xxhash64("uid"), F.lit(salt_buckets)).cast("int"))
-    member = lambda: _in_coarse_block(F.col("cx"), F.col("cy"), F.col("qcx"), F.col("qcy"), fine, precision,
-                                      wrap_lat)
-
-    # Round 1: the 3x3 fine block (inside the coarse block) gives each query a distance bound.
-    r1 = q.select("*", F.inline(_offsets(1, 1))).select(
-        "qid", "qlon", "qlat", "qcx", "qcy",
-        F.pmod(F.col("qfx") + F.col("ox"), F.lit(nxf).cast("bigint")).alias("cx"),
-        F.pmod(F.col("qfy") + F.col("oy"), F.lit(nyf).cast("bigint")).alias("cy"))
-    r1 = r1.filter(member())
-    first = _top_n(_join_points(r1, fine_pts, salt_buckets), n)
-    bound = first.groupBy("qid").agg(F.count("*").alias("k"), F.max("distance").alias("dn"))
-    ensure_checkpoint_dir(pts.sparkSession)
-    bound = bound.checkpoint(eager=True)
-    qb = q.join(bound, "qid", "left")
-
-    # Round 2: every fine cell (planar neighbourhood) within the bound and inside the coarse block.
-    full = qb.filter(F.col("k") == n)
-    r2 = full.select("*", F.inline(_offsets(rx, ry))).select(
-        "qid", "qlon", "qlat", "qcx", "qcy", "dn",
-        (F.col("qfx") + F.col("ox")).alias("cx"), (F.col("qfy") + F.col("oy")).alias("cy"))
-    r2 = r2.filter((F.col("cx") >= 0) & (F.col("cx") < nxf) & (F.col("cy") >= 0) & (F.col("cy") < nyf))
-    r2 = r2.filter(member() & (cell_min_distance(F.col("qlon"), F.col("qlat"), F.col("cx"), F.col("cy"), fine)
-                               <= F.col("dn")))
-    second = _join_points(r2, fine_pts, salt_buckets)
-
-    # Sparse queries (fewer than n points in the fine block) search the coarse block itself.
-    sparse = qb.filter(F.col("k").isNull() | (F.col("k") < n)).select("qid", F.col("qlon").alias("lon"),
-                                                                      F.col("qlat").alias("lat"))
-    coarse_pts = with_cells(pts.select("uid", "hash", "lon", "lat"), precision).withColumn(
-        "salt", F.pmod(F.xxhash64("uid"), F.lit(salt_buckets)).cast("int"))
-    third = _join_points(query_blocks(sparse, precision, wrap_lat=wrap_lat), coarse_pts, salt_buckets)
-    return _top_n(second.unionByName(third), n)
+    lon_bits, lat_bits = bits_for(level)
+    w, h = LON_RANGE[1] / (1 << lon_bits), LAT_RANGE[1] / (1 << lat_bits)
+    far = math.sqrt((2 * w) ** 2 + (2 * h) ** 2)
+    return far, math.ceil(far / w), math.ceil(far / h)
+
+
+def _planar_cells(q: DataFrame, level: int, rx: int, ry: int) -> DataFrame:
+    """Cells of ``level`` around each query, clipped at the edges of the map (no wrapping): adds ``level, cx, cy``."""
+    lon_bits, lat_bits = bits_for(level)
+    gx, gy = cells(F.col("qlat"), F.col("qlon"), level)
+    out = q.withColumn("__gx", gx).withColumn("__gy", gy).select("*", F.inline(_offsets(rx, ry)))
+    out = out.withColumn("cx", F.col("__gx") + F.col("ox")).withColumn("cy", F.col("__gy") + F.col("oy")).withColumn("level", F.lit(level))
+    return out.where((F.col("cx") >= 0) & (F.col("cx") < 1 << lon_bits) & (F.col("cy") >= 0) & (F.col("cy") < 1 << lat_bits)).drop("__gx", "__gy", "ox", "oy")
+
+
+def _union(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+def _cell_counts(points: DataFrame, levels: list[int]) -> DataFrame:
+    """``level, cx, cy, c``: points per occupied cell; each level sums the next finer one."""
+    finest = levels[-1]
+    gx, gy = cells(F.col("lat"), F.col("lon"), finest)
+    counts = points.select(gx.alias("cx"), gy.alias("cy")).groupBy("cx", "cy").agg(F.count(F.lit(1)).alias("c"))
+    frames = [counts.withColumn("level", F.lit(finest))]
+    for fine, level in zip(levels[:0:-1], levels[-2::-1]):
+        (lf, tf), (lc, tc) = bits_for(fine), bits_for(level)
+        counts = counts.groupBy(F.shiftright("cx", lf - lc).alias("cx"), F.shiftright("cy", tf - tc).alias("cy")).agg(F.sum("c").alias("c"))
+        frames.append(counts.withColumn("level", F.lit(level)))
+    return _union(frames)
 
 
 def knn_geohash(points: DataFrame, queries: DataFrame, n: int = 5, precision: int = 1, *,
@@ -206,40 +184,37 @@ def knn_geohash(points: DataFrame, queries: DataFrame, n: int = 5, precision: in
     """Top ``n`` points by planar distance over each query's 3x3 geohash block at ``precision``.
 
     Output: ``qid, rank, uid, hash, lon, lat, distance`` (rank 1 = nearest).
-    The result is exact for every strategy:
-
-    * ``fine_precision`` (``"auto"``: see :func:`_fine_level`): a 3x3 block at the fine level bounds the n-th distance, then
-      only fine cells whose rectangle lies within that bound are joined --
-      the work per query follows the local density, not the coarse cell
-      size.  Queries with fewer than ``n`` points nearby use the coarse
-      block.
-    * ``fine_precision=None``: join the coarse centre cell first, then only
-      the neighbour cells within its n-th distance.
+    ``fine_precision`` is the finest level to choose from (``"auto"``: three
+    above ``precision``; ``None``: the coarse block only).  The result is the
+    same for every choice: a neighbourhood that holds ``n`` points proves the
+    n-th distance to be at most its reach, cells of the block that touch a disc
+    of that radius are all searched, and wrapped cells lie farther away.
     """
     pts = points.select("uid", "hash", "lon", "lat")
-    out_cols = ["qid", "rank", "uid", "hash", "lon", "lat", "distance"]
-    if fine_precision == "auto":
-        fine_precision = _fine_level(pts, queries, n, precision)
-    if fine_precision is not None and fine_precision > precision:
-        return _knn_multilevel(pts, queries, n, precision, fine_precision, salt_buckets, wrap_lat).select(*out_cols)
-    return _knn_coarse(pts, queries, n, precision, salt_buckets=salt_buckets, wrap_lat=wrap_lat).select(*out_cols)
-
-
-def _knn_coarse(points: DataFrame, queries: DataFrame, n: int, precision: int, *,
-                salt_buckets: int, wrap_lat: bool) -> DataFrame:
-    blocks = query_blocks(queries, precision, wrap_lat=wrap_lat)
-    pts = with_cells(points, precision).withColumn(
-        "salt", F.pmod(F.xxhash64("uid"), F.lit(salt_buckets)).cast("int"))
-    centre = (F.col("dx") == 0) & (F.col("dy") == 0)
-    # The centre-cell top n (at most n rows per query) feeds both the bound and
-    # the final merge; a reliable checkpoint in the shared checkpoint folder
-    # computes it once and cuts its lineage.
-    ensure_checkpoint_dir(points.sparkSession)
-    first = _top_n(_join_points(blocks.filter(centre), pts, salt_buckets), n).checkpoint(eager=True)
-    bound = first.groupBy("qid").agg(F.count("*").alias("k"), F.max("distance").alias("dn"))
-    ring = blocks.filter(~centre).join(bound, "qid", "left")
-    ring = ring.filter(F.col("k").isNull() | (F.col("k") < n)
-                       | (cell_min_distance(F.col("qlon"), F.col("qlat"), F.col("cx"), F.col("cy"), precision)
-                          <= F.col("dn")))
-    second = _join_points(ring, pts, salt_buckets)
-    return _top_n(first.drop("rank").unionByName(second), n)
+    salted = lambda df: df.withColumn("salt", F.pmod(F.xxhash64("uid"), F.lit(salt_buckets)).cast("int"))
+    levels = [] if fine_precision is None else _fine_levels(
+        precision, precision + 3 if fine_precision == "auto" else fine_precision)
+    coarse_pts = salted(with_cells(pts, precision))
+    if not levels:
+        found = _join_points(query_blocks(queries, precision, wrap_lat=wrap_lat), coarse_pts, salt_buckets)
+        return _top_n(found, n).select("qid", "rank", "uid", "hash", "lon", "lat", "distance")
+
+    q = queries.select("qid", F.col("lon").alias("qlon"), F.col("lat").alias("qlat"))
+    around = _union([_planar_cells(q, level, 1, 1) for level in levels])
+    enough = (around.join(_cell_counts(pts, levels), ["level", "cx", "cy"]).groupBy("qid", "level").agg(F.sum("c").alias("c"))
+              .where(F.col("c") >= n).groupBy("qid").agg(F.max("level").alias("at")))
+    leveled = q.join(enough, "qid", "left")
+
+    gx, gy = cells(F.col("qlat"), F.col("qlon"), precision)
+    wanted, fine_pts = [], []
+    for level in levels:
+        far, rx, ry = _reach(level)
+        mine = _planar_cells(leveled.where(F.col("at") == level).withColumn("qcx", gx).withColumn("qcy", gy), level, rx, ry)
+        wanted.append(mine.where(
+            _in_coarse_block(F.col("cx"), F.col("cy"), F.col("qcx"), F.col("qcy"), level, precision, wrap_lat)
+            & (cell_min_distance(F.col("qlon"), F.col("qlat"), F.col("cx"), F.col("cy"), level) <= far)))
+        fine_pts.append(salted(with_cells(pts, level)).withColumn("level", F.lit(level)))
+    second = _join_points(_union(wanted), _union(fine_pts), salt_buckets, ("level",))
+    sparse = leveled.where(F.col("at").isNull()).select("qid", F.col("qlon").alias("lon"), F.col("qlat").alias("lat"))
+    third = _join_points(query_blocks(sparse, precision, wrap_lat=wrap_lat), coarse_pts, salt_buckets)
+    return _top_n(second.unionByName(third), n).select("qid", "rank", "uid", "hash", "lon", "lat", "distance")

@@ -14,22 +14,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.model import DEL_COLUMN, DEL_ROW, DEL_VERSION, LOG_COLUMNS, PUT
-from tessera.operators.filters import row_range
+from tessera.operators.batch import batch_ts, put_seq, put_ts  # noqa: F401
+from tessera.operators.filters import row_range, rows_in
+from tessera.operators.partitioning import partitions_for
 from tessera.operators.shape import encode_cf, encode_family, explode_map_batch, melt_to_cells
 from tessera.operators.versions import latest_cells
 
 
-def batch_ts() -> Column:
-    """Batch timestamp (epoch micros at query start) for writes without an explicit ts."""
-    return F.unix_micros(F.current_timestamp())
-
-
-def _ts(ts) -> Column:
-    if ts is None:
-        return batch_ts()
-    return F.lit(ts).cast("bigint") if isinstance(ts, int) else ts.cast("bigint")
-
-
 def append(batch: DataFrame, path: str) -> None:
     """Append a mutation batch to the log at ``path``."""
     batch.select(*LOG_COLUMNS).write.mode("append").parquet(path)
@@ -49,40 +40,41 @@ def apply_batch(log: DataFrame, *batches: DataFrame, **resolve) -> DataFrame:
 
 
 # ------------------------------------------------------------------- puts
-def upsert_cf_map(data: DataFrame, key: str = "rowkey", map_col: str = "cells", *, ts=None, seq=0) -> DataFrame:
-    """putRDD(table, RDD[(key, Map["cf:q", value])]): one put per map entry."""
-    return explode_map_batch(data, key, map_col, ts=_ts(ts), seq=seq)
+def upsert_cf_map(data: DataFrame, key: str = "rowkey", map_col: str = "cells", *, ts=None, seq=None,
+                  types: dict[str, str] | None = None) -> DataFrame:
+    """putRDD(table, RDD[(key, Map["cf:q", value])]): one put per map entry (``types``: of mixed string values)."""
+    return explode_map_batch(data, key, map_col, ts=put_ts(ts), seq=put_seq(seq), types=types)
 
 
-def upsert_mapped(data: DataFrame, mapper: Callable[[DataFrame], DataFrame], *, ts=None, seq=0) -> DataFrame:
+def upsert_mapped(data: DataFrame, mapper: Callable[[DataFrame], DataFrame], *, ts=None, seq=None) -> DataFrame:
     """putRDD with a user mapper: ``mapper`` turns the input rows into ``(rowkey, family, qualifier, value)``."""
     cells = data.transform(mapper)
-    return cells.select(F.col("rowkey").cast("string"), "family", "qualifier", _ts(ts).alias("ts"),
-                        F.lit(seq).cast("bigint").alias("seq"), F.lit(PUT).alias("op"), "value")
+    return cells.select(F.col("rowkey").cast("string"), "family", "qualifier", put_ts(ts).alias("ts"),
+                        put_seq(seq).alias("seq"), F.lit(PUT).alias("op"), "value")
 
 
-def upsert_family(data: DataFrame, key: str, family: str, *, ts=None, seq=0) -> DataFrame:
+def upsert_family(data: DataFrame, key: str, family: str, *, ts=None, seq=None) -> DataFrame:
     """putRDD with a fixed family: every non-key column becomes ``family:<column>``."""
-    return encode_family(data, key, family, ts=_ts(ts), seq=seq)
+    return encode_family(data, key, family, ts=put_ts(ts), seq=put_seq(seq))
 
 
-def upsert_cf_columns(data: DataFrame, key: str, *, ts=None, seq=0) -> DataFrame:
+def upsert_cf_columns(data: DataFrame, key: str, *, ts=None, seq=None) -> DataFrame:
     """Columns named ``family:qualifier`` -> puts."""
-    return encode_cf(data, key, ts=_ts(ts), seq=seq)
+    return encode_cf(data, key, ts=put_ts(ts), seq=put_seq(seq))
 
 
-def bulk_put(data: DataFrame, key: str = "rowkey", cells_col: str = "cells", *, ts=None, seq=0) -> DataFrame:
+def bulk_put(data: DataFrame, key: str = "rowkey", cells_col: str = "cells", *, ts=None, seq=None) -> DataFrame:
     """bulkPut: ``(key, array<struct<family, qualifier, value>>)`` -> puts (values already bytes or text)."""
     exploded = data.select(F.col(key).cast("string").alias("rowkey"), F.inline(cells_col))
     value = F.col("value")
     if dict(exploded.dtypes)["value"] != "binary":
         value = F.encode(F.col("value").cast("string"), "UTF-8")
-    return exploded.select("rowkey", "family", "qualifier", _ts(ts).alias("ts"), F.lit(seq).cast("bigint").alias("seq"),
+    return exploded.select("rowkey", "family", "qualifier", put_ts(ts).alias("ts"), put_seq(seq).alias("seq"),
                            F.lit(PUT).alias("op"), value.alias("value"))
 
 
 def bulk_put_with_timestamp(data: DataFrame, ts: int, key: str = "rowkey", cells_col: str = "cells",
-                            *, seq=0) -> DataFrame:
+                            *, seq=None) -> DataFrame:
     """bulkPutWithTimestamp: one explicit ts for the whole batch (an older ts does not win)."""
     return bulk_put(data, key, cells_col, ts=ts, seq=seq)
 
@@ -92,74 +84,87 @@ def _tomb(keys: DataFrame, op: str, ts, seq, family=None, qualifier=None) -> Dat
     fam = family if isinstance(family, Column) else F.lit(family).cast("string")
     qual = qualifier if isinstance(qualifier, Column) else F.lit(qualifier).cast("string")
     return keys.select(F.col("rowkey").cast("string").alias("rowkey"), fam.alias("family"), qual.alias("qualifier"),
-                       _ts(ts).alias("ts"), F.lit(seq).cast("bigint").alias("seq"), F.lit(op).alias("op"),
+                       put_ts(ts).alias("ts"), put_seq(seq).alias("seq"), F.lit(op).alias("op"),
                        F.lit(None).cast("binary").alias("value"))
 
 
-def delete_rows(keys: DataFrame, *, ts=None, seq=0) -> DataFrame:
+def delete_rows(keys: DataFrame, *, ts=None, seq=None) -> DataFrame:
     """deleteRDD(table, rows) / bulkDelete: whole-row tombstones for a frame of keys."""
     return _tomb(keys, DEL_ROW, ts, seq)
 
 
 def delete_columns(data: DataFrame, family: str, key: str = "rowkey", cols: str = "columns", *, ts=None,
-                   seq=0) -> DataFrame:
+                   seq=None) -> DataFrame:
     """deleteRDD(table, cf, RDD[(key, List[column])]): all versions of each listed column."""
     exploded = data.select(F.col(key).alias("rowkey"), F.explode(cols).alias("qualifier"))
     return _tomb(exploded, DEL_COLUMN, ts, seq, family=family, qualifier=F.col("qualifier"))
 
 
-def delete_mapped(data: DataFrame, mapper: Callable[[DataFrame], DataFrame], *, ts=None, seq=0) -> DataFrame:
+def delete_mapped(data: DataFrame, mapper: Callable[[DataFrame], DataFrame], *, ts=None, seq=None) -> DataFrame:
     """deleteRDD with a user mapper: ``mapper`` yields ``(rowkey, family, qualifier)`` columns to delete (all versions)."""
     cells = data.transform(mapper)
     return _tomb(cells, DEL_COLUMN, ts, seq, family=F.col("family"), qualifier=F.col("qualifier"))
 
 
-def delete_latest_version(log: DataFrame, targets: DataFrame, *, seq=0, **resolve) -> DataFrame:
+def delete_latest_version(log: DataFrame, targets: DataFrame, *, seq=None, **resolve) -> DataFrame:
     """deleteRecord: delete only the newest live version of each ``(rowkey, family, qualifier)`` target.
 
     The live version's ts comes from a join with the resolved cells; the
     tombstone sits at exactly that ts, so the previous version resurfaces.
     """
     t = targets.select("rowkey", "family", "qualifier").distinct()
-    live = latest_cells(log.join(t.select("rowkey").distinct(), "rowkey", "left_semi"), **resolve)
+    live = latest_cells(rows_in(log, t), **resolve)
     hit = live.join(t, ["rowkey", "family", "qualifier"], "left_semi")
-    return hit.select("rowkey", "family", "qualifier", "ts", F.lit(seq).cast("bigint").alias("seq"),
+    return hit.select("rowkey", "family", "qualifier", "ts", put_seq(seq).alias("seq"),
                       F.lit(DEL_VERSION).alias("op"), F.lit(None).cast("binary").alias("value"))
 
 
-def delete_range(log: DataFrame, start: str, stop: str, *, ts=None, seq=0, **resolve) -> DataFrame:
+def delete_range(log: DataFrame, start: str, stop: str, *, ts=None, seq=None, **resolve) -> DataFrame:
     """Scan-then-delete: row tombstones for every live row in ``[start, stop)``."""
-    keys = latest_cells(log.filter(row_range(start, stop)), **resolve).select("rowkey").distinct()
+    keys = latest_cells(log.filter(row_range(start, stop)), values=False, **resolve).select("rowkey").distinct()
     return delete_rows(keys, ts=ts, seq=seq)
 
 
 # ------------------------------------------------------------- table copy
-def copy_table(log: DataFrame, *, ts=None, seq=0, **resolve) -> DataFrame:
+def copy_table(log: DataFrame, *, ts=None, seq=None, **resolve) -> DataFrame:
     """res2Put / write(read()): every live cell re-put into a target, re-stamped with the batch ts."""
     live = latest_cells(log, **resolve)
-    return live.select("rowkey", "family", "qualifier", _ts(ts).alias("ts"), F.lit(seq).cast("bigint").alias("seq"),
+    return live.select("rowkey", "family", "qualifier", put_ts(ts).alias("ts"), put_seq(seq).alias("seq"),
                        F.lit(PUT).alias("op"), "value")
 
 
 # -------------------------------------------------------------- bulk load
 def bulk_load(cells: DataFrame, path: str, partitions: int) -> None:
-    """generateHFile: write cells as ``partitions`` key ranges, each file sorted by (rowkey, family, qualifier).
+    """generateHFile: write cells as at least ``partitions`` ranges of (rowkey, family, qualifier), each file sorted.
 
-    ``repartitionByRange`` samples the keys to pick balanced range bounds and
-    the sort spills by itself, so the layout scales with the data; files are
+    ``repartitionByRange`` samples the keys to pick balanced bounds; the range
+    covers all three key columns, so a hot row spans several files, and more
+    ranges are cut when the plan's size estimate asks for them.  Files are
     globally ordered, and Parquet min/max statistics prune later key-range
     scans.  The output folder is replaced (the old files are removed first).
     """
-    (cells.select(*LOG_COLUMNS).repartitionByRange(partitions, "rowkey")
-     .sortWithinPartitions("rowkey", "family", "qualifier")
+    key = ["rowkey", "family", "qualifier"]
+    rows = cells.select(*LOG_COLUMNS)
+    (rows.repartitionByRange(partitions_for(rows, partitions), *key).sortWithinPartitions(*key)
      .write.mode("overwrite").parquet(path))
 
 
 def load_staged(spark, staged_path: str, table_path: str) -> None:
-    """bulkLoadWithExistedHFile: append staged, sorted files to the table's log."""
-    append(spark.read.parquet(staged_path), table_path)
+    """bulkLoadWithExistedHFile: move staged, sorted files into the table's log and remove the staging folder.
+
+    A metadata operation of the table's filesystem; no byte is rewritten.
+    File names are unique, so a repeated load after a failure moves the rest.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    source, target = path(staged_path), path(table_path)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(target)
+    for f in fs.listStatus(source):
+        if f.getPath().getName().endswith(".parquet") and not fs.rename(f.getPath(), path(target, f.getPath().getName())):
+            raise OSError(f"cannot move {f.getPath()} to {table_path}")
+    fs.delete(source, True)
 
 
-def cells_from_columns(df: DataFrame, key: str, specs: Sequence, *, ts=None, seq=0) -> DataFrame:
+def cells_from_columns(df: DataFrame, key: str, specs: Sequence, *, ts=None, seq=None) -> DataFrame:
     """Typed columns -> puts using explicit column specs."""
-    return melt_to_cells(df, key, specs, ts=_ts(ts), seq=seq)
+    return melt_to_cells(df, key, specs, ts=put_ts(ts), seq=put_seq(seq))

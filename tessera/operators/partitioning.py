@@ -1,25 +1,18 @@
-"""Partitioning helpers that depend on measured plan properties, never on data values."""
+"""Partition counts from Catalyst's size estimate of a plan."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+TARGET_BYTES = 128 << 20
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin ``df`` over ``min_partitions`` tasks when its scan yields fewer.
 
-    A small input file is a single split; when the next operators expand it
-    (melting rows into cells, a kNN candidate join) the whole expansion would
-    run in one task.  On a large table the scan already has more splits than
-    cores and this is a no-op (no extra shuffle).  Reading the partition
-    count plans the scan; it runs no job.
+def partitions_for(df: DataFrame, least: int, target_bytes: int = TARGET_BYTES) -> int:
+    """At least ``least`` partitions, and enough for about ``target_bytes`` each.
+
+    The size is the sum of what the optimizer knows of the plan's sources (file sizes for scans); no job runs.  A
+    source of unknown size counts as nothing.
     """
-    spark = df.sparkSession
-    target = min_partitions or spark.sparkContext.defaultParallelism
-    try:
-        current = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - sessions without RDD access: keep the plan as it is
-        return df
-    if current >= target:
-        return df
-    return df.repartition(target)
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return max(least, -(-sum(s for s in sizes if s < 1 << 60) // target_bytes))

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.codec import decode, decode_or_default, decode_sql, encode, value_type_of
+from tessera.functions.codec import decode, decode_or_default, decode_sql, encode, encode_sql, text_literal, value_type_of
 from tessera.model import PUT, SPARK_TYPES, ColumnSpec, column_specs, normalize_type
 
 
@@ -56,8 +56,9 @@ def melt_to_cells(
 def encode_family(df: DataFrame, key: str, family: str, *, ts: Column | int, seq: Column | int = 0) -> DataFrame:
     """keyMap2Put: every non-key column to ``family:<column>``, layout from the column's Spark type."""
     specs = [ColumnSpec(f.name, family, f.name, value_type_of(f.dataType)) for f in df.schema.fields if f.name != key]
-    prepared = df.select(key, *[F.col(s.name) if s.type != "string" or _is_string(df, s.name)
-                                else F.col(s.name).cast("string").alias(s.name) for s in specs])
+    quoted = {s.name: F.col("`" + s.name.replace("`", "``") + "`") for s in specs}
+    prepared = df.select(key, *[quoted[s.name] if s.type != "string" or _is_string(df, s.name)
+                                else quoted[s.name].cast("string").alias(s.name) for s in specs])
     return melt_to_cells(prepared, key, specs, ts=ts, seq=seq)
 
 
@@ -76,14 +77,23 @@ def encode_cf(df: DataFrame, key: str, *, ts: Column | int, seq: Column | int =
 
 
 def explode_map_batch(df: DataFrame, key: str, map_col: str, *, family: str | None = None,
-                      type_name: str | None = None, ts: Column | int, seq: Column | int = 0) -> DataFrame:
+                      type_name: str | None = None, types: dict[str, str] | None = None, ts: Column | int,
+                      seq: Column | int = 0) -> DataFrame:
     """(key, map) batches -> log rows.  Map keys are ``family:qualifier`` unless ``family`` is given.
 
-    Values are encoded by the map's value type (all entries of a Spark map
-    share one type).
+    Values are encoded by the map's value type.  For mixed types pass string
+    values and ``types``: map key -> type name of the value written as text
+    (keys not listed stay strings; text that is not of its type is an error).
     """
     vtype = normalize_type(type_name) if type_name else value_type_of(df.schema[map_col].dataType.valueType)
     exploded = df.select(F.col(key).cast("string").alias("rowkey"), F.explode(map_col).alias("k", "v"))
+    if types:
+        typed = [(k, normalize_type(t)) for k, t in types.items()]
+        branches = " ".join(f"WHEN k = {text_literal(k)} THEN {encode_sql(f'CAST(v AS {SPARK_TYPES[t].simpleString()})', t)}"
+                            for k, t in typed)
+        value = F.expr(f"CASE {branches} ELSE {encode_sql('v', 'string')} END")
+    else:
+        value = encode("v", vtype)
     if family is None:
         has_sep = F.instr(F.col("k"), ":") > 0
         fam = F.when(has_sep, F.substring_index("k", ":", 1)).otherwise(
@@ -95,7 +105,7 @@ def explode_map_batch(df: DataFrame, key: str, map_col: str, *, family: str | No
     seq_col = F.lit(seq) if isinstance(seq, int) else seq
     return exploded.select(
         "rowkey", fam.alias("family"), qual.alias("qualifier"), ts_col.cast("bigint").alias("ts"),
-        seq_col.cast("bigint").alias("seq"), F.lit(PUT).alias("op"), encode("v", vtype).alias("value"),
+        seq_col.cast("bigint").alias("seq"), F.lit(PUT).alias("op"), value.alias("value"),
     ).filter(F.col("value").isNotNull())
 
 
@@ -107,13 +117,14 @@ def _is_string(df: DataFrame, name: str) -> bool:
 
 # ------------------------------------------------------- P4 decode columns
 def decode_columns(cells: DataFrame, columns, *, family: str | None = None, with_key: bool = False,
-                   defaults: bool = True) -> DataFrame:
+                   defaults: bool = True, all_rows: bool = True) -> DataFrame:
     """getDF / getDFWithK: live cells -> one typed column per requested column.
 
     ``columns`` is ``[(name, type)]`` where a name may be ``family:qualifier``.
     A conditional aggregate per column pivots the cells of each row (one
     shuffle on ``rowkey``); missing cells take the type's default value.
-    Rows with none of the requested columns do not appear (no cells read).
+    A row with none of the requested columns gives a row of defaults;
+    ``all_rows=False`` leaves it out and reads the requested cells only.
     """
     all_specs = column_specs(columns, family)
     with_key = with_key or any(s.is_key for s in all_specs)  # a ROWKEY entry asks for the key column
@@ -126,7 +137,7 @@ def decode_columns(cells: DataFrame, columns, *, family: str | None = None, with
             f"__v{i}")
         for i, s in enumerate(specs)
     ]
-    pivoted = cells.filter(wanted).groupBy("rowkey").agg(*aggs)
+    pivoted = (cells if all_rows else cells.filter(wanted)).groupBy("rowkey").agg(*aggs)
     out = []
     if with_key:
         out.append(F.col("rowkey").alias("ROWKEY"))
@@ -137,8 +148,8 @@ def decode_columns(cells: DataFrame, columns, *, family: str | None = None, with
 
 
 def decode_log(log: DataFrame, columns, *, family: str | None = None, with_key: bool = False,
-               defaults: bool = True, all_rows: bool = False, version_deletes: bool | str = "auto",
-               row_deletes: bool | str = "auto") -> DataFrame:
+               defaults: bool = True, all_rows: bool = True, version_deletes: bool = True,
+               row_deletes: bool = True) -> DataFrame:
     """Version resolution + decode of a *log*, with row tombstones applied after the pivot.
 
     Cells are resolved without the row stage, pivoted to one row per key
@@ -148,17 +159,15 @@ def decode_log(log: DataFrame, columns, *, family: str | None = None, with_key:
     work in one task.  Each column carries its cell's ts so that a row
     tombstone hides exactly the columns written at or before it.
 
-    ``all_rows=True`` keeps every live row, also rows without any requested
-    column (their columns are NULL or the default): a row is live while its
-    newest live cell is newer than its row tombstone.
+    Every live row is kept, also rows without any requested column (their
+    columns are NULL or the default): a row is live while its newest live cell
+    is newer than its row tombstone.  Values of other columns are dropped
+    before the first shuffle.  ``all_rows=False`` leaves such rows out.
     """
     from tessera.model import DEL_ROW, LOG_COLUMNS
-    from tessera.operators.versions import has_op, latest_cells
+    from tessera.operators.versions import latest_cells
 
     entries = log.select(*LOG_COLUMNS)
-    if row_deletes == "auto":
-        row_deletes = has_op(entries, DEL_ROW)
-    cells = latest_cells(entries, version_deletes=version_deletes, row_deletes=False)
     all_specs = column_specs(columns, family)
     with_key = with_key or any(s.is_key for s in all_specs)
     specs = [s for s in all_specs if not s.is_key]
@@ -166,6 +175,8 @@ def decode_log(log: DataFrame, columns, *, family: str | None = None, with_key:
     wanted = F.lit(False)
     for m in match:
         wanted = wanted | m
+    cells = latest_cells(entries.withColumn("value", F.when(wanted, F.col("value"))), version_deletes=version_deletes,
+                         row_deletes=False)
     source = cells if all_rows else cells.filter(wanted)
     row_ts = [F.max("ts").alias("__rowts")] if all_rows else []
     pivoted = source.groupBy("rowkey").agg(
@@ -199,9 +210,9 @@ def typed_view(cells: DataFrame, types: dict[str, str], extra: Sequence[str] = (
     ``types`` maps qualifier -> type name; unlisted qualifiers decode as text.
     """
     numeric = {q: normalize_type(t) for q, t in types.items() if normalize_type(t) not in ("string", "rowkey", "boolean")}
-    branches = " ".join(f"WHEN qualifier = '{q}' THEN CAST({decode_sql('value', t)} AS DOUBLE)" for q, t in numeric.items())
+    branches = " ".join(f"WHEN qualifier = {text_literal(q)} THEN CAST({decode_sql('value', t)} AS DOUBLE)" for q, t in numeric.items())
     n_val = F.expr(f"CASE {branches} END") if numeric else F.lit(None).cast("double")
-    quoted = ", ".join(f"'{q}'" for q in numeric)
+    quoted = ", ".join(map(text_literal, numeric))
     s_val = F.expr(f"CASE WHEN qualifier NOT IN ({quoted}) THEN {decode_sql('value', 'string')} END") if numeric \
         else decode("value", "string")
     return cells.select("rowkey", "family", "qualifier", *extra, s_val.alias("s_val"), n_val.alias("n_val"))
@@ -228,6 +239,20 @@ def rows_to_cf_map(cells: DataFrame, *, with_key: bool = True) -> DataFrame:
     return out if with_key else out.select("cells")
 
 
+def decode_map(rows: DataFrame, columns, *, key: str = "rowkey", map_col: str = "cells", with_key: bool = False,
+               defaults: bool = True) -> DataFrame:
+    """getDF over ``(rowkey, map<qualifier, bytes>)`` rows as :func:`rows_to_map` yields them: columns by qualifier alone."""
+    specs = column_specs(columns, "")
+    staged = rows.select(F.col(key).alias("ROWKEY"), *[
+        F.element_at(F.col(map_col), F.lit(s.qualifier)).alias(f"__v{i}") for i, s in enumerate(specs)])
+    out = [F.col("ROWKEY")] if with_key or any(s.is_key for s in specs) else []
+    for i, s in enumerate(specs):
+        if not s.is_key:
+            conv = decode_or_default(f"__v{i}", s.type) if defaults else decode(f"__v{i}", s.type)
+            out.append(conv.cast(SPARK_TYPES[s.type]).alias(s.name))
+    return staged.select(*out)
+
+
 def render_map(m: Column, value_render=F.hex) -> Column:
     """Sorted ``k=v;k=v`` text of a map, for comparison and display."""
     entries = F.array_sort(F.map_entries(m))

@@ -20,9 +20,11 @@ Plan, chosen for skew and scale:
    salted by column so a wide hot row is joined by many tasks.  AQE turns
    it into a broadcast when the tombstone side is small at run time.
 
-Stages 1 and 3 are planned only when the log holds version or row
-tombstones (``"auto"``: a one-row probe on the ``op`` column), so a log of
-puts and column deletes resolves with a single partially aggregated shuffle.
+All stages are planned unless the caller states that the log holds no
+version or no row tombstones; building a plan never runs a job.  A log of
+puts and column deletes so described resolves with a single partially
+aggregated shuffle.  Binary values make Spark sort each side of the aggregate;
+``values=False`` leaves them out of scan, shuffle and sort.
 """
 
 from __future__ import annotations
@@ -36,33 +38,19 @@ CELL = ["rowkey", "family", "qualifier"]
 CELL_COLUMNS = ["rowkey", "family", "qualifier", "ts", "seq", "value"]
 
 
-def has_op(log: DataFrame, op_name: str) -> bool:
-    """Whether the log holds any mutation of kind ``op_name``.
-
-    A one-row probe (``isEmpty``) over the ``op`` column, with the equality
-    pushed to the Parquet scan; when ``op`` is a literal of the plan (a
-    derived batch of puts) Catalyst folds the probe away without a job.
-    """
-    return not log.select("op").filter(F.col("op") == op_name).isEmpty()
-
-
 ROW_JOIN_SALTS = 16
 
 
-def latest_cells(log: DataFrame, *, version_deletes: bool | str = "auto",
-                 row_deletes: bool | str = "auto", row_join_salts: int = ROW_JOIN_SALTS) -> DataFrame:
+def latest_cells(log: DataFrame, *, version_deletes: bool = True, row_deletes: bool = True,
+                 row_join_salts: int = ROW_JOIN_SALTS, values: bool = True) -> DataFrame:
     """Live latest cells ``(rowkey, family, qualifier, ts, seq, value)``.
 
-    ``version_deletes`` / ``row_deletes``: ``True`` plans the stage, ``False``
-    skips it (for logs known to hold no such tombstones), ``"auto"`` probes
-    the log first (:func:`has_op`).  The result is the same either way; a
-    skipped stage saves a full shuffle (version level) or a join (row level).
+    ``version_deletes`` / ``row_deletes``: ``False`` skips the stage, for logs
+    that hold no such tombstones; it saves a full shuffle (version level) or
+    a join (row level).  ``values=False`` resolves coordinates only: the
+    value column is not read, and every ``value`` is empty.
     """
-    entries = log.select(*LOG_COLUMNS)
-    if version_deletes == "auto":
-        version_deletes = has_op(entries, DEL_VERSION)
-    if row_deletes == "auto":
-        row_deletes = has_op(entries, DEL_ROW)
+    entries = log.select(*LOG_COLUMNS) if values else log.select(*LOG_COLUMNS[:-1]).withColumn("value", F.lit(b""))
     op = F.col("op")
     is_put = op == PUT
 

@@ -11,13 +11,20 @@ from pyspark.sql import functions as F
 
 from tessera.functions.geohash import with_geohash
 from tessera.model import DEL_COLUMN, DEL_ROW, PUT, Catalog, ColumnSpec
-from tessera.operators.partitioning import spread
 from tessera.operators.shape import melt_to_cells
+from tessera.session import scratch_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A source table, spread over the cores when its file is a single split (see :func:`spread`)."""
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    """A source table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def stored(log: DataFrame, name: str) -> DataFrame:
+    """A log as it lies in the store: written under the shared checkpoint folder and read back."""
+    path = scratch_path(log.sparkSession, name)
+    log.write.parquet(path)
+    return log.sparkSession.read.schema(log.schema).parquet(path)
 
 
 # ------------------------------------------------------------------ orders
@@ -76,7 +83,7 @@ def orders_tombstones(spark: SparkSession, sf_dir: str) -> DataFrame:
     muts = F.array(
         mutation(ok % 10 == 0, None, None, 2, 1, DEL_ROW, null_bin),
         mutation(ok % 7 == 0, "cf", "priority", 2, 1, DEL_COLUMN, null_bin),
-        mutation(ok % 21 == 0, "cf", "priority", 3, 2, PUT, encode(f"'{REPUT_PRIORITY}'", "string")),
+        mutation(ok % 21 == 0, "cf", "priority", 3, 2, PUT, F.encode(F.lit(REPUT_PRIORITY), "UTF-8")),
     )
     o = table(spark, sf_dir, "orders").select(order_key("o_orderkey").alias("rowkey"), F.explode(muts).alias("m"))
     return o.filter(F.col("m").isNotNull()).select("rowkey", "m.family", "m.qualifier", "m.ts", "m.seq", "m.op", "m.value")
@@ -182,6 +189,17 @@ def query_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.select(F.col("s_suppkey").alias("qid"), lon.alias("lon"), lat.alias("lat"))
 
 
+def _to_edge(col: str, half: float) -> F.Column:
+    """A coordinate mirrored into the last thirty-sixth before either end of its range."""
+    c = F.col(col)
+    return F.when(c >= 0, F.lit(half) - c / F.lit(36.0)).otherwise(F.lit(-half) - c / F.lit(36.0))
+
+
+def at_edges(points: DataFrame) -> DataFrame:
+    """Points (or queries) moved to both sides of the antimeridian and to both poles."""
+    return points.withColumn("lon", _to_edge("lon", 180.0)).withColumn("lat", _to_edge("lat", 90.0))
+
+
 # --------------------------------------------------------------- text puts
 def text_put_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``rowkey,qualifier,value`` lines from part, plus 2-field lines (rejects) and 4-field lines (extra ignored)."""

@@ -59,17 +59,27 @@ QUERY_POINTS = """qpts AS (
          ((s_suppkey * 1013) % 18000) / CAST(100 AS DOUBLE) - 90 AS lat FROM supplier)"""
 
 
+def to_edge_sql(col: str, half: str) -> str:
+    return (f"CASE WHEN {col} >= 0 THEN CAST({half} AS DOUBLE) - {col} / CAST(36 AS DOUBLE) "
+            f"ELSE CAST(-{half} AS DOUBLE) - {col} / CAST(36 AS DOUBLE) END")
+
+
+EDGE_LOCATIONS = f"""elocs AS (SELECT uid, CAST(uid AS VARCHAR) AS hash, {to_edge_sql('lon', '180')} AS lon,
+  {to_edge_sql('lat', '90')} AS lat FROM locs)"""
+EDGE_QUERIES = f"""equeries AS (SELECT qid, {to_edge_sql('lon', '180')} AS lon, {to_edge_sql('lat', '90')} AS lat FROM qpts)"""
+
+
 def cells_sql(p: int, table: str, key: str, cols: str) -> str:
     lon_bits, lat_bits = bits_for(p)
     return (f"SELECT {cols}, {cell_index_sql('lon', *LON_RANGE, lon_bits)} AS gx, "
             f"{cell_index_sql('lat', *LAT_RANGE, lat_bits)} AS gy FROM {table}")
 
 
-def blocks_sql(p: int) -> str:
+def blocks_sql(p: int, queries: str = "qpts") -> str:
     """3x3 wrapped blocks of every query point at precision p: qid, qlon, qlat, dx, dy, cx, cy."""
     lon_bits, lat_bits = bits_for(p)
     nx, ny = 1 << lon_bits, 1 << lat_bits
-    return f"""qc AS ({cells_sql(p, 'qpts', 'qid', 'qid, lon AS qlon, lat AS qlat')}),
+    return f"""qc AS ({cells_sql(p, queries, 'qid', 'qid, lon AS qlon, lat AS qlat')}),
 offs AS (SELECT * FROM (VALUES (-1,-1),(0,-1),(1,-1),(-1,0),(0,0),(1,0),(-1,1),(0,1),(1,1)) t(dx, dy)),
 blocks AS (SELECT DISTINCT qid, qlon, qlat, dx, dy, ((gx + dx) % {nx} + {nx}) % {nx} AS cx,
                   ((gy + dy) % {ny} + {ny}) % {ny} AS cy FROM qc, offs)"""

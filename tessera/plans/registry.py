@@ -89,11 +89,32 @@ DECODED_ORDERS_SQL = (f"{O.OKEY} AS ROWKEY, o_orderstatus AS status, o_orderprio
 @query("latest_cells", _with(O.EVENTS_VERSIONS) +
        "SELECT rowkey, family, qualifier, ts, seq, s_val, n_val FROM evr WHERE rn = 1")
 def q_latest_cells(spark, sf):
-    live = latest_cells(fx.events_log(spark, sf))
+    live = latest_cells(fx.events_log(spark, sf), version_deletes=False, row_deletes=False)
     return P.typed_view(live, fx.EVENTS_TYPES, extra=("ts", "seq"))
 
 
+@query("latest_cells_stored", _with(O.ORDERS_CELLS, O.ORDERS_TOMB_CELLS) +
+       "SELECT rowkey, family, qualifier, ts, s_val, n_val FROM orders_tcells")
+def q_latest_cells_stored(spark, sf):
+    """All stages, over a log that lies in the store."""
+    return orders_view(latest_cells(fx.stored(orders_with_tombstones(spark, sf), "log-latest")))
+
+
 # ============================================================ S scans
+@query("scan_range_stored", _with(O.ORDERS_CELLS, O.ORDERS_TOMB_CELLS) +
+       "SELECT rowkey, family, qualifier, ts, s_val, n_val FROM orders_tcells WHERE rowkey >= '0000001000' AND rowkey < '0000002000'")
+def q_scan_range_stored(spark, sf):
+    return orders_view(S.raw_scan(fx.stored(orders_with_tombstones(spark, sf), "log-range"), "0000001000", "0000002000"))
+
+
+@query("filter_column_value_stored", _with(O.ORDERS_CELLS, O.ORDERS_TOMB_CELLS) +
+       "SELECT rowkey, family, qualifier, ts, s_val, n_val FROM orders_tcells WHERE ok % 10 <> 0 AND "
+       "ok IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')")
+def q_filter_column_value_stored(spark, sf):
+    return orders_view(S.scan_rows_where_column(fx.stored(orders_with_tombstones(spark, sf), "log-filter"), "cf", "status",
+                                                F.col("value") == F.lit(b"F")))
+
+
 @query("scan_range", _with(O.ORDERS_CELLS) +
        f"SELECT {CELL_COLS} FROM orders_cells WHERE rowkey >= '0000001000' AND rowkey < '0000002000'")
 def q_scan_range(spark, sf):
@@ -114,9 +135,11 @@ def q_scan_column_typed(spark, sf):
     return S.scan_column_typed(orders_with_tombstones(spark, sf), "cf", "custkey", "long")
 
 
-@query("scan_column_string", f"SELECT {O.OKEY} AS rowkey, o_orderpriority AS value FROM orders")
+@query("scan_column_string",
+       f"SELECT {O.OKEY} AS rowkey, CASE WHEN o_orderkey % 21 = 0 THEN '9-REPUT' WHEN o_orderkey % 10 = 0 OR "
+       f"o_orderkey % 7 = 0 THEN NULL ELSE o_orderpriority END AS value FROM orders WHERE {O.ALIVE}")
 def q_scan_column_string(spark, sf):
-    return S.scan_column_string(fx.orders_log(spark, sf), "cf", "priority")
+    return S.scan_column_string(orders_with_tombstones(spark, sf), "cf", "priority")
 
 
 @query("scan_columns",
@@ -156,7 +179,13 @@ def q_scan_mapped_arrow(spark, sf):
         for b in batches:
             cells = b.column("cells")
             n = pc.subtract(cells.offsets[1:], cells.offsets[:-1])
-            longest = [max((k for k, _ in row), key=lambda q: (len(q), q)) for row in cells.to_pylist()]
+            # keys of all rows at once; within a row the longest key, then the last, comes last
+            keys = cells.keys
+            row = pc.cast(pc.list_parent_indices(pa.ListArray.from_arrays(cells.offsets, keys)), pa.int64())
+            order = pc.sort_indices(pa.table({"r": row, "n": pc.utf8_length(keys), "k": keys}),
+                                    sort_keys=[("r", "ascending"), ("n", "ascending"), ("k", "ascending")])
+            last = pc.subtract(cells.offsets[1:], pa.scalar(1, pa.int32()))
+            longest = keys.take(order).take(pc.subtract(last, cells.offsets[0]))
             yield pa.RecordBatch.from_arrays(
                 [b.column("rowkey"), pc.cast(n, pa.int64()), pa.array(longest, pa.string())],
                 names=["rowkey", "n_cells", "longest"])
@@ -273,9 +302,12 @@ def q_catalog_read_log(spark, sf):
        f"SELECT pk, status, totalprice FROM ({CATALOG_SQL}) t WHERE priority = '1-URGENT' "
        f"ORDER BY totalprice DESC, pk LIMIT 10")
 def q_sql_query(spark, sf):
-    Q.register(C.read_wide(fx.ORDERS_CATALOG, fx.orders_wide(spark, sf)), "orders_catalog")
-    return Q.exec_query(spark, "SELECT pk, status, totalprice FROM orders_catalog WHERE priority = '1-URGENT' "
-                               "ORDER BY totalprice DESC, pk LIMIT 10")
+    name = f"orders_catalog_{uuid.uuid4().hex[:12]}"
+    Q.register(C.read_wide(fx.ORDERS_CATALOG, fx.orders_wide(spark, sf)), name)
+    out = Q.exec_query(spark, f"SELECT pk, status, totalprice FROM {name} WHERE priority = '1-URGENT' "
+                              "ORDER BY totalprice DESC, pk LIMIT 10")
+    spark.catalog.dropTempView(name)
+    return out
 
 
 # ============================================================ F filters
@@ -320,7 +352,7 @@ def q_filter_column_regex(spark, sf):
 @query("filter_key_only", _with(O.ORDERS_CELLS) +
        "SELECT rowkey, family, qualifier, ts, CAST(0 AS INTEGER) AS nbytes FROM orders_cells")
 def q_filter_key_only(spark, sf):
-    cells = FL.key_only(latest_cells(fx.orders_log(spark, sf)))
+    cells = S.scan_key_only(fx.orders_log(spark, sf))
     return cells.select("rowkey", "family", "qualifier", "ts", F.length("value").alias("nbytes"))
 
 
@@ -369,6 +401,20 @@ def q_filter_while_match(spark, sf):
     return customer_view(FL.while_match(F.col("rowkey") != "000700")(latest_cells(fx.customer_log(spark, sf))))
 
 
+@query("filter_while_match_value", _with(O.CUSTOMER_CELLS) + f"SELECT {CELL_COLS} FROM customer_cells WHERE rowkey < "
+       f"(SELECT min({O.CKEY}) FROM customer WHERE c_mktsegment = 'MACHINERY')")
+def q_filter_while_match_value(spark, sf):
+    """The scan ends before the first row with a failing cell value."""
+    return customer_view(FL.while_match(~FL.value_matches("machinery"))(latest_cells(fx.customer_log(spark, sf))))
+
+
+@query("filter_random_rows_all", _with(O.CUSTOMER_CELLS) + f"SELECT {CELL_COLS} FROM customer_cells")
+def q_filter_random_rows_all(spark, sf):
+    """Fraction 1 keeps every row, by either kind of decision."""
+    live = FL.random_rows(1.0, deterministic=True)(latest_cells(fx.customer_log(spark, sf)))
+    return customer_view(FL.random_rows(1.0)(live))
+
+
 @query("filter_random_rows", _with(O.CUSTOMER_CELLS) +
        f"SELECT {CELL_COLS} FROM customer_cells WHERE substring(md5(rowkey), 1, 8) < 'cccccccc'")
 def q_filter_random_rows(spark, sf):
@@ -417,10 +463,12 @@ def q_rows_to_map(spark, sf):
 
 @query("rows_to_str_map",
        f"SELECT {O.CKEY} AS rowkey, CASE WHEN c_acctbal < 0 THEN 'flag=neg;' ELSE '' END || 'name=' || c_name || "
-       f"';segment=' || c_mktsegment AS entries FROM customer")
+       f"'!;segment=' || c_mktsegment AS entries FROM customer")
 def q_rows_to_str_map(spark, sf):
-    live = latest_cells(fx.customer_log(spark, sf)).filter(F.col("family") == "cf")
-    m = P.rows_to_map(live, as_string=True)
+    """All text cells of a row; ``name`` stands in two families, of which the higher one wins."""
+    log = fx.customer_log(spark, sf).where("family = 'cf'")
+    twin = log.where("qualifier = 'name'").withColumn("family", F.lit("stats")).withColumn("value", F.concat("value", F.lit(b"!")))
+    m = P.rows_to_map(latest_cells(log.unionByName(twin)), as_string=True)
     return m.select("rowkey", P.render_map(F.col("cells"), value_render=lambda v: v).alias("entries"))
 
 
@@ -431,11 +479,27 @@ def q_rows_to_cf_map(spark, sf):
 
 
 @query("single_column_and_key",
-       f"SELECT CASE WHEN c_acctbal < 0 THEN 'neg' ELSE '' END AS value, {O.CKEY} AS rowkey FROM customer")
+       f"SELECT CASE WHEN c_acctbal < 0 THEN 'neg' ELSE c_name END AS value, {O.CKEY} AS rowkey FROM customer")
 def q_single_column_and_key(spark, sf):
+    """The first of all cells by (family, qualifier): ``flag`` where there is one, else ``name``."""
     live = latest_cells(fx.customer_log(spark, sf))
-    rows = live.select("rowkey").distinct()
-    return P.single_column_and_key(rows, live.filter(F.col("qualifier") == "flag"))
+    return P.single_column_and_key(S.scan_keys(fx.customer_log(spark, sf)), live)
+
+
+@query("decode_missing_columns",
+       f"SELECT {O.CKEY} AS ROWKEY, CASE WHEN c_acctbal < 0 THEN 'neg' ELSE '' END AS flag FROM customer")
+def q_decode_missing_columns(spark, sf):
+    """A row without any requested column is a row of defaults."""
+    return P.decode_columns(latest_cells(fx.customer_log(spark, sf)), [("flag", "string")], family="cf", with_key=True)
+
+
+@query("decode_map_columns",
+       f"SELECT {O.CKEY} AS ROWKEY, CASE WHEN c_acctbal < 0 THEN 'neg' ELSE '' END AS flag, "
+       f"CAST(c_nationkey AS BIGINT) AS counter FROM customer")
+def q_decode_map_columns(spark, sf):
+    """Columns by qualifier alone, from (rowkey, map) rows."""
+    rows = P.rows_to_map(latest_cells(fx.customer_log(spark, sf)))
+    return P.decode_map(rows, [("flag", "string"), ("counter", "long")], with_key=True)
 
 
 DECODE_TYPED_SQL = (
@@ -452,6 +516,11 @@ def q_decode_typed(spark, sf):
     return P.decode_log(orders_with_tombstones(spark, sf), fx.ORDERS_COLUMNS, family="cf")
 
 
+@query("decode_typed_stored", "SELECT " + DECODE_TYPED_SQL)
+def q_decode_typed_stored(spark, sf):
+    return P.decode_log(fx.stored(orders_with_tombstones(spark, sf), "log-decode"), fx.ORDERS_COLUMNS, family="cf")
+
+
 @query("decode_typed_with_key", f"SELECT {O.OKEY} AS ROWKEY, " + DECODE_TYPED_SQL)
 def q_decode_typed_with_key(spark, sf):
     return P.decode_log(orders_with_tombstones(spark, sf), fx.ORDERS_COLUMNS, family="cf", with_key=True)
@@ -498,8 +567,9 @@ def q_generated_keys(spark, sf):
 
 
 @query("generated_keys_ordered",
-       "SELECT event_id, strftime(ts, '%Y%m%d%H%M%S%g') || '_' || md5(concat_ws(chr(1), CAST(event_id AS VARCHAR), "
-       "CAST(user_id AS VARCHAR), event_type)) AS rowkey FROM events")
+       "SELECT event_id, strftime(ts, '%Y%m%d%H%M%S%g') || '_' || md5(" + " || ".join(
+           f"coalesce(length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')"
+           for c in ("event_id", "user_id", "event_type")) + ") AS rowkey FROM events")
 def q_generated_keys_ordered(spark, sf):
     """Reproducible time-ordered keys for key-less rows (events)."""
     e = fx.table(spark, sf, "events")
@@ -568,6 +638,21 @@ def q_bulk_put_timestamp(spark, sf):
     return decoded_orders_log(W.with_batches(fx.orders_log(spark, sf), older, newer))
 
 
+@query("bulk_put_same_ts",
+       f"SELECT {O.OKEY} AS ROWKEY, CASE WHEN o_orderkey % 11 = 0 THEN 'second' ELSE o_orderstatus END AS status, "
+       f"o_orderpriority AS priority, o_custkey AS custkey, o_totalprice AS totalprice FROM orders")
+def q_bulk_put_same_ts(spark, sf):
+    """Two batches at one ts: the later batch wins."""
+    o = fx.table(spark, sf, "orders").filter(F.col("o_orderkey") % 11 == 0)
+
+    def batch(text):
+        return W.bulk_put_with_timestamp(o.select(
+            fx.order_key("o_orderkey").alias("rowkey"),
+            F.array(F.struct(F.lit("cf").alias("family"), F.lit("status").alias("qualifier"),
+                             F.lit(text).alias("value"))).alias("cells")), 5)
+    return decoded_orders_log(W.with_batches(fx.orders_log(spark, sf), batch("first"), batch("second")))
+
+
 @query("catalog_write", CATALOG_SQL)
 def q_catalog_write(spark, sf):
     path = scratch_path(spark, "catalog-write")
@@ -663,14 +748,18 @@ def q_copy_table(spark, sf):
        f"SELECT pk, status, totalprice FROM ({CATALOG_SQL}) t WHERE status = 'O' AND priority = '1-URGENT' "
        f"UNION ALL SELECT pk, status, totalprice FROM ({CATALOG_SQL}) t WHERE status = 'F' AND totalprice > 300000.0")
 def q_sql_insert(spark, sf):
-    Q.register(C.read_wide(fx.ORDERS_CATALOG, fx.orders_wide(spark, sf)), "orders_catalog")
-    name = f"orders_pick_{uuid.uuid4().hex[:12]}"
-    Q.create_parquet_table(spark, name, "pk STRING, status STRING, totalprice DOUBLE", scratch_path(spark, name))
-    Q.exec_update(spark, f"INSERT INTO {name} SELECT pk, status, totalprice FROM orders_catalog "
+    tag = uuid.uuid4().hex[:12]
+    view, name = f"orders_catalog_{tag}", f"orders_pick_{tag}"
+    Q.register(C.read_wide(fx.ORDERS_CATALOG, fx.orders_wide(spark, sf)), view)
+    location = scratch_path(spark, name)
+    Q.create_parquet_table(spark, name, "pk STRING, status STRING, totalprice DOUBLE", location)
+    Q.exec_update(spark, f"INSERT INTO {name} SELECT pk, status, totalprice FROM {view} "
                          f"WHERE status = 'O' AND priority = '1-URGENT'")
-    Q.exec_update(spark, f"INSERT INTO {name} SELECT pk, status, totalprice FROM orders_catalog "
+    Q.exec_update(spark, f"INSERT INTO {name} SELECT pk, status, totalprice FROM {view} "
                          f"WHERE status = 'F' AND totalprice > 300000.0")
-    return spark.table(name)
+    spark.catalog.dropTempView(view)
+    spark.sql(f"DROP TABLE {name}")  # external: the written files stay
+    return spark.read.parquet(location)
 
 
 # ============================================================ G geo
@@ -752,6 +841,18 @@ def q_knn_geohash_multilevel(spark, sf):
     return G.knn_geohash(fx.locations(spark, sf), fx.query_points(spark, sf), n=5, precision=1, fine_precision=2)
 
 
+@query("knn_geohash_edges",
+       _with(O.LOCATIONS, O.QUERY_POINTS, O.EDGE_LOCATIONS, O.EDGE_QUERIES, O.blocks_sql(1, "equeries"),
+             f"lc AS ({O.cells_sql(1, 'elocs', 'uid', 'uid, hash, lon, lat')})") +
+       f"SELECT qid, CAST(rank AS INTEGER) AS rank, uid, hash, lon, lat, distance FROM (SELECT q.qid, l.uid, l.hash, l.lon, l.lat, "
+       f"{DIST_SQL} AS distance, row_number() OVER (PARTITION BY q.qid ORDER BY {DIST_SQL}, l.uid) AS rank "
+       f"FROM blocks q JOIN lc l ON q.cx = l.gx AND q.cy = l.gy) t WHERE rank <= 5")
+def q_knn_geohash_edges(spark, sf):
+    """kNN with points and queries on both sides of the antimeridian and at both poles."""
+    pts = fx.at_edges(fx.locations(spark, sf).select("uid", "lon", "lat")).withColumn("hash", F.col("uid").cast("string"))
+    return G.knn_geohash(pts, fx.at_edges(fx.query_points(spark, sf)), n=5, precision=1)
+
+
 # ============================================================ J joins
 @query("join_decoded",
        f"SELECT {O.OKEY} AS pk, c_name, o_orderstatus AS status, o_totalprice AS totalprice FROM orders "

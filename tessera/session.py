@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -38,14 +39,22 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "tesse
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the setting names a shared filesystem folder and is left
-    untouched.  Only when it is unset (local tests) a scratch folder is made.
+    The session's setting comes first, then a folder set by
+    ``SparkContext.setCheckpointDir``, which stays as it is.  With neither, a
+    local session (one JVM, as in tests) gets a scratch folder; on a cluster
+    that is an error, because a folder of the driver's machine is not shared.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
+    set_already = spark.sparkContext._jsc.sc().getCheckpointDir()
+    if not current and set_already.isDefined():
+        return set_already.get()
     if not current:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         current = tempfile.mkdtemp(prefix="tessera-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
+    if not set_already.isDefined():
+        spark.sparkContext.setCheckpointDir(current)
     return current
 
 

@@ -9,10 +9,11 @@ Two physical forms of one logical table:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.model import SPARK_TYPES, Catalog
+from tessera.operators.partitioning import partitions_for
 from tessera.operators.shape import decode_columns, melt_to_cells
 
 
@@ -44,19 +45,21 @@ def read_log_table(catalog: Catalog, log: DataFrame) -> DataFrame:
     return decoded.select(*renamed).select(*[c.name for c in catalog.columns])
 
 
-def to_cells(catalog: Catalog, df: DataFrame, *, ts, seq=0) -> DataFrame:
+def to_cells(catalog: Catalog, df: DataFrame, *, ts, seq: Column | int = 0) -> DataFrame:
     """Catalog write to the log: every non-null catalog column becomes a put."""
     return melt_to_cells(df, catalog.key_name, catalog.value_columns, ts=ts, seq=seq)
 
 
 def write_wide(catalog: Catalog, df: DataFrame, path: str, *, regions: int = 5, mode: str = "overwrite") -> None:
-    """write2HBase with ``newTable -> regions``: range-partition by key into ``regions`` sorted files.
+    """write2HBase with ``newTable -> regions``: range-partition by key into at least ``regions`` sorted files.
 
     Each output file covers one key range and is sorted inside, so Parquet
-    row-group statistics prune key-range scans on read.
+    row-group statistics prune key-range scans on read.  Large inputs get more
+    ranges than ``regions`` (:func:`partitions_for`).
     """
     key = catalog.key_name
-    (read_wide(catalog, df).repartitionByRange(regions, key).sortWithinPartitions(key)
+    rows = read_wide(catalog, df)
+    (rows.repartitionByRange(partitions_for(rows, regions), key).sortWithinPartitions(key)
      .write.mode(mode).parquet(path))
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.codec import decode
-from tessera.operators.filters import row_range
+from tessera.operators.filters import row_range, rows_in
 from tessera.operators.shape import decode_columns
 from tessera.operators.versions import latest_cells
 
@@ -56,18 +56,17 @@ def scan_column_typed(log: DataFrame, family: str, qualifier: str, type_name: st
     return d.select(F.col("ROWKEY").alias("rowkey"), F.col(f"`{family}:{qualifier}`").alias("value"))
 
 
-def scan_column_string(log: DataFrame, family: str, qualifier: str, start: str = DEFAULT_START,
-                       stop: str = DEFAULT_STOP, **resolve) -> DataFrame:
-    """getRDD -> String: ``(rowkey, value)`` for rows that have the column."""
-    cells = scan_column(log, family, qualifier, start, stop, **resolve)
-    return cells.select("rowkey", decode("value", "string").alias("value"))
+def scan_column_string(log: DataFrame, family: str, qualifier: str, start: str | None = None,
+                       stop: str | None = None, **resolve) -> DataFrame:
+    """getRDD -> String: ``(rowkey, value)`` of every live row in the bounds; NULL for rows without the column."""
+    return scan_column_typed(log, family, qualifier, "string", start, stop, **resolve)
 
 
 def scan_columns(log: DataFrame, family: str, columns: Sequence[tuple[str, str]], start: str | None = None,
                  stop: str | None = None, *, with_key: bool = True, **resolve) -> DataFrame:
     """Multi-column projection scan in one family: only listed columns are read and decoded."""
     cells = raw_scan(log, start, stop, columns=[(family, q) for q, _ in columns], **resolve)
-    return decode_columns(cells, columns, family=family, with_key=with_key)
+    return decode_columns(cells, columns, family=family, with_key=with_key, all_rows=False)
 
 
 def scan_mapped(log: DataFrame, mapper: Callable[[DataFrame], DataFrame], start: str | None = None,
@@ -78,23 +77,28 @@ def scan_mapped(log: DataFrame, mapper: Callable[[DataFrame], DataFrame], start:
 
 def scan_keys(log: DataFrame, start: str | None = None, stop: str | None = None, **resolve) -> DataFrame:
     """distributedScan -> keys: distinct live row keys."""
-    return raw_scan(log, start, stop, **resolve).select("rowkey").distinct()
+    return raw_scan(log, start, stop, values=False, **resolve).select("rowkey").distinct()
+
+
+def scan_key_only(log: DataFrame, start: str | None = None, stop: str | None = None, **resolve) -> DataFrame:
+    """KeyOnlyFilter during the scan: live coordinates with empty values; the value column is not read."""
+    return raw_scan(log, start, stop, values=False, **resolve)
 
 
 def scan_count(log: DataFrame, start: str | None = None, stop: str | None = None, **resolve) -> DataFrame:
     """Row count of the scan as a one-row frame (no driver-side loop)."""
-    return raw_scan(log, start, stop, **resolve).agg(F.count_distinct("rowkey").alias("n_rows"))
+    return raw_scan(log, start, stop, values=False, **resolve).agg(F.count_distinct("rowkey").alias("n_rows"))
 
 
 def bulk_get(log: DataFrame, keys: DataFrame, *, keep_missing: bool = False, **resolve) -> DataFrame:
     """bulkGet: live cells of the rows named in ``keys`` (column ``rowkey``).
 
-    A semi-join: the planner broadcasts the key frame when its measured size
-    is small and shuffles both sides otherwise.  ``keep_missing=True`` adds
+    A salted semi-join (:func:`rows_in`): the planner broadcasts the key frame
+    when its measured size is small and splits hot rows otherwise.  ``keep_missing=True`` adds
     absent keys as rows with NULL coordinates.
     """
     k = keys.select(F.col("rowkey").cast("string")).distinct()
-    hit = latest_cells(log.join(k, "rowkey", "left_semi"), **resolve)
+    hit = latest_cells(rows_in(log, k), **resolve)
     if not keep_missing:
         return hit
     return k.join(hit, "rowkey", "left")
@@ -105,7 +109,7 @@ def get_value(log: DataFrame, keys: DataFrame, family: str, qualifier: str, type
     """getAResult for a frame of keys: ``(rowkey, value)``, NULL when the row or column is absent."""
     k = keys.select(F.col("rowkey").cast("string")).distinct()
     col_log = log.filter(((F.col("family") == family) & (F.col("qualifier") == qualifier)) | F.col("family").isNull())
-    cells = latest_cells(col_log.join(k, "rowkey", "left_semi"), **resolve)
+    cells = latest_cells(rows_in(col_log, k), **resolve)
     return k.join(cells.select("rowkey", decode("value", type_name).alias("value")), "rowkey", "left")
 
 
@@ -140,7 +144,7 @@ def scan_rows_where_column(log: DataFrame, family: str, qualifier: str, value_pr
     """
     tested = raw_scan(log, start, stop, columns=[(family, qualifier)], **resolve)
     keys = tested.filter(value_pred).select("rowkey")
-    rows = log.filter(row_range(start, stop)).join(keys, "rowkey", "left_semi")
+    rows = rows_in(log.filter(row_range(start, stop)), keys)
     out = latest_cells(rows, **resolve)
     if exclude_tested:
         out = out.filter(~((F.col("family") == family) & (F.col("qualifier") == qualifier)))

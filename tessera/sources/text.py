@@ -6,16 +6,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.model import PUT
+from tessera.operators.batch import put_seq, put_ts
 
 
-def parse_text_puts(lines: DataFrame, family: str, *, ts=1, seq=0) -> tuple[DataFrame, DataFrame]:
-    """Lines -> ``(puts, rejects)``.  Extra fields are ignored; lines with < 3 fields are rejected."""
+def parse_text_puts(lines: DataFrame, family: str, *, ts=None, seq=None) -> tuple[DataFrame, DataFrame]:
+    """Lines -> ``(puts, rejects)``.  Extra fields are ignored; lines with < 3 fields are rejected.
+
+    ``ts`` defaults to the batch time and ``seq`` to the batch number, as for every other write.  Lines of one
+    load that name the same cell share both, so which of them wins is arbitrary.
+    """
     parts = lines.select(F.col("value").alias("line"), F.split(F.col("value"), ",").alias("f"))
     good = F.size("f") >= 3
-    ts_col = F.lit(ts).cast("bigint") if isinstance(ts, int) else ts
     puts = parts.filter(good).select(
         F.col("f")[0].alias("rowkey"), F.lit(family).alias("family"), F.col("f")[1].alias("qualifier"),
-        ts_col.cast("bigint").alias("ts"), F.lit(seq).cast("bigint").alias("seq"), F.lit(PUT).alias("op"),
+        put_ts(ts).alias("ts"), put_seq(seq).alias("seq"), F.lit(PUT).alias("op"),
         F.encode(F.col("f")[2], "UTF-8").alias("value"))
     rejects = parts.filter(~good).select("line")
     return puts, rejects

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tessera.model import LOG_COLUMNS, LOG_SCHEMA, Catalog
 from tessera.operators import mutate as W
+from tessera.operators.batch import put_seq, put_ts
 from tessera.operators.shape import decode_log
 from tessera.sources import catalog as C
 from tessera.sources import scan as S
@@ -55,7 +56,7 @@ class WideTable:
 
     def write(self, df: DataFrame, *, ts=None) -> None:
         """write2HBase(df, catalog): every catalog column becomes a put."""
-        self.apply(C.to_cells(self._catalog(), df, ts=W.batch_ts() if ts is None else ts))
+        self.apply(C.to_cells(self._catalog(), df, ts=put_ts(ts), seq=put_seq(None)))
 
     def put_maps(self, df: DataFrame, key: str = "rowkey", map_col: str = "cells", *, ts=None) -> None:
         """putRDD(table, (key, Map["cf:q", value]))."""
@@ -79,7 +80,7 @@ class WideTable:
         self.apply(W.delete_latest_version(self.log(), targets))
 
     def bulk_load(self, cells: DataFrame, staging_path: str, partitions: int) -> None:
-        """generateHFile + bulk load: sorted, range-partitioned staging files appended to the log."""
+        """generateHFile + bulk load: sorted, range-partitioned staging files moved into the log."""
         W.bulk_load(cells, staging_path, partitions)
         W.load_staged(self.spark, staging_path, self.path)
 

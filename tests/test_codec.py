@@ -75,12 +75,13 @@ def test_int_short(spark):
 
 
 def test_string_boolean_defaults(spark):
-    df = spark.createDataFrame([("lily", True), ("", False), ("日本", None)], "s string, b boolean")
+    df = spark.createDataFrame([("lily", True), ("", False), ("日本", None)], "s string, b boolean").select(
+        "*", F.lit(None).cast("binary").alias("none"), F.lit(b"\x07").alias("seven"))
     out = df.select(F.hex(encode("s", "string")).alias("hs"), F.expr(decode_sql(encode_sql("s", "string"), "string")).alias("s2"),
                     F.hex(encode("b", "boolean")).alias("hb"), F.expr(decode_sql(encode_sql("b", "boolean"), "boolean")).alias("b2"),
-                    decode_or_default("CAST(NULL AS BINARY)", "int").alias("d_int"),
-                    decode_or_default("CAST(NULL AS BINARY)", "string").alias("d_str"),
-                    decode("X'07'", "boolean").alias("nonzero")).collect()
+                    decode_or_default("none", "int").alias("d_int"),
+                    decode_or_default("none", "string").alias("d_str"),
+                    decode("seven", "boolean").alias("nonzero")).collect()
     assert [r.s2 for r in out] == ["lily", "", "日本"]
     assert [r.hs for r in out] == ["6C696C79", "", "E697A5E69CAC"]
     assert [r.hb for r in out] == ["FF", "00", None]

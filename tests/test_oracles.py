@@ -6,10 +6,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from tessera.plans import registry
 from tools.check_oracles import TABLES, rows_of
 
 SF = "/root/testdata/sf0.001"
-NAMES = sorted(entry.queries())
+NAMES = sorted(registry.queries())
 SPARK_TO_DUCK = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
                  "smallint": "SMALLINT", "float": "FLOAT", "boolean": "BOOLEAN"}
 
@@ -25,7 +26,7 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(NAMES) == set(registry.oracles()) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", NAMES)

@@ -35,7 +35,7 @@ def test_prefix_filter_after_resolution_reaches_scan(stored_log):
 
 
 def test_column_scan_prunes_and_aggregates_partially(stored_log):
-    p = plan(S.scan_column_string(stored_log, "cf", "status"))
+    p = plan(S.scan_column(stored_log, "cf", "status"))
     assert "EqualTo(qualifier,status)" in p
     assert "partial_max_by" in p
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
