@@ -1,7 +1,8 @@
 """Toxicity by subword-bag embeddings averaged into a linear softmax, trained jointly in numpy.
 
 A word is the mean of the vectors of its hashed subwords (the marked word and its character 3- to 5-grams), a
-document the mean of its words, scaled; a softmax over two classes scores it.  Embeddings and softmax learn
+document the average of its distinct words, weighted by the logarithm of their counts and scaled to unit length (with
+``SMOOTH``, so that few words give little evidence); a softmax over two classes scores it.  Embeddings and softmax learn
 together, so an unseen misspelling shares most of the vectors of the word it comes from.  The fit reads a bounded
 labelled sample; scoring reads every whole text.  As averaging is linear, scoring needs one number a subword.
 
@@ -12,6 +13,7 @@ scores like any other; repeated rows give repeated results; other columns pass t
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from collections import Counter
@@ -29,9 +31,12 @@ FIT_ROWS = 8000
 FIT_MAX_BYTES = 200_000
 BUCKETS = 1 << 17
 DIM = 8
-SCALE = 32.0
-EPOCHS = 150
-MIN_DOCS = 5
+SCALE = 4.0
+SMOOTH = 8.0
+RARE_WEIGHT = 1.0  # of the rarer label: this times the root of the ratio of the labels
+EPOCHS = 100
+LEARNING_RATE = 0.2
+MIN_DOCS = 10
 CACHE_WORDS = 1_000_000
 WORD = re.compile(r"\w+")
 
@@ -63,7 +68,8 @@ def fit(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int = 7
     bags = [Counter(WORD.findall((t or "").lower())) for t in texts]
     in_docs = Counter(w for b in bags for w in b)
     vocab = {w: i for i, w in enumerate(sorted(w for w, c in in_docs.items() if c >= min_docs))}
-    totals = [sum(b.values()) for b in bags]
+    bags = [{w: math.log1p(c) for w, c in b.items()} for b in bags]
+    totals = [math.sqrt(SMOOTH + sum(x * x for x in b.values())) for b in bags]
     bags = [{w: c for w, c in b.items() if w in vocab} for b in bags]
     keep = [i for i, b in enumerate(bags) if b]
     if not keep or not n1 or not n0:
@@ -88,6 +94,8 @@ def fit(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int = 7
     bias = np.array([0.0, prior], dtype=np.float32)
     state = [[np.zeros_like(p), np.zeros_like(p)] for p in (emb, soft, bias)]
     target = np.stack([1 - y, y], axis=1).astype(np.float32)
+    weight = np.where(y == 1, max(1.0, RARE_WEIGHT * math.sqrt(n0 / n1)), 1.0).astype(np.float32)
+    weight /= weight.sum()
     for t in range(1, epochs + 1):
         words = np.empty((len(subs), DIM), dtype=np.float32)
         for k in range(DIM):  # a column at a time, to keep the gathered copies small
@@ -98,7 +106,7 @@ def fit(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int = 7
         z = docs @ soft + bias
         p = np.exp(z - z.max(axis=1, keepdims=True))
         p /= p.sum(axis=1, keepdims=True)
-        g = (p - target) / len(bags)
+        g = (p - target) * weight[:, None]
         back = g @ soft.T
         g_emb = np.empty_like(emb)
         for k in range(DIM):
@@ -107,35 +115,28 @@ def fit(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int = 7
         for param, grad, (m, v) in zip((emb, soft, bias), (g_emb + l2 * emb, docs.T @ g + l2 * soft, g.sum(axis=0)), state):
             m += 0.1 * (grad - m)
             v += 0.001 * (grad * grad - v)
-            param -= 0.05 * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
+            param -= LEARNING_RATE * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
     weights = np.zeros(BUCKETS, dtype=np.float32)
     weights[used] = emb @ (soft[:, 1] - soft[:, 0])
     return Model(weights, float(bias[1] - bias[0]))
 
 
 class Scorer:
-    """Margins of whole texts; remembers the sums of words it has met, at most ``CACHE_WORDS`` of them."""
+    """Margins of whole texts; remembers the values of words it has met, at most ``CACHE_WORDS`` of them."""
 
     def __init__(self, model: Model):
         self.model, self.known = model, {}
 
-    def _meet(self, token: str) -> tuple[float, int]:
-        total, n = 0.0, 0
-        for w in WORD.findall(token):
-            total, n = total + float(self.model.weights[subwords(w)].mean()), n + 1
-        return total, n
-
     def margin(self, text: str | None) -> float:
-        counts = Counter((text or "").lower().split())
-        known, total, n = self.known, 0.0, 0
+        counts = Counter(WORD.findall((text or "").lower()))
+        known = self.known
         if len(known) > CACHE_WORDS:
             known.clear()
-        for token, c in counts.items():
-            got = known.get(token)
-            if got is None:
-                got = known[token] = self._meet(token)
-            total, n = total + got[0] * c, n + got[1] * c
-        return self.model.bias + (SCALE * total / n if n else 0.0)
+        for w in counts.keys() - known.keys():
+            known[w] = float(self.model.weights[subwords(w)].mean())
+        share = np.log1p(np.fromiter(counts.values(), dtype=np.float64, count=len(counts)))
+        value = np.fromiter(map(known.__getitem__, counts), dtype=np.float64, count=len(counts))
+        return self.model.bias + SCALE * float(share @ value) / math.sqrt(SMOOTH + float(share @ share))
 
     def scores(self, texts) -> np.ndarray:
         z = np.fromiter((self.margin(t) for t in texts), dtype=np.float64, count=len(texts))

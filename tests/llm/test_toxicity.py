@@ -1,6 +1,7 @@
 import random
 import zlib
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from tessera.llm import toxicity as T
@@ -31,12 +32,13 @@ def test_held_out_accuracy_and_misspellings():
     assert T.Scorer(model).margin(unseen) > T.Scorer(model).margin(" ".join(f"w{i}" for i in range(33)))
 
 
-def test_scoring_is_the_mean_of_subwords():
+def test_scoring_is_the_average_of_subwords():
     model = T.fit(*zip(*made(100)), epochs=5)
     text = "Idiot w1 w2, w2\nW7"
-    words = T.WORD.findall(text.lower())
-    mean = sum(float(model.weights[T.subwords(w)].mean()) for w in words) / len(words)
-    assert abs(T.Scorer(model).margin(text) - (model.bias + T.SCALE * mean)) < 1e-6
+    share = {"idiot": np.log(2), "w1": np.log(2), "w2": np.log(3), "w7": np.log(2)}
+    total = sum(s * float(model.weights[T.subwords(w)].mean()) for w, s in share.items())
+    length = np.sqrt(T.SMOOTH + sum(s * s for s in share.values()))
+    assert abs(T.Scorer(model).margin(text) - (model.bias + T.SCALE * total / length)) < 1e-6
 
 
 def test_defined_cases(spark, docs, no_docs, corpus):
