@@ -38,6 +38,7 @@ from tessera.llm.graph import components
 CELLS = 1 << 20
 CHUNKS = 16
 MOST_SHARED = 8
+VERIFY_COST = 2.0  # of a candidate, in postings met
 FILTER_BITS = 1 << 25
 SEGMENT = 1 << 20
 BASE = 0x5851F42D4C957F2D
@@ -119,7 +120,9 @@ def prefix(found: np.ndarray, sketch: np.ndarray, noise: float, percent: int) ->
     l_max = min(MOST_SHARED, least)
     met = np.maximum(counts[order[:n - least + l_max]] - 1.0 - 2.0 * noise, 0.0)
     total = np.cumsum(met)[n - least:n - least + l_max]  # postings met by prefixes of l = 1, 2, ..
-    l = 1 + int(np.argmin(total + total * (n / 16.0) / np.arange(1, l_max + 1)))
+    # of those, at most total / l sets are met l times, and as many as the longest list holds if its sets share them all
+    candidates = np.sqrt(met[n - least] * total / np.arange(1, l_max + 1))
+    l = 1 + int(np.argmin(total + VERIFY_COST * candidates))
     return found[order[:n - least + l]], l
 
 
