@@ -30,6 +30,7 @@ from tessera.llm.common import stored
 
 CAPACITY = 2048
 END_ID = 0
+END = END_ID.to_bytes(4, "little")
 BLOCK_ITEMS = 2000
 ISLANDS = 2
 POPULATION = 4
@@ -39,6 +40,7 @@ LEVELS = 3
 SETTLED = 0.995
 CACHE_WORDS = 2_000_000
 SEGMENT = 1 << 22
+TOGETHER = 1 << 20
 CLOSING = b"!\"#$%&()*+,-./:;=?@[\\]^_`{}~"  # ASCII punctuation but quote marks and what special tokens hold
 PIECES = "array<struct<piece:int,start:long,length:long,ids_crc32:long>>"
 _SPACE = re.compile(rb"[ \t-\r]")
@@ -99,28 +101,52 @@ class Encoder:
         for w, base, tail in parts:
             known[w] = known[base] + known[tail]
 
-    def encode(self, text: str | None) -> bytes:
-        """The ids as little-endian unsigned 32-bit numbers, the end id included."""
-        raw, out, start = (text or "").encode("utf-8", "replace"), [], 0
+    def _words(self, raw: bytes) -> list[bytes]:
         if b"<|" not in raw and b"\xcc" not in raw and b"\xcd" not in raw:
             # as the tokenizer would, with fewer words to remember; not before a combining mark (which starts with one
             # of these bytes), because the tokenizer composes letter and mark first
             raw = raw.lower()
+        return raw.split()
+
+    def _ids_of(self, pieces: list[list[bytes]]) -> Iterator[bytes]:
+        """The ids of each list of words; new words of all lists are met together."""
+        known = self.known
+        if len(known) > CACHE_WORDS:
+            known.clear()
+        new = set().union(*pieces).difference(known)
+        if new:
+            self._meet(new)
+        for words in pieces:
+            yield b"".join(map(known.__getitem__, words))
+
+    def encode(self, text: str | None) -> bytes:
+        """The ids as little-endian unsigned 32-bit numbers, the end id included; long texts go by segments."""
+        raw, out, start = (text or "").encode("utf-8", "replace"), [], 0
         while start < len(raw):
             stop = len(raw)
             if stop - start > SEGMENT:
                 cut = _SPACE.search(raw, start + SEGMENT)
                 stop = cut.start() if cut else stop
-            words = raw[start:stop].split()
-            if len(self.known) > CACHE_WORDS:
-                self.known.clear()
-            new = set(words).difference(self.known)
-            if new:
-                self._meet(new)
-            out.append(b"".join(map(self.known.__getitem__, words)))
+            out += self._ids_of([self._words(raw[start:stop])])
             start = stop
-        out.append(np.array([END_ID], dtype="<u4").tobytes())
-        return b"".join(out)
+        return b"".join(out) + END
+
+    def encode_all(self, texts) -> Iterator[bytes]:
+        """:meth:`encode` of each text, about ``TOGETHER`` bytes at a time."""
+        held, size = [], 0
+        for text in texts:
+            raw = (text or "").encode("utf-8", "replace")
+            if len(raw) > SEGMENT:
+                yield from (ids + END for ids in self._ids_of(held))
+                held, size = [], 0
+                yield self.encode(text)
+                continue
+            held.append(self._words(raw))
+            size += len(raw)
+            if size > TOGETHER:
+                yield from (ids + END for ids in self._ids_of(held))
+                held, size = [], 0
+        yield from (ids + END for ids in self._ids_of(held))
 
 
 def cut(ids: bytes, capacity: int = CAPACITY) -> list[dict]:
@@ -138,7 +164,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> Da
             _encoders[tokenizer_path] = Encoder(tokenizer_path)
         encoder = _encoders[tokenizer_path]
         for s in texts:
-            yield pd.Series([cut(encoder.encode(t), capacity) for t in s])
+            yield pd.Series([cut(ids, capacity) for ids in encoder.encode_all(s)])
 
     rows = docs.select("doc_id", F.explode(pieces_of.asNondeterministic()("text")).alias("p")).select("doc_id", "p.*")
     return rows.withColumn("uid", F.monotonically_increasing_id())
