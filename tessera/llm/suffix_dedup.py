@@ -26,11 +26,13 @@ and pass through ``clean``.
 from __future__ import annotations
 
 import hashlib
+import zlib
+from array import array
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import mix64, stored
@@ -39,6 +41,7 @@ LENGTH = 50
 GRAM = 20
 REACH = LENGTH - GRAM  # an anchor lies 0 to REACH bytes after the start of its string
 FILTER_BITS = 1 << 27
+HOT_BITS = 1 << 22
 TASK_ROWS = 1_000_000
 BATCH_BYTES = 16_000_000
 SEGMENT = 1 << 22
@@ -92,9 +95,30 @@ def _raw(text: str | None) -> bytes:
 
 
 def _leads(raw: bytes, places: np.ndarray) -> np.ndarray:
-    """The first 16 bytes at each place as two signed numbers in byte order."""
-    at = places[:, None] + np.arange(16)
-    return (np.frombuffer(raw, dtype=np.uint8)[at].copy().view(">u8").astype(np.uint64) ^ np.uint64(1 << 63)).view(np.int64)
+    """The first 8 bytes at each place as a signed number in byte order."""
+    at = places[:, None] + np.arange(8)
+    return (np.frombuffer(raw, dtype=np.uint8)[at].copy().view(">u8").astype(np.uint64).reshape(-1) ^ np.uint64(1 << 63)).view(np.int64)
+
+
+def _packed(tokens: np.ndarray) -> bytes:
+    """The six leading bytes of each token hash; equal ones may differ behind, which marks too much, never too little."""
+    return tokens.astype(">u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // 6, 8), dtype=np.uint8)
+    out[:, :6] = np.frombuffer(data, dtype=np.uint8).reshape(-1, 6)
+    return out.view(">u8").reshape(-1).astype(np.uint64)
+
+
+def _place(tokens: np.ndarray, bits: int) -> np.ndarray:
+    """A token's place in a bitmap of ``bits`` bits: its leading bits."""
+    return (tokens >> np.uint64(64 - (bits - 1).bit_length())).astype(np.int64)
+
+
+def _marked(bitmap: np.ndarray, tokens: np.ndarray, bits: int) -> np.ndarray:
+    at = _place(tokens, bits)
+    return ((bitmap[at >> 3] >> (at & 7).astype(np.uint8)) & 1).astype(bool)
 
 
 def _repeated_tokens(docs: DataFrame, buckets: int) -> DataFrame:
@@ -109,7 +133,7 @@ def _repeated_tokens(docs: DataFrame, buckets: int) -> DataFrame:
             tokens = every[one]
             twice = np.diff(np.concatenate((np.flatnonzero(one), [len(every)]))) > 1
             cuts = np.searchsorted((tokens >> np.uint64(32)).astype(np.int64) * buckets >> 32, np.arange(buckets + 1))
-            rows = [(b, tokens[x:y].tobytes(), np.packbits(twice[x:y]).tobytes()) for b, (x, y) in enumerate(zip(cuts[:-1], cuts[1:])) if y > x]
+            rows = [(b, _packed(tokens[x:y]), np.packbits(twice[x:y]).tobytes()) for b, (x, y) in enumerate(zip(cuts[:-1], cuts[1:])) if y > x]
             rows.append((-1, np.concatenate(picked).tobytes(), b""))
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.binary(), pa.binary()))], names=["bucket", "tokens", "twice"])
 
@@ -119,7 +143,7 @@ def _repeated_tokens(docs: DataFrame, buckets: int) -> DataFrame:
                 place, token, _, _ = anchors(raw)
                 if len(place):
                     pick = np.flatnonzero(token % np.uint64(SAMPLED) == 0)
-                    picked.append(_leads(raw, place[pick])[:, 0])
+                    picked.append(_leads(raw, place[pick]))
                     found = np.unique(token)
                     held.append(found)
                     size += len(found)
@@ -132,7 +156,7 @@ def _repeated_tokens(docs: DataFrame, buckets: int) -> DataFrame:
     def merge(frame):
         if frame["bucket"].iloc[0] < 0:
             return pd.DataFrame({"kind": [2], "bits": [b"".join(frame["tokens"])]})
-        tokens = [np.frombuffer(t, dtype=np.uint64) for t in frame["tokens"]]
+        tokens = [_unpacked(t) for t in frame["tokens"]]
         flags = [np.unpackbits(np.frombuffer(f, dtype=np.uint8))[:len(t)] for f, t in zip(frame["twice"], tokens)]
         every, flag = np.concatenate(tokens), np.concatenate(flags).astype(bool)
         order = np.argsort(every, kind="stable")
@@ -140,21 +164,22 @@ def _repeated_tokens(docs: DataFrame, buckets: int) -> DataFrame:
         first = np.flatnonzero(np.concatenate(([True], every[1:] != every[:-1])))
         count = np.diff(np.concatenate((first, [len(every)])))
         shared = (count > 1) | np.logical_or.reduceat(flag, first)
-        place = (every[first] % np.uint64(FILTER_BITS)).astype(np.int32)
-        return pd.DataFrame({"kind": [0, 1], "bits": [np.unique(place[shared]).tobytes(), np.unique(place[count >= HOT_BATCHES]).tobytes()]})
+        marks = [np.unique(_place(every[first][which], bits)).astype(np.int32).tobytes()
+                 for which, bits in ((shared, FILTER_BITS), (count >= HOT_BATCHES, HOT_BITS))]
+        return pd.DataFrame({"kind": [0, 1], "bits": marks})
 
     return docs.select("text").mapInArrow(local, "bucket int, tokens binary, twice binary").groupBy("bucket").applyInPandas(merge, "kind int, bits binary")
 
 
-def _bitmap(marked: DataFrame) -> np.ndarray:
-    """The marks as one bitmap of ``FILTER_BITS`` bits, whatever the corpus: block by block in Spark, then one array."""
+def _bitmap(marked: DataFrame, bits: int) -> bytes:
+    """The marks as one bitmap of ``bits`` bits, whatever the corpus, compressed: block by block in Spark, then one array."""
 
     def words(batches):
         for batch in batches:
             for b in batch.column(0):
                 bit = np.frombuffer(b.as_buffer(), dtype=np.int32)
                 block = bit >> 18  # 512 blocks of 32 KB
-                cuts = np.searchsorted(block, np.arange((FILTER_BITS >> 18) + 1))
+                cuts = np.searchsorted(block, np.arange((bits >> 18) + 1))
                 for k in np.unique(block):
                     part = np.zeros(1 << 18, dtype=np.uint8)
                     part[bit[cuts[k]:cuts[k + 1]] & 0x3FFFF] = 1
@@ -167,10 +192,10 @@ def _bitmap(marked: DataFrame) -> np.ndarray:
         return frame.iloc[:1].assign(part=[total.tobytes()])
 
     rows = marked.select("bits").mapInArrow(words, "block int, part binary").groupBy("block").applyInPandas(join, "block int, part binary")
-    out = np.zeros((FILTER_BITS >> 18, 1 << 15), dtype=np.uint8)
+    out = np.zeros((bits >> 18, 1 << 15), dtype=np.uint8)
     for r in rows.toLocalIterator():
         out[r["block"]] = np.frombuffer(r["part"], dtype=np.uint8)
-    return out.reshape(-1)
+    return zlib.compress(out.tobytes(), 1)
 
 
 def _splitters(marked: DataFrame, ranges: int) -> np.ndarray:
@@ -181,34 +206,33 @@ def _splitters(marked: DataFrame, ranges: int) -> np.ndarray:
 
 
 # ------------------------------------------------------------------ 2: contexts of marked anchors
-def _contexts(docs: DataFrame, bitmap: np.ndarray, hot: np.ndarray, splitters: np.ndarray) -> DataFrame:
-    """``part, lead, lead2, context, lo, hi, least, members``: one row for equal contexts of a task's batch.
+def _contexts(docs: DataFrame, bitmap: bytes, hot: bytes, splitters: np.ndarray) -> DataFrame:
+    """``part, token, context, lo, hi, least, members``: one row for equal contexts of a task's batch.
 
     ``lo..hi`` are the distances from string start to anchor that all members use; a context is the ``hi`` bytes before
-    the anchor and ``LENGTH - lo`` from it; members are (doc_id, th, place) as bytes; ``part`` is the range (and, for a
-    hot token, the salt).
+    the anchor and ``LENGTH - lo`` from it; members are (doc_id, half of th and place) as bytes; ``part`` is the range
+    (and, for a hot token, the salt); ``least`` is the least document of a hot token's row, whose members are split.
     """
     shared = docs.sparkSession.sparkContext.broadcast((bitmap, hot, splitters))
 
     def run(batches):
-        bits, hot_bits, limits = shared.value
+        bits, hot_bits = (np.frombuffer(zlib.decompress(b), dtype=np.uint8) for b in shared.value[:2])
+        limits = shared.value[2]
         held: dict[tuple, list] = {}
         size = 0
 
         def flush():
-            keys, members = list(held), [np.array(v[1:], dtype=np.int64) for v in held.values()]
-            start = np.frombuffer(b"".join(k[0][k[2]:k[2] + 16] for k in keys), dtype=">u8").astype(np.uint64).reshape(-1, 2)
-            lead = (start ^ np.uint64(1 << 63)).view(np.int64)
-            part = np.searchsorted(limits, lead[:, 0], side="right") * SALTS
+            lead = _leads(b"".join(k[0][k[2]:k[2] + 8] for k in held), np.arange(len(held)) * 8)
+            part = (np.searchsorted(limits, lead, side="right") * SALTS).tolist()
             rows = []
-            for i, (k, m, v) in enumerate(zip(keys, members, held.values())):
-                least = int(m[:, 0].min())
-                for salt in range(SALTS if v[0] else 1):
-                    own = m[salt::SALTS] if v[0] else m
-                    rows.append((int(part[i]) + salt, int(lead[i, 0]), int(lead[i, 1]), k[0], k[1], k[2], least, own.tobytes()))
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.int64(), pa.binary())
-            names = ["part", "lead", "lead2", "context", "lo", "hi", "least", "members"]
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
+            for at, (k, v) in zip(part, held.items()):
+                if not v[0]:
+                    rows.append((at, v[1], k[0], k[1], k[2], None, array("q", v[2:]).tobytes()))
+                    continue
+                m = np.array(v[2:], dtype=np.int64).reshape(-1, 2)
+                rows += [(at + salt, v[1], k[0], k[1], k[2], int(m[:, 0].min()), m[salt::SALTS].tobytes()) for salt in range(SALTS)]
+            kinds = (pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.int64(), pa.binary())
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=["part", "token", "context", "lo", "hi", "least", "members"])
 
         for batch in batches:
             for doc_id, th, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
@@ -216,41 +240,48 @@ def _contexts(docs: DataFrame, bitmap: np.ndarray, hot: np.ndarray, splitters: n
                     continue
                 raw = _raw(text)
                 place, token, first, last = anchors(raw)
-                bit = (token % np.uint64(FILTER_BITS)).astype(np.int64)
-                hit = np.flatnonzero((bits[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1)
+                hit = np.flatnonzero(_marked(bits, token, FILTER_BITS))
                 if not len(hit):
                     continue
-                hot_here = ((hot_bits[bit[hit] >> 3] >> (bit[hit] & 7).astype(np.uint8)) & 1).tolist()
-                for p, a, b, h in zip(place[hit].tolist(), first[hit].tolist(), last[hit].tolist(), hot_here):
+                hot_here = _marked(hot_bits, token[hit], HOT_BITS).tolist()
+                for p, a, b, h, t in zip(place[hit].tolist(), first[hit].tolist(), last[hit].tolist(), hot_here, token[hit].view(np.int64).tolist()):
                     key = (raw[a:b + LENGTH], p - b, p - a)
                     got = held.get(key)
                     if got is None:
-                        held[key] = [h, (doc_id, th, p)]
+                        held[key] = [h, t, doc_id, th + p]
                         size += LENGTH + 80
                     else:
-                        got.append((doc_id, th, p))
-                    size += 24
+                        got += (doc_id, th + p)
+                    size += 16
                 if size > BATCH_BYTES:
                     yield flush()
                     held, size = {}, 0
         if held:
             yield flush()
 
-    return docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("th"), "text").mapInArrow(
-        run, "part long, lead long, lead2 long, context binary, lo int, hi int, least long, members binary")
+    return docs.select(F.col("doc_id").cast("long"), _half("text").alias("th"), "text").mapInArrow(
+        run, "part long, token long, context binary, lo int, hi int, least long, members binary")
+
+
+def _half(text: str) -> Column:
+    """32 bits of a text's hash in the upper half of a long; the lower half takes a place in the text."""
+    return F.shiftleft(F.xxhash64(text), 32)
 
 
 # ------------------------------------------------------------------ 3: one range of the suffix order
-def multikey_order(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def multikey_order(keys: np.ndarray, starts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Order of the rows of ``keys`` (n x m big-endian words), and True where a row differs from the one before it.
 
+    ``starts``: True where a run of rows begins that are already in order among runs.
+
     Multikey quicksort on words: a column splits every run that is still equal into runs by its value, and only runs of
     two and more go on to the next column.
     """
     n, m = keys.shape
     order = np.arange(n)
-    starts = np.zeros(n, dtype=bool)
-    starts[:1] = True
+    if starts is None:
+        starts = np.zeros(n, dtype=bool)
+        starts[:1] = True
     for c in range(m):
         run = np.cumsum(starts) - 1
         size = np.bincount(run, minlength=run[-1] + 1 if n else 0)
@@ -265,23 +296,26 @@ def multikey_order(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, starts
 
 
-def least_documents(contexts: np.ndarray, lo: np.ndarray, hi: np.ndarray, least: np.ndarray) -> np.ndarray:
-    """For each row (n x (REACH + LENGTH) bytes) and distance r, the least document of the string that starts r before the anchor; its own where the row has no such string."""
-    n = len(contexts)
+def least_documents(token: np.ndarray, contexts: np.ndarray, lo: np.ndarray, hi: np.ndarray, least: np.ndarray) -> np.ndarray:
+    """For each row and distance r, the least document of the string that starts r before the anchor; its own where the row has no such string.
+
+    Rows come in order of their leading tokens; contexts are n x (REACH + LENGTH) bytes.
+    """
     out = np.repeat(least[:, None], REACH + 1, axis=1)
+    change = np.concatenate(([True], token[1:] != token[:-1], [True]))
+    shared = np.flatnonzero(~(change[:-1] & change[1:]))  # tokens of two rows and more
     for r in range(REACH + 1):
-        mine = np.flatnonzero((lo <= r) & (r <= hi))
+        mine = shared[(lo[shared] <= r) & (r <= hi[shared])]
         if len(mine) < 2:
             continue
-        start = REACH - r
-        string = np.zeros((len(mine), 56), dtype=np.uint8)
-        string[:, :LENGTH] = contexts[mine, start:start + LENGTH]
-        # from the anchor on first: its bytes lead the order
-        string[:, :LENGTH] = np.roll(string[:, :LENGTH], -r, axis=1)
-        order, starts = multikey_order(string.view(">u8"))
-        run = np.cumsum(starts) - 1
+        # behind the token, then before it: all of the string but the token itself, which leads the order already
+        string = np.zeros((len(mine), 32), dtype=np.uint8)
+        string[:, :REACH - r] = contexts[mine, REACH + GRAM:REACH + LENGTH - r]
+        string[:, REACH - r:REACH] = contexts[mine, REACH - r:REACH]
+        starts = np.concatenate(([True], token[mine[1:]] != token[mine[:-1]]))
+        order, starts = multikey_order(string.view(">u8"), starts)
         low = np.minimum.reduceat(least[mine[order]], np.flatnonzero(starts))
-        out[mine[order], r] = low[run]
+        out[mine[order], r] = low[np.cumsum(starts) - 1]
     return out
 
 
@@ -301,23 +335,27 @@ def _removed(rows: DataFrame, parts: int) -> DataFrame:
 
     def settle(table: pa.Table) -> pa.RecordBatch:
         table = table.combine_chunks()
-        ids, lo, hi = (table.column(c).to_numpy() for c in ("least", "lo", "hi"))
-        low = least_documents(_laid_out(table.column("context").chunk(0), hi.astype(np.int64)), lo, hi, ids)
-        members = [np.frombuffer(m, dtype=np.int64).reshape(-1, 3) for m in table.column("members").to_pylist()]
-        many = np.array([len(m) for m in members]) > 1
-        docs, ths, starts, stops = [], [], [], []
-        for i in np.flatnonzero((low < ids[:, None]).any(axis=1) | many).tolist():
-            m, r = members[i], np.arange(lo[i], hi[i] + 1)
-            hit = low[i, r][None, :] < m[:, 0][:, None]
-            for j in np.flatnonzero(hit.any(axis=1)).tolist():
-                b = m[j, 2] - r[hit[j]][::-1]  # string starts, rising
-                cut = np.flatnonzero(np.diff(b) > LENGTH)
-                starts.append(np.concatenate((b[:1], b[cut + 1])))
-                stops.append(np.concatenate((b[cut], b[-1:])) + LENGTH)
-                docs.append(np.repeat(m[j, 0], len(cut) + 1))
-                ths.append(np.repeat(m[j, 1], len(cut) + 1))
-        none = np.empty(0, dtype=np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate([none, *x])) for x in (docs, ths, starts, stops)], names=["doc_id", "th", "start", "stop"])
+        token, lo, hi = (table.column(c).to_numpy() for c in ("token", "lo", "hi"))
+        blobs = table.column("members").to_pylist()
+        member = np.frombuffer(b"".join(blobs), dtype=np.int64).reshape(-1, 2)
+        count = np.array([len(b) // 16 for b in blobs], dtype=np.int64)
+        row = np.repeat(np.arange(len(count)), count)
+        ids = np.full(len(count), np.iinfo(np.int64).max)
+        np.minimum.at(ids, row, member[:, 0])
+        told = table.column("least")
+        ids = np.where(told.is_valid().to_numpy(), told.fill_null(0).to_numpy(), ids)
+        low = least_documents(token, _laid_out(table.column("context").chunk(0), hi.astype(np.int64)), lo, hi, ids)
+        hurt = np.flatnonzero(low.min(axis=1)[row] < member[:, 0])
+        member, row, r = member[hurt], row[hurt], np.arange(REACH + 1)[None, :]
+        hit = (low[row] < member[:, :1]) & (r >= lo[row][:, None]) & (r <= hi[row][:, None])
+        some = hit.any(axis=1)
+        member, hit = member[some], hit[some]
+        # the strings of one member overlap, for they start within REACH bytes of its anchor
+        place = member[:, 1] & 0xFFFFFFFF
+        start = place - (REACH - hit[:, ::-1].argmax(axis=1))
+        stop = place - hit.argmax(axis=1) + LENGTH
+        columns = (member[:, 0], member[:, 1] - place, start, stop)
+        return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in columns], names=["doc_id", "th", "start", "stop"])
 
     def run(batches):
         held, size = [], 0
@@ -327,15 +365,16 @@ def _removed(rows: DataFrame, parts: int) -> DataFrame:
             if size < TASK_ROWS // 4:
                 continue
             table = pa.Table.from_batches(held)
-            lead = np.stack([table.column(c).to_numpy() for c in ("lead", "lead2")], axis=1)
-            cut = int(np.flatnonzero((lead != lead[-1]).any(axis=1))[-1]) + 1 if (lead != lead[-1]).any() else 0
+            token = table.column("token").to_numpy()
+            before = np.flatnonzero(token != token[-1])
+            cut = int(before[-1]) + 1 if len(before) else 0
             if cut:  # whole leading tokens only; the last one may go on
                 yield settle(table.slice(0, cut))
                 held, size = table.slice(cut).combine_chunks().to_batches(), size - cut
         if size:
             yield settle(pa.Table.from_batches(held))
 
-    return (rows.repartition(parts, "part").sortWithinPartitions("lead", "lead2")
+    return (rows.repartition(parts, "part").sortWithinPartitions("token")
             .mapInArrow(run, "doc_id long, th long, start long, stop long"))
 
 
@@ -343,14 +382,14 @@ def _removed(rows: DataFrame, parts: int) -> DataFrame:
 def spans(docs: DataFrame) -> DataFrame:
     """``doc_id, th, spans``: the maximal removed runs (array of start, stop) of each document that loses bytes.
 
-    ``th`` is the hash of the text, which tells rows of one id apart.
+    ``th`` (see :func:`_half`) tells rows of one id with different texts apart.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     suffixes = int(total // (REACH // 2 + 1)) + 1
     marked = stored(_repeated_tokens(docs, suffixes // TASK_ROWS + 1), "tokens")
     ranges = suffixes // (TASK_ROWS // 2) + 1
-    rows = _contexts(docs, _bitmap(marked.where("kind = 0")), _bitmap(marked.where("kind = 1")), _splitters(marked, ranges * 4))
+    rows = _contexts(docs, _bitmap(marked.where("kind = 0"), FILTER_BITS), _bitmap(marked.where("kind = 1"), HOT_BITS), _splitters(marked, ranges * 4))
     gathered = _removed(rows, ranges * 2).groupBy("doc_id", "th").agg(F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("parts"))
     empty = F.expr("cast(array() as array<struct<start:bigint,stop:bigint>>)")
     merged = F.aggregate("parts", F.struct(empty.alias("done"), F.col("parts")[0].alias("open")), lambda s, x: F.when(
@@ -377,7 +416,7 @@ def report(docs: DataFrame) -> DataFrame:
     Texts that may lose bytes (their hash is in a bitmap of those that do) meet their spans; the others are never moved.
     """
     found = stored(spans(docs), "spans")
-    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("th"))
+    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", _half("text").alias("th"))
     marked = _split_by(ids, found)
     n = F.octet_length(F.coalesce("text", F.lit(""))).cast("long")
     still = marked.where("not _maybe").select("doc_id", n.alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"),
@@ -420,7 +459,7 @@ def _split_by(docs: DataFrame, found: DataFrame, bits: int = 1 << 25) -> DataFra
 def clean(docs: DataFrame) -> DataFrame:
     """``docs`` with the removed bytes cut from their texts (bytes of a character cut in two are dropped with it)."""
     found = spans(docs)
-    keyed = docs.withColumn("__id", F.col("doc_id").cast("long")).withColumn("__th", F.xxhash64("text"))
+    keyed = docs.withColumn("__id", F.col("doc_id").cast("long")).withColumn("__th", _half("text"))
 
     @F.pandas_udf("string")
     def cut(text, removed):
