@@ -311,3 +311,17 @@ def keep_first(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
 
 def op2_adaptive_jaccard(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"), 4, 85)
+
+
+ORACLE = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))) END AS g FROM w),
+e AS (SELECT doc_id, unnest(g) AS g FROM s),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM e a JOIN e b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN s x ON x.doc_id = a JOIN s y ON y.doc_id = b WHERE 100 * c >= 85 * (len(x.g) + len(y.g) - c)),
+u AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r(doc_id, o) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, u.b FROM r JOIN u ON u.a = r.o)
+SELECT s.doc_id, CAST(len(s.g) AS BIGINT) AS n_shingles, min(r.o) AS component_id FROM s JOIN r USING (doc_id) GROUP BY s.doc_id, len(s.g)
+"""

@@ -28,4 +28,9 @@ def queries() -> dict[str, QueryFn]:
 
 
 def oracles() -> dict[str, str]:
-    return {"op6_maxscore_topk": exact_topk.ORACLE}
+    return {
+        "op2_adaptive_jaccard": ngram_jaccard.ORACLE,
+        "op4_suffix_dedup": suffix_dedup.ORACLE,
+        "op6_maxscore_topk": exact_topk.ORACLE,
+        "op7_legacy_archive_converter": warc.ORACLE,
+    }

@@ -471,3 +471,19 @@ def clean(docs: DataFrame) -> DataFrame:
 
 def op4_suffix_dedup(spark, sf_dir: str) -> DataFrame:
     return report(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+
+
+ORACLE = """
+WITH t AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+k AS (SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS s FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 49)) AS i FROM t)),
+m AS (SELECT s, min(doc_id) AS lo FROM k GROUP BY s),
+c AS (SELECT k.doc_id, i FROM k JOIN m USING (s) WHERE lo < k.doc_id),
+g AS (SELECT doc_id, i, CASE WHEN i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) <= 50 THEN 0 ELSE 1 END AS f FROM c),
+b AS (SELECT doc_id, i, sum(f) OVER (PARTITION BY doc_id ORDER BY i) AS n FROM g),
+z AS (SELECT doc_id, min(i) AS a, max(i) + 50 AS z FROM b GROUP BY doc_id, n),
+y AS (SELECT doc_id, a, z, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 0) AS p FROM z),
+x AS (SELECT doc_id, string_agg(substr(h, 2 * p + 1, 2 * (a - p)), '' ORDER BY a) AS pre, max(z) AS z, count(*) AS n, sum(z - a) AS r
+  FROM y JOIN t USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(r, 0) AS BIGINT) AS n_removed, CAST(coalesce(n, 0) AS BIGINT) AS n_spans,
+  sha256(unhex(coalesce(pre, '') || substr(h, 2 * coalesce(z, 0) + 1))) AS kept_sha256 FROM t LEFT JOIN x USING (doc_id)
+"""

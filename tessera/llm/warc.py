@@ -301,4 +301,13 @@ def op7_legacy_archive_converter(spark, sf_dir: str) -> DataFrame:
     arc, warc = scratch_path(spark, "arc"), scratch_path(spark, "warc")
     write_arc(spark.read.parquet(f"{sf_dir}/pages.parquet"), arc)
     convert(spark, arc, warc)
-    return read_warcs(spark, warc)
+    return read_warcs(spark, warc).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLE = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS n FROM pages),
+m AS (SELECT *, CASE WHEN n >= 1000 THEN max(page_id) OVER (PARTITION BY h) END AS top FROM p)
+SELECT page_id, n AS payload_bytes, sha1(h) AS payload_digest,
+  CASE WHEN top IS NOT NULL AND page_id IS DISTINCT FROM top THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id IS DISTINCT FROM top THEN top END AS refers_to FROM m
+"""
