@@ -261,7 +261,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     by_token = W.partitionBy("token")
     postings = _postings(docs, sketch, k, percent).repartition("token")
     met = postings.withColumn("lo", F.min("node").over(by_token)).withColumn("hi", F.max("node").over(by_token))
-    met = stored(met.where("lo <> hi").select("token", "node", "n", "l", "pos"), "met")
+    met = stored(met.where("lo <> hi").select("token", "node", "n", "l", "pos").dropDuplicates(["token", "node"]), "met")
 
     # Two similar sets share ``need`` shingles or more, so of the first n - need + l of each they share l or more.
     need = f"(({percent} * (n + n2) + {99 + percent}) div {100 + percent})"
@@ -285,8 +285,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
 
     # what still lies in different components: count the shared prefix shingles of each pair
     labelled = met.join(merged, "node", "left").withColumn("c", F.coalesce("component", "node")).drop("component")
-    parts = labelled.groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("token")
-    apart = stored(labelled.join(parts, "token", "left_semi").dropDuplicates(["token", "node"]), "apart")
+    labelled = labelled.repartition("token").withColumn("lo", F.min("c").over(by_token)).withColumn("hi", F.max("c").over(by_token))
+    apart = stored(labelled.where("lo <> hi").drop("lo", "hi"), "apart")
     other = apart.select("token", *[F.col(c).alias(c + "2") for c in (*mine, "c")])
     pairs = (apart.join(other, "token").where("node < node2 and c <> c2").where(within)
              .groupBy(F.col("node").alias("a"), F.col("node2").alias("b")).agg(F.count(F.lit(1)).alias("shared"), F.first(F.least("l", "l2")).alias("l"))
