@@ -65,12 +65,16 @@ def fit(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int = 7
     y = np.asarray(labels, dtype=np.float64)
     n1, n0 = float((y == 1).sum()), float((y == 0).sum())
     prior = float(np.log((n1 + 0.5) / (n0 + 0.5)))
-    bags = [Counter(WORD.findall((t or "").lower())) for t in texts]
-    in_docs = Counter(w for b in bags for w in b)
+    # two readings of the texts, so that no bags of all words are held at once
+    in_docs: Counter[str] = Counter()
+    totals = []
+    for t in texts:
+        bag = Counter(WORD.findall((t or "").lower()))
+        in_docs.update(bag.keys())
+        totals.append(math.sqrt(SMOOTH + sum(math.log1p(c) ** 2 for c in bag.values())))
     vocab = {w: i for i, w in enumerate(sorted(w for w, c in in_docs.items() if c >= min_docs))}
-    bags = [{w: math.log1p(c) for w, c in b.items()} for b in bags]
-    totals = [math.sqrt(SMOOTH + sum(x * x for x in b.values())) for b in bags]
-    bags = [{w: c for w, c in b.items() if w in vocab} for b in bags]
+    del in_docs
+    bags = [{vocab[w]: math.log1p(c) for w, c in Counter(WORD.findall((t or "").lower())).items() if w in vocab} for t in texts]
     keep = [i for i, b in enumerate(bags) if b]
     if not keep or not n1 or not n0:
         return Model(np.zeros(BUCKETS, dtype=np.float32), prior)
@@ -81,7 +85,7 @@ def fit(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int = 7
     used, s_flat = np.unique(s_flat, return_inverse=True)
     s_start = np.concatenate(([0], np.cumsum(s_size)[:-1]))
     w_size = np.fromiter(map(len, bags), dtype=np.int64)
-    w_flat = np.fromiter((vocab[w] for b in bags for w in b), dtype=np.int64, count=int(w_size.sum()))
+    w_flat = np.fromiter((w for b in bags for w in b), dtype=np.int64, count=int(w_size.sum()))
     w_share = np.concatenate([np.fromiter(b.values(), dtype=np.float32) / n for b, n in zip(bags, totals)]) * np.float32(SCALE)
     w_start = np.concatenate(([0], np.cumsum(w_size)[:-1]))
     d_of = np.repeat(np.arange(len(bags)), w_size)
