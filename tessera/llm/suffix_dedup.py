@@ -18,6 +18,9 @@ equal strings have their anchors at the same place.  Only suffixes at anchors en
 4. Members with a larger id than the least of their string get its bytes as removed; documents gather their spans, and
    only texts that may have some (by a bitmap) meet them in a join.
 
+Documents equal to one of smaller id are settled by digests of their texts and take no part in the order.  A bitmap
+tells most others from them without moving a text; the few it cannot tell are looked up in a join.
+
 Defined cases: a null text is empty; texts under ``LENGTH`` bytes lose nothing; a null ``doc_id`` is smaller than none
 and loses nothing; rows of one id never match each other; other columns are ignored by ``spans`` and ``report``
 and pass through ``clean``.
@@ -43,6 +46,7 @@ REACH = LENGTH - GRAM  # an anchor lies 0 to REACH bytes after the start of its
 FILTER_BITS = 1 << 27
 HOT_BITS = 1 << 22
 TASK_ROWS = 1_000_000
+SETTLE_ROWS = 60_000
 BATCH_BYTES = 16_000_000
 SEGMENT = 1 << 22
 SAMPLED = 1024  # one suffix in so many is sampled for the splitters
@@ -121,10 +125,27 @@ def _marked(bitmap: np.ndarray, tokens: np.ndarray, bits: int) -> np.ndarray:
     return ((bitmap[at >> 3] >> (at & 7).astype(np.uint8)) & 1).astype(bool)
 
 
-def _repeated_tokens(docs: DataFrame, buckets: int) -> DataFrame:
-    """``kind, bits``: bitmap places of the tokens that two documents hold (0) and many batches hold (1); sampled leading bytes (2)."""
+class _Originals:
+    """Batches of ``doc_id, th, h, text`` without the rows whose ``h`` is marked in a bitmap."""
+
+    def __init__(self, bits: np.ndarray):
+        self.bits = bits
+
+    def __call__(self, batch: pa.RecordBatch) -> pa.RecordBatch:
+        h = batch.column(2).to_numpy(zero_copy_only=False) % (len(self.bits) * 64)
+        return batch.filter(pa.array(((self.bits[h // 64] >> (h % 64)) & 1) == 0))
+
+
+def _with_bits(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", "th", F.xxhash64("doc_id", "th").alias("h"), "text")
+
+
+def _repeated_tokens(docs: DataFrame, copied: np.ndarray, buckets: int) -> DataFrame:
+    """``bucket, tokens, twice``: the distinct tokens of each batch of texts and which two of its texts hold; bucket -1: sampled leading bytes."""
+    shared = docs.sparkSession.sparkContext.broadcast(copied)
 
     def local(batches):
+        originals = _Originals(shared.value)
         held, picked, size = [], [], 0
 
         def flush():
@@ -138,7 +159,7 @@ def _repeated_tokens(docs: DataFrame, buckets: int) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.binary(), pa.binary()))], names=["bucket", "tokens", "twice"])
 
         for batch in batches:
-            for t in batch.column(0).to_pylist():
+            for t in originals(batch).column(3).to_pylist():
                 raw = _raw(t)
                 place, token, _, _ = anchors(raw)
                 if len(place):
@@ -153,6 +174,12 @@ def _repeated_tokens(docs: DataFrame, buckets: int) -> DataFrame:
         if held:
             yield flush()
 
+    return _with_bits(docs).mapInArrow(local, "bucket int, tokens binary, twice binary")
+
+
+def _merged_tokens(lists: DataFrame) -> DataFrame:
+    """``kind, bits``: bitmap places of the tokens that two documents hold (0) and many batches hold (1); sampled leading bytes (2)."""
+
     def merge(frame):
         if frame["bucket"].iloc[0] < 0:
             return pd.DataFrame({"kind": [2], "bits": [b"".join(frame["tokens"])]})
@@ -168,7 +195,7 @@ def _repeated_tokens(docs: DataFrame, buckets: int) -> DataFrame:
                  for which, bits in ((shared, FILTER_BITS), (count >= HOT_BATCHES, HOT_BITS))]
         return pd.DataFrame({"kind": [0, 1], "bits": marks})
 
-    return docs.select("text").mapInArrow(local, "bucket int, tokens binary, twice binary").groupBy("bucket").applyInPandas(merge, "kind int, bits binary")
+    return lists.groupBy("bucket").applyInPandas(merge, "kind int, bits binary")
 
 
 def _bitmap(marked: DataFrame, bits: int) -> bytes:
@@ -206,18 +233,18 @@ def _splitters(marked: DataFrame, ranges: int) -> np.ndarray:
 
 
 # ------------------------------------------------------------------ 2: contexts of marked anchors
-def _contexts(docs: DataFrame, bitmap: bytes, hot: bytes, splitters: np.ndarray) -> DataFrame:
+def _contexts(docs: DataFrame, copied: np.ndarray, bitmap: bytes, hot: bytes, splitters: np.ndarray) -> DataFrame:
     """``part, token, context, lo, hi, least, members``: one row for equal contexts of a task's batch.
 
     ``lo..hi`` are the distances from string start to anchor that all members use; a context is the ``hi`` bytes before
     the anchor and ``LENGTH - lo`` from it; members are (doc_id, half of th and place) as bytes; ``part`` is the range
     (and, for a hot token, the salt); ``least`` is the least document of a hot token's row, whose members are split.
     """
-    shared = docs.sparkSession.sparkContext.broadcast((bitmap, hot, splitters))
+    shared = docs.sparkSession.sparkContext.broadcast((bitmap, hot, splitters, copied))
 
     def run(batches):
         bits, hot_bits = (np.frombuffer(zlib.decompress(b), dtype=np.uint8) for b in shared.value[:2])
-        limits = shared.value[2]
+        limits, originals = shared.value[2], _Originals(shared.value[3])
         held: dict[tuple, list] = {}
         size = 0
 
@@ -235,7 +262,8 @@ def _contexts(docs: DataFrame, bitmap: bytes, hot: bytes, splitters: np.ndarray)
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=["part", "token", "context", "lo", "hi", "least", "members"])
 
         for batch in batches:
-            for doc_id, th, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            batch = originals(batch)
+            for doc_id, th, text in zip(*(batch.column(i).to_pylist() for i in (0, 1, 3))):
                 if doc_id is None:
                     continue
                 raw = _raw(text)
@@ -259,7 +287,7 @@ def _contexts(docs: DataFrame, bitmap: bytes, hot: bytes, splitters: np.ndarray)
         if held:
             yield flush()
 
-    return docs.select(F.col("doc_id").cast("long"), _half("text").alias("th"), "text").mapInArrow(
+    return _with_bits(docs).mapInArrow(
         run, "part long, token long, context binary, lo int, hi int, least long, members binary")
 
 
@@ -362,7 +390,7 @@ def _removed(rows: DataFrame, parts: int) -> DataFrame:
         for batch in batches:
             held.append(batch)
             size += batch.num_rows
-            if size < TASK_ROWS // 4:
+            if size < SETTLE_ROWS:
                 continue
             table = pa.Table.from_batches(held)
             token = table.column("token").to_numpy()
@@ -384,13 +412,22 @@ def spans(docs: DataFrame) -> DataFrame:
 
     ``th`` (see :func:`_half`) tells rows of one id with different texts apart.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _half("text").alias("th"), "text")
+    sized = stored(docs.select("doc_id", "th", F.octet_length(F.coalesce("text", F.lit(""))).alias("n"), F.xxhash64("text").alias("h1"),
+                               F.xxhash64("text", F.lit(1)).alias("h2")), "sized")
+    total = sized.agg(F.sum("n")).first()[0] or 0
+    groups = (sized.where(f"n >= {LENGTH}").groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most"))
+    whole = stored(sized.join(groups, ["h1", "h2", "n"]).where("doc_id > least").select("doc_id", "th", F.col("n").cast("long").alias("n")).distinct(), "whole")
+    copied = _marks(whole)
+    unsure = _split_by(docs, copied).where("_maybe").join(whole, ["doc_id", "th"], "left_anti").select("doc_id", "th", "text")
+    unsure = stored(unsure, "unsure")  # marked by chance: few
+    both = lambda f, *more: f(docs, copied, *more).unionByName(f(unsure, np.zeros(1, dtype=np.int64), *more))
     suffixes = int(total // (REACH // 2 + 1)) + 1
-    marked = stored(_repeated_tokens(docs, suffixes // TASK_ROWS + 1), "tokens")
+    marked = stored(_merged_tokens(both(_repeated_tokens, suffixes // TASK_ROWS + 1)), "tokens")
     ranges = suffixes // (TASK_ROWS // 2) + 1
-    rows = _contexts(docs, _bitmap(marked.where("kind = 0"), FILTER_BITS), _bitmap(marked.where("kind = 1"), HOT_BITS), _splitters(marked, ranges * 4))
-    gathered = _removed(rows, ranges * 2).groupBy("doc_id", "th").agg(F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("parts"))
+    rows = both(_contexts, _bitmap(marked.where("kind = 0"), FILTER_BITS), _bitmap(marked.where("kind = 1"), HOT_BITS), _splitters(marked, ranges * 4))
+    equal = whole.select("doc_id", "th", F.lit(0).cast("long").alias("start"), F.col("n").alias("stop"))
+    gathered = _removed(rows, ranges * 2).unionByName(equal).groupBy("doc_id", "th").agg(F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("parts"))
     empty = F.expr("cast(array() as array<struct<start:bigint,stop:bigint>>)")
     merged = F.aggregate("parts", F.struct(empty.alias("done"), F.col("parts")[0].alias("open")), lambda s, x: F.when(
         x["start"] <= s["open"]["stop"], F.struct(s["done"].alias("done"), F.struct(
@@ -417,7 +454,7 @@ def report(docs: DataFrame) -> DataFrame:
     """
     found = stored(spans(docs), "spans")
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", _half("text").alias("th"))
-    marked = _split_by(ids, found)
+    marked = _split_by(ids, _marks(found))
     n = F.octet_length(F.coalesce("text", F.lit(""))).cast("long")
     still = marked.where("not _maybe").select("doc_id", n.alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"),
                                               F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
@@ -436,24 +473,25 @@ def report(docs: DataFrame) -> DataFrame:
     return still.unionByName(moved)
 
 
-def _split_by(docs: DataFrame, found: DataFrame, bits: int = 1 << 25) -> DataFrame:
-    """``docs`` with ``_maybe``: False only for rows without a row in ``found`` (by doc_id and th).
-
-    The marks are a bitmap of ``bits`` bits, as an array of longs in a one-row broadcast.
-    """
-    h = F.xxhash64("doc_id", "th")
+def _marks(found: DataFrame, bits: int = 1 << 25) -> np.ndarray:
+    """A bitmap of ``bits`` bits, as longs, of the rows (doc_id, th) of ``found``."""
     marks = (found.select(F.expr(f"pmod(xxhash64(doc_id, th), {bits})").alias("b")).select(F.expr("b div 64").alias("w"), F.expr("shiftleft(1L, cast(b % 64 as int))").alias("v"))
              .groupBy("w").agg(F.bit_or("v").alias("v")).toPandas())
     words = np.zeros(bits // 64, dtype=np.int64)
     words[marks["w"].to_numpy(dtype=np.int64)] = marks["v"].to_numpy(dtype=np.int64)
+    return words
+
+
+def _split_by(docs: DataFrame, words: np.ndarray) -> DataFrame:
+    """``docs`` with ``_maybe``: False only for rows without a mark."""
     shared = docs.sparkSession.sparkContext.broadcast(words)
 
     @F.pandas_udf("boolean")
     def maybe(s):
-        b = s.to_numpy(dtype=np.int64) % bits
+        b = s.to_numpy(dtype=np.int64) % (len(shared.value) * 64)
         return pd.Series(((shared.value[b // 64] >> (b % 64)) & 1).astype(bool))
 
-    return docs.withColumn("_maybe", maybe.asNondeterministic()(h))
+    return docs.withColumn("_maybe", maybe.asNondeterministic()(F.xxhash64("doc_id", "th")))
 
 
 def clean(docs: DataFrame) -> DataFrame:
