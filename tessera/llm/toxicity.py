@@ -27,14 +27,14 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import held_out, labelled_sample
 
-FIT_ROWS = 8000
+FIT_ROWS = 6000
 FIT_MAX_BYTES = 200_000
 BUCKETS = 1 << 17
 DIM = 8
 SCALE = 4.0
 SMOOTH = 8.0
-RARE_WEIGHT = 1.0  # of the rarer label: this times the root of the ratio of the labels
-EPOCHS = 100
+RARE_WEIGHT = 1.5  # of the rarer label: this times the root of the ratio of the labels
+EPOCHS = 140
 LEARNING_RATE = 0.2
 MIN_DOCS = 10
 CACHE_WORDS = 1_000_000
@@ -74,21 +74,25 @@ def fit(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int = 7
         totals.append(math.sqrt(SMOOTH + sum(math.log1p(c) ** 2 for c in bag.values())))
     vocab = {w: i for i, w in enumerate(sorted(w for w, c in in_docs.items() if c >= min_docs))}
     del in_docs
-    bags = [{vocab[w]: math.log1p(c) for w, c in Counter(WORD.findall((t or "").lower())).items() if w in vocab} for t in texts]
-    keep = [i for i, b in enumerate(bags) if b]
+    places, shares = [], []  # of each document's words in the vocabulary
+    for t, total in zip(texts, totals):
+        bag = [(vocab[w], c) for w, c in Counter(WORD.findall((t or "").lower())).items() if w in vocab]
+        places.append(np.array([i for i, _ in bag], dtype=np.int32))
+        shares.append((SCALE * np.log1p(np.array([c for _, c in bag], dtype=np.float64)) / total).astype(np.float32))
+    keep = [i for i, b in enumerate(places) if len(b)]
     if not keep or not n1 or not n0:
         return Model(np.zeros(BUCKETS, dtype=np.float32), prior)
-    bags, totals, y = [bags[i] for i in keep], [totals[i] for i in keep], y[keep]
+    places, shares, y = [places[i] for i in keep], [shares[i] for i in keep], y[keep]
+    n_docs = len(keep)
     subs = [subwords(w) for w in vocab]
     s_size = np.fromiter(map(len, subs), dtype=np.int64)
     s_flat = np.fromiter((s for x in subs for s in x), dtype=np.int64, count=int(s_size.sum()))
     used, s_flat = np.unique(s_flat, return_inverse=True)
     s_start = np.concatenate(([0], np.cumsum(s_size)[:-1]))
-    w_size = np.fromiter(map(len, bags), dtype=np.int64)
-    w_flat = np.fromiter((w for b in bags for w in b), dtype=np.int64, count=int(w_size.sum()))
-    w_share = np.concatenate([np.fromiter(b.values(), dtype=np.float32) / n for b, n in zip(bags, totals)]) * np.float32(SCALE)
+    w_size = np.fromiter(map(len, places), dtype=np.int64)
+    w_flat, w_share = np.concatenate(places), np.concatenate(shares)
     w_start = np.concatenate(([0], np.cumsum(w_size)[:-1]))
-    d_of = np.repeat(np.arange(len(bags)), w_size)
+    d_of = np.repeat(np.arange(n_docs), w_size)
     s_word = np.repeat(np.arange(len(subs)), s_size)
     s_inv = (1.0 / s_size).astype(np.float32)[s_word]
 
@@ -104,7 +108,7 @@ def fit(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int = 7
         words = np.empty((len(subs), DIM), dtype=np.float32)
         for k in range(DIM):  # a column at a time, to keep the gathered copies small
             words[:, k] = np.add.reduceat(emb[s_flat, k], s_start) / s_size
-        docs = np.empty((len(bags), DIM), dtype=np.float32)
+        docs = np.empty((n_docs, DIM), dtype=np.float32)
         for k in range(DIM):
             docs[:, k] = np.add.reduceat(words[w_flat, k] * w_share, w_start)
         z = docs @ soft + bias
@@ -136,7 +140,7 @@ class Scorer:
         known = self.known
         if len(known) > CACHE_WORDS:
             known.clear()
-        for w in counts.keys() - known.keys():
+        for w in set(counts).difference(known):
             known[w] = float(self.model.weights[subwords(w)].mean())
         share = np.log1p(np.fromiter(counts.values(), dtype=np.float64, count=len(counts)))
         value = np.fromiter(map(known.__getitem__, counts), dtype=np.float64, count=len(counts))
