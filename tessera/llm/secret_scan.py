@@ -8,7 +8,7 @@ high precision: assignments to a secret's name and vendor formats are secrets; c
 words beside them, are not.  The forest does not see the rules, only the features, and scores every finding.
 
 Defined cases: null and empty texts hold no finding; a null ``doc_id`` is kept; repeated rows give repeated
-findings; a sample with one label only, or none, accepts every finding; other columns, whatever their names, pass
+findings; a sample with one label only gives it to every finding, one with none accepts every finding; other columns, whatever their names, pass
 through ``redact`` and are ignored by ``scan``.
 """
 
@@ -109,33 +109,36 @@ def _vectors(rows: DataFrame) -> DataFrame:
     return VectorAssembler(inputCols=list(FEATURES), outputCol="_features", handleInvalid="keep").transform(featured(rows))
 
 
-def fit(labelled: DataFrame) -> RandomForestClassificationModel | None:
-    """A forest on findings with ``label`` 0 or 1; None when there are not both."""
+Forest = RandomForestClassificationModel | float
+
+
+def fit(labelled: DataFrame) -> Forest:
+    """A forest on findings with ``label`` 0 or 1; with one label only that label, with none 1."""
     kinds = {r[0] for r in labelled.select("label").distinct().limit(3).collect()}
     if kinds != {0.0, 1.0}:
-        return None
+        return min(kinds, default=1.0)
     return RandomForestClassifier(labelCol="label", featuresCol="_features", numTrees=TREES, maxDepth=DEPTH, seed=5, maxMemoryInMB=64).fit(_vectors(labelled))
 
 
-def score(rows: DataFrame, forest: RandomForestClassificationModel | None) -> DataFrame:
+def score(rows: DataFrame, forest: Forest) -> DataFrame:
     """``rows`` with ``score``, the forest's share of votes for a secret."""
-    if forest is None:
-        return rows.withColumn("score", F.lit(1.0))
+    if isinstance(forest, float):
+        return rows.withColumn("score", F.lit(forest))
     return forest.transform(_vectors(rows)).withColumn("score", vector_to_array("probability")[1]).select(*rows.columns, "score")
 
 
-def fit_on(docs: DataFrame, limit: int = FIT_ROWS) -> RandomForestClassificationModel | None:
+def fit_on(docs: DataFrame, limit: int = FIT_ROWS) -> Forest:
     return fit(weak_findings(findings(docs), limit).persist())
 
 
-def scan(docs: DataFrame, forest: RandomForestClassificationModel | None, threshold: float = THRESHOLD) -> DataFrame:
+def scan(docs: DataFrame, forest: Forest, threshold: float = THRESHOLD) -> DataFrame:
     """Every candidate of every whole text with its score and verdict; values are given as digests only."""
     return score(findings(docs), forest).select(
         "doc_id", "finding", "start", F.length("value").alias("length"), F.sha2("value", 256).alias("value_sha256"),
         "score", (F.col("score") >= threshold).cast("int").alias("secret"))
 
 
-def redact(docs: DataFrame, forest: RandomForestClassificationModel | None, threshold: float = THRESHOLD) -> DataFrame:
+def redact(docs: DataFrame, forest: Forest, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with the text of each secret replaced by ``MASK``; every row and column stays.
 
     Secrets come back as starts, one row a document, and the text between them is kept.  Only texts with a secret

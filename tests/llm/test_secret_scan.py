@@ -41,11 +41,13 @@ def test_redaction_keeps_the_rest(spark):
     assert got == want and out.count() == len(rows)
 
 
-def test_without_labels_every_finding_counts(spark, no_docs):
+def test_one_label_or_none(spark, no_docs):
     df = spark.createDataFrame([(1, "x abcdefghij0123456789 y")], "doc_id long, text string")
-    assert S.fit_on(df) is None
-    assert [r["secret"] for r in S.scan(df, None).collect()] == [1]
-    assert S.scan(no_docs, None).count() == 0 and S.redact(no_docs, None).count() == 0
+    assert S.fit_on(df) == 1.0
+    assert [r["secret"] for r in S.scan(df, 1.0).collect()] == [1]
+    cards = spark.createDataFrame([(1, "card 4000000000000001 here")], "doc_id long, text string")
+    assert S.fit_on(cards) == 0.0 and S.redact(cards, 0.0).first()["text"] == "card 4000000000000001 here"
+    assert S.scan(no_docs, 1.0).count() == 0 and S.redact(no_docs, 0.0).count() == 0
 
 
 def test_plan_is_native(spark):
