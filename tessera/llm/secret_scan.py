@@ -8,7 +8,8 @@ high precision: assignments to a secret's name and vendor formats are secrets; c
 words beside them, are not.  The forest does not see the rules, only the features, and scores every finding.
 
 Defined cases: null and empty texts hold no finding; a null ``doc_id`` is kept; repeated rows give repeated
-findings; a sample with one label only gives it to every finding, one with none accepts every finding; other columns, whatever their names, pass
+findings, which the sample holds once; without findings of both labels the rules decide each finding, and those that no rule
+labels get the only label there is, or are accepted when there is none; other columns, whatever their names, pass
 through ``redact`` and are ignored by ``scan``.
 """
 
@@ -18,10 +19,12 @@ from pyspark.ml.classification import RandomForestClassificationModel, RandomFor
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 MIN_LENGTH = 16
 FIT_ROWS = 20_000
+SLICE = 500  # sampled findings of one label in one range of hashes; Spark limits windows before the exchange up to 1,000 rows
 TREES = 20
 DEPTH = 6
 THRESHOLD = 0.5
@@ -92,17 +95,26 @@ def featured(rows: DataFrame) -> DataFrame:
         yes(F.col("right").rlike("^\\W{0,2}[0-9]")).alias("right_digit"))
 
 
-def weak_findings(rows: DataFrame, limit: int = FIT_ROWS) -> DataFrame:
-    """Labelled findings from a bounded sample of ``rows`` (at most ``limit``, smallest hash of the value first).
-
-    Label 1: a vendor's format, or a value in quotes assigned to a secret's name.  Label 0: digits or letters of one
-    case only, or a path, when no secret's name is beside it.  Others stay unlabelled.
-    """
+def rule_label() -> Column:
+    """Label 1: a vendor's format, or a value in quotes assigned to a secret's name.  Label 0: digits or letters of one
+    case only, or a path, when no secret's name is beside it.  Null: no rule says."""
     names = "|".join(SECRET_NAMES)
     one = F.col("value").rlike(f"^({'|'.join(VENDOR_FORMATS)})$") | F.col("left").rlike(f"(?i)({names})\\s*[=:]\\s*[\"']$")
     zero = (F.col("value").rlike("^[0-9\\-]+$") | F.col("value").rlike("^[a-z]+[0-9]{1,4}$") | F.col("value").rlike("(/[a-z0-9]+){2,}")) & ~F.col("left").rlike(f"(?i)({names})\\W*$")
-    labelled = rows.withColumn("label", F.when(one, 1.0).when(zero, 0.0)).where(F.col("label").isNotNull())
-    return labelled.orderBy(F.xxhash64("value", "left", "right"), "doc_id", "finding").limit(limit)
+    return F.when(one, 1.0).when(zero, 0.0)
+
+
+def weak_findings(rows: DataFrame, limit: int = FIT_ROWS) -> DataFrame:
+    """Distinct findings (``value, left, right``) with a rule's ``label``: of each label at most half of ``limit``.
+
+    A label's hashes are dealt over ranges and the smallest of each range are taken, so that no task meets them all.
+    """
+    half = max(1, limit // 2)
+    ranges = -(-half // SLICE)
+    labelled = rows.select("value", "left", "right", rule_label().alias("label")).where(F.col("label").isNotNull()).distinct()
+    hashed = labelled.withColumn("_h", F.xxhash64("value", "left", "right")).withColumn("_range", F.pmod("_h", F.lit(ranges)))
+    place = F.row_number().over(W.partitionBy("label", "_range").orderBy("_h", "value", "left", "right"))
+    return hashed.withColumn("_place", place).where(F.col("_place") <= half // ranges).drop("_h", "_range", "_place")
 
 
 def _vectors(rows: DataFrame) -> DataFrame:
@@ -113,7 +125,7 @@ Forest = RandomForestClassificationModel | float
 
 
 def fit(labelled: DataFrame) -> Forest:
-    """A forest on findings with ``label`` 0 or 1; with one label only that label, with none 1."""
+    """A forest on findings with ``label`` 0 or 1; with one label only that label, with none 1, for findings that no rule labels."""
     kinds = {r[0] for r in labelled.select("label").distinct().limit(3).collect()}
     if kinds != {0.0, 1.0}:
         return min(kinds, default=1.0)
@@ -121,9 +133,9 @@ def fit(labelled: DataFrame) -> Forest:
 
 
 def score(rows: DataFrame, forest: Forest) -> DataFrame:
-    """``rows`` with ``score``, the forest's share of votes for a secret."""
+    """``rows`` with ``score``, the forest's share of votes for a secret, or without a forest the rules' label."""
     if isinstance(forest, float):
-        return rows.withColumn("score", F.lit(forest))
+        return rows.withColumn("score", F.coalesce(rule_label(), F.lit(forest)))
     return forest.transform(_vectors(rows)).withColumn("score", vector_to_array("probability")[1]).select(*rows.columns, "score")
 
 
