@@ -1,7 +1,9 @@
 """Secret scanning: candidates by one pattern, false positives removed by a random forest, all in DataFrame functions.
 
-A candidate is a run of at least ``MIN_LENGTH`` key characters that holds a digit or is a vendor key.  Features
-are its length, class mixture and character transitions, the share of it that dictionary words cover, whether it
+A candidate is a vendor's key, with or without a digit; or what follows a secret's name and = or : (up to two blanks before
+and four behind) at any length: to the closing quote, or without quotes to white space, a quote, an angle bracket or the next
+assignment; or a run of at least ``MIN_LENGTH`` key characters that holds a digit, where = only ends a run and a
+secret's name before = or : is no value.  Features are its length, class mixture and character transitions, the share of it that dictionary words cover, whether it
 looks like a path or stands in one, and the words beside it.  The forest (Spark ML, on the JVM) is fitted on
 labelled findings; without a table of such, :func:`weak_findings` labels a bounded sample of the corpus by rules of
 high precision: assignments to a secret's name and vendor formats are secrets; candidates of one class, with plain
@@ -38,8 +40,31 @@ DICTIONARY = ("about", "access", "admin", "class", "config", "content", "data",
               "from", "have", "home", "html", "http", "image", "index", "info", "item", "list", "local", "mail", "name", "node",
               "number", "page", "path", "public", "search", "server", "service", "source", "system", "test", "text", "that",
               "this", "time", "type", "user", "value", "version", "with", "year")
-_KEY = "A-Za-z0-9+/_=\\-"
-PATTERN = rf"(?<![{_KEY}])(?=[A-Za-z+/_=\-]*[0-9])[{_KEY}]{{{MIN_LENGTH},}}"
+_KEY = "A-Za-z0-9+/_\\-"
+_END = "\\s\"'<>"
+
+
+def _behind_name(tail: str) -> str:
+    """Behind a secret's name, = or : and ``tail``: look-behinds of one width each, which Python's patterns need too."""
+    by_width: dict[int, list[str]] = {}
+    for name in SECRET_NAMES:
+        by_width.setdefault(len(name), []).append(name)
+    name = "(?:" + "|".join(f"(?<=(?i:{'|'.join(same)}))" for same in by_width.values()) + ")"
+    # the last characters are tested first: few places have them
+    ways = [f"(?<=[=:][ \\t]{{{after}}}{tail})(?:" + "|".join(
+        f"(?<={name}[\"']{{{quote}}}[ \\t]{{{before}}}[=:][ \\t]{{{after}}}{tail})" for quote in (0, 1) for before in range(3)) + ")" for after in range(5)]
+    return "(?:" + "|".join(ways) + ")"
+
+
+_VENDOR = f"(?:{'|'.join(VENDOR_FORMATS)})"
+# nothing starts behind a letter or digit, which one look-behind rules out for all kinds
+PATTERN = "(?<![A-Za-z0-9])(?:" + "|".join((
+    f"{_VENDOR}(?![{_KEY}])",
+    rf"""(?<="){_behind_name('"')}[^"\r\n]+(?=")""",
+    rf"""(?<='){_behind_name("'")}[^'\r\n]+(?=')""",
+    rf"""(?<=[=: \t]){_behind_name('')}[^{_END}]+?(?=[.,;:)\]}}]*(?:[{_END}]|(?![\s\S]))|[,;&][A-Za-z_][A-Za-z0-9_.\-]*[=:])""",
+    rf"(?<![{_KEY}])(?=[A-Za-z+/_\-]*[0-9])[{_KEY}]{{{MIN_LENGTH},}}+(?!(?:{'|'.join(f'(?<=(?i:{n}))' for n in SECRET_NAMES)})[\"']?[ \t]{{0,2}}[=:])(?:={{1,2}}(?![{_KEY}=\"']))?",
+    f"{_VENDOR}(?![A-Za-z0-9])")) + ")"
 FEATURES = ("length", "distinct", "lower", "upper", "digit", "mark", "hex_only", "transitions", "same_next", "dictionary", "longest_letters",
             "slashes", "in_path", "named", "assigned", "quoted", "left_word", "right_word", "left_digit", "right_digit")
 
@@ -97,11 +122,13 @@ def featured(rows: DataFrame) -> DataFrame:
 
 def rule_label() -> Column:
     """Label 1: a vendor's format, or a value in quotes assigned to a secret's name.  Label 0: digits or letters of one
-    case only, or a path, when no secret's name is beside it.  Null: no rule says."""
+    case only, or a path, when no secret's name is beside it, and one plain word without quotes behind a secret's name and a
+    colon ("password: required").  Null: no rule says."""
     names = "|".join(SECRET_NAMES)
-    one = F.col("value").rlike(f"^({'|'.join(VENDOR_FORMATS)})$") | F.col("left").rlike(f"(?i)({names})\\s*[=:]\\s*[\"']$")
+    one = F.col("value").rlike(f"^({'|'.join(VENDOR_FORMATS)})$") | F.col("left").rlike(f"(?i)({names})[\"']?\\s*[=:]\\s*[\"']$")
     zero = (F.col("value").rlike("^[0-9\\-]+$") | F.col("value").rlike("^[a-z]+[0-9]{1,4}$") | F.col("value").rlike("(/[a-z0-9]+){2,}")) & ~F.col("left").rlike(f"(?i)({names})\\W*$")
-    return F.when(one, 1.0).when(zero, 0.0)
+    prose = F.col("value").rlike("^[A-Za-z]?[a-z]*$") & F.col("left").rlike(f"(?i)({names})\\s*:\\s*$")
+    return F.when(one, 1.0).when(zero | prose, 0.0)
 
 
 def weak_findings(rows: DataFrame, limit: int = FIT_ROWS) -> DataFrame:
