@@ -132,8 +132,9 @@ def _texts(batches) -> Iterator[tuple]:
 
 
 def _sized(docs: DataFrame, k: int) -> DataFrame:
-    """A row (doc_id, n, node) a document, and the chunks of the sketch of each task's distinct sets."""
-    schema = "doc_id long, n long, node long, chunk int, counts binary"
+    """A row (doc_id, text_hash, n, node) a document, and the chunks of the sketch of each task's distinct sets."""
+    schema = "doc_id long, text_hash long, n long, node long, chunk int, counts binary"
+    names = [c.split()[0] for c in schema.split(", ")]
 
     def run(batches):
         counts, seen = np.zeros(CELLS, dtype=np.uint32), set()
@@ -148,15 +149,15 @@ def _sized(docs: DataFrame, k: int) -> DataFrame:
                     np.add.at(counts, _cells(found), 1)
             m = len(texts)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary())],
-                names=["doc_id", "n", "node", "chunk", "counts"])
+                [batch.column(0), batch.column(2), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary())],
+                names=names)
         if seen:
             parts = [zlib.compress(p.tobytes(), 1) for p in np.split(counts, CHUNKS)]
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(CHUNKS, pa.int64()), pa.nulls(CHUNKS, pa.int64()), pa.nulls(CHUNKS, pa.int64()), pa.array(range(CHUNKS), pa.int32()), pa.array(parts, pa.binary())],
-                names=["doc_id", "n", "node", "chunk", "counts"])
+                [*[pa.nulls(CHUNKS, pa.int64())] * 4, pa.array(range(CHUNKS), pa.int32()), pa.array(parts, pa.binary())],
+                names=names)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
+    return docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text")).mapInArrow(run, schema)
 
 
 def _sketch(rows: DataFrame) -> np.ndarray:
@@ -250,11 +251,11 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "found_a", "found_b").mapInArrow(run, "a long, b long").distinct()
 
 
-def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` of every document; similar: 100 * intersection >= percent * union."""
+def _grouped(docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """``doc_id, text_hash, n, grp, component_id`` of every document; ``grp`` is a node of its component."""
     rows = stored(_sized(docs, k), "sized")
     sketch = _sketch(rows)
-    sized = rows.where(F.col("chunk").isNull()).select("doc_id", "n", "node")
+    sized = rows.where(F.col("chunk").isNull()).select("doc_id", "text_hash", "n", "node")
     first = sized.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("first_id"))
 
     # postings that meet another set; one exchange by token serves the test and what follows it
@@ -296,17 +297,36 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     # the component's id is its smallest document
     named = final.join(first, "node")
     ids = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    named = named.join(ids, "component").select("node", "component_id")
-    whole = first.join(named, "node", "left").select("node", F.coalesce("component_id", "first_id").alias("component_id"))
+    named = named.join(ids, "component").select("node", "component", "component_id")
+    whole = first.join(named, "node", "left").select("node", F.coalesce("component", "node").alias("grp"), F.coalesce("component_id", "first_id").alias("component_id"))
     return (sized.join(whole, "node", "left")
-            .select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")))
+            .select("doc_id", "text_hash", "n", "grp", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")))
+
+
+def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` of every document; similar: 100 * intersection >= percent * union."""
+    return _grouped(docs, k, percent).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
 
 
 def keep_first(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` without the documents that a similar one of smaller id stands for; rows of null id stay."""
-    found = near_duplicates(docs.select("doc_id", "text"), k, percent)
-    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """``docs`` with one document of each group: that of smallest id, null last, and of its texts the one of smallest hash.
+
+    A document is its id and its text, so rows that share an id are judged each.  Rows equal in both stay together where
+    they have an id; of those without, one stays.  Documents without words all stay.
+    """
+    found = stored(_grouped(docs.select("doc_id", "text"), k, percent).where("n > 0"), "grouped")
+    named = found.where("doc_id <=> component_id").select("grp", "doc_id", "text_hash").distinct()
+    heads = named.groupBy("grp").agg(F.min("text_hash").alias("head"))
+    others = named.join(heads, "grp").where("text_hash <> head")
+    gone = (found.where("not (doc_id <=> component_id)").select("doc_id", "text_hash").distinct()
+            .unionByName(others.select("doc_id", "text_hash")).select(F.col("doc_id").alias("__id"), "text_hash"))
+
+    def left(part: DataFrame) -> DataFrame:
+        part = part.withColumn("__hash", F.xxhash64("text"))
+        return part.join(gone, part["doc_id"].cast("long").eqNullSafe(gone["__id"]) & (part["__hash"] == gone["text_hash"]), "left_anti")
+
+    copies = F.col("doc_id").isNull() & F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    return left(docs.where(~copies)).unionByName(left(docs.where(copies)).dropDuplicates(["__hash"])).select(*docs.columns)
 
 
 def op2_adaptive_jaccard(spark, sf_dir: str) -> DataFrame:

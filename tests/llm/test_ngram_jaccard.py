@@ -61,3 +61,13 @@ def test_one_of_each_group_stays(spark, docs, corpus):
     got = sorted(r["doc_id"] for r in N.keep_first(docs).collect())
     assert got == sorted(d for d, _, c in brute(corpus, 5, 80) if d == c)
     assert N.keep_first(docs).columns == docs.columns
+
+
+def test_rows_that_share_an_id_are_judged_each(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    near = a.replace("a39", "end")
+    rows = [(1, a), (2, near), (2, b), (3, b + " more"), (4, c), (4, c + " more"), (None, c), (None, None), (None, None)]
+    rows += [(None, "no id " + b[::-1])] * 3
+    got = sorted(((r["doc_id"], r["text"]) for r in N.keep_first(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=str)
+    assert [r for r in got if r[0] != 4] == sorted([(1, a), (2, b), (None, None), (None, None), rows[-1]], key=str)
+    assert sum(r[0] == 4 for r in got) == 1
