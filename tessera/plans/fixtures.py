@@ -43,8 +43,14 @@ ORDERS_COLUMNS = [("status", "string"), ("priority", "string"), ("custkey", "lon
 REPUT_PRIORITY = "9-REPUT"
 
 
+def padded(c, width: int) -> F.Column:
+    """A number as text with zeros up to ``width``; longer numbers stay whole, where lpad alone would cut them."""
+    text = (F.col(c) if isinstance(c, str) else c).cast("string")
+    return F.lpad(text, F.greatest(F.length(text), F.lit(width)), "0")
+
+
 def order_key(c) -> F.Column:
-    return F.lpad(F.col(c).cast("string"), 10, "0")
+    return padded(c, 10)
 
 
 def orders_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,10 +106,10 @@ def event_micros(c: str = "ts") -> F.Column:
 
 
 def events_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """rowkey = lpad(user_id, 6); cf:<event_type> = value (double), meta:props = props; many versions per cell."""
+    """rowkey = padded(user_id, 6); cf:<event_type> = value (double), meta:props = props; many versions per cell."""
     e = table(spark, sf_dir, "events")
     base = e.select(
-        F.lpad(F.col("user_id").cast("string"), 6, "0").alias("rowkey"),
+        padded("user_id", 6).alias("rowkey"),
         event_micros("ts").alias("ts"), F.col("event_id").alias("seq"), "event_type", "value", "props")
     from tessera.functions.codec import encode
 
@@ -135,9 +141,9 @@ CUSTOMER_TYPES = {"flag": "string", "name": "string", "segment": "string", "coun
 
 
 def customer_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """rowkey = lpad(c_custkey, 6); cf:flag = 'neg' (negative balance only), cf:name, cf:segment, stats:counter (long)."""
+    """rowkey = padded(c_custkey, 6); cf:flag = 'neg' (negative balance only), cf:name, cf:segment, stats:counter (long)."""
     c = table(spark, sf_dir, "customer").select(
-        F.lpad(F.col("c_custkey").cast("string"), 6, "0").alias("rk"),
+        padded("c_custkey", 6).alias("rk"),
         F.when(F.col("c_acctbal") < 0, F.lit("neg")).alias("flag"),
         F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment"),
         F.col("c_nationkey").cast("bigint").alias("counter"))
@@ -204,7 +210,7 @@ def at_edges(points: DataFrame) -> DataFrame:
 def text_put_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``rowkey,qualifier,value`` lines from part, plus 2-field lines (rejects) and 4-field lines (extra ignored)."""
     p = table(spark, sf_dir, "part")
-    k = F.lpad(F.col("p_partkey").cast("string"), 6, "0")
+    k = padded("p_partkey", 6)
     name = p.select(F.concat_ws(",", k, F.lit("name"), F.col("p_name")).alias("value"))
     brand = p.select(F.when(F.col("p_partkey") % 5 == 0, F.concat_ws(",", k, F.lit("brand")))
                      .otherwise(F.concat_ws(",", k, F.lit("brand"), F.col("p_brand"), F.lit("extra"))).alias("value"))

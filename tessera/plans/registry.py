@@ -218,7 +218,7 @@ def _probe_keys(spark, sf) -> DataFrame:
     o = fx.table(spark, sf, "orders")
     present = o.filter(F.col("o_orderkey") % 97 == 0).select(fx.order_key("o_orderkey").alias("rowkey"))
     absent = o.filter(F.col("o_orderkey") % 997 == 0).select(
-        F.lpad((F.col("o_orderkey") + 1000000000).cast("string"), 10, "0").alias("rowkey"))
+        fx.padded(F.col("o_orderkey") + 1000000000, 10).alias("rowkey"))
     return present.unionByName(absent)
 
 
@@ -723,7 +723,7 @@ def q_delete_mapped(spark, sf):
 def q_delete_latest_version(spark, sf):
     log = fx.events_log(spark, sf)
     targets = fx.table(spark, sf, "events").filter(F.col("user_id") % 3 == 0).select(
-        F.lpad(F.col("user_id").cast("string"), 6, "0").alias("rowkey"), F.lit("cf").alias("family"),
+        fx.padded("user_id", 6).alias("rowkey"), F.lit("cf").alias("family"),
         F.col("event_type").alias("qualifier"))
     tomb = W.delete_latest_version(log, targets, seq=0)
     live = W.apply_batch(log, tomb)

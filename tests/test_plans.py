@@ -59,3 +59,19 @@ def test_wide_catalog_table_pushes_compound_filter(spark):
     p = plan(q)
     assert "GreaterThanOrEqual(pk,0000000100)" in p and "EqualTo(status,O)" in p
     assert "ReadSchema: struct<pk:string,status:string,totalprice:double>" in p
+
+
+def test_long_ids_keep_their_row(spark):
+    path = scratch_path(spark, "long-ids")
+    ids = [150000, 1500000, 15000000, 7]
+    rows = [(i, 1.0, f"c{i}", "S", 3) for i in ids]
+    spark.createDataFrame(rows, "c_custkey long, c_acctbal double, c_name string, c_mktsegment string, c_nationkey int").write.parquet(f"{path}/customer.parquet")
+    spark.createDataFrame([(i, f"p{i}", "b") for i in ids], "p_partkey long, p_name string, p_brand string").write.parquet(f"{path}/part.parquet")
+    want = {"150000", "1500000", "15000000", "000007"}
+    from tessera.operators.versions import latest_cells
+
+    cells = latest_cells(fx.customer_log(spark, path))
+    assert {r[0] for r in cells.select("rowkey").collect()} == want and cells.where("qualifier = 'name'").count() == len(ids)
+    assert {r[0].split(",")[0] for r in fx.text_put_lines(spark, path).collect()} == want
+    long = spark.createDataFrame([(10 ** 10,), (10 ** 11,)], "o long")
+    assert {r[0] for r in long.select(fx.order_key("o")).collect()} == {str(10 ** 10), str(10 ** 11)}
