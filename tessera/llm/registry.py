@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import decontaminate, exact_topk, ngram_jaccard, packing, quality, secret_scan, sharding, suffix_dedup, toxicity, warc
+from tessera.llm import decontaminate, exact_topk, ngram_jaccard, packing, quality, secret_scan, sharding, suffix_dedup, token_counts, toxicity, warc
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +23,7 @@ def queries() -> dict[str, QueryFn]:
         secret_scan.op8_random_forest_secrets,
         quality.op9_boosted_quality,
         decontaminate.op10_blockmax_wand_decontamination,
+        token_counts.op11_transducer_token_counts,
     )
     return {f.__name__: f for f in found}
 
