@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import decontaminate, exact_topk, ngram_jaccard, packing, quality, secret_scan, sharding, suffix_dedup, token_counts, toxicity, warc
+from tessera.llm import conversation_repair, decontaminate, exact_topk, ngram_jaccard, packing, periodic_runs, quality, secret_scan, sharding, suffix_dedup, token_counts, toxicity, warc
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +24,8 @@ def queries() -> dict[str, QueryFn]:
         quality.op9_boosted_quality,
         decontaminate.op10_blockmax_wand_decontamination,
         token_counts.op11_transducer_token_counts,
+        periodic_runs.op12_suffix_tree_runs,
+        conversation_repair.op13_ida_star_repair,
     )
     return {f.__name__: f for f in found}
 
@@ -34,4 +36,5 @@ def oracles() -> dict[str, str]:
         "op4_suffix_dedup": suffix_dedup.ORACLE,
         "op6_maxscore_topk": exact_topk.ORACLE,
         "op7_legacy_archive_converter": warc.ORACLE,
+        "op13_ida_star_repair": conversation_repair.ORACLE,
     }

@@ -13,7 +13,7 @@ TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER"}
 @pytest.mark.parametrize("name", sorted(registry.oracles()))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "pages"):
+    for t in ("documents", "embeddings", "pages", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     df = registry.queries()[name](spark, SF)
     rel = con.sql(registry.oracles()[name])
