@@ -1,7 +1,10 @@
-"""Row-key builders as expressions."""
+"""Row-key builders as expressions, and the parts of logs that are laid out by key."""
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -30,3 +33,25 @@ def time_ordered_key(ts: Column | str, *row: Column | str) -> Column:
 
 def _field(text: Column) -> Column:
     return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-"))
+
+
+MAX_KEY_PARTS = 1 << 16
+_PART = re.compile(r"key_part_of_(\d+)")
+
+
+def part_column(parts: int) -> str:
+    """Name of the partition column of a log laid out by key in ``parts`` parts; the name carries their number."""
+    if not 0 < parts <= MAX_KEY_PARTS:
+        raise ValueError(f"a log is laid out in 1 to {MAX_KEY_PARTS} key parts, not {parts}")
+    return f"key_part_of_{parts}"
+
+
+def part_of(key: Column | str, parts: int) -> Column:
+    """The part of a row key: the residue of its hash."""
+    return F.pmod(F.xxhash64(key), F.lit(parts)).cast("int")
+
+
+def key_parts(columns: Iterable[str]) -> int | None:
+    """The number of parts of a log with these columns; None where it is not laid out by key."""
+    found = [int(m[1]) for m in map(_PART.fullmatch, columns) if m]
+    return found[0] if found else None

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.model import DEL_COLUMN, DEL_ROW, DEL_VERSION, LOG_COLUMNS, PUT
+from tessera.functions.keys import part_column, part_of
 from tessera.operators.batch import batch_ts, put_seq, put_ts  # noqa: F401
 from tessera.operators.filters import row_range, rows_in
 from tessera.operators.partitioning import partitions_for
@@ -21,9 +22,14 @@ from tessera.operators.shape import encode_cf, encode_family, explode_map_batch,
 from tessera.operators.versions import latest_cells
 
 
-def append(batch: DataFrame, path: str) -> None:
-    """Append a mutation batch to the log at ``path``."""
-    batch.select(*LOG_COLUMNS).write.mode("append").parquet(path)
+def append(batch: DataFrame, path: str, *, key_parts: int | None = None) -> None:
+    """Append a mutation batch to the log at ``path`` (``key_parts``: of a log laid out by key, its number of parts)."""
+    rows = batch.select(*LOG_COLUMNS)
+    if key_parts is None:
+        rows.write.mode("append").parquet(path)
+    else:
+        part = part_column(key_parts)
+        rows.withColumn(part, part_of("rowkey", key_parts)).write.mode("append").partitionBy(part).parquet(path)
 
 
 def with_batches(log: DataFrame, *batches: DataFrame) -> DataFrame:
@@ -134,7 +140,7 @@ def copy_table(log: DataFrame, *, ts=None, seq=None, **resolve) -> DataFrame:
 
 
 # -------------------------------------------------------------- bulk load
-def bulk_load(cells: DataFrame, path: str, partitions: int) -> None:
+def bulk_load(cells: DataFrame, path: str, partitions: int, *, key_parts: int | None = None) -> None:
     """generateHFile: write cells as at least ``partitions`` ranges of (rowkey, family, qualifier), each file sorted.
 
     ``repartitionByRange`` samples the keys to pick balanced bounds; the range
@@ -142,26 +148,42 @@ def bulk_load(cells: DataFrame, path: str, partitions: int) -> None:
     ranges are cut when the plan's size estimate asks for them.  Files are
     globally ordered, and Parquet min/max statistics prune later key-range
     scans.  The output folder is replaced (the old files are removed first).
+
+    ``key_parts`` lays the files out by key instead (:mod:`tessera.sources.keyed`): a partition folder for each residue of the
+    row key's hash, files sorted within it, so that a keyed lookup reads the folders of its keys only.
     """
     key = ["rowkey", "family", "qualifier"]
     rows = cells.select(*LOG_COLUMNS)
-    (rows.repartitionByRange(partitions_for(rows, partitions), *key).sortWithinPartitions(*key)
-     .write.mode("overwrite").parquet(path))
+    least = partitions_for(rows, partitions)
+    if key_parts is None:
+        rows.repartitionByRange(least, *key).sortWithinPartitions(*key).write.mode("overwrite").parquet(path)
+        return
+    part = part_column(key_parts)
+    (rows.withColumn(part, part_of("rowkey", key_parts)).repartitionByRange(max(least, min(key_parts, 4 * least)), part, *key)
+     .sortWithinPartitions(part, *key).write.mode("overwrite").partitionBy(part).parquet(path))
 
 
 def load_staged(spark, staged_path: str, table_path: str) -> None:
     """bulkLoadWithExistedHFile: move staged, sorted files into the table's log and remove the staging folder.
 
     A metadata operation of the table's filesystem; no byte is rewritten.
-    File names are unique, so a repeated load after a failure moves the rest.
+    File names are unique, so a repeated load after a failure moves the rest.  Partition folders keep their names, so a
+    staging folder laid out by key joins a table of the same layout.
     """
     path = spark._jvm.org.apache.hadoop.fs.Path
     source, target = path(staged_path), path(table_path)
     fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.mkdirs(target)
-    for f in fs.listStatus(source):
-        if f.getPath().getName().endswith(".parquet") and not fs.rename(f.getPath(), path(target, f.getPath().getName())):
-            raise OSError(f"cannot move {f.getPath()} to {table_path}")
+
+    def move(source, target) -> None:
+        fs.mkdirs(target)
+        for f in fs.listStatus(source):
+            name = f.getPath().getName()
+            if f.isDirectory() and "=" in name:
+                move(f.getPath(), path(target, name))
+            elif name.endswith(".parquet") and not fs.rename(f.getPath(), path(target, name)):
+                raise OSError(f"cannot move {f.getPath()} to {target}")
+
+    move(source, target)
     fs.delete(source, True)
 
 

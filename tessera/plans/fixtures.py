@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.geohash import with_geohash
 from tessera.model import DEL_COLUMN, DEL_ROW, PUT, Catalog, ColumnSpec
+from tessera.operators.mutate import bulk_load
 from tessera.operators.shape import melt_to_cells
 from tessera.session import scratch_path
 
@@ -27,6 +28,13 @@ def stored(log: DataFrame, name: str) -> DataFrame:
     return log.sparkSession.read.schema(log.schema).parquet(path)
 
 
+def stored_by_key(log: DataFrame, name: str, key_parts: int) -> DataFrame:
+    """A log as a bulk load by key (W6) leaves it, read back."""
+    path = scratch_path(log.sparkSession, name)
+    bulk_load(log, path, 1, key_parts=key_parts)
+    return log.sparkSession.read.parquet(path)
+
+
 # ------------------------------------------------------------------ orders
 ORDERS_CATALOG = Catalog.from_json(
     """{"table": {"namespace": "default", "name": "orders"},

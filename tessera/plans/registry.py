@@ -243,6 +243,43 @@ def q_get_value(spark, sf):
     return S.get_value(fx.orders_log(spark, sf), _probe_keys(spark, sf), "cf", "status")
 
 
+KEY_PARTS = 64
+
+
+def _few_keys(spark, sf) -> DataFrame:
+    """The keys of the orders of one customer in a hundred, of one priority, and a key that does not exist."""
+    o = fx.table(spark, sf, "orders").filter((F.col("o_custkey") % 100 == 7) & (F.col("o_orderpriority") == "1-URGENT"))
+    keys = o.select(F.explode(F.array(F.col("o_orderkey"), F.col("o_orderkey") + 1000000000)).alias("k"))
+    return keys.select(fx.order_key("k").alias("rowkey"))
+
+
+FEW = "o_custkey % 100 = 7 AND o_orderpriority = '1-URGENT'"
+
+
+@query("bulk_get_stored", _with(O.ORDERS_CELLS, O.ORDERS_TOMB_CELLS) +
+       f"SELECT {CELL_COLS} FROM orders_tcells WHERE ok IN (SELECT o_orderkey FROM orders WHERE {FEW})")
+def q_bulk_get_stored(spark, sf):
+    """Few keys of a log laid out by key: only their parts are read."""
+    log = fx.stored_by_key(orders_with_tombstones(spark, sf), "log-keyed", KEY_PARTS)
+    return orders_view(S.bulk_get(log, _few_keys(spark, sf)))
+
+
+@query("get_value_stored",
+       f"SELECT {O.OKEY} AS rowkey, CASE WHEN o_orderkey % 10 = 0 THEN NULL ELSE o_custkey END AS value FROM orders WHERE {FEW} "
+       f"UNION ALL SELECT lpad(CAST(o_orderkey + 1000000000 AS VARCHAR), 10, '0'), NULL FROM orders WHERE {FEW}")
+def q_get_value_stored(spark, sf):
+    log = fx.stored_by_key(orders_with_tombstones(spark, sf), "log-keyed", KEY_PARTS)
+    return S.get_value(log, _few_keys(spark, sf), "cf", "custkey", "long")
+
+
+@query("scan_row_stored", _with(O.ORDERS_CELLS, O.ORDERS_TOMB_CELLS) +
+       f"SELECT {CELL_COLS} FROM orders_tcells WHERE rowkey = '0000000021'")
+def q_scan_row_stored(spark, sf):
+    """One row of a log laid out by key: one part is read."""
+    log = fx.stored_by_key(orders_with_tombstones(spark, sf), "log-keyed", KEY_PARTS)
+    return orders_view(S.scan_row(log, "0000000021"))
+
+
 @query("scan_record",
        f"SELECT {O.OKEY} AS rowkey, CASE WHEN o_orderkey % 21 = 0 THEN '9-REPUT' ELSE o_orderpriority END AS value "
        f"FROM orders WHERE (o_orderkey % 10 <> 0 AND o_orderkey % 7 <> 0) OR o_orderkey % 21 = 0")

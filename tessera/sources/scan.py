@@ -17,6 +17,7 @@ from tessera.functions.codec import decode
 from tessera.operators.filters import row_range, rows_in
 from tessera.operators.shape import decode_columns
 from tessera.operators.versions import latest_cells
+from tessera.sources.keyed import among_parts, only_part_of
 
 DEFAULT_START = "0"
 DEFAULT_STOP = "~~~~"
@@ -95,10 +96,10 @@ def bulk_get(log: DataFrame, keys: DataFrame, *, keep_missing: bool = False, **r
 
     A salted semi-join (:func:`rows_in`): the planner broadcasts the key frame
     when its measured size is small and splits hot rows otherwise.  ``keep_missing=True`` adds
-    absent keys as rows with NULL coordinates.
+    absent keys as rows with NULL coordinates.  Of a log laid out by key only the parts of ``keys`` are read.
     """
     k = keys.select(F.col("rowkey").cast("string")).distinct()
-    hit = latest_cells(rows_in(log, k), **resolve)
+    hit = latest_cells(rows_in(among_parts(log, k), k), **resolve)
     if not keep_missing:
         return hit
     return k.join(hit, "rowkey", "left")
@@ -109,10 +110,15 @@ def get_value(log: DataFrame, keys: DataFrame, family: str, qualifier: str, type
     """getAResult for a frame of keys: ``(rowkey, value)``, NULL when the row or column is absent."""
     k = keys.select(F.col("rowkey").cast("string")).distinct()
     col_log = log.filter(((F.col("family") == family) & (F.col("qualifier") == qualifier)) | F.col("family").isNull())
-    cells = latest_cells(rows_in(col_log, k), **resolve)
+    cells = latest_cells(rows_in(among_parts(col_log, k), k), **resolve)
     return k.join(cells.select("rowkey", decode("value", type_name).alias("value")), "rowkey", "left")
 
 
+def scan_row(log: DataFrame, key: str, **resolve) -> DataFrame:
+    """RowFilter(EQUAL) during the scan: live cells of one row; of a log laid out by key one part is read."""
+    return latest_cells(only_part_of(log, key).filter(F.col("rowkey") == F.lit(key)), **resolve)
+
+
 def scan_record(log: DataFrame, family: str, qualifier: str, type_name: str = "string", **resolve) -> DataFrame:
     """scanRecord: ``(rowkey, value)`` of one column over the whole table."""
     cells = raw_scan(log, columns=[(family, qualifier)], **resolve)

@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tessera.functions.keys import key_parts
 from tessera.model import LOG_COLUMNS, LOG_SCHEMA, Catalog
 from tessera.operators import mutate as W
 from tessera.operators.batch import put_seq, put_ts
@@ -20,10 +21,13 @@ from tessera.sources import scan as S
 
 
 class WideTable:
-    def __init__(self, spark: SparkSession, path: str, catalog: Catalog | None = None):
+    """``key_parts``: a table that nothing was written to yet is laid out by key in so many parts; others keep their layout."""
+
+    def __init__(self, spark: SparkSession, path: str, catalog: Catalog | None = None, key_parts: int | None = None):
         self.spark = spark
         self.path = path
         self.catalog = catalog
+        self.key_parts = key_parts
 
     # ------------------------------------------------------------ reads
     def log(self) -> DataFrame:
@@ -52,7 +56,7 @@ class WideTable:
     # ----------------------------------------------------------- writes
     def apply(self, batch: DataFrame) -> None:
         """Append any mutation batch (puts or tombstones)."""
-        W.append(batch.select(*LOG_COLUMNS), self.path)
+        W.append(batch.select(*LOG_COLUMNS), self.path, key_parts=self._parts())
 
     def write(self, df: DataFrame, *, ts=None) -> None:
         """write2HBase(df, catalog): every catalog column becomes a put."""
@@ -81,10 +85,13 @@ class WideTable:
 
     def bulk_load(self, cells: DataFrame, staging_path: str, partitions: int) -> None:
         """generateHFile + bulk load: sorted, range-partitioned staging files moved into the log."""
-        W.bulk_load(cells, staging_path, partitions)
+        W.bulk_load(cells, staging_path, partitions, key_parts=self._parts())
         W.load_staged(self.spark, staging_path, self.path)
 
     # ---------------------------------------------------------- helpers
+    def _parts(self) -> int | None:
+        return key_parts(self.log().columns) if self._exists() else self.key_parts
+
     def _catalog(self) -> Catalog:
         if self.catalog is None:
             raise ValueError("this table has no catalog")
