@@ -7,7 +7,8 @@ corrected against the exact cell boundaries ``lo + i * span / 2^bits`` (exact
 dyadic numbers), so it equals bisection bit for bit.  Hash characters take
 interleaved bits (longitude first, most significant first) five at a time.
 
-:func:`geohash_sql` emits the same formulas as SQL text for oracle checks.
+:func:`geohash_sql` and its parts state the same formulas as SQL text.  Whole columns are added from that text: a tree of
+some hundred nodes is parsed in one step, where building it call by call takes longer than the query.
 """
 
 from __future__ import annotations
@@ -75,13 +76,18 @@ def with_geohash(df, lat: str, lon: str, precision: int, out: str = "geohash"):
     expression that is referenced many times in its own projection), so the
     grid arithmetic runs once per row instead of once per hash bit.
     """
-    gx, gy = cells(F.col(lat), F.col(lon), precision)
-    staged = df.withColumn("__gx", gx).withColumn("__gy", gy)
-    return staged.withColumn(out, hash_of_cells(F.col("__gx"), F.col("__gy"), precision)).drop("__gx", "__gy")
+    staged = with_cell_indices(df, precision, lat, lon, "__gx", "__gy")
+    return staged.withColumn(out, F.expr(hash_of_cells_sql("__gx", "__gy", precision))).drop("__gx", "__gy")
 
 
-def neighbor_cells(gx: Column, gy: Column, precision: int, *, wrap_lat: bool = True) -> Column:
-    """Distinct 3x3 block around ``(gx, gy)`` as ``array<struct<dx, dy, cx, cy>>``.
+def with_cell_indices(df, precision: int, lat: str, lon: str, gx: str, gy: str):
+    """Add the columns ``gx`` and ``gy``: longitude and latitude cell indices of the columns ``lat`` and ``lon``."""
+    lon_bits, lat_bits = bits_for(precision)
+    return df.withColumns({gx: F.expr(cell_index_sql(lon, *LON_RANGE, lon_bits)), gy: F.expr(cell_index_sql(lat, *LAT_RANGE, lat_bits))})
+
+
+def neighbor_cells(gx: str, gy: str, precision: int, *, wrap_lat: bool = True) -> Column:
+    """Distinct 3x3 block around the cell of the columns ``gx`` and ``gy`` as ``array<struct<dx, dy, cx, cy>>``.
 
     Longitude always wraps; latitude wraps too by default (library behaviour)
     or, with ``wrap_lat=False``, rows past a pole are dropped.
@@ -91,17 +97,10 @@ def neighbor_cells(gx: Column, gy: Column, precision: int, *, wrap_lat: bool = T
     items = []
     for dy in (-1, 0, 1):
         for dx in (-1, 0, 1):
-            cx = F.pmod(gx + dx, F.lit(nx).cast("bigint"))
-            raw_y = gy + dy
-            cy = F.pmod(raw_y, F.lit(ny).cast("bigint")) if wrap_lat else raw_y
-            s = F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy"), cx.alias("cx"), cy.alias("cy"))
-            if not wrap_lat:
-                s = F.when((raw_y >= 0) & (raw_y < ny), s)
-            items.append(s)
-    arr = F.array(*items)
-    if not wrap_lat:
-        arr = F.filter(arr, lambda e: e.isNotNull())
-    return arr
+            cy = f"pmod({gy} + {dy}, {ny}L)" if wrap_lat else f"{gy} + {dy}"
+            items.append(f"named_struct('dx', {dx}, 'dy', {dy}, 'cx', pmod({gx} + {dx}, {nx}L), 'cy', {cy})")
+    block = f"array({', '.join(items)})"
+    return F.expr(block if wrap_lat else f"filter({block}, e -> e.cy >= 0 AND e.cy < {ny})")
 
 
 # ----------------------------------------------------------- SQL text form

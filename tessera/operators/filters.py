@@ -17,6 +17,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.operators.skew import semi_join_rows
+
+CELL_ORDERED = ["rowkey", "family", "qualifier", "ts", "seq", "value"]
 CellFilter = Callable[[DataFrame], DataFrame]
 
 
@@ -59,21 +62,9 @@ def by_row_regex(pattern: str) -> CellFilter:
 
 
 # ---------------------------------------------------------- rows by key frame
-ROW_SALTS = 16
-
-
-def rows_in(df: DataFrame, keys: DataFrame, *, salts: int = ROW_SALTS) -> DataFrame:
-    """Rows of ``df`` (log or cells) whose ``rowkey`` is in ``keys``, splittable within a hot row.
-
-    The distinct keys are replicated over ``salts`` and the cells salted by
-    column, so a wide row goes to many tasks; the explode on top of the
-    distinct leaves a plain exchange below the join, which AQE can split
-    further or turn into a broadcast.
-    """
-    spread = keys.select("rowkey").distinct().select(
-        "rowkey", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("__salt"))
-    salted = df.withColumn("__salt", F.pmod(F.xxhash64("family", "qualifier"), F.lit(salts)).cast("int"))
-    return salted.join(spread, ["rowkey", "__salt"], "left_semi").drop("__salt")
+def rows_in(df: DataFrame, keys: DataFrame) -> DataFrame:
+    """Rows of ``df`` (log or cells) whose ``rowkey`` is in ``keys``, splittable within a hot row (:func:`semi_join_rows`)."""
+    return semi_join_rows(df, keys)
 
 
 # ---------------------------------------------------------- column value
@@ -128,15 +119,25 @@ def filter_all(*filters: CellFilter) -> CellFilter:
 
 
 # --------------------------------------------------------------- row level
+SKIP_SALTS = 16
+
+
 def skip_rows(cell_pred: Column) -> CellFilter:
     """SkipFilter: drop the whole row when any of its cells fails ``cell_pred``.
 
-    The per-row verdict is a ``bool_and`` aggregate (partial aggregation
-    bounds the shuffle to one row per key per task) and a semi-join.
+    One pass: cells go by (row, salt of the column), so a hot row is settled by
+    many tasks.  A failing cell is not sent itself; its verdict goes to every
+    salt of its row, without the value, and each task drops the cells of a row that a verdict reached.
     """
     def run(cells: DataFrame) -> DataFrame:
-        ok = cells.groupBy("rowkey").agg(F.bool_and(F.coalesce(cell_pred, F.lit(False))).alias("ok"))
-        return rows_in(cells, ok.filter("ok"))
+        salt = F.pmod(F.xxhash64("family", "qualifier"), F.lit(SKIP_SALTS)).cast("int")
+        judged = cells.withColumn("__fails", ~F.coalesce(cell_pred, F.lit(False)))
+        verdict = F.transform(F.sequence(F.lit(0), F.lit(SKIP_SALTS - 1)), lambda s: F.struct(s.alias("salt"), F.lit(None).cast("binary").alias("value")))
+        itself = F.array(F.struct(salt.alias("salt"), F.col("value").alias("value")))
+        sent = judged.select(*[c for c in cells.columns if c != "value"], "__fails",
+                             F.inline(F.when(F.col("__fails"), verdict).otherwise(itself)).alias("__salt", "value"))
+        hit = F.max("__fails").over(Window.partitionBy("rowkey", "__salt"))
+        return sent.withColumn("__hit", hit).filter(~F.col("__hit")).select(*cells.columns)
     return run
 
 
@@ -158,15 +159,26 @@ def column_count(n: int, *, stop_scan: bool = False) -> CellFilter:
     return run
 
 
-def while_match(cell_pred: Column) -> CellFilter:
+def while_match(cell_pred: Column, *, by_key: bool = False) -> CellFilter:
     """WhileMatchFilter: rows in key order up to (not including) the first row with a failing cell.
 
     The stop key is a one-value aggregate used as a scalar subquery; no
     global sort and nothing on the driver.  No failing row keeps all rows.
+
+    Both the subquery and the rows read the same shuffled cells, once resolved: each partition yields its first failing
+    cell whole (so that both ask for the same columns), and the rows are cut behind a column that holds their
+    partition, which keeps the cut from moving below the shuffle.  ``by_key=True`` states that the predicate reads nothing but
+    ``rowkey``; then the subquery is a scan by key, and the cut reaches the scan of the rows instead.
     """
     def run(cells: DataFrame) -> DataFrame:
-        stop = cells.filter(~F.coalesce(cell_pred, F.lit(False))).agg(F.min("rowkey").alias("m")).scalar()
-        return cells.filter(stop.isNull() | (F.col("rowkey") < stop))
+        fails = ~F.coalesce(cell_pred, F.lit(False))
+        if by_key:
+            stop = cells.filter(fails).agg(F.min("rowkey").alias("m")).scalar()
+            return cells.filter(stop.isNull() | (F.col("rowkey") < stop))
+        placed = cells.withColumn("__part", F.spark_partition_id())
+        first = placed.groupBy("__part").agg(F.min(F.when(fails, F.struct(*[F.col(c) for c in CELL_ORDERED]))).alias("first"))
+        stop = first.agg(F.min("first.rowkey").alias("m")).scalar()
+        return placed.filter(stop.isNull() | (F.col("rowkey") < stop)).drop("__part")
     return run
 
 

@@ -1,24 +1,28 @@
-"""Geohash-blocked nearest neighbours as one distributed join.
+"""Nearest neighbours through an index of cell counts, and one distributed join.
 
 The reference answers one point at a time with nine prefix scans on the
-driver.  Here a frame of query points is expanded to its 3x3 cell block and
-equi-joined with the points on ``(cell_x, cell_y, salt)``:
-
-* the integer cell pair is a cheap join key; the point side needs no sort;
-* ``salt`` splits every cell into ``salt_buckets`` join keys (the query side
-  is replicated per salt), so a hot cell -- a city, or a third of the data
-  at low precision -- is spread over many tasks instead of one;
-* the per-query top ``n`` is a ``row_number`` filter that Spark plans as a
+driver.  Here a frame of query points descends a tree of geohash cells:
+
+* Every point is keyed once, by the integer cell of the finest level.  One
+  partially aggregated exchange counts the points of each occupied cell, and
+  coarser levels sum those counts by bit shifts: no point moves for them.
+* A query starts with its 3x3 block.  Level by level its cells are replaced
+  by their occupied children.  The children nearest by their farthest corner
+  that hold ``n`` points together prove a bound on the n-th distance, and
+  children whose nearest edge lies beyond it are dropped.  So dense regions are
+  searched through small cells and empty ones widen the search by itself.
+* Points outside all cells wanted are dropped where they are read; the rest
+  meet the queries in one equi-join on the finest cell.  A cell of more than
+  ``SALT_POINTS`` points -- a city, or a third of the data -- is split over as many
+  join keys as its count asks for; other cells have one.
+* The per-query top ``n`` is a ``row_number`` filter that Spark plans as a
   partial ``WindowGroupLimit`` before the shuffle on ``qid``, so each task
   ships at most ``n`` candidates per query.
 
 Results are exact within the 3x3 block (the reference's contract); ties in
-distance are broken by ``uid``.  The work per query follows the local density
-(:func:`knn_geohash`): point counts per cell of a few finer levels give each
-query the finest level whose 3x3 neighbourhood holds ``n`` points, which bounds
-the n-th distance, and only cells of that level within the bound are joined.
-Queries without such a level search the coarse block.  Building the plan runs no
-job, and no size decides between plans.
+distance are broken by ``uid``.  Cell edges are exact dyadic numbers and IEEE
+operations are monotone, so no computed distance of a point leaves the range of its
+cell's.  Building the plan runs no job, and no size decides between plans.
 
 The top ``n`` relies on Spark's window group limit, which applies up to
 ``spark.sql.optimizer.windowGroupLimitThreshold`` (1,000 by default); beyond it
@@ -30,7 +34,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.geohash import LAT_RANGE, LON_RANGE, bits_for, cells, hash_of_cells, neighbor_cells
+from tessera.functions.geohash import LAT_RANGE, LON_RANGE, bits_for, hash_of_cells_sql, neighbor_cells, with_cell_indices
+
+LEVELS_BELOW = 3
+SALT_POINTS = 100_000
+BROADCAST_LEVEL = 4  # up to this level a frame of cells has at most 32 ** 4 rows of a few numbers
 
 
 def planar_distance(x1, y1, x2, y2):
@@ -41,30 +49,14 @@ def planar_distance(x1, y1, x2, y2):
 
 
 def with_cells(points: DataFrame, precision: int, lat: str = "lat", lon: str = "lon") -> DataFrame:
-    gx, gy = cells(F.col(lat), F.col(lon), precision)
-    return points.withColumn("cell_x", gx).withColumn("cell_y", gy)
+    return with_cell_indices(points, precision, lat, lon, "cell_x", "cell_y")
 
 
 def query_blocks(queries: DataFrame, precision: int, *, wrap_lat: bool = True) -> DataFrame:
     """Every query point with each cell of its 3x3 block: ``qid, qlon, qlat, dx, dy, cx, cy, cell``."""
-    gx, gy = cells(F.col("lat"), F.col("lon"), precision)
-    q = queries.select(F.col("qid"), F.col("lon").alias("qlon"), F.col("lat").alias("qlat"),
-                       F.inline(neighbor_cells(gx, gy, precision, wrap_lat=wrap_lat)))
-    return q.withColumn("cell", hash_of_cells(F.col("cx"), F.col("cy"), precision))
-
-
-def cell_candidates(points: DataFrame, queries: DataFrame, precision: int, n: int, *,
-                    salt_buckets: int = 16) -> DataFrame:
-    """takeN: the ``n`` points of each query's own cell nearest to the query (bounded per query).
-
-    ``points``: ``uid, hash, lon, lat``; ``queries``: ``qid, lon, lat``.
-    Output: ``qid, rank, uid, hash, lon, lat, distance``.
-    """
-    blocks = query_blocks(queries, precision).filter((F.col("dx") == 0) & (F.col("dy") == 0))
-    pts = with_cells(points.select("uid", "hash", "lon", "lat"), precision).withColumn(
-        "salt", F.pmod(F.xxhash64("uid"), F.lit(salt_buckets)).cast("int"))
-    return _top_n(_join_points(blocks, pts, salt_buckets), n).select(
-        "qid", "rank", "uid", "hash", "lon", "lat", "distance")
+    q = with_cells(queries.select("qid", F.col("lon").alias("qlon"), F.col("lat").alias("qlat")), precision, "qlat", "qlon")
+    q = q.select("qid", "qlon", "qlat", F.inline(neighbor_cells("cell_x", "cell_y", precision, wrap_lat=wrap_lat)))
+    return q.withColumn("cell", F.expr(hash_of_cells_sql("cx", "cy", precision)))
 
 
 def distance_to_cell_centre(points: DataFrame, precision: int) -> DataFrame:
@@ -75,7 +67,7 @@ def distance_to_cell_centre(points: DataFrame, precision: int) -> DataFrame:
     c = with_cells(points, precision)
     cx = F.lit(LON_RANGE[0]) + (F.col("cell_x").cast("double") + 0.5) * F.lit(w)
     cy = F.lit(LAT_RANGE[0]) + (F.col("cell_y").cast("double") + 0.5) * F.lit(h)
-    return c.select("uid", hash_of_cells(F.col("cell_x"), F.col("cell_y"), precision).alias("cell"),
+    return c.select("uid", F.expr(hash_of_cells_sql("cell_x", "cell_y", precision)).alias("cell"),
                     planar_distance(cx, cy, F.col("lon"), F.col("lat")).alias("distance"))
 
 
@@ -84,137 +76,103 @@ def _top_n(cand: DataFrame, n: int) -> DataFrame:
     return cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
 
 
-def _join_points(blocks: DataFrame, pts: DataFrame, salt_buckets: int, also: tuple[str, ...] = ()) -> DataFrame:
-    salts = F.sequence(F.lit(0), F.lit(salt_buckets - 1))
-    b = blocks.select("qid", "qlon", "qlat", "cx", "cy", *also, F.explode(salts).alias("salt"))
-    same = (b.cx == pts.cell_x) & (b.cy == pts.cell_y) & (b.salt == pts.salt)
-    for c in also:
-        same = same & (b[c] == pts[c])
-    joined = b.join(pts, same, "inner")
-    return joined.select(
-        "qid", "uid", "hash", "lon", "lat",
-        planar_distance(F.col("qlon"), F.col("qlat"), F.col("lon"), F.col("lat")).alias("distance"))
+def _sized(cells_frame: DataFrame, level: int) -> DataFrame:
+    """A frame with at most one row per cell of ``level``: broadcast where the grid bounds its size, else as Spark decides."""
+    return F.broadcast(cells_frame) if level <= BROADCAST_LEVEL else cells_frame
 
 
-def cell_min_distance(qlon, qlat, cx, cy, precision: int):
-    """Planar distance from a query to the nearest point of cell ``(cx, cy)``'s rectangle.
+def cell_distances(qlon: str, qlat: str, cx: str, cy: str, level: int) -> tuple[str, str]:
+    """Planar distances from a query to the nearest and the farthest place of a cell's rectangle, as SQL over columns.
 
-    Cell edges are exact dyadic numbers and IEEE operations are monotone, so
-    this is never above the computed distance of any point inside the cell.
+    Cell edges are exact dyadic numbers and IEEE operations are monotone, so the computed distance of any point inside the
+    cell lies between them.
     """
-    lon_bits, lat_bits = bits_for(precision)
-    w = LON_RANGE[1] / (1 << lon_bits)
-    h = LAT_RANGE[1] / (1 << lat_bits)
-    x0 = F.lit(LON_RANGE[0]) + cx.cast("double") * F.lit(w)
-    y0 = F.lit(LAT_RANGE[0]) + cy.cast("double") * F.lit(h)
-    ddx = F.greatest(x0 - qlon, qlon - (x0 + F.lit(w)), F.lit(0.0))
-    ddy = F.greatest(y0 - qlat, qlat - (y0 + F.lit(h)), F.lit(0.0))
-    return F.sqrt(ddx * ddx + ddy * ddy)
-
-
-def _in_coarse_block(fx, fy, qcx, qcy, fine: int, coarse: int, wrap_lat: bool):
-    """Whether fine cell (fx, fy) lies in the 3x3 coarse block around (qcx, qcy)."""
-    lf, tf = bits_for(fine)
-    lc, tc = bits_for(coarse)
-    nxc, nyc = 1 << lc, 1 << tc
-    dx = F.pmod(F.shiftright(fx, lf - lc) - qcx, F.lit(nxc).cast("bigint"))
-    ok_x = dx.isin(0, 1, nxc - 1) if nxc > 2 else F.lit(True)
-    py = F.shiftright(fy, tf - tc)
-    if wrap_lat:
-        dy = F.pmod(py - qcy, F.lit(nyc).cast("bigint"))
-        ok_y = dy.isin(0, 1, nyc - 1) if nyc > 2 else F.lit(True)
-    else:
-        ok_y = F.abs(py - qcy) <= 1
-    return ok_x & ok_y
-
-
-def _offsets(rx: int, ry: int):
-    return F.array(*[F.struct(F.lit(dx).alias("ox"), F.lit(dy).alias("oy"))
-                     for dy in range(-ry, ry + 1) for dx in range(-rx, rx + 1)])
-
-
-def _fine_levels(precision: int, finest: int) -> list[int]:
-    """Levels above ``precision`` whose bound stays clear of cells that only wrapping brings into the block."""
-    lon_bits, lat_bits = bits_for(precision)
-    clear = min(LON_RANGE[1] - 2 * LON_RANGE[1] / (1 << lon_bits), LAT_RANGE[1] - 2 * LAT_RANGE[1] / (1 << lat_bits))
-    return [level for level in range(precision + 1, min(finest, 12) + 1) if _reach(level)[0] < clear]
+    lon_bits, lat_bits = bits_for(level)
+    near, far = [], []
+    for q, c, (low, span), bits in ((qlon, cx, LON_RANGE, lon_bits), (qlat, cy, LAT_RANGE, lat_bits)):
+        side = span / (1 << bits)
+        a, b = f"({low}D + {c} * {side!r}D)", f"({low}D + ({c} + 1) * {side!r}D)"
+        near.append(f"pow(greatest({a} - {q}, {q} - {b}, 0D), 2)")
+        far.append(f"pow(greatest({q} - {a}, {b} - {q}), 2)")
+    return f"sqrt({' + '.join(near)})", f"sqrt({' + '.join(far)})"
 
 
-def _reach(level: int) -> tuple[float, int, int]:
-    """Farthest point of a 3x3 block at ``level`` from its centre cell, and the cells a disc of that radius can touch."""
-    import math
+def _up(level: int, to: int) -> tuple[str, str]:
+    """Cell columns ``cell_x, cell_y`` of ``level`` as cells of the coarser level ``to``."""
+    (lf, tf), (lc, tc) = bits_for(level), bits_for(to)
+    return f"shiftright(cell_x, {lf - lc})", f"shiftright(cell_y, {tf - tc})"
 
-    lon_bits, lat_bits = bits_for(level)
-    w, h = LON_RANGE[1] / (1 << lon_bits), LAT_RANGE[1] / (1 << lat_bits)
-    far = math.sqrt((2 * w) ** 2 + (2 * h) ** 2)
-    return far, math.ceil(far / w), math.ceil(far / h)
 
+def cell_counts(points: DataFrame, level: int) -> DataFrame:
+    """``cell_x, cell_y, c``: points of every occupied cell."""
+    return with_cells(points, level).groupBy("cell_x", "cell_y").agg(F.count(F.lit(1)).alias("c"))
+
+
+def _descend(at: DataFrame, counts: DataFrame, finest: int, level: int, n: int) -> DataFrame:
+    """Cells of ``level - 1`` around each query -> those of ``level`` that may hold one of its ``n`` nearest points.
+
+    ``at``: ``qid, qlon, qlat, cx, cy``; ``counts``: of the level ``finest``.
+    """
+    children = counts
+    if level < finest:
+        x, y = _up(finest, level)
+        children = counts.selectExpr(f"{x} AS cell_x", f"{y} AS cell_y", "c").groupBy("cell_x", "cell_y").agg(F.sum("c").alias("c"))
+    px, py = _up(level, level - 1)
+    children = children.selectExpr(f"{px} AS cx", f"{py} AS cy", "cell_x", "cell_y", "c")
+    near, far = cell_distances("qlon", "qlat", "cell_x", "cell_y", level)
+    below = at.join(_sized(children, level), ["cx", "cy"]).selectExpr(
+        "qid", "qlon", "qlat", "cell_x AS cx", "cell_y AS cy", "c", f"{near} AS near", f"{far} AS far")
+    below = below.selectExpr("*", "sum(c) OVER (PARTITION BY qid ORDER BY far, cx, cy ROWS UNBOUNDED PRECEDING) AS reached")
+    below = below.selectExpr("*", f"min(CASE WHEN reached >= {n} THEN far END) OVER (PARTITION BY qid) AS bound")
+    return below.where("bound IS NULL OR near <= bound").select("qid", "qlon", "qlat", "cx", "cy")
+
+
+def nearest_in(points: DataFrame, blocks: DataFrame, precision: int, n: int, finest: int, salt_points: int = SALT_POINTS) -> DataFrame:
+    """Top ``n`` points of the cells ``cx, cy`` at ``precision`` that ``blocks`` (``qid, qlon, qlat, cx, cy``) lists for each query."""
+    pts = with_cells(points.select("uid", "hash", "lon", "lat"), finest)
+    counts = cell_counts(points.select("lon", "lat"), finest)
+    at = blocks.select("qid", "qlon", "qlat", "cx", "cy")
+    for level in range(precision + 1, finest + 1):
+        at = _descend(at, counts, finest, level, n)
+    at = at.withColumnsRenamed({"cx": "cell_x", "cy": "cell_y"})
+    wanted = at.select("cell_x", "cell_y").distinct()
+    pts = pts.join(_sized(wanted, finest), ["cell_x", "cell_y"], "left_semi")
+    # cells of many points get salts by their count; the others none
+    hot = counts.where(F.col("c") > salt_points).selectExpr("cell_x", "cell_y", f"int(ceil(c / {salt_points})) AS salts")
+    pts = pts.join(_sized(hot, finest), ["cell_x", "cell_y"], "left").selectExpr(
+        "cell_x", "cell_y", "uid", "hash", "lon", "lat", "if(salts IS NULL, 0, int(pmod(xxhash64(uid), salts))) AS salt")
+    at = at.join(_sized(hot, finest), ["cell_x", "cell_y"], "left").selectExpr(
+        "qid", "qlon", "qlat", "cell_x", "cell_y", "explode(sequence(0, coalesce(salts, 1) - 1)) AS salt")
+    met = at.join(pts, ["cell_x", "cell_y", "salt"]).select(
+        "qid", "uid", "hash", "lon", "lat",
+        planar_distance(F.col("qlon"), F.col("qlat"), F.col("lon"), F.col("lat")).alias("distance"))
+    return _top_n(met, n).select("qid", "rank", "uid", "hash", "lon", "lat", "distance")
 
-def _planar_cells(q: DataFrame, level: int, rx: int, ry: int) -> DataFrame:
-    """Cells of ``level`` around each query, clipped at the edges of the map (no wrapping): adds ``level, cx, cy``."""
-    lon_bits, lat_bits = bits_for(level)
-    gx, gy = cells(F.col("qlat"), F.col("qlon"), level)
-    out = q.withColumn("__gx", gx).withColumn("__gy", gy).select("*", F.inline(_offsets(rx, ry)))
-    out = out.withColumn("cx", F.col("__gx") + F.col("ox")).withColumn("cy", F.col("__gy") + F.col("oy")).withColumn("level", F.lit(level))
-    return out.where((F.col("cx") >= 0) & (F.col("cx") < 1 << lon_bits) & (F.col("cy") >= 0) & (F.col("cy") < 1 << lat_bits)).drop("__gx", "__gy", "ox", "oy")
 
+def _finest(precision: int, fine_precision: int | str | None) -> int:
+    if fine_precision is None:
+        return precision
+    return min(12, max(precision, precision + LEVELS_BELOW if fine_precision == "auto" else fine_precision))
 
-def _union(frames: list[DataFrame]) -> DataFrame:
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
 
+def cell_candidates(points: DataFrame, queries: DataFrame, precision: int, n: int, *,
+                    fine_precision: int | str | None = "auto", salt_points: int = SALT_POINTS) -> DataFrame:
+    """takeN: the ``n`` points of each query's own cell nearest to the query (bounded per query).
 
-def _cell_counts(points: DataFrame, levels: list[int]) -> DataFrame:
-    """``level, cx, cy, c``: points per occupied cell; each level sums the next finer one."""
-    finest = levels[-1]
-    gx, gy = cells(F.col("lat"), F.col("lon"), finest)
-    counts = points.select(gx.alias("cx"), gy.alias("cy")).groupBy("cx", "cy").agg(F.count(F.lit(1)).alias("c"))
-    frames = [counts.withColumn("level", F.lit(finest))]
-    for fine, level in zip(levels[:0:-1], levels[-2::-1]):
-        (lf, tf), (lc, tc) = bits_for(fine), bits_for(level)
-        counts = counts.groupBy(F.shiftright("cx", lf - lc).alias("cx"), F.shiftright("cy", tf - tc).alias("cy")).agg(F.sum("c").alias("c"))
-        frames.append(counts.withColumn("level", F.lit(level)))
-    return _union(frames)
+    ``points``: ``uid, hash, lon, lat``; ``queries``: ``qid, lon, lat``.
+    Output: ``qid, rank, uid, hash, lon, lat, distance``.
+    """
+    own = query_blocks(queries, precision).filter((F.col("dx") == 0) & (F.col("dy") == 0))
+    return nearest_in(points, own, precision, n, _finest(precision, fine_precision), salt_points)
 
 
 def knn_geohash(points: DataFrame, queries: DataFrame, n: int = 5, precision: int = 1, *,
-                salt_buckets: int = 16, wrap_lat: bool = True, fine_precision: int | str | None = "auto") -> DataFrame:
+                wrap_lat: bool = True, fine_precision: int | str | None = "auto", salt_points: int = SALT_POINTS) -> DataFrame:
     """Top ``n`` points by planar distance over each query's 3x3 geohash block at ``precision``.
 
     Output: ``qid, rank, uid, hash, lon, lat, distance`` (rank 1 = nearest).
-    ``fine_precision`` is the finest level to choose from (``"auto"``: three
-    above ``precision``; ``None``: the coarse block only).  The result is the
-    same for every choice: a neighbourhood that holds ``n`` points proves the
-    n-th distance to be at most its reach, cells of the block that touch a disc
-    of that radius are all searched, and wrapped cells lie farther away.
+    ``fine_precision`` is the finest level of the index (``"auto"``: ``LEVELS_BELOW`` under ``precision``; ``None``: no index).  The
+    result is the same for every choice.  Take it so that an occupied cell of the finest level holds some thousand points.
     """
-    pts = points.select("uid", "hash", "lon", "lat")
-    salted = lambda df: df.withColumn("salt", F.pmod(F.xxhash64("uid"), F.lit(salt_buckets)).cast("int"))
-    levels = [] if fine_precision is None else _fine_levels(
-        precision, precision + 3 if fine_precision == "auto" else fine_precision)
-    coarse_pts = salted(with_cells(pts, precision))
-    if not levels:
-        found = _join_points(query_blocks(queries, precision, wrap_lat=wrap_lat), coarse_pts, salt_buckets)
-        return _top_n(found, n).select("qid", "rank", "uid", "hash", "lon", "lat", "distance")
-
-    q = queries.select("qid", F.col("lon").alias("qlon"), F.col("lat").alias("qlat"))
-    around = _union([_planar_cells(q, level, 1, 1) for level in levels])
-    enough = (around.join(_cell_counts(pts, levels), ["level", "cx", "cy"]).groupBy("qid", "level").agg(F.sum("c").alias("c"))
-              .where(F.col("c") >= n).groupBy("qid").agg(F.max("level").alias("at")))
-    leveled = q.join(enough, "qid", "left")
-
-    gx, gy = cells(F.col("qlat"), F.col("qlon"), precision)
-    wanted, fine_pts = [], []
-    for level in levels:
-        far, rx, ry = _reach(level)
-        mine = _planar_cells(leveled.where(F.col("at") == level).withColumn("qcx", gx).withColumn("qcy", gy), level, rx, ry)
-        wanted.append(mine.where(
-            _in_coarse_block(F.col("cx"), F.col("cy"), F.col("qcx"), F.col("qcy"), level, precision, wrap_lat)
-            & (cell_min_distance(F.col("qlon"), F.col("qlat"), F.col("cx"), F.col("cy"), level) <= far)))
-        fine_pts.append(salted(with_cells(pts, level)).withColumn("level", F.lit(level)))
-    second = _join_points(_union(wanted), _union(fine_pts), salt_buckets, ("level",))
-    sparse = leveled.where(F.col("at").isNull()).select("qid", F.col("qlon").alias("lon"), F.col("qlat").alias("lat"))
-    third = _join_points(query_blocks(sparse, precision, wrap_lat=wrap_lat), coarse_pts, salt_buckets)
-    return _top_n(second.unionByName(third), n).select("qid", "rank", "uid", "hash", "lon", "lat", "distance")
+    blocks = query_blocks(queries, precision, wrap_lat=wrap_lat)
+    return nearest_in(points, blocks, precision, n, _finest(precision, fine_precision), salt_points)

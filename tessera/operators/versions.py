@@ -16,9 +16,10 @@ Plan, chosen for skew and scale:
    aggregation combines map-side, so a hot cell leaves each task as one row.
    Because tombstones hide everything at or below their ts, comparing only
    the newest put with the watermark is exact.
-3. *Row level*: one row per deleted row (max tombstone ts) joined by key,
-   salted by column so a wide hot row is joined by many tasks.  AQE turns
-   it into a broadcast when the tombstone side is small at run time.
+3. *Row level*: one row per deleted row (max tombstone ts) joined by key
+   such that AQE can split a wide hot row by its measured size
+   (:mod:`tessera.operators.skew`).  AQE turns it into a broadcast when the
+   tombstone side is small at run time.
 
 All stages are planned unless the caller states that the log holds no
 version or no row tombstones; building a plan never runs a job.  A log of
@@ -33,16 +34,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.model import DEL_COLUMN, DEL_ROW, DEL_VERSION, LOG_COLUMNS, PUT
+from tessera.operators.skew import join_by_row
 
 CELL = ["rowkey", "family", "qualifier"]
 CELL_COLUMNS = ["rowkey", "family", "qualifier", "ts", "seq", "value"]
+AFTER_ROW_DELETE = "tr IS NULL OR ts > tr"
 
 
-ROW_JOIN_SALTS = 16
-
-
-def latest_cells(log: DataFrame, *, version_deletes: bool = True, row_deletes: bool = True,
-                 row_join_salts: int = ROW_JOIN_SALTS, values: bool = True) -> DataFrame:
+def latest_cells(log: DataFrame, *, version_deletes: bool = True, row_deletes: bool = True, values: bool = True) -> DataFrame:
     """Live latest cells ``(rowkey, family, qualifier, ts, seq, value)``.
 
     ``version_deletes`` / ``row_deletes``: ``False`` skips the stage, for logs
@@ -51,9 +50,18 @@ def latest_cells(log: DataFrame, *, version_deletes: bool = True, row_deletes: b
     value column is not read, and every ``value`` is empty.
     """
     entries = log.select(*LOG_COLUMNS) if values else log.select(*LOG_COLUMNS[:-1]).withColumn("value", F.lit(b""))
+    cells = resolve_cells(entries, version_deletes=version_deletes)
+    if row_deletes:
+        marks = entries.filter(F.col("op") == DEL_ROW).groupBy("rowkey").agg(F.max("ts").alias("tr"))
+        cells = join_by_row(cells, marks, "left").filter(AFTER_ROW_DELETE).select(*CELL_COLUMNS)
+    return cells
+
+
+def resolve_cells(entries: DataFrame, *, version_deletes: bool = True, carry: tuple[str, ...] = ()) -> DataFrame:
+    """The version and cell levels alone; columns ``carry``, equal in all entries of a row, stay with its cells."""
     op = F.col("op")
     is_put = op == PUT
-
+    kept = [F.max(c).alias(c) for c in carry]
     if version_deletes:
         per_version = (
             entries.filter(op.isin(PUT, DEL_COLUMN, DEL_VERSION))
@@ -62,6 +70,7 @@ def latest_cells(log: DataFrame, *, version_deletes: bool = True, row_deletes: b
                 F.max_by(F.when(is_put, F.struct("seq", "value")), F.when(is_put, F.col("seq"))).alias("top"),
                 F.max(F.when(op == DEL_VERSION, F.lit(True))).alias("vdel"),
                 F.max(F.when(op == DEL_COLUMN, F.lit(True))).alias("cdel"),
+                *kept,
             )
         )
         live_put = F.col("top").isNotNull() & F.col("vdel").isNull()
@@ -70,6 +79,7 @@ def latest_cells(log: DataFrame, *, version_deletes: bool = True, row_deletes: b
             F.max_by(F.when(live_put, F.struct("ts", F.col("top.seq").alias("seq"), F.col("top.value").alias("value"))),
                      order).alias("top"),
             F.max(F.when(F.col("cdel"), F.col("ts"))).alias("tc"),
+            *kept,
         )
     else:
         order = F.when(is_put, F.struct("ts", "seq"))
@@ -79,25 +89,33 @@ def latest_cells(log: DataFrame, *, version_deletes: bool = True, row_deletes: b
             .agg(
                 F.max_by(F.when(is_put, F.struct("ts", "seq", "value")), order).alias("top"),
                 F.max(F.when(op == DEL_COLUMN, F.col("ts"))).alias("tc"),
+                *kept,
             )
         )
-
     cells = cells.filter(F.col("top").isNotNull() & (F.col("tc").isNull() | (F.col("top.ts") > F.col("tc"))))
-    cells = cells.select(*CELL, "top.ts", "top.seq", "top.value")
+    return cells.select(*CELL, "top.ts", "top.seq", "top.value", *carry)
 
-    if row_deletes:
-        # The row watermark (one row per deleted key) is replicated over
-        # ``row_join_salts`` salts and the cells are salted by column, so a row
-        # with a third of all cells is joined by many tasks, and row-level
-        # aggregates downstream get a fresh, partially aggregated exchange.
-        row_marks = entries.filter(op == DEL_ROW).groupBy("rowkey").agg(F.max("ts").alias("tr"))
-        salts = F.sequence(F.lit(0), F.lit(row_join_salts - 1))
-        row_marks = row_marks.select("rowkey", "tr", F.explode(salts).alias("__salt"))
-        salted = cells.withColumn(
-            "__salt", F.pmod(F.xxhash64("family", "qualifier"), F.lit(row_join_salts)).cast("int"))
-        cells = (
-            salted.join(row_marks, ["rowkey", "__salt"], "left")
-            .filter(F.col("tr").isNull() | (F.col("ts") > F.col("tr")))
-            .select(*CELL_COLUMNS)
-        )
-    return cells
+
+def tested_rows(entries: DataFrame, family: str, qualifier: str, value_pred, *, version_deletes: bool = True, row_deletes: bool = True) -> DataFrame:
+    """``rowkey, tr``: rows whose live value of one column satisfies ``value_pred``, with the ts of their row tombstone.
+
+    Verdict and row tombstones come from one pass: the predicate is evaluated where an entry is read, so that the aggregates
+    carry a boolean and numbers (a hash aggregate) instead of values.
+    """
+    op = F.col("op")
+    tested = (F.col("family") == family) & (F.col("qualifier") == qualifier)
+    need = entries.filter((tested & op.isin(PUT, DEL_COLUMN, DEL_VERSION)) | (op == DEL_ROW)).select(
+        "rowkey", "ts", "seq", "op", F.when(op == PUT, F.coalesce(value_pred, F.lit(False))).alias("ok"))
+    if version_deletes:
+        need = need.groupBy("rowkey", "ts").agg(
+            F.max_by("ok", F.when(op == PUT, F.col("seq"))).alias("ok"),
+            *[F.max(F.when(op == d, F.lit(True))).alias(d) for d in (DEL_VERSION, DEL_COLUMN, DEL_ROW)])
+        put = F.col("ok").isNotNull() & F.col(DEL_VERSION).isNull()
+        top = [F.max_by(F.when(put, F.col("ok")), F.when(put, F.col("ts"))).alias("ok"), F.max(F.when(put, F.col("ts"))).alias("ts")]
+        marks = [F.max(F.when(F.col(DEL_COLUMN), F.col("ts"))).alias("tc"), F.max(F.when(F.col(DEL_ROW), F.col("ts"))).alias("tr")]
+    else:
+        order = F.when(op == PUT, F.struct("ts", "seq"))
+        top = [F.max_by("ok", order).alias("ok"), F.max(F.when(op == PUT, F.col("ts"))).alias("ts")]
+        marks = [F.max(F.when(op == d, F.col("ts"))).alias(t) for d, t in ((DEL_COLUMN, "tc"), (DEL_ROW, "tr"))]
+    rows = need.groupBy("rowkey").agg(*top, *marks).filter("ok AND (tc IS NULL OR ts > tc)")
+    return rows.filter(AFTER_ROW_DELETE).select("rowkey", "tr") if row_deletes else rows.select("rowkey", F.lit(None).cast("long").alias("tr"))

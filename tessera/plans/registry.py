@@ -435,7 +435,7 @@ def q_filter_column_count_stop(spark, sf):
 
 @query("filter_while_match", _with(O.CUSTOMER_CELLS) + f"SELECT {CELL_COLS} FROM customer_cells WHERE rowkey < '000700'")
 def q_filter_while_match(spark, sf):
-    return customer_view(FL.while_match(F.col("rowkey") != "000700")(latest_cells(fx.customer_log(spark, sf))))
+    return customer_view(FL.while_match(F.col("rowkey") != "000700", by_key=True)(latest_cells(fx.customer_log(spark, sf))))
 
 
 @query("filter_while_match_value", _with(O.CUSTOMER_CELLS) + f"SELECT {CELL_COLS} FROM customer_cells WHERE rowkey < "

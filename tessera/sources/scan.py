@@ -14,9 +14,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.codec import decode
+from tessera.model import LOG_COLUMNS
 from tessera.operators.filters import row_range, rows_in
 from tessera.operators.shape import decode_columns
-from tessera.operators.versions import latest_cells
+from tessera.operators.skew import join_by_row
+from tessera.operators.versions import AFTER_ROW_DELETE, CELL_COLUMNS, latest_cells, resolve_cells, tested_rows
 from tessera.sources.keyed import among_parts, only_part_of
 
 DEFAULT_START = "0"
@@ -94,7 +96,7 @@ def scan_count(log: DataFrame, start: str | None = None, stop: str | None = None
 def bulk_get(log: DataFrame, keys: DataFrame, *, keep_missing: bool = False, **resolve) -> DataFrame:
     """bulkGet: live cells of the rows named in ``keys`` (column ``rowkey``).
 
-    A salted semi-join (:func:`rows_in`): the planner broadcasts the key frame
+    A semi-join (:func:`rows_in`): the planner broadcasts the key frame
     when its measured size is small and splits hot rows otherwise.  ``keep_missing=True`` adds
     absent keys as rows with NULL coordinates.  Of a log laid out by key only the parts of ``keys`` are read.
     """
@@ -137,21 +139,24 @@ def prefix_first_row(log: DataFrame, prefix: str, family: str, **resolve) -> Dat
 
 
 def scan_rows_where_column(log: DataFrame, family: str, qualifier: str, value_pred, *, start: str | None = None,
-                           stop: str | None = None, exclude_tested: bool = False, **resolve) -> DataFrame:
+                           stop: str | None = None, exclude_tested: bool = False, version_deletes: bool = True,
+                           row_deletes: bool = True) -> DataFrame:
     """SingleColumnValueFilter applied during the scan (rows missing the column drop).
 
-    1. Resolve only the tested column (the column restriction reaches the
-       scan) and keep the keys whose live value satisfies ``value_pred``
-       (a predicate over the ``value`` bytes).
-    2. Semi-join the log with those keys and resolve only the matching rows.
+    1. One pass over the tested column and the row tombstones (the column
+       restriction reaches the scan) gives the keys whose live value
+       satisfies ``value_pred`` (a predicate over the ``value`` bytes), each
+       with the ts of its row tombstone.
+    2. The log's entries of those rows, joined by key, are resolved once;
+       the row tombstone that came with the key hides what is older.
 
-    Version resolution of the full table never runs twice; the key frame is
-    an aggregate whose size AQE measures before choosing broadcast or shuffle.
+    Two scans of the log, no row tombstone is joined again, and a row without
+    a match is not resolved.  AQE measures the keys before choosing broadcast or shuffle.
     """
-    tested = raw_scan(log, start, stop, columns=[(family, qualifier)], **resolve)
-    keys = tested.filter(value_pred).select("rowkey")
-    rows = rows_in(log.filter(row_range(start, stop)), keys)
-    out = latest_cells(rows, **resolve)
+    entries = log.filter(row_range(start, stop)).select(*LOG_COLUMNS)
+    keys = tested_rows(entries, family, qualifier, value_pred, version_deletes=version_deletes, row_deletes=row_deletes)
+    mine = entries.filter(F.col("family").isNotNull())
     if exclude_tested:
-        out = out.filter(~((F.col("family") == family) & (F.col("qualifier") == qualifier)))
-    return out
+        mine = mine.filter(~((F.col("family") == family) & (F.col("qualifier") == qualifier)))
+    cells = resolve_cells(join_by_row(mine, keys, "inner"), version_deletes=version_deletes, carry=("tr",))
+    return cells.filter(AFTER_ROW_DELETE).select(*CELL_COLUMNS)

@@ -9,8 +9,8 @@ def _children(node):
         return [node.plan()]
     if name.startswith("ReusedExchange"):
         return []  # counted where it is made
-    kids = node.children()
-    return [kids.apply(i) for i in range(kids.size())]
+    kids, subs = node.children(), node.subqueries()
+    return [kids.apply(i) for i in range(kids.size())] + [subs.apply(i).child() for i in range(subs.size()) if hasattr(subs.apply(i), "child")]
 
 
 def nodes(df):
