@@ -22,7 +22,7 @@ driver.  Here a frame of query points descends a tree of geohash cells:
 Results are exact within the 3x3 block (the reference's contract); ties in
 distance are broken by ``uid``.  Cell edges are exact dyadic numbers and IEEE
 operations are monotone, so no computed distance of a point leaves the range of its
-cell's.  Building the plan runs no job, and no size decides between plans.
+cell's.  Building the plan runs no job; the size of the points' files sets only how fine the index is.
 
 The top ``n`` relies on Spark's window group limit, which applies up to
 ``spark.sql.optimizer.windowGroupLimitThreshold`` (1,000 by default); beyond it
@@ -31,12 +31,13 @@ all candidates of a query meet in its window.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.geohash import LAT_RANGE, LON_RANGE, bits_for, hash_of_cells_sql, neighbor_cells, with_cell_indices
+from tessera.functions.geohash import LAT_RANGE, LON_RANGE, bits_for, cell_index_sql, hash_of_cells_sql, neighbor_cells, with_cell_indices
+from tessera.operators.partitioning import source_bytes
 
-LEVELS_BELOW = 3
+CELL_BYTES = 64 << 10  # of the points' files for each cell of the finest level, were they spread evenly
 SALT_POINTS = 100_000
 BROADCAST_LEVEL = 4  # up to this level a frame of cells has at most 32 ** 4 rows of a few numbers
 
@@ -71,16 +72,6 @@ def distance_to_cell_centre(points: DataFrame, precision: int) -> DataFrame:
                     planar_distance(cx, cy, F.col("lon"), F.col("lat")).alias("distance"))
 
 
-def _top_n(cand: DataFrame, n: int) -> DataFrame:
-    w = Window.partitionBy("qid").orderBy(F.col("distance").asc(), F.col("uid").asc())
-    return cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
-
-
-def _sized(cells_frame: DataFrame, level: int) -> DataFrame:
-    """A frame with at most one row per cell of ``level``: broadcast where the grid bounds its size, else as Spark decides."""
-    return F.broadcast(cells_frame) if level <= BROADCAST_LEVEL else cells_frame
-
-
 def cell_distances(qlon: str, qlat: str, cx: str, cy: str, level: int) -> tuple[str, str]:
     """Planar distances from a query to the nearest and the farthest place of a cell's rectangle, as SQL over columns.
 
@@ -92,8 +83,9 @@ def cell_distances(qlon: str, qlat: str, cx: str, cy: str, level: int) -> tuple[
     for q, c, (low, span), bits in ((qlon, cx, LON_RANGE, lon_bits), (qlat, cy, LAT_RANGE, lat_bits)):
         side = span / (1 << bits)
         a, b = f"({low}D + {c} * {side!r}D)", f"({low}D + ({c} + 1) * {side!r}D)"
-        near.append(f"pow(greatest({a} - {q}, {q} - {b}, 0D), 2)")
-        far.append(f"pow(greatest({q} - {a}, {b} - {q}), 2)")
+        to_edge, across = f"greatest({a} - {q}, {q} - {b}, 0D)", f"greatest({q} - {a}, {b} - {q})"
+        near.append(f"{to_edge} * {to_edge}")
+        far.append(f"{across} * {across}")
     return f"sqrt({' + '.join(near)})", f"sqrt({' + '.join(far)})"
 
 
@@ -103,56 +95,63 @@ def _up(level: int, to: int) -> tuple[str, str]:
     return f"shiftright(cell_x, {lf - lc})", f"shiftright(cell_y, {tf - tc})"
 
 
-def cell_counts(points: DataFrame, level: int) -> DataFrame:
-    """``cell_x, cell_y, c``: points of every occupied cell."""
-    return with_cells(points, level).groupBy("cell_x", "cell_y").agg(F.count(F.lit(1)).alias("c"))
-
-
-def _descend(at: DataFrame, counts: DataFrame, finest: int, level: int, n: int) -> DataFrame:
-    """Cells of ``level - 1`` around each query -> those of ``level`` that may hold one of its ``n`` nearest points.
-
-    ``at``: ``qid, qlon, qlat, cx, cy``; ``counts``: of the level ``finest``.
-    """
-    children = counts
-    if level < finest:
-        x, y = _up(finest, level)
-        children = counts.selectExpr(f"{x} AS cell_x", f"{y} AS cell_y", "c").groupBy("cell_x", "cell_y").agg(F.sum("c").alias("c"))
+def _step(level: int, finest: int, n: int) -> str:
+    """Views that lead from ``at{level - 1}``, the cells around each query, to ``at{level}``, their children that may hold one of its
+    ``n`` nearest points, with their counts."""
+    x, y = _up(finest, level)
+    children = f"(SELECT {x} AS cell_x, {y} AS cell_y, sum(c) AS c FROM counts GROUP BY 1, 2)" if level < finest else "counts"
     px, py = _up(level, level - 1)
-    children = children.selectExpr(f"{px} AS cx", f"{py} AS cy", "cell_x", "cell_y", "c")
     near, far = cell_distances("qlon", "qlat", "cell_x", "cell_y", level)
-    below = at.join(_sized(children, level), ["cx", "cy"]).selectExpr(
-        "qid", "qlon", "qlat", "cell_x AS cx", "cell_y AS cy", "c", f"{near} AS near", f"{far} AS far")
-    below = below.selectExpr("*", "sum(c) OVER (PARTITION BY qid ORDER BY far, cx, cy ROWS UNBOUNDED PRECEDING) AS reached")
-    below = below.selectExpr("*", f"min(CASE WHEN reached >= {n} THEN far END) OVER (PARTITION BY qid) AS bound")
-    return below.where("bound IS NULL OR near <= bound").select("qid", "qlon", "qlat", "cx", "cy")
+    return f"""
+children{level} AS (SELECT {px} AS px, {py} AS py, cell_x, cell_y, c FROM {children}),
+below{level} AS (
+  SELECT {_sized("k", level)} qid, qlon, qlat, cell_x AS cx, cell_y AS cy, k.c, {near} AS near, {far} AS far
+  FROM at{level - 1} JOIN children{level} k ON cx = px AND cy = py),
+reached{level} AS (SELECT *, sum(c) OVER (PARTITION BY qid ORDER BY far, cx, cy ROWS UNBOUNDED PRECEDING) AS reached FROM below{level}),
+bound{level} AS (SELECT *, min(CASE WHEN reached >= {n} THEN far END) OVER (PARTITION BY qid) AS bound FROM reached{level}),
+at{level} AS (SELECT qid, qlon, qlat, cx, cy, c FROM bound{level} WHERE bound IS NULL OR near <= bound),"""
+
+
+def _sized(view: str, level: int) -> str:
+    """A hint for a view of at most one row a cell of ``level``: broadcast where the grid bounds its size, else as Spark decides."""
+    return f"/*+ BROADCAST({view}) */" if level <= BROADCAST_LEVEL else ""
 
 
 def nearest_in(points: DataFrame, blocks: DataFrame, precision: int, n: int, finest: int, salt_points: int = SALT_POINTS) -> DataFrame:
-    """Top ``n`` points of the cells ``cx, cy`` at ``precision`` that ``blocks`` (``qid, qlon, qlat, cx, cy``) lists for each query."""
-    pts = with_cells(points.select("uid", "hash", "lon", "lat"), finest)
-    counts = cell_counts(points.select("lon", "lat"), finest)
-    at = blocks.select("qid", "qlon", "qlat", "cx", "cy")
-    for level in range(precision + 1, finest + 1):
-        at = _descend(at, counts, finest, level, n)
-    at = at.withColumnsRenamed({"cx": "cell_x", "cy": "cell_y"})
-    wanted = at.select("cell_x", "cell_y").distinct()
-    pts = pts.join(_sized(wanted, finest), ["cell_x", "cell_y"], "left_semi")
-    # cells of many points get salts by their count; the others none
-    hot = counts.where(F.col("c") > salt_points).selectExpr("cell_x", "cell_y", f"int(ceil(c / {salt_points})) AS salts")
-    pts = pts.join(_sized(hot, finest), ["cell_x", "cell_y"], "left").selectExpr(
-        "cell_x", "cell_y", "uid", "hash", "lon", "lat", "if(salts IS NULL, 0, int(pmod(xxhash64(uid), salts))) AS salt")
-    at = at.join(_sized(hot, finest), ["cell_x", "cell_y"], "left").selectExpr(
-        "qid", "qlon", "qlat", "cell_x", "cell_y", "explode(sequence(0, coalesce(salts, 1) - 1)) AS salt")
-    met = at.join(pts, ["cell_x", "cell_y", "salt"]).select(
-        "qid", "uid", "hash", "lon", "lat",
-        planar_distance(F.col("qlon"), F.col("qlat"), F.col("lon"), F.col("lat")).alias("distance"))
-    return _top_n(met, n).select("qid", "rank", "uid", "hash", "lon", "lat", "distance")
-
-
-def _finest(precision: int, fine_precision: int | str | None) -> int:
+    """Top ``n`` points of the cells ``cx, cy`` at ``precision`` that ``blocks`` (``qid, qlon, qlat, cx, cy``) lists for each query.
+
+    One SQL statement, so that Spark analyses the plan once and not after each of its thirty steps.
+    """
+    lon_bits, lat_bits = bits_for(finest)
+    key = f"{cell_index_sql('lon', *LON_RANGE, lon_bits)} AS cell_x, {cell_index_sql('lat', *LAT_RANGE, lat_bits)} AS cell_y"
+    text = f"""
+WITH keyed AS (SELECT uid, hash, lon, lat, {key} FROM {{points}}),
+counts AS (SELECT cell_x, cell_y, count(1) AS c FROM (SELECT {key} FROM {{points}}) GROUP BY cell_x, cell_y),
+at{precision} AS ({"SELECT qid, qlon, qlat, cx, cy" if finest > precision else f"SELECT {_sized('counts', precision)} qid, qlon, qlat, cx, cy, c"}
+  FROM {{blocks}} {"" if finest > precision else "JOIN counts ON cx = cell_x AND cy = cell_y"}),
+{"".join(_step(level, finest, n) for level in range(precision + 1, finest + 1))}
+-- a cell gets salts by its count, most have one; points outside the cells wanted go where they are read
+wanted AS (SELECT cx, cy, int(ceil(max(c) / {salt_points})) AS salts FROM at{finest} GROUP BY cx, cy),
+found AS (
+  SELECT {_sized("w", finest)} cx, cy, int(pmod(xxhash64(uid), salts)) AS salt, uid, hash, lon, lat
+  FROM keyed JOIN wanted w ON cell_x = cx AND cell_y = cy),
+spread AS (SELECT qid, qlon, qlat, cx, cy, explode(sequence(0, int(ceil(c / {salt_points})) - 1)) AS salt FROM at{finest}),
+met AS (
+  SELECT qid, uid, hash, lon, lat, sqrt((lon - qlon) * (lon - qlon) + (lat - qlat) * (lat - qlat)) AS distance
+  FROM spread s JOIN found p ON s.cx = p.cx AND s.cy = p.cy AND s.salt = p.salt)
+SELECT qid, rank, uid, hash, lon, lat, distance
+FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY distance, uid) AS rank FROM met) WHERE rank <= {n}"""
+    return points.sparkSession.sql(text, points=points.select("uid", "hash", "lon", "lat"), blocks=blocks)
+
+
+def _finest(points: DataFrame, precision: int, fine_precision: int | str | None) -> int:
     if fine_precision is None:
         return precision
-    return min(12, max(precision, precision + LEVELS_BELOW if fine_precision == "auto" else fine_precision))
+    if fine_precision == "auto":
+        fine_precision, cells_wanted = precision + 1, source_bytes(points) // CELL_BYTES
+        while 32 ** fine_precision < cells_wanted:
+            fine_precision += 1
+    return min(12, max(precision, fine_precision))
 
 
 def cell_candidates(points: DataFrame, queries: DataFrame, precision: int, n: int, *,
@@ -163,7 +162,7 @@ def cell_candidates(points: DataFrame, queries: DataFrame, precision: int, n: in
     Output: ``qid, rank, uid, hash, lon, lat, distance``.
     """
     own = query_blocks(queries, precision).filter((F.col("dx") == 0) & (F.col("dy") == 0))
-    return nearest_in(points, own, precision, n, _finest(precision, fine_precision), salt_points)
+    return nearest_in(points, own, precision, n, _finest(points, precision, fine_precision), salt_points)
 
 
 def knn_geohash(points: DataFrame, queries: DataFrame, n: int = 5, precision: int = 1, *,
@@ -171,8 +170,8 @@ def knn_geohash(points: DataFrame, queries: DataFrame, n: int = 5, precision: in
     """Top ``n`` points by planar distance over each query's 3x3 geohash block at ``precision``.
 
     Output: ``qid, rank, uid, hash, lon, lat, distance`` (rank 1 = nearest).
-    ``fine_precision`` is the finest level of the index (``"auto"``: ``LEVELS_BELOW`` under ``precision``; ``None``: no index).  The
-    result is the same for every choice.  Take it so that an occupied cell of the finest level holds some thousand points.
+    ``fine_precision`` is the finest level of the index (``None``: no index; ``"auto"``: below ``precision``, and so fine that the
+    files of the points hold about ``CELL_BYTES`` a cell).  The result is the same for every choice.
     """
     blocks = query_blocks(queries, precision, wrap_lat=wrap_lat)
-    return nearest_in(points, blocks, precision, n, _finest(precision, fine_precision), salt_points)
+    return nearest_in(points, blocks, precision, n, _finest(points, precision, fine_precision), salt_points)

@@ -317,6 +317,22 @@ def q_load_text_rejects(spark, sf):
     return rejects
 
 
+@query("load_text_last_line",
+       "SELECT lpad(CAST(p_partkey AS VARCHAR), 6, '0') AS rowkey, 'cf' AS family, 'name' AS qualifier, "
+       "CASE WHEN p_partkey % 3 = 0 THEN p_name WHEN p_partkey % 3 = 1 THEN p_brand ELSE p_type END AS value FROM part")
+def q_load_text_last_line(spark, sf):
+    """Lines of one load that name the same cell: the last one in the file wins."""
+    p = fx.table(spark, sf, "part")
+    texts = F.when(F.col("p_partkey") % 3 == 0, F.array("p_type", "p_brand", "p_name")).when(
+        F.col("p_partkey") % 3 == 1, F.array("p_type", "p_brand")).otherwise(F.array("p_name", "p_brand", "p_type"))
+    lines = p.select(fx.padded("p_partkey", 6).alias("k"), F.explode(texts).alias("t")).select(F.concat_ws(",", "k", F.lit("name"), "t"))
+    path = scratch_path(spark, "text-lines")
+    lines.write.text(path)
+    puts, _ = TX.load_text_puts(spark, path, "cf")
+    live = latest_cells(puts, version_deletes=False, row_deletes=False)
+    return live.select("rowkey", "family", "qualifier", decode("value", "string").alias("value"))
+
+
 CATALOG_SQL = (f"SELECT {O.OKEY} AS pk, o_orderstatus AS status, o_orderpriority AS priority, o_custkey AS custkey, "
                f"o_totalprice AS totalprice FROM orders")
 
@@ -483,6 +499,25 @@ def q_filter_compound(spark, sf):
                      & (F.col("status") == "O") & (F.col("totalprice") > 100000.0))
 
 
+@query("filter_compound_log",
+       f"SELECT * FROM ({CATALOG_SQL}) t WHERE ((pk >= '0000000100' AND pk < '0000000200') OR pk IN "
+       f"('0000005000', '0000007777')) AND status = 'O' AND totalprice > 100000.0")
+def q_filter_compound_log(spark, sf):
+    """The same predicate over the log: keys reach the scan, values are compared as bytes."""
+    return C.filter_log_table(fx.ORDERS_CATALOG, fx.orders_log(spark, sf), [("status", "=", "O"), ("totalprice", ">", 100000.0)],
+                              ranges=[("0000000100", "0000000200")], points=["0000005000", "0000007777"])
+
+
+@query("filter_compound_log_wide",
+       f"SELECT * FROM (SELECT {O.OKEY} AS pk, o_orderstatus AS status, CASE WHEN o_orderkey % 21 = 0 THEN '9-REPUT' "
+       f"WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_orderpriority END AS priority, o_custkey AS custkey, o_totalprice AS totalprice "
+       f"FROM orders WHERE o_orderkey % 10 <> 0) t WHERE priority >= '5' AND custkey <= 700 AND totalprice < 150000.0")
+def q_filter_compound_log_wide(spark, sf):
+    """Three columns over a whole log with tombstones."""
+    return C.filter_log_table(fx.ORDERS_CATALOG, orders_with_tombstones(spark, sf),
+                              [("priority", ">=", "5"), ("custkey", "<=", 700), ("totalprice", "<", 150000.0)])
+
+
 # ============================================================ P shaping
 CUST_MAP_SQL = (f"'counter=' || lpad(hex(CAST(c_nationkey AS BIGINT)), 16, '0') || ';' || "
                 f"CASE WHEN c_acctbal < 0 THEN 'flag=' || hex('neg') || ';' ELSE '' END || "

@@ -9,12 +9,18 @@ Two physical forms of one logical table:
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.model import SPARK_TYPES, Catalog
+from tessera.functions.predicates import compare_bytes
+from tessera.model import LOG_COLUMNS, SPARK_TYPES, Catalog
+from tessera.operators.filters import row_range
 from tessera.operators.partitioning import partitions_for
 from tessera.operators.shape import decode_columns, melt_to_cells
+from tessera.operators.skew import join_by_row
+from tessera.operators.versions import latest_cells
 
 
 def read_wide(catalog: Catalog, df: DataFrame) -> DataFrame:
@@ -45,6 +51,45 @@ def read_log_table(catalog: Catalog, log: DataFrame) -> DataFrame:
     return decoded.select(*renamed).select(*[c.name for c in catalog.columns])
 
 
+def key_condition(ranges: Sequence[tuple[str | None, str | None]] = (), points: Sequence[str] = ()) -> Column:
+    """Row keys in any of the ranges ``[start, stop)`` or among the points; without either, all."""
+    if not ranges and not points:
+        return F.lit(True)
+    cond = F.col("rowkey").isin(*points) if points else F.lit(False)
+    for start, stop in ranges:
+        cond = cond | row_range(start, stop)
+    return cond
+
+
+def filter_log_table(catalog: Catalog, log: DataFrame, where: Sequence[tuple[str, str, object]] = (), *,
+                     ranges: Sequence[tuple[str | None, str | None]] = (), points: Sequence[str] = (), **resolve) -> DataFrame:
+    """``df.filter`` with a compound predicate over a *log*: key ranges or key points, and column values.
+
+    ``where``: ``(catalog column, comparison, literal)``, all of which must hold (a missing cell holds none).  The key
+    condition reaches the scan.  The typed comparisons are rewritten to comparisons of bytes; the tested cells are resolved with
+    a one-byte verdict in place of their values, and rows that pass every test are decoded with the catalog.
+    """
+    keyed = log.filter(key_condition(ranges, points)).select(*LOG_COLUMNS)
+    if not where:
+        return read_log_table(catalog, keyed)
+    specs = {c.name: c for c in catalog.value_columns}
+    unknown = [name for name, *_ in where if name not in specs]
+    if unknown:
+        raise ValueError(f"not value columns of the catalog: {', '.join(unknown)}")
+    tests: dict[str, Column] = {}
+    for name, operator, literal in where:
+        one = compare_bytes(F.col("value"), specs[name].type, operator, literal)
+        tests[name] = tests[name] & one if name in tests else one
+    passes, tested = F.lit(None).cast("boolean"), F.lit(False)
+    for name, test in tests.items():
+        here = (F.col("family") == specs[name].family) & (F.col("qualifier") == specs[name].qualifier)
+        passes, tested = F.when(here, test).otherwise(passes), tested | here
+    judged = keyed.filter(tested | F.col("family").isNull()).withColumn("value", F.when(passes, F.lit(b"\x01")))
+    keys = (latest_cells(judged, **resolve).filter(F.col("value").isNotNull())
+            .groupBy("rowkey").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") == len(tests)).select("rowkey"))
+    return read_log_table(catalog, join_by_row(keyed, keys, "left_semi"))
+
+
 def to_cells(catalog: Catalog, df: DataFrame, *, ts, seq: Column | int = 0) -> DataFrame:
     """Catalog write to the log: every non-null catalog column becomes a put."""
     return melt_to_cells(df, catalog.key_name, catalog.value_columns, ts=ts, seq=seq)
