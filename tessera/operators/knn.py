@@ -120,7 +120,7 @@ def _sized(view: str, level: int) -> str:
 def nearest_in(points: DataFrame, blocks: DataFrame, precision: int, n: int, finest: int, salt_points: int = SALT_POINTS) -> DataFrame:
     """Top ``n`` points of the cells ``cx, cy`` at ``precision`` that ``blocks`` (``qid, qlon, qlat, cx, cy``) lists for each query.
 
-    One SQL statement, so that Spark analyses the plan once and not after each of its thirty steps.
+    Points and queries without a coordinate take no part.  One SQL statement, so that Spark analyses the plan once and not after each of its thirty steps.
     """
     lon_bits, lat_bits = bits_for(finest)
     key = f"{cell_index_sql('lon', *LON_RANGE, lon_bits)} AS cell_x, {cell_index_sql('lat', *LAT_RANGE, lat_bits)} AS cell_y"
@@ -141,7 +141,8 @@ met AS (
   FROM spread s JOIN found p ON s.cx = p.cx AND s.cy = p.cy AND s.salt = p.salt)
 SELECT qid, rank, uid, hash, lon, lat, distance
 FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY distance, uid) AS rank FROM met) WHERE rank <= {n}"""
-    return points.sparkSession.sql(text, points=points.select("uid", "hash", "lon", "lat"), blocks=blocks)
+    placed = points.select("uid", "hash", "lon", "lat").where("lon IS NOT NULL AND lat IS NOT NULL")
+    return points.sparkSession.sql(text, points=placed, blocks=blocks.where("qlon IS NOT NULL AND qlat IS NOT NULL"))
 
 
 def _finest(points: DataFrame, precision: int, fine_precision: int | str | None) -> int:
