@@ -25,6 +25,7 @@ from tessera.operators.versions import latest_cells
 from tessera.plans import fixtures as fx
 from tessera.plans import oracle_sql as O
 from tessera.session import scratch_path
+from tessera.sources import bucketed as B
 from tessera.sources import catalog as C
 from tessera.sources import scan as S
 from tessera.sources import sql as Q
@@ -100,6 +101,17 @@ def q_latest_cells_stored(spark, sf):
     return orders_view(latest_cells(fx.stored(orders_with_tombstones(spark, sf), "log-latest")))
 
 
+@query("latest_cells_bucketed", _with(O.ORDERS_CELLS, O.ORDERS_TOMB_CELLS) +
+       "SELECT rowkey, family, qualifier, ts, s_val, n_val FROM orders_tcells")
+def q_latest_cells_bucketed(spark, sf):
+    """All stages, over a log that a bulk load bucketed by cell: the cells take no exchange."""
+    name, path = f"orders_log_{uuid.uuid4().hex[:12]}", scratch_path(spark, "log-bucketed")
+    B.bulk_load_bucketed(orders_with_tombstones(spark, sf), name, path, 8)
+    live = orders_view(B.latest_cells_bucketed(spark, name, path))
+    spark.sql(f"DROP TABLE {name}")  # external: the written files stay
+    return live
+
+
 # ============================================================ S scans
 @query("scan_range_stored", _with(O.ORDERS_CELLS, O.ORDERS_TOMB_CELLS) +
        "SELECT rowkey, family, qualifier, ts, s_val, n_val FROM orders_tcells WHERE rowkey >= '0000001000' AND rowkey < '0000002000'")
