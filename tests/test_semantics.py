@@ -2,6 +2,7 @@
 
 import math
 import os
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -243,7 +244,7 @@ def test_a_replayed_batch_changes_nothing(spark, tmp_path):
     os.makedirs(src)
     (tmp_path / "in" / "a.txt").write_text("k1,name,v1\nbad\n")
     caught = []
-    name = f"replay-{os.path.basename(str(tmp_path))}"
+    name = f"replay-{uuid.uuid4().hex}"  # the checkpoint folder may outlive a run of the tests
     writer = T.batch_writer(spark, log, rejects, "cf", T.checkpoint_of(spark, name))
 
     def twice(batch, batch_id):
