@@ -21,6 +21,19 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def every(df: DataFrame) -> list[Column]:
+    """All columns of ``df`` under their own names, dots and back-ticks included."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
+def free_name(df: DataFrame, stem: str) -> str:
+    """A column name that ``df`` does not have (names differ in more than case)."""
+    taken = {c.lower() for c in df.columns}
+    while stem.lower() in taken:
+        stem += "_"
+    return stem
+
+
 def held_out(doc_id: Column) -> Column:
     """The fold no label is learnt from: crc32(doc_id as text) mod 5 is 0 (a null id counts as the empty text)."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % 5 == 0

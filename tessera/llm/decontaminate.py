@@ -7,12 +7,15 @@ maxima, for all passages of a text at once, leave the blocks of items that can r
 bounds score items inside those blocks only.  A retrieved item is confirmed when enough of its question's and of its answer's word trigrams stand in the
 passage (the last sentence is the answer; an item of one sentence is both).
 
-The items are split into groups of at most ``GROUP_BYTES`` of text; each group's index is broadcast and queried in
-a pass of its own, so what is broadcast never grows with the benchmark.
+Distinct item texts are split into groups of about ``GROUP_BYTES`` of text (a longer text alone is a group of its own
+size); each group's index is broadcast and queried in a pass of its own, so what is broadcast never grows with the
+benchmark.  The number of items, their mean length, the document frequency of words and the window are counted over the
+whole benchmark, so scores and results are the same whatever the groups.
 
 Defined cases: null or empty texts leak nothing; items without a word match nothing; repeated items are each
-reported; a null ``doc_id`` or ``item_id`` is kept as null; other columns of the documents are ignored by
-``leaks`` and pass through ``clean``.
+reported; a null ``doc_id`` or ``item_id`` is kept as null; very long texts are read window by window, in blocks of
+``PASSAGES``; empty tables leak nothing; other columns of the documents are ignored by ``leaks`` and pass through
+``clean``, whatever their names.
 """
 
 from __future__ import annotations
@@ -23,12 +26,15 @@ from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from itertools import repeat
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.common import every, free_name, stored
+
 THRESHOLD = 0.5
 QUESTION_OVERLAP = 0.6
 ANSWER_OVERLAP = 0.6
@@ -59,22 +65,37 @@ def question_answer(text: str) -> tuple[list[str], list[str]]:
     return (question if len(question) >= 3 else whole), (answer if len(answer) >= 3 else whole)
 
 
+class Statistics(NamedTuple):
+    """Of items with a word: how many, their mean and greatest number of words, and in how many of them a word stands."""
+
+    n_items: int
+    mean: float
+    longest: int
+    df: dict[str, int]
+
+
+def statistics_of(words: list[list[str]]) -> Statistics:
+    filled = [len(w) for w in words if w]
+    return Statistics(len(filled), sum(filled) / max(len(filled), 1) or 1.0, max(filled, default=0), Counter(t for w in words for t in set(w)))
+
+
 class Index:
-    """BM25 impacts of one group of items: postings by term, and the largest impact of a term in each block of items."""
+    """BM25 impacts of one group of items: postings by term, and the largest impact of a term in each block of items.
 
-    def __init__(self, texts: list[str | None], least: float = THRESHOLD):
+    ``statistics`` are those of the whole benchmark; without them the texts are the whole benchmark.
+    """
+
+    def __init__(self, texts: list[str | None], least: float = THRESHOLD, statistics: Statistics | None = None):
         words = [words_of(t) for t in texts]
         self.size, self.least, self.n_blocks = len(texts), least, -(-len(texts) // BLOCK)
-        filled = [len(w) for w in words if w]
-        mean = sum(filled) / max(len(filled), 1) or 1.0
-        df = Counter(t for w in words for t in set(w))
-        self.term = {t: i for i, t in enumerate(df)}
-        postings: list[list[tuple[int, float]]] = [[] for _ in df]
+        n_items, mean, longest, df = statistics or statistics_of(words)
+        self.term = {t: i for i, t in enumerate(dict.fromkeys(t for w in words for t in w))}
+        postings: list[list[tuple[int, float]]] = [[] for _ in self.term]
         for i, w in enumerate(words):
             if not w:
                 continue
             norm = K1 * (1 - B + B * len(w) / mean)
-            impact = {t: math.log(1 + (len(filled) - df[t] + 0.5) / (df[t] + 0.5)) * c * (K1 + 1) / (c + norm)
+            impact = {t: math.log(1 + (n_items - df[t] + 0.5) / (df[t] + 0.5)) * c * (K1 + 1) / (c + norm)
                       for t, c in Counter(w).items()}
             full = sum(impact.values())
             for t, x in impact.items():
@@ -91,7 +112,7 @@ class Index:
         self.first = np.concatenate(([0], np.cumsum([len(t) for t in tops]))).astype(np.int64)
         self.block = np.array([b for t in tops for b in t], dtype=np.int64)
         self.block_max = np.array([x for t in tops for x in t.values()], dtype=np.float64)
-        self.window = max(WINDOW, 2 * max(map(len, words), default=0))
+        self.window = max(WINDOW, 2 * longest)
         self.parts = []
         for t in texts:
             q, a = question_answer(t or "")
@@ -179,20 +200,35 @@ class Matcher:
                 for i, v in sorted(best.items())]
 
 
-def _groups(benchmark: DataFrame, group_bytes: int) -> Iterator[list]:
-    """The items in groups of about ``group_bytes`` of text, one at a time on the driver."""
-    items = benchmark.select("item_id", "text")
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = int(total // group_bytes) + 1
+def _items(benchmark: DataFrame) -> DataFrame:
+    """``item_id, text, words, key`` of the items with a word, stored; ``key`` is the digest of the text."""
+    @F.pandas_udf("array<string>")
+    def words(texts: pd.Series) -> pd.Series:
+        return texts.map(words_of)
+
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text", words.asNondeterministic()("text").alias("words"))
+    return stored(items.where(F.size("words") > 0).withColumn("key", F.sha2("text", 256)), "items")
+
+
+def _groups(items: DataFrame, least: float, group_bytes: int) -> Iterator[tuple[list[str], Index]]:
+    """The keys and the index of each group of distinct texts, one group at a time on the driver."""
+    n_items, mean, longest = items.agg(F.count(F.lit(1)), F.avg(F.size("words")), F.max(F.size("words"))).first()
+    if not n_items:
+        return
+    counts = stored(items.select(F.explode(F.array_distinct("words")).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n")), "item_words")
+    texts = stored(items.groupBy("key").agg(F.first("text").alias("text"), F.first("words").alias("words")), "item_texts")
+    n = int(texts.agg(F.sum(F.octet_length("text"))).first()[0] // group_bytes) + 1
     for k in range(n):
-        part = items if n == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k)
-        group = part.orderBy("item_id", "text").collect()
+        part = texts if n == 1 else texts.where(F.pmod(F.xxhash64("key"), F.lit(n)) == k)
+        group = part.select("key", "text").orderBy("key").collect()
         if group:
-            yield group
+            mine = part.select(F.explode("words").alias("word")).distinct()  # bounded like the group
+            df = {r["word"]: r["n"] for r in mine.join(counts, "word").collect()}
+            yield [r["key"] for r in group], Index([r["text"] for r in group], least, Statistics(n_items, mean, longest, df))
 
 
-def _matched(docs: DataFrame, group: list, least: float, question: float, answer: float) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(Index([r["text"] for r in group], least))
+def _matched(docs: DataFrame, index: Index, question: float, answer: float, name: str) -> DataFrame:
+    shared = docs.sparkSession.sparkContext.broadcast(index)
 
     @F.pandas_udf(LEAK)
     def leaks_of(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -200,28 +236,28 @@ def _matched(docs: DataFrame, group: list, least: float, question: float, answer
         for s in texts:
             yield pd.Series([matcher.leaks(t) for t in s])
 
-    return docs.withColumn("__leaks", leaks_of.asNondeterministic()("text"))  # so that Spark runs it once
+    return docs.withColumn(name, leaks_of.asNondeterministic()("text"))  # so that Spark runs it once
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, least: float = THRESHOLD, question: float = QUESTION_OVERLAP,
           answer: float = ANSWER_OVERLAP, group_bytes: int = GROUP_BYTES) -> DataFrame:
     """One row per document and item that leaks into it, with the best passage's score and overlaps."""
     out = docs.sparkSession.createDataFrame([], "doc_id long, item_id long, score double, question_overlap double, answer_overlap double, passages int")
-    for group in _groups(benchmark, group_bytes):
-        found = _matched(docs.select("doc_id", "text"), group, least, question, answer).select("doc_id", F.explode("__leaks").alias("x"))
-        names = docs.sparkSession.createDataFrame(  # bounded like the group
-            [(k, r["item_id"]) for k, r in enumerate(group)], "item int, item_id long")
-        rows = found.join(F.broadcast(names), F.col("x.item") == F.col("item"))
+    items = _items(benchmark)
+    for keys, index in _groups(items, least, group_bytes):
+        found = _matched(docs.select("doc_id", "text"), index, question, answer, "leaks").select("doc_id", F.explode("leaks").alias("x"))
+        named = docs.sparkSession.createDataFrame(list(enumerate(keys)), "item int, key string")  # bounded like the group
+        rows = found.join(F.broadcast(named), F.col("x.item") == F.col("item")).join(items.select("key", "item_id"), "key")
         out = out.unionByName(rows.select("doc_id", "item_id", "x.score", "x.question_overlap", "x.answer_overlap", "x.passages"))
     return out
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, **limits) -> DataFrame:
+def clean(docs: DataFrame, benchmark: DataFrame, least: float = THRESHOLD, question: float = QUESTION_OVERLAP,
+          answer: float = ANSWER_OVERLAP, group_bytes: int = GROUP_BYTES) -> DataFrame:
     """The documents that hold no item; no shuffle: each document's own text decides."""
-    columns = docs.columns
-    for group in _groups(benchmark, limits.pop("group_bytes", GROUP_BYTES)):
-        docs = _matched(docs, group, limits.get("least", THRESHOLD), limits.get("question", QUESTION_OVERLAP),
-                        limits.get("answer", ANSWER_OVERLAP)).where(F.size("__leaks") == 0).select(*columns)
+    columns, name = every(docs), free_name(docs, "leaks")
+    for _, index in _groups(_items(benchmark), least, group_bytes):
+        docs = _matched(docs, index, question, answer, name).where(F.size(name) == 0).select(*columns)
     return docs
 
 

@@ -57,6 +57,28 @@ def test_leaks_against_brute_force(spark, docs, corpus):
     assert left.count() == df.count() - 60
 
 
+def test_groups_do_not_change_scores(spark):
+    """Partial copies on both sides of the threshold, repeated items, any split of the benchmark."""
+    texts = items(30, 5)
+    rng = random.Random(4)
+    partial = [(i, " ".join(w for w in texts[i % 30].split() if rng.random() < 0.75)) for i in range(120)]
+    df = spark.createDataFrame(partial, "doc_id long, text string")
+    bench = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(0, texts[0])] * 3 + [(99, texts[1])], "item_id long, text string")
+    found = []
+    for group_bytes in (10 ** 9, 1500, 200):
+        rows = D.leaks(df, bench, 0.5, 0.1, 0.1, group_bytes).collect()
+        found.append(sorted((r["doc_id"], r["item_id"], round(r["score"], 9), r["question_overlap"], r["answer_overlap"], r["passages"]) for r in rows))
+    assert found[0] == found[1] == found[2] and any(r[1] == 99 for r in found[0])
+    assert {r[0] for r in found[0]} != set(range(120)) and sum(r[1] == 0 for r in found[0]) % 4 == 0
+    assert D.clean(df, bench, 0.5, 0.1, 0.1, 200).count() == 120 - len({r[0] for r in found[0]})
+
+
+def test_other_columns_pass_through(spark):
+    df = spark.createDataFrame([(1, "a b c d e f", 7, 8, 9)], ["doc_id", "text", "leaks", "a.b", "__leaks"])
+    got = D.clean(df, spark.createDataFrame([(1, "x y z. u v w.")], "item_id long, text string"))
+    assert got.columns == df.columns and got.collect() == df.collect()
+
+
 def test_empty_tables(spark, docs, no_docs, corpus):
     bench = spark.createDataFrame([(1, "a b c d")], "item_id long, text string")
     assert D.leaks(no_docs, bench).count() == 0
