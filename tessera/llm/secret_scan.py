@@ -7,11 +7,13 @@ secret's name before = or : is no value.  Features are its length, class mixture
 looks like a path or stands in one, and the words beside it.  The forest (Spark ML, on the JVM) is fitted on
 labelled findings; without a table of such, :func:`weak_findings` labels a bounded sample of the corpus by rules of
 high precision: assignments to a secret's name and vendor formats are secrets; candidates of one class, with plain
-words beside them, are not.  The forest does not see the rules, only the features, and scores every finding.
+words beside them, are not.  The forest sees only the features (some of which, like ``named`` and ``quoted``, follow the same
+signs as the rules) and scores every finding.
 
 Defined cases: null and empty texts hold no finding; a null ``doc_id`` is kept; repeated rows give repeated
 findings, which the sample holds once; without findings of both labels the rules decide each finding, and those that no rule
-labels get the only label there is, or are accepted when there is none; other columns, whatever their names, pass
+labels get the only label there is, or are accepted when there is none; very long texts are read whole, in time
+almost linear in their findings; empty tables hold no finding; other columns, whatever their names, pass
 through ``redact`` and are ignored by ``scan``.
 """
 
@@ -24,6 +26,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tessera.llm.common import every, free_name, stored
+
 MIN_LENGTH = 16
 FIT_ROWS = 20_000
 SLICE = 500  # sampled findings of one label in one range of hashes; Spark limits windows before the exchange up to 1,000 rows
@@ -69,25 +73,37 @@ FEATURES = ("length", "distinct", "lower", "upper", "digit", "mark", "hex_only",
             "slashes", "in_path", "named", "assigned", "quoted", "left_word", "right_word", "left_digit", "right_digit")
 
 
+def _running(sizes: Column, at: Column) -> Column:
+    """For each of ``sizes`` the sum of those before it and ``at``."""
+    return F.aggregate(
+        sizes, F.struct(at.alias("at"), F.expr("cast(array() as array<int>)").alias("out")),
+        lambda s, x: F.struct((s["at"] + x).alias("at"), F.array_append(s["out"], s["at"]).alias("out")), lambda s: s["out"])
+
+
 def findings(docs: DataFrame) -> DataFrame:
     """One row per candidate: ``doc_id, finding (0, 1, ..), start (in characters, from 0), value, left, right``.
 
-    The texts between the candidates come from splitting by the same pattern, so starts are sums of lengths.
+    The texts between the candidates come from splitting by the same pattern, so starts are sums of lengths: sums within
+    blocks of as many candidates as there are blocks, then over blocks, because appending to one array copies it each time.
     """
-    hit = docs.select("doc_id", "text").withColumn("_m", F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0))).where(F.size("_m") > 0)
+    # not filtered: Spark would push a filter on the candidates below and search every text again
+    hit = docs.select("doc_id", F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0)).alias("_m"), "text")
     # what the rows need of the text between the candidates: its length and the ends that touch a candidate
     around = F.transform(F.split("text", PATTERN, -1), lambda s: F.struct(
         F.length(s).alias("n"), F.substring(s, -48, 48).alias("tail"), F.substring(s, 1, 48).alias("head")))
-    hit = hit.select("doc_id", "_m", around.alias("_a"))
-    starts = F.aggregate(
-        F.zip_with("_m", F.slice("_a", F.lit(1), F.size("_m")), lambda m, a: F.struct(a["n"].alias("gap"), F.length(m).alias("size"))),
-        F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<int>)").alias("starts")),
-        lambda s, x: F.struct((s["at"] + x["gap"] + x["size"]).alias("at"), F.array_append(s["starts"], s["at"] + x["gap"]).alias("starts")),
-        lambda s: s["starts"])
-    rows = hit.select("doc_id", F.posexplode(F.arrays_zip(
-        F.col("_m").alias("value"), starts.alias("start"), F.slice("_a", F.lit(1), F.size("_m")).alias("before"), F.slice("_a", F.lit(2), F.size("_m")).alias("after"))).alias("finding", "_x"))
-    return rows.select("doc_id", "finding", F.col("_x.start").alias("start"), F.col("_x.value").alias("value"),
-                       F.col("_x.before.tail").alias("left"), F.col("_x.after.head").alias("right"))
+    hit = hit.select("doc_id", "_m", F.when(F.size("_m") > 0, around).alias("_a"))
+    before = F.slice("_a", F.lit(1), F.size("_m"))
+    sized = hit.select("doc_id", "_m", "_a", F.zip_with(before, "_m", lambda a, m: a["n"] + F.length(m)).alias("_s"))
+    width = F.greatest(F.ceil(F.sqrt(F.size("_s"))).cast("int"), F.lit(1))
+    in_blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size("_s") - 1) / width).cast("int")), lambda b: F.slice("_s", b * width + 1, width))
+    blocks = sized.select("doc_id", "_m", "_a", F.when(F.size("_s") > 0, in_blocks).alias("_b"))
+    sums = F.transform("_b", lambda b: F.aggregate(b, F.lit(0), lambda s, x: s + x))
+    starts = F.flatten(F.zip_with("_b", _running(sums, F.lit(0)), _running))
+    rows = blocks.select("doc_id", F.posexplode_outer(F.arrays_zip(
+        F.col("_m").alias("value"), starts.alias("start"), before.alias("before"), F.slice("_a", F.lit(2), F.size("_m")).alias("after"))).alias("finding", "_x"))
+    return rows.where(F.col("finding").isNotNull()).select(
+        "doc_id", "finding", (F.col("_x.start") + F.col("_x.before.n")).alias("start"), F.col("_x.value").alias("value"),
+        F.col("_x.before.tail").alias("left"), F.col("_x.after.head").alias("right"))
 
 
 def _share(pattern: str, of: str = "value") -> Column:
@@ -166,38 +182,60 @@ def score(rows: DataFrame, forest: Forest) -> DataFrame:
     return forest.transform(_vectors(rows)).withColumn("score", vector_to_array("probability")[1]).select(*rows.columns, "score")
 
 
+def fit_on_findings(rows: DataFrame, limit: int = FIT_ROWS) -> Forest:
+    sample = weak_findings(rows, limit).persist()
+    try:
+        return fit(sample)
+    finally:
+        sample.unpersist()
+
+
 def fit_on(docs: DataFrame, limit: int = FIT_ROWS) -> Forest:
-    return fit(weak_findings(findings(docs), limit).persist())
+    return fit_on_findings(findings(docs), limit)
 
 
-def scan(docs: DataFrame, forest: Forest, threshold: float = THRESHOLD) -> DataFrame:
-    """Every candidate of every whole text with its score and verdict; values are given as digests only."""
-    return score(findings(docs), forest).select(
+def judged(rows: DataFrame, forest: Forest, threshold: float = THRESHOLD) -> DataFrame:
+    """Findings with score and verdict; values are given as digests only."""
+    return score(rows, forest).select(
         "doc_id", "finding", "start", F.length("value").alias("length"), F.sha2("value", 256).alias("value_sha256"),
         "score", (F.col("score") >= threshold).cast("int").alias("secret"))
 
 
-def redact(docs: DataFrame, forest: Forest, threshold: float = THRESHOLD) -> DataFrame:
+def scan(docs: DataFrame, forest: Forest, threshold: float = THRESHOLD) -> DataFrame:
+    """Every candidate of every whole text with its score and verdict."""
+    return judged(findings(docs), forest, threshold)
+
+
+def redact(docs: DataFrame, forest: Forest | None = None, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with the text of each secret replaced by ``MASK``; every row and column stays.
 
-    Secrets come back as starts, one row a document, and the text between them is kept.  Only texts with a secret
-    travel: they are marked by a key of the text itself, which is also what rows with a null or repeated id need.
+    Without a forest, one is fitted on the findings of ``docs``, which are extracted once and stored.  Texts are known by their
+    digest, which is also what rows with a null or repeated id need.  A text with a secret comes back as one
+    row of verdicts, in the order of its findings, and is put together from its parts.  The verdicts are stored, so
+    that their join with the rows has exchanges of its own, which AQE may split where one text fills many rows.
     """
     rows = findings(docs.select(F.sha2("text", 256).alias("doc_id"), "text"))
-    spans = (score(rows, forest).where(F.col("score") >= threshold)
-             .groupBy(F.col("doc_id").alias("__k")).agg(F.collect_set(F.struct("start", F.length("value").alias("n"))).alias("__spans")))
-    marked = docs.withColumn("__k", F.when(F.col("text").rlike(PATTERN), F.sha2("text", 256)))
-    clear = marked.where(F.col("__k").isNull()).select(*docs.columns)
-    keyed = marked.where(F.col("__k").isNotNull()).join(spans, "__k", "left")
-    cuts = F.sort_array(F.coalesce("__spans", F.expr("cast(array() as array<struct<start:int,n:int>>)")))
-    masked = F.aggregate(cuts, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), lambda s, x: F.struct(
-        (x["start"] + x["n"]).alias("at"),
-        F.concat(s["out"], F.substring(F.col("text"), s["at"] + 1, x["start"] - s["at"]), F.lit(MASK)).alias("out")),
-        lambda s: F.concat(s["out"], F.substring(F.col("text"), s["at"] + 1, F.length("text"))))
-    held = keyed.withColumn("text", masked).select(*docs.columns)
-    return clear.unionByName(held)
+    if forest is None:
+        rows = stored(rows, "findings")
+        forest = fit_on_findings(rows)
+    key, flags, found = (free_name(docs, c) for c in ("key", "flags", "found"))
+    each = judged(rows, forest, threshold).groupBy("doc_id", "finding").agg(F.max("secret").alias("secret"))
+    in_order = F.sort_array(F.collect_list(F.struct("finding", "secret")))
+    verdicts = (each.groupBy(F.col("doc_id").alias(key)).agg(F.max("secret").alias("any"), in_order.alias("s"))
+                .where(F.col("any") == 1).select(key, F.transform("s", lambda x: x["secret"] == 1).alias(flags)))
+    verdicts = stored(verdicts, "verdicts")
+    # a null key meets nothing, so only texts with a candidate travel
+    marked = docs.withColumn(key, F.when(F.col("text").rlike(PATTERN), F.sha2("text", 256)))
+    columns = every(docs)
+    clear = marked.where(F.col(key).isNull()).select(*columns)
+    held = marked.where(F.col(key).isNotNull()).join(verdicts, key, "left")
+    held = held.withColumn(found, F.when(F.col(flags).isNotNull(), F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0))))
+    shown = F.transform(found, lambda m, i: F.when(F.get(flags, i), F.lit(MASK)).otherwise(m))
+    parts = F.zip_with(F.split("text", PATTERN, -1), shown, lambda between, m: F.concat(between, F.coalesce(m, F.lit(""))))
+    masked = F.when(F.col(flags).isNotNull(), F.array_join(parts, "")).otherwise(F.col("text"))
+    return clear.unionByName(held.withColumn("text", masked).select(*columns))
 
 
 def op8_random_forest_secrets(spark, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return scan(docs, fit_on(docs))
+    rows = stored(findings(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")), "findings")
+    return judged(rows, fit_on_findings(rows))

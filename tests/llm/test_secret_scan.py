@@ -1,4 +1,6 @@
+import random
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -99,3 +101,37 @@ def test_short_and_marked_secrets_are_masked(spark):
     out = {r["doc_id"]: r["text"] for r in S.redact(df, S.fit_on(df)).collect()}
     assert all(out[700 + i] == f'password = "{S.MASK}" is set' for i in range(20))
     assert out[800] == f"key {S.MASK} here" and out[801] == f"AWS_KEY={S.MASK}"
+
+
+def test_four_megabytes_of_findings(spark):
+    """160,000 findings in one text: starts and masked text in time that is near linear in them."""
+    rng = random.Random(2)
+    text = " ".join("é" * (i % 3) + "%016x" % (rng.getrandbits(62) | 1 << 60) for i in range(230_000))
+    df = spark.createDataFrame([(1, text), (2, "none here"), (3, None)], "doc_id long, text string")
+    want = [(m.start(), m[0]) for m in re.finditer(S.PATTERN, text)]
+    assert len(want) > 160_000 and len(text) > 4_000_000
+    began = time.time()
+    got = sorted((r["start"], r["value"]) for r in S.findings(df).select("start", "value").collect())
+    masked = {r["doc_id"]: r["text"] for r in S.redact(df, 1.0).collect()}
+    took = time.time() - began
+    secret = {r["start"] for r in S.scan(df, 1.0).where("secret = 1").select("start").collect()}
+    assert got == want
+    assert masked == {1: re.sub(S.PATTERN, lambda m: S.MASK if m.start() in secret else m[0], text), 2: "none here", 3: None}
+    assert took < 60
+
+
+def test_other_columns_and_repeated_texts(spark):
+    text = 'a token = "0123456789abcdef0123" b'
+    rows = [(None, text, 1, 2, 3)] * 3 + [(5, text + "!", 4, 5, 6)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, key int, `a.b` int, __k int")
+    out = S.redact(df)
+    assert out.columns == df.columns
+    got = sorted((tuple(r) for r in out.collect()), key=str)
+    assert got == sorted(((i, t.replace("0123456789abcdef0123", S.MASK), *rest) for i, t, *rest in rows), key=str)
+
+
+def test_one_search_a_text(spark):
+    """Candidates are searched by one evaluation of the pattern, and texts are split where there are some."""
+    df = spark.createDataFrame(made(), "doc_id long, text string")
+    plan = S.findings(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all(") == 1 and plan.count("split(text") == 1
