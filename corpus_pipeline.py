@@ -33,7 +33,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document stays; secrets in its text are masked, and ``n_chars`` follows the text."""
-    masked = secret_scan.redact(docs, secret_scan.fit_on(docs.select("doc_id", "text")))
+    masked = secret_scan.redact(docs)
     changed = F.contains("text", F.lit(secret_scan.MASK))
     return masked.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
 
