@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tessera.llm.common import GOLDEN, mix64, stored
+from tessera.llm.common import GOLDEN, every, free_name, mix64, stored
 from tessera.llm.graph import components
 
 CELLS = 1 << 20
@@ -311,22 +311,24 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
 def keep_first(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with one document of each group: that of smallest id, null last, and of its texts the one of smallest hash.
 
-    A document is its id and its text, so rows that share an id are judged each.  Rows equal in both stay together where
-    they have an id; of those without, one stays.  Documents without words all stay.
+    A document is its id and its text, so rows that share an id are judged each, and of rows equal in both, ids null or
+    not, one stays (any, where other columns differ).  Documents without words all stay.  Other columns pass through, whatever
+    their names.  Only the (id, hash) pairs of rows that go or repeat meet the documents.
     """
     found = stored(_grouped(docs.select("doc_id", "text"), k, percent).where("n > 0"), "grouped")
     named = found.where("doc_id <=> component_id").select("grp", "doc_id", "text_hash").distinct()
     heads = named.groupBy("grp").agg(F.min("text_hash").alias("head"))
     others = named.join(heads, "grp").where("text_hash <> head")
-    gone = (found.where("not (doc_id <=> component_id)").select("doc_id", "text_hash").distinct()
-            .unionByName(others.select("doc_id", "text_hash")).select(F.col("doc_id").alias("__id"), "text_hash"))
-
-    def left(part: DataFrame) -> DataFrame:
-        part = part.withColumn("__hash", F.xxhash64("text"))
-        return part.join(gone, part["doc_id"].cast("long").eqNullSafe(gone["__id"]) & (part["__hash"] == gone["text_hash"]), "left_anti")
-
-    copies = F.col("doc_id").isNull() & F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    return left(docs.where(~copies)).unionByName(left(docs.where(copies)).dropDuplicates(["__hash"])).select(*docs.columns)
+    gone = found.where("not (doc_id <=> component_id)").select("doc_id", "text_hash").unionByName(others.select("doc_id", "text_hash"))
+    repeated = found.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    marks = (gone.withColumn("again", F.lit(False)).unionByName(repeated.select("doc_id", "text_hash", F.lit(True).alias("again")))
+             .groupBy("doc_id", "text_hash").agg(F.min("again").alias("again")))  # what goes, goes with all its rows
+    own, id_, hash_, again = (free_name(docs, c) for c in ("own_hash", "mark_id", "mark_hash", "mark_again"))
+    marks = stored(marks.select(F.col("doc_id").alias(id_), F.col("text_hash").alias(hash_), F.col("again").alias(again)), "marks")
+    rows = docs.withColumn(own, F.xxhash64("text"))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(id_)) & (F.col(own) == F.col(hash_))
+    once = rows.join(marks.where(F.col(again)), same).dropDuplicates([id_, hash_])
+    return rows.join(marks, same, "left_anti").select(*every(docs)).unionByName(once.select(*every(docs)))
 
 
 def op2_adaptive_jaccard(spark, sf_dir: str) -> DataFrame:

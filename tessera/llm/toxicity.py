@@ -7,8 +7,9 @@ together, so an unseen misspelling shares most of the vectors of the word it com
 labelled sample; scoring reads every whole text.  As averaging is linear, scoring needs one number a subword.
 
 Defined cases: null and empty texts, and texts without a word character, score as the bias alone; a null id
-scores like any other; repeated rows give repeated results; other columns pass through, and one called
-``score`` or ``predicted`` is replaced.
+scores like any other; repeated rows give repeated results; very long texts are scored whole (only the fit leaves out those over
+``FIT_MAX_BYTES``); an empty table gives an empty result; other columns pass through, and one called
+``score`` or ``predicted`` is replaced by ``score`` and kept by ``clean``.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import held_out, labelled_sample
+from tessera.llm.common import every, free_name, held_out, labelled_sample
 
 FIT_ROWS = 6000
 FIT_MAX_BYTES = 200_000
@@ -157,8 +158,8 @@ def fit_on(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, max_bytes:
     return fit(sample["text"].tolist(), sample["y"].tolist())
 
 
-def score(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
-    """``docs`` with ``score`` (0 to 1) and ``predicted``; no shuffle, only the text goes to Python."""
+def _scored(docs: DataFrame, model: Model, name: str) -> DataFrame:
+    """``docs`` with a score column; no shuffle, only the text goes to Python."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS numbers, whatever the corpus
 
     @F.pandas_udf("double")
@@ -167,7 +168,18 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
         for s in texts:
             yield pd.Series(scorer.scores(s))
 
-    return docs.withColumn("score", toxic.asNondeterministic()("text")).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+    return docs.withColumn(name, toxic.asNondeterministic()("text"))
+
+
+def score(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
+    """``docs`` with ``score`` (0 to 1) and ``predicted``."""
+    return _scored(docs, model, "score").withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+
+
+def clean(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
+    """The documents that the model does not reject; all columns pass through, whatever their names."""
+    name = free_name(docs, "score")
+    return _scored(docs, model, name).where(F.col(name) < threshold).select(*every(docs))
 
 
 def op3_subword_toxicity(spark, sf_dir: str) -> DataFrame:

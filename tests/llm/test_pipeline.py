@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline as C
 from tessera.llm import decontaminate, packing, toxicity
@@ -47,3 +48,23 @@ def test_stages(spark, steps):
 
 def test_run_equals_the_stages(spark, steps):
     assert C.run(spark, SF).count() == steps[-1].count()
+
+
+def test_odd_rows_and_names(spark, steps):
+    """Nulls, blanks, repeated rows, clashing and dotted names, and an empty table through all stages."""
+    base = steps[0].select("*", F.lit(1).alias("score"), F.lit(2).alias("__k"), F.lit(3).alias("a.b"))
+    odd = [(900001, None), (900002, ""), (None, None), (900003, "x " * 50_000), (900004, "fine words of a text"), (900004, "fine words of a text")]
+    frame = spark.createDataFrame([(i, t, None, None, None, 1, 2, 3) for i, t in odd], base.schema)
+    docs = base.unionByName(frame)
+    for name, stage in C.STAGES:
+        columns = docs.columns
+        docs = stored(stage(spark, docs, SF), f"odd_{name}")
+        if name != "packing":
+            assert docs.columns == columns
+            assert {tuple(r)[-3:] for r in docs.select("score", "__k", "`a.b`").collect()} == {(1, 2, 3)}
+    got = {}
+    for r in docs.where("doc_id is null or doc_id > 900000").collect():
+        got.setdefault(r["doc_id"], []).append(r["length"])
+    assert got[900001] == got[900002] == got[None] == [1] and len(got[900003]) > 1 and len(got[900004]) == 1
+    for name, stage in C.STAGES:
+        assert stage(spark, base.limit(0), SF).count() == 0
