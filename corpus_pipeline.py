@@ -4,6 +4,10 @@ Each stage takes ``(spark, docs, sf_dir)``, works on every row its predecessor k
 writes each result as Parquet under the shared checkpoint folder and rereads it as the next stage's documents.  All but
 the last return the columns of ``documents``.  SQL can express neither the classifier nor the forest nor the tokenizer,
 so there is no oracle; tests hold the stages against brute force.
+
+Defined cases: null and empty texts pass every filter (their score is the model's bias) and are packed as one end token; a
+null ``doc_id`` is kept; of rows equal in id and text one stays, unless they have no words; very long texts are read whole;
+an empty table gives an empty result; other columns pass through to the last stage, whatever their names.
 """
 
 from __future__ import annotations
@@ -12,13 +16,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import decontaminate, ngram_jaccard, packing, secret_scan, toxicity
-from tessera.llm.common import stored
+from tessera.llm.common import every, stored
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model rejects go."""
     model = toxicity.fit_on(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return toxicity.score(docs, model).where("predicted = 0").select(*docs.columns)
+    return toxicity.clean(docs, model)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,7 +39,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Every document stays; secrets in its text are masked, and ``n_chars`` follows the text."""
     masked = secret_scan.redact(docs)
     changed = F.contains("text", F.lit(secret_scan.MASK))
-    return masked.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
+    return masked.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*every(docs))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
