@@ -15,8 +15,8 @@ def _sum_of(edges: DataFrame):
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """``node, component``: for every node of an edge the smallest node it reaches.
 
-    A step joins edges with a partially aggregated minimum per node, so a star of any size is split like any skewed
-    join.  Each round is written to the shared folder, which cuts the lineage; the number of rounds grows with the
+    A step joins edges with a partially aggregated minimum per node.  The minimum is aggregated directly below the join, so
+    Spark does not split the join of a star's edges: those of one node meet in one task, which streams them.  Each round is written to the shared folder, which cuts the lineage; the number of rounds grows with the
     logarithm of the longest path.
     """
     now = stored(edges.where(F.col(a) != F.col(b))

@@ -5,7 +5,8 @@ Whole-sequence pieces are sequences of their own.  The others are dealt at rando
 ``BLOCK_ITEMS`` pieces; for each block several islands, one task row each, evolve packings whose genes are bins:
 crossover injects well-filled bins of one parent whole, drops the bins of the other that hold any of their pieces,
 and best-fits the pieces so displaced.  Between epochs each island sends its elite to the next.  Pieces in bins
-that stay too empty go on to the next level, dealt anew with those of other blocks, until one block is left.
+that stay too empty go on to the next level, dealt anew with those of other blocks, until one block is left or
+``LEVELS`` are done; the last level keeps its bins as they are.
 
 Defined cases: null and empty texts are one ``END_ID``; a null ``doc_id`` packs like any other; repeated rows
 are each packed; an empty table gives an empty result; other columns are ignored.
