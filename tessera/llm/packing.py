@@ -5,8 +5,8 @@ Whole-sequence pieces are sequences of their own.  The others are dealt at rando
 ``BLOCK_ITEMS`` pieces; for each block several islands, one task row each, evolve packings whose genes are bins:
 crossover injects well-filled bins of one parent whole, drops the bins of the other that hold any of their pieces,
 and best-fits the pieces so displaced.  Between epochs each island sends its elite to the next.  Pieces in bins
-that stay too empty go on to the next level, dealt anew with those of other blocks, until one block is left or
-``LEVELS`` are done; the last level keeps its bins as they are.
+that stay too empty go on to the next level, dealt anew with those of other blocks, until one block is left or a level
+has settled less than ``PROGRESS`` of its pieces; the last level keeps its bins as they are.
 
 Defined cases: null and empty texts are one ``END_ID``; a null ``doc_id`` packs like any other; repeated rows
 are each packed; an empty table gives an empty result; other columns are ignored.
@@ -37,7 +37,7 @@ ISLANDS = 2
 POPULATION = 4
 GENERATIONS = 3
 EPOCHS = 2
-LEVELS = 3
+PROGRESS = 0.15
 SETTLED = 0.995
 CACHE_WORDS = 2_000_000
 SEGMENT = 1 << 22
@@ -300,15 +300,17 @@ def pack(piece_rows: DataFrame, capacity: int = CAPACITY, block_items: int = BLO
     while left:
         blocks = -(-left // block_items)
         packed = stored(_pack_level(short, blocks, capacity, seed + level), f"packed{level}")
-        final = blocks == 1 or level == LEVELS - 1
+        open_bins = packed.where(F.col("fill") < SETTLED * capacity)
+        was, left = left, open_bins.count()
+        final = blocks == 1 or left > (1 - PROGRESS) * was
         done = packed if final else packed.where(F.col("fill") >= SETTLED * capacity)
-        number = (F.lit(level).cast("long") * (1 << 40) + F.col("block")) * (1 << 20) + F.col("bin")
+        # each level lowers the pieces by PROGRESS at least: 2^7 levels, 2^36 blocks and 2^20 bins a block do not meet
+        number = F.lit(level << 56).cast("long") + F.col("block").cast("long") * (1 << 20) + F.col("bin")
         done = done.select("uid", number.alias("sequence_id"), "offset")
         places = done if places is None else places.unionByName(done)
         if final:
             break
-        short = packed.where(F.col("fill") < SETTLED * capacity).select("uid", "length")
-        left, level = short.count(), level + 1
+        short, level = open_bins.select("uid", "length"), level + 1
     whole = piece_rows.where(F.col("length") >= capacity).withColumn("sequence_id", -F.col("uid") - 1).withColumn("offset", F.lit(0).cast("long"))
     if places is None:
         return whole

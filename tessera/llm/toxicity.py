@@ -4,7 +4,8 @@ A word is the mean of the vectors of its hashed subwords (the marked word and it
 document the average of its distinct words, weighted by the logarithm of their counts and scaled to unit length (with
 ``SMOOTH``, so that few words give little evidence); a softmax over two classes scores it.  Embeddings and softmax learn
 together, so an unseen misspelling shares most of the vectors of the word it comes from.  The fit reads a bounded
-labelled sample; scoring reads every whole text.  As averaging is linear, scoring needs one number a subword.
+labelled sample, whose words Spark counts: the driver gets numbers and the words that teach, never texts.  Scoring reads
+every whole text.  As averaging is linear, scoring needs one number a subword.
 
 Defined cases: null and empty texts, and texts without a word character, score as the bias alone; a null id
 scores like any other; repeated rows give repeated results; very long texts are scored whole (only the fit leaves out those over
@@ -26,9 +27,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import every, free_name, held_out, labelled_sample
+from tessera.llm.common import every, free_name, held_out, labelled_sample, stored
 
-FIT_ROWS = 6000
+FIT_ROWS = 8000
 FIT_MAX_BYTES = 200_000
 BUCKETS = 1 << 17
 DIM = 8
@@ -57,29 +58,35 @@ class Model:
     bias: float
 
 
-def fit(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int = 7, l2: float = 1e-6,
-        min_docs: int = MIN_DOCS) -> Model:
+def bag_of(text: str | None) -> tuple[list[str], np.ndarray]:
+    """Distinct words of a whole text and the share of each: what the mean of the text multiplies its vector with."""
+    counts = Counter(WORD.findall((text or "").lower()))
+    logs = np.log1p(np.fromiter(counts.values(), dtype=np.float64, count=len(counts)))
+    return list(counts), SCALE * logs / math.sqrt(SMOOTH + float(logs @ logs))
+
+
+def fit(texts: list[str], labels: list[int], epochs: int = EPOCHS, min_docs: int = MIN_DOCS) -> Model:
+    """Fit on a few texts in memory; :func:`fit_on` counts the words of a table with Spark and gets the same model."""
+    bags = [bag_of(t) for t in texts]
+    in_docs = Counter(w for words, _ in bags for w in words)
+    vocab = {w: i for i, w in enumerate(sorted(w for w, c in in_docs.items() if c >= min_docs))}
+    places, shares = [], []
+    for words, share in bags:
+        known = sorted((vocab[w], s) for w, s in zip(words, share) if w in vocab)
+        places.append(np.array([i for i, _ in known], dtype=np.int32))
+        shares.append(np.array([s for _, s in known], dtype=np.float32))
+    return fit_bags(list(vocab), places, shares, labels, epochs)
+
+
+def fit_bags(vocab: list[str], places: list[np.ndarray], shares: list[np.ndarray], labels: list[int],
+             epochs: int = EPOCHS, seed: int = 7, l2: float = 1e-6) -> Model:
     """Full-batch Adam on the mean log loss; deterministic.  With one class or no rows, the bias is the log odds.
 
-    Words of fewer than ``min_docs`` documents of the sample count in a mean but teach nothing.
+    ``places`` and ``shares``: of each document its words in ``vocab``, in order, and the share of each.
     """
     y = np.asarray(labels, dtype=np.float64)
     n1, n0 = float((y == 1).sum()), float((y == 0).sum())
     prior = float(np.log((n1 + 0.5) / (n0 + 0.5)))
-    # two readings of the texts, so that no bags of all words are held at once
-    in_docs: Counter[str] = Counter()
-    totals = []
-    for t in texts:
-        bag = Counter(WORD.findall((t or "").lower()))
-        in_docs.update(bag.keys())
-        totals.append(math.sqrt(SMOOTH + sum(math.log1p(c) ** 2 for c in bag.values())))
-    vocab = {w: i for i, w in enumerate(sorted(w for w, c in in_docs.items() if c >= min_docs))}
-    del in_docs
-    places, shares = [], []  # of each document's words in the vocabulary
-    for t, total in zip(texts, totals):
-        bag = [(vocab[w], c) for w, c in Counter(WORD.findall((t or "").lower())).items() if w in vocab]
-        places.append(np.array([i for i, _ in bag], dtype=np.int32))
-        shares.append((SCALE * np.log1p(np.array([c for _, c in bag], dtype=np.float64)) / total).astype(np.float32))
     keep = [i for i, b in enumerate(places) if len(b)]
     if not keep or not n1 or not n0:
         return Model(np.zeros(BUCKETS, dtype=np.float32), prior)
@@ -89,12 +96,13 @@ def fit(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int = 7
     s_size = np.fromiter(map(len, subs), dtype=np.int64)
     s_flat = np.fromiter((s for x in subs for s in x), dtype=np.int64, count=int(s_size.sum()))
     used, s_flat = np.unique(s_flat, return_inverse=True)
+    s_flat = s_flat.astype(np.int32)
     s_start = np.concatenate(([0], np.cumsum(s_size)[:-1]))
     w_size = np.fromiter(map(len, places), dtype=np.int64)
     w_flat, w_share = np.concatenate(places), np.concatenate(shares)
     w_start = np.concatenate(([0], np.cumsum(w_size)[:-1]))
-    d_of = np.repeat(np.arange(n_docs), w_size)
-    s_word = np.repeat(np.arange(len(subs)), s_size)
+    d_of = np.repeat(np.arange(n_docs, dtype=np.int32), w_size)
+    s_word = np.repeat(np.arange(len(subs), dtype=np.int32), s_size)
     s_inv = (1.0 / s_size).astype(np.float32)[s_word]
 
     rng = np.random.default_rng(seed)
@@ -152,10 +160,27 @@ class Scorer:
         return 1.0 / (1.0 + np.exp(-np.clip(z, -500, 500)))
 
 
-def fit_on(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, max_bytes: int = FIT_MAX_BYTES) -> Model:
-    """Fit on at most ``rows`` labelled documents of at most ``max_bytes`` each, none of the held-out fold."""
-    sample = labelled_sample(docs, labels, "toxic", rows, max_bytes).toPandas()
-    return fit(sample["text"].tolist(), sample["y"].tolist())
+def fit_on(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, max_bytes: int = FIT_MAX_BYTES,
+           min_docs: int = MIN_DOCS) -> Model:
+    """Fit on at most ``rows`` labelled documents of at most ``max_bytes`` each, none of the held-out fold.
+
+    Words of fewer than ``min_docs`` documents of the sample count in a mean but teach nothing.  Executors make the bags and
+    count the words; the driver gets the vocabulary and, of each document, places in it and shares.
+    """
+    @F.pandas_udf("array<struct<word:string,share:double>>")
+    def bag(texts: pd.Series) -> pd.Series:
+        return pd.Series([[{"word": w, "share": s} for w, s in zip(*bag_of(t))] for t in texts])
+
+    sample = stored(labelled_sample(docs, labels, "toxic", rows, max_bytes).select("doc_id", "y", bag("text").alias("bag")), "toxicity_bags")
+    words = sample.select("doc_id", F.inline("bag"))
+    vocab = sorted(r["word"] for r in words.groupBy("word").count().where(F.col("count") >= min_docs).select("word").toLocalIterator())
+    places = docs.sparkSession.createDataFrame([(w, i) for i, w in enumerate(vocab)], "word string, place int")
+    # the vocabulary is bounded by the sample's bytes, and joined by the planner's choice; a group is one document of at most max_bytes
+    known = words.join(places, "word").groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("place", F.col("share").cast("float").alias("share")))).alias("k"))
+    got = (sample.select("doc_id", "y").join(known, "doc_id", "left").orderBy("doc_id")
+           .select("y", F.coalesce("k.place", F.array()).alias("places"), F.coalesce("k.share", F.array()).alias("shares")).toArrow())
+    return fit_bags(vocab, [np.asarray(p.values, dtype=np.int32) for p in got["places"]],
+                    [np.asarray(s.values, dtype=np.float32) for s in got["shares"]], got["y"].to_pylist())
 
 
 def _scored(docs: DataFrame, model: Model, name: str) -> DataFrame:

@@ -62,6 +62,16 @@ def test_labels_of_the_held_out_fold_are_not_learnt(spark):
     assert all(r["h"] == (zlib.crc32(str("" if r["doc_id"] is None else r["doc_id"]).encode()) % 5 == 0) for r in folds)
 
 
+def test_words_counted_by_spark_give_the_model_of_the_texts(spark):
+    rows = [(i, t, y) for i, (t, y) in enumerate(made(150))] + [(900, "", 1), (901, None, 0), (902, "rare", 1), (903, "Straße ÉTÉ w1 w1", 0)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    learnt = [(t, y) for i, t, y in rows if zlib.crc32(str(i).encode()) % 5]
+    want, got = T.fit(*zip(*learnt)), T.fit_on(docs, labels)
+    assert got.weights.any() and abs(got.bias - want.bias) < 1e-4 and np.abs(got.weights - want.weights).max() < 1e-3
+    assert T.fit_on(docs, labels.limit(0)).weights.any() == False  # noqa: E712
+
+
 def test_query(spark):
     got = T.op3_subword_toxicity(spark, "/root/testdata/sf0.001").collect()
     assert len(got) == 200 and all(0 <= r["score"] <= 1 for r in got)
