@@ -4,7 +4,7 @@ Texts become ids on the executors; a document ends with ``END_ID`` and only one
 Whole-sequence pieces are sequences of their own.  The others are dealt at random into blocks of about
 ``BLOCK_ITEMS`` pieces; for each block several islands, one task row each, evolve packings whose genes are bins:
 crossover injects well-filled bins of one parent whole, drops the bins of the other that hold any of their pieces,
-and best-fits the pieces so displaced.  Between epochs each island sends its elite to the next.  Pieces in bins
+lets bins that are not full trade a piece for a longer displaced one that fits, and best-fits what is left over.  Between epochs each island sends its elite to the next.  Pieces in bins
 that stay too empty go on to the next level, dealt anew with those of other blocks, until one block is left or a level
 has settled less than ``PROGRESS`` of its pieces; the last level keeps its bins as they are.
 
@@ -34,8 +34,8 @@ END_ID = 0
 END = END_ID.to_bytes(4, "little")
 BLOCK_ITEMS = 2000
 ISLANDS = 2
-POPULATION = 4
-GENERATIONS = 3
+POPULATION = 8
+GENERATIONS = 8
 EPOCHS = 2
 PROGRESS = 0.15
 SETTLED = 0.995
@@ -211,8 +211,28 @@ def cost(bins: list[list]) -> tuple[int, int]:
     return len(bins), -sum(b[0] * b[0] for b in bins)
 
 
+def trade(bins: list[list], displaced: list[int], lengths: list[int], capacity: int) -> list[int]:
+    """Each bin that is not full gives one piece for the displaced one that leaves it the least room; the pieces now displaced."""
+    free = sorted((lengths[i], i) for i in displaced)
+    for b in bins:
+        room, best = capacity - b[0], (0, 0, 0)
+        for at, item in enumerate(b[1]) if room else ():
+            k = bisect_left(free, (lengths[item] + room + 1, -1)) - 1
+            if k >= 0:
+                best = max(best, (free[k][0] - lengths[item], at, k))
+            if best[0] == room:
+                break
+        gain, at, k = best
+        if gain:
+            _, new = free.pop(k)
+            old, b[1][at] = b[1][at], new
+            b[0] += gain
+            insort(free, (lengths[old], old))
+    return [i for _, i in free]
+
+
 def crossover(a: list[list], b: list[list], lengths: list[int], capacity: int, rng: random.Random) -> list[list]:
-    """Inject a run of ``b``'s well-filled bins into ``a`` whole; best-fit what that displaces."""
+    """Inject a run of ``b``'s well-filled bins into ``a`` whole; trade and best-fit what that displaces."""
     full = [x for x in b if x[0] >= 0.98 * capacity] or b
     lo = rng.randrange(len(full))
     run = full[lo:lo + 1 + rng.randrange(max(1, len(full) // 2))]
@@ -228,6 +248,7 @@ def crossover(a: list[list], b: list[list], lengths: list[int], capacity: int, r
     for x in kept[-max(1, len(kept) // 20):]:
         displaced += x[1]
     kept = kept[:len(kept) - max(1, len(kept) // 20)] if kept else kept
+    displaced = trade(kept, displaced, lengths, capacity)
     child = kept + [[x[0], list(x[1])] for x in run]
     displaced.sort(key=lambda i: -lengths[i])
     return best_fit(displaced, lengths, child, capacity)

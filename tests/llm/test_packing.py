@@ -4,6 +4,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tessera.llm import packing as P
 
@@ -53,6 +54,47 @@ def test_evolution_never_gets_worse():
         assert P.cost(P.bins_of(last[0], lengths)) <= P.cost(P.bins_of(first[0], lengths))
 
 
+def hard_lengths(kind, n, seed=3):
+    """Pieces round a third of a sequence, or threes that fill one exactly: best fit leaves much room on both."""
+    rng = random.Random(seed)
+    if kind == "thirds":
+        return [rng.randrange(620, 760) for _ in range(n)]
+    out = []
+    for _ in range(n // 3):
+        a = rng.randrange(500, 900)
+        b = rng.randrange(500, 2048 - a - 300)
+        out += [a, b, 2048 - a - b]
+    return out
+
+
+@pytest.mark.parametrize("kind,share", [("thirds", 0.95), ("threes", 0.99)])
+def test_evolution_beats_best_fit_on_hard_lengths(kind, share):
+    lengths = hard_lengths(kind, 1998)
+    plain = P.best_fit(sorted(range(len(lengths)), key=lambda i: -lengths[i]), lengths, [], 2048)
+    best = P.evolve(lengths, [], 2048, 7)[0]
+    assert valid(best, lengths, 2048) and max(best) + 1 <= share * len(plain)
+
+
+def test_trade_keeps_pieces_and_fills_bins():
+    rng = random.Random(9)
+    lengths = [rng.randrange(1, 1500) for _ in range(200)]
+    bins = P.best_fit(list(range(150)), lengths, [], 2048)
+    before = [b[0] for b in bins]
+    left = P.trade(bins, list(range(150, 200)), lengths, 2048)
+    assert sorted(left + [i for b in bins for i in b[1]]) == list(range(200))
+    assert all(b[0] == sum(lengths[i] for i in b[1]) <= 2048 and b[0] >= w for b, w in zip(bins, before))
+
+
+@pytest.mark.parametrize("kind", ["thirds", "threes"])
+def test_blocks_beat_best_fit_of_everything(spark, kind):
+    lengths = hard_lengths(kind, 2400)
+    plain = P.best_fit(sorted(range(len(lengths)), key=lambda i: -lengths[i]), lengths, [], 2048)
+    got = P.pack(spark.createDataFrame(list(enumerate(lengths)), "uid long, length long"), block_items=600)
+    fill = got.groupBy("sequence_id").agg(F.sum("length").alias("n"), F.countDistinct("offset").alias("k"), F.count("*").alias("m")).collect()
+    assert sum(r["m"] for r in fill) == len(lengths) and all(r["n"] <= 2048 and r["k"] == r["m"] for r in fill)
+    assert len(fill) < len(plain)
+
+
 def test_crossover_keeps_every_piece():
     rng = random.Random(5)
     lengths = [rng.randrange(1, 2047) for _ in range(300)]
