@@ -12,12 +12,22 @@ def _sum_of(edges: DataFrame):
     return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
 
+def with_least(edges: DataFrame, least: DataFrame) -> DataFrame:
+    """``edges`` (u, v) with ``m`` of their ``u`` in ``least`` (u, m).
+
+    Both sides also join on a flag that follows from ``u``.  It changes no result, but a partitioning by node alone is then not
+    the join's, so the minimum takes an exchange of its own and adaptive execution may split the edges of a star.
+    """
+    flag = F.hash("u") == F.lit(0)
+    return edges.withColumn("flag", flag).join(least.withColumn("flag", flag), ["u", "flag"]).drop("flag")
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """``node, component``: for every node of an edge the smallest node it reaches.
 
-    A step joins edges with a partially aggregated minimum per node.  The minimum is aggregated directly below the join, so
-    Spark does not split the join of a star's edges: those of one node meet in one task, which streams them.  Each round is written to the shared folder, which cuts the lineage; the number of rounds grows with the
-    logarithm of the longest path.
+    A step joins edges with a partially aggregated minimum per node; a star of any size is split by its measured bytes
+    (:func:`with_least`).  Each round is written to the shared folder, which cuts the lineage; the number of rounds grows with
+    the logarithm of the longest path.
     """
     now = stored(edges.where(F.col(a) != F.col(b))
                  .select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), "edges")
@@ -25,9 +35,9 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     while seen[0]:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = with_least(both, least).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u")
+        small = with_least(large, least)
         small = (small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(least.select("u", F.col("m").alias("v"))).distinct())
         now = stored(small, "edges")
