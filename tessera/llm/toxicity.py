@@ -24,6 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,6 +32,7 @@ from tessera.llm.common import every, free_name, held_out, labelled_sample, stor
 
 FIT_ROWS = 8000
 FIT_MAX_BYTES = 200_000
+FIT_TOGETHER = 64
 BUCKETS = 1 << 17
 DIM = 8
 SCALE = 4.0
@@ -96,13 +98,12 @@ def fit_bags(vocab: list[str], places: list[np.ndarray], shares: list[np.ndarray
     s_size = np.fromiter(map(len, subs), dtype=np.int64)
     s_flat = np.fromiter((s for x in subs for s in x), dtype=np.int64, count=int(s_size.sum()))
     used, s_flat = np.unique(s_flat, return_inverse=True)
-    s_flat = s_flat.astype(np.int32)
     s_start = np.concatenate(([0], np.cumsum(s_size)[:-1]))
     w_size = np.fromiter(map(len, places), dtype=np.int64)
-    w_flat, w_share = np.concatenate(places), np.concatenate(shares)
+    w_flat, w_share = np.concatenate(places).astype(np.intp), np.concatenate(shares)
     w_start = np.concatenate(([0], np.cumsum(w_size)[:-1]))
-    d_of = np.repeat(np.arange(n_docs, dtype=np.int32), w_size)
-    s_word = np.repeat(np.arange(len(subs), dtype=np.int32), s_size)
+    d_of = np.repeat(np.arange(n_docs), w_size)
+    s_word = np.repeat(np.arange(len(subs)), s_size)
     s_inv = (1.0 / s_size).astype(np.float32)[s_word]
 
     rng = np.random.default_rng(seed)
@@ -167,16 +168,23 @@ def fit_on(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, max_bytes:
     Words of fewer than ``min_docs`` documents of the sample count in a mean but teach nothing.  Executors make the bags and
     count the words; the driver gets the vocabulary and, of each document, places in it and shares.
     """
-    @F.pandas_udf("array<struct<word:string,share:double>>")
-    def bag(texts: pd.Series) -> pd.Series:
-        return pd.Series([[{"word": w, "share": s} for w, s in zip(*bag_of(t))] for t in texts])
-
-    sample = stored(labelled_sample(docs, labels, "toxic", rows, max_bytes).select("doc_id", "y", bag("text").alias("bag")), "toxicity_bags")
-    words = sample.select("doc_id", F.inline("bag"))
+    def bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, FIT_TOGETHER):
+                part = batch.slice(at, FIT_TOGETHER)
+                made = [bag_of(t) for t in part["text"].to_pylist()]
+                row = np.repeat(np.arange(len(made)), [len(w) for w, _ in made])
+                yield pa.RecordBatch.from_arrays(
+                    [part["doc_id"].take(pa.array(row)), pa.array([w for words, _ in made for w in words], pa.string()),
+                     pa.array(np.concatenate([s for _, s in made]).astype(np.float32))], names=["doc_id", "word", "share"])
+
+    sample = stored(labelled_sample(docs, labels, "toxic", rows, max_bytes), "toxicity_sample")
+    id_type = sample.schema["doc_id"].dataType.simpleString()
+    words = stored(sample.select("doc_id", "text").mapInArrow(bags, f"doc_id {id_type}, word string, share float"), "toxicity_words")
     vocab = sorted(r["word"] for r in words.groupBy("word").count().where(F.col("count") >= min_docs).select("word").toLocalIterator())
     places = docs.sparkSession.createDataFrame([(w, i) for i, w in enumerate(vocab)], "word string, place int")
     # the vocabulary is bounded by the sample's bytes, and joined by the planner's choice; a group is one document of at most max_bytes
-    known = words.join(places, "word").groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("place", F.col("share").cast("float").alias("share")))).alias("k"))
+    known = words.join(places, "word").groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("place", "share"))).alias("k"))
     got = (sample.select("doc_id", "y").join(known, "doc_id", "left").orderBy("doc_id")
            .select("y", F.coalesce("k.place", F.array()).alias("places"), F.coalesce("k.share", F.array()).alias("shares")).toArrow())
     return fit_bags(vocab, [np.asarray(p.values, dtype=np.int32) for p in got["places"]],
