@@ -36,6 +36,7 @@ BLOCK_ITEMS = 2000
 ISLANDS = 2
 POPULATION = 8
 GENERATIONS = 8
+STALLED = 3
 EPOCHS = 2
 PROGRESS = 0.15
 SETTLED = 0.995
@@ -266,14 +267,16 @@ def evolve(lengths: list[int], population: list[list[int]], capacity: int, seed:
             jitter = [x * rng.uniform(0.9, 1.1) for x in lengths]
             alive.append(best_fit(sorted(range(n), key=lambda i: -jitter[i]), lengths, [], capacity))
     alive.sort(key=cost)
+    since = 0  # generations since the fewest bins last fell
     for _ in range(generations):
-        if len(alive[0]) <= least or len(alive) < 2:
+        if len(alive[0]) <= least or len(alive) < 2 or since == STALLED:
             break
-        young = []
+        young, fewest = [], len(alive[0])
         for _ in range(size):
             a, b = rng.sample(range(len(alive)), 2)
             young.append(crossover(alive[min(a, b)], alive[max(a, b)], lengths, capacity, rng))
         alive = sorted(alive + young, key=cost)[:size]
+        since = since + 1 if len(alive[0]) == fewest else 0
     return [packing_of(x, n) for x in alive]
 
 
