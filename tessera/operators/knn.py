@@ -11,10 +11,15 @@ driver.  Here a frame of query points descends a tree of geohash cells:
   that hold ``n`` points together prove a bound on the n-th distance, and
   children whose nearest edge lies beyond it are dropped.  So dense regions are
   searched through small cells and empty ones widen the search by itself.
-* Points outside all cells wanted are dropped where they are read; the rest
-  meet the queries in one equi-join on the finest cell.  A cell of more than
-  ``SALT_POINTS`` points -- a city, or a third of the data -- is split over as many
-  join keys as its count asks for; other cells have one.
+  The descent ends where the smallest cells hold ``DENSE_BYTES`` of the points' files,
+  were they spread evenly, so also in dense regions a cell has a few places, not
+  thousands: a query meets tens of points, however many there are.
+* Of points at one place only the ``n`` smallest ``uid`` can be among the nearest,
+  so each task keeps those before any exchange.  Points outside all cells wanted
+  are dropped; the rest meet the queries in one equi-join on the finest cell.  A
+  cell of more than ``SALT_POINTS`` points -- a city, or a third of the data -- is
+  split over as many join keys as its count asks for; other cells have one.
+* A pair farther apart than the query's bound is dropped as it is met.
 * The per-query top ``n`` is a ``row_number`` filter that Spark plans as a
   partial ``WindowGroupLimit`` before the shuffle on ``qid``, so each task
   ships at most ``n`` candidates per query.
@@ -35,9 +40,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.geohash import LAT_RANGE, LON_RANGE, bits_for, cell_index_sql, hash_of_cells_sql, neighbor_cells, with_cell_indices
-from tessera.operators.partitioning import source_bytes
+from tessera.operators.partitioning import partitions_for, source_bytes
 
-CELL_BYTES = 64 << 10  # of the points' files for each cell of the finest level, were they spread evenly
+CELL_BYTES = 64 << 10  # of the points' files for each cell of the level asked for, were they spread evenly
+DENSE_BYTES = 2  # the same for the smallest cells: tens of them for each point of an even spread, so that dense regions have some too
+UNSIZED_LEVEL = 5  # of the smallest cells, where the size of the points is not known
+QUERY_BYTES = 64 << 10  # of the queries' files for each task that descends: thousands of queries with hundreds of cells each
 SALT_POINTS = 100_000
 BROADCAST_LEVEL = 4  # up to this level a frame of cells has at most 32 ** 4 rows of a few numbers
 
@@ -109,7 +117,7 @@ below{level} AS (
   FROM at{level - 1} JOIN children{level} k ON cx = px AND cy = py),
 reached{level} AS (SELECT *, sum(c) OVER (PARTITION BY qid ORDER BY far, cx, cy ROWS UNBOUNDED PRECEDING) AS reached FROM below{level}),
 bound{level} AS (SELECT *, min(CASE WHEN reached >= {n} THEN far END) OVER (PARTITION BY qid) AS bound FROM reached{level}),
-at{level} AS (SELECT qid, qlon, qlat, cx, cy, c FROM bound{level} WHERE bound IS NULL OR near <= bound),"""
+at{level} AS (SELECT qid, qlon, qlat, cx, cy, c, bound FROM bound{level} WHERE bound IS NULL OR near <= bound),"""
 
 
 def _sized(view: str, level: int) -> str:
@@ -127,20 +135,22 @@ def nearest_in(points: DataFrame, blocks: DataFrame, precision: int, n: int, fin
     text = f"""
 WITH keyed AS (SELECT uid, hash, lon, lat, {key} FROM {{points}}),
 counts AS (SELECT cell_x, cell_y, count(1) AS c FROM (SELECT {key} FROM {{points}}) GROUP BY cell_x, cell_y),
-at{precision} AS ({"SELECT qid, qlon, qlat, cx, cy" if finest > precision else f"SELECT {_sized('counts', precision)} qid, qlon, qlat, cx, cy, c"}
+kept AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lon, lat ORDER BY uid) AS nth FROM keyed) WHERE nth <= {n}),
+at{precision} AS ({"SELECT qid, qlon, qlat, cx, cy" if finest > precision else f"SELECT {_sized('counts', precision)} qid, qlon, qlat, cx, cy, c, CAST(NULL AS DOUBLE) AS bound"}
   FROM {{blocks}} {"" if finest > precision else "JOIN counts ON cx = cell_x AND cy = cell_y"}),
 {"".join(_step(level, finest, n) for level in range(precision + 1, finest + 1))}
--- a cell gets salts by its count, most have one; points outside the cells wanted go where they are read
+-- a cell gets salts by its count, most have one; points outside the cells wanted go
 wanted AS (SELECT cx, cy, int(ceil(max(c) / {salt_points})) AS salts FROM at{finest} GROUP BY cx, cy),
 found AS (
   SELECT {_sized("w", finest)} cx, cy, int(pmod(xxhash64(uid), salts)) AS salt, uid, hash, lon, lat
-  FROM keyed JOIN wanted w ON cell_x = cx AND cell_y = cy),
-spread AS (SELECT qid, qlon, qlat, cx, cy, explode(sequence(0, int(ceil(c / {salt_points})) - 1)) AS salt FROM at{finest}),
+  FROM kept JOIN wanted w ON cell_x = cx AND cell_y = cy),
+spread AS (SELECT qid, qlon, qlat, cx, cy, bound, explode(sequence(0, int(ceil(c / {salt_points})) - 1)) AS salt FROM at{finest}),
 met AS (
-  SELECT qid, uid, hash, lon, lat, sqrt((lon - qlon) * (lon - qlon) + (lat - qlat) * (lat - qlat)) AS distance
+  SELECT qid, uid, hash, lon, lat, sqrt((lon - qlon) * (lon - qlon) + (lat - qlat) * (lat - qlat)) AS distance, bound
   FROM spread s JOIN found p ON s.cx = p.cx AND s.cy = p.cy AND s.salt = p.salt)
 SELECT qid, rank, uid, hash, lon, lat, distance
-FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY distance, uid) AS rank FROM met) WHERE rank <= {n}"""
+FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY distance, uid) AS rank FROM met WHERE bound IS NULL OR distance <= bound) WHERE rank <= {n}"""
     placed = points.select("uid", "hash", "lon", "lat").where("lon IS NOT NULL AND lat IS NOT NULL")
     return points.sparkSession.sql(text, points=placed, blocks=blocks.where("qlon IS NOT NULL AND qlat IS NOT NULL"))
 
@@ -155,6 +165,23 @@ def _finest(points: DataFrame, precision: int, fine_precision: int | str | None)
     return min(12, max(precision, fine_precision))
 
 
+def _depth(points: DataFrame, precision: int, fine_precision: int | str | None) -> int:
+    """The level of the smallest cells: at least the one asked for, or ``precision`` where no index is wanted."""
+    depth = _finest(points, precision, fine_precision)
+    if fine_precision is None:
+        return depth
+    cells_wanted = source_bytes(points) // DENSE_BYTES or 32 ** UNSIZED_LEVEL
+    while 32 ** depth < cells_wanted:
+        depth += 1
+    return min(12, depth)
+
+
+def _dealt(queries: DataFrame) -> DataFrame:
+    """Queries in tasks of bounded size, a number that adaptive execution does not lower: each grows to hundreds of cells there."""
+    least = queries.sparkSession.sparkContext.defaultParallelism
+    return queries.repartition(partitions_for(queries, least, QUERY_BYTES), "qid")
+
+
 def cell_candidates(points: DataFrame, queries: DataFrame, precision: int, n: int, *,
                     fine_precision: int | str | None = "auto", salt_points: int = SALT_POINTS) -> DataFrame:
     """takeN: the ``n`` points of each query's own cell nearest to the query (bounded per query).
@@ -162,8 +189,8 @@ def cell_candidates(points: DataFrame, queries: DataFrame, precision: int, n: in
     ``points``: ``uid, hash, lon, lat``; ``queries``: ``qid, lon, lat``.
     Output: ``qid, rank, uid, hash, lon, lat, distance``.
     """
-    own = query_blocks(queries, precision).filter((F.col("dx") == 0) & (F.col("dy") == 0))
-    return nearest_in(points, own, precision, n, _finest(points, precision, fine_precision), salt_points)
+    own = query_blocks(_dealt(queries), precision).filter((F.col("dx") == 0) & (F.col("dy") == 0))
+    return nearest_in(points, own, precision, n, _depth(points, precision, fine_precision), salt_points)
 
 
 def knn_geohash(points: DataFrame, queries: DataFrame, n: int = 5, precision: int = 1, *,
@@ -171,8 +198,8 @@ def knn_geohash(points: DataFrame, queries: DataFrame, n: int = 5, precision: in
     """Top ``n`` points by planar distance over each query's 3x3 geohash block at ``precision``.
 
     Output: ``qid, rank, uid, hash, lon, lat, distance`` (rank 1 = nearest).
-    ``fine_precision`` is the finest level of the index (``None``: no index; ``"auto"``: below ``precision``, and so fine that the
-    files of the points hold about ``CELL_BYTES`` a cell).  The result is the same for every choice.
+    ``fine_precision`` is the least depth of the index (``None``: no index; ``"auto"``: below ``precision``, and so fine that the
+    files of the points hold about ``CELL_BYTES`` a cell), which goes on to cells of ``DENSE_BYTES``.  The result is the same for every choice.
     """
-    blocks = query_blocks(queries, precision, wrap_lat=wrap_lat)
-    return nearest_in(points, blocks, precision, n, _finest(points, precision, fine_precision), salt_points)
+    blocks = query_blocks(_dealt(queries), precision, wrap_lat=wrap_lat)
+    return nearest_in(points, blocks, precision, n, _depth(points, precision, fine_precision), salt_points)

@@ -87,3 +87,22 @@ def test_depth_follows_the_size_of_the_points(points, monkeypatch):
 def test_empty_frames(points, queries):
     assert G.knn_geohash(points.limit(0), queries).count() == 0 and G.knn_geohash(points, queries.limit(0)).count() == 0
     assert G.knn_geohash(points.filter(F.col("uid") < 2), queries, n=3).count() > 0
+
+
+@pytest.mark.parametrize("fine", ["auto", 2])
+def test_dense_regions_and_repeated_places_meet_few_points(spark, fine):
+    """Thousands of points in a corner of one coarse cell, forty at each place: a query meets tens of them, and the result is exact."""
+    rng = random.Random(9)
+    places = [(rng.uniform(3.0, 5.0), rng.uniform(3.0, 5.0)) for _ in range(400)]
+    pts = [(uid, f"h{uid}", *places[uid % 400]) for uid in range(16_000)]
+    asked = [(i, rng.uniform(3.0, 5.0), rng.uniform(3.0, 5.0)) for i in range(100)]
+    df = G.knn_geohash(spark.createDataFrame(pts, "uid long, hash string, lon double, lat double"),
+                       spark.createDataFrame(asked, "qid long, lon double, lat double"), n=50, fine_precision=fine)
+    got = sorted((r.qid, r.rank, r.uid) for r in df.collect())
+    want = []
+    for qid, x, y in asked:
+        near = sorted((((px - x) ** 2 + (py - y) ** 2) ** 0.5, uid) for uid, _, px, py in pts)[:50]
+        want += [(qid, k + 1, uid) for k, (_, uid) in enumerate(near)]
+    assert got == sorted(want)
+    met = [n.metrics().apply("numOutputRows").value() for n in nodes(df) if "Join" in n.getClass().getSimpleName() and {"qid", "uid"} <= _names(n)]
+    assert met and max(met) < 100 * 1000, met
