@@ -46,12 +46,14 @@ REACH = LENGTH - GRAM  # an anchor lies 0 to REACH bytes after the start of its
 FILTER_BITS = 1 << 27
 HOT_BITS = 1 << 22
 TASK_ROWS = 1_000_000
+TOKENS_HELD = 1_000_000  # by a task that lists them
+BUCKET_TOKENS = 250_000  # of a group that merges lists, were no token repeated
 SETTLE_ROWS = 60_000
 BATCH_BYTES = 16_000_000
 SEGMENT = 1 << 22
 SAMPLED = 1024  # one suffix in so many is sampled for the splitters
 SPLIT_SAMPLE = 1_000_000
-HOT_BATCHES = 1000  # a token of so many batches is hot
+HOT_BATCHES = 4000  # a token of so many batches is hot
 SALTS = 16
 _TABLE = mix64(np.arange(256, dtype=np.uint64))
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
@@ -168,7 +170,7 @@ def _repeated_tokens(docs: DataFrame, copied: np.ndarray, buckets: int) -> DataF
                     found = np.unique(token)
                     held.append(found)
                     size += len(found)
-                if size > TASK_ROWS * 4:
+                if size > TOKENS_HELD:
                     yield flush()
                     held, picked, size = [], [], 0
         if held:
@@ -423,7 +425,7 @@ def spans(docs: DataFrame) -> DataFrame:
     unsure = stored(unsure, "unsure")  # marked by chance: few
     both = lambda f, *more: f(docs, copied, *more).unionByName(f(unsure, np.zeros(1, dtype=np.int64), *more))
     suffixes = int(total // (REACH // 2 + 1)) + 1
-    marked = stored(_merged_tokens(both(_repeated_tokens, suffixes // TASK_ROWS + 1)), "tokens")
+    marked = stored(_merged_tokens(both(_repeated_tokens, suffixes // BUCKET_TOKENS + 1)), "tokens")
     ranges = suffixes // (TASK_ROWS // 2) + 1
     rows = both(_contexts, _bitmap(marked.where("kind = 0"), FILTER_BITS), _bitmap(marked.where("kind = 1"), HOT_BITS), _splitters(marked, ranges * 4))
     equal = whole.select("doc_id", "th", F.lit(0).cast("long").alias("start"), F.col("n").alias("stop"))
