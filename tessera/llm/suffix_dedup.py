@@ -155,7 +155,11 @@ def _repeated_tokens(docs: DataFrame, copied: np.ndarray, buckets: int) -> DataF
             one = np.concatenate(([True], every[1:] != every[:-1]))
             tokens = every[one]
             twice = np.diff(np.concatenate((np.flatnonzero(one), [len(every)]))) > 1
-            cuts = np.searchsorted((tokens >> np.uint64(32)).astype(np.int64) * buckets >> 32, np.arange(buckets + 1))
+            # anchors have the least hashes of their strings, so the leading bits are small ones; mixed again they spread evenly
+            bucket = (mix64(tokens) >> np.uint64(32)).astype(np.int64) * buckets >> 32
+            order = np.argsort(bucket, kind="stable")
+            tokens, twice = tokens[order], twice[order]
+            cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
             rows = [(b, _packed(tokens[x:y]), np.packbits(twice[x:y]).tobytes()) for b, (x, y) in enumerate(zip(cuts[:-1], cuts[1:])) if y > x]
             rows.append((-1, np.concatenate(picked).tobytes(), b""))
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.binary(), pa.binary()))], names=["bucket", "tokens", "twice"])
