@@ -5,10 +5,12 @@ suffixes at every byte would move the corpus many times over, so suffixes are sa
 ``LENGTH`` bytes holds the anchor that a hash picks among its leading ``GRAM``-byte tokens (the leftmost least), and
 equal strings have their anchors at the same place.  Only suffixes at anchors enter the order.
 
-1. Each task lists the tokens at its anchors; those met in two documents or more are marked in a bitmap of a fixed
-   number of bits (others may be marked by chance; none is missed).  Tokens met in very many batches are marked as hot
+1. Strings that share an anchor share its token and, as they start near it or farther before it, 15 bytes behind the token
+   or 16 before it as well: a gram of 35 or 36 bytes (:func:`grams`), which repeats by chance far less often than
+   the token.  Each task lists the hashes of its grams (called tokens from here on); those met in two documents or
+   more are marked in a bitmap (others may be marked by chance; none is missed).  Tokens met in very many batches are marked as hot
    in a second one, and a sample of the suffixes' leading bytes gives the splitters.
-2. Suffixes at marked anchors, with the bytes that a string through the anchor can hold, are pre-aggregated in each
+2. Suffixes at anchors with marked grams, each with the bytes that a string through the anchor can hold, are pre-aggregated in each
    batch of a task: equal contexts become one row with their least document and a list of members.  Rows of hot tokens
    go to ``SALTS`` places, each with a share of the members, so no passage gathers all its members in one task.
 3. The rows are range-partitioned by leading bytes between the splitters; whole leading tokens of a range are sorted
@@ -43,7 +45,9 @@ from tessera.llm.common import mix64, stored
 LENGTH = 50
 GRAM = 20
 REACH = LENGTH - GRAM  # an anchor lies 0 to REACH bytes after the start of its string
-FILTER_BITS = 1 << 27
+SIDE = REACH // 2  # strings that start up to so many bytes before their anchor have a gram behind it, the others one before it
+FILTER_BITS = 1 << 27  # at least; for large corpora up to MOST_BITS
+MOST_BITS = 1 << 30
 HOT_BITS = 1 << 22
 TASK_ROWS = 1_000_000
 TOKENS_HELD = 1_000_000  # by a task that lists them
@@ -70,12 +74,11 @@ def _gram_hashes(raw: np.ndarray) -> np.ndarray:
     return mix64(h16[:-4] * _ODD[4] + h4[16:])
 
 
-def anchors(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Anchor places, their token hashes, and the first and last string start that each serves."""
+def _anchored(raw: bytes):
+    """For each segment: its first place, the token hashes at its places, and, counted from there, its anchors and the first and last string start that each serves."""
     n = len(raw)
     if n < LENGTH:
-        return (np.empty(0, dtype=np.int64), np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64))
-    places, hashes, firsts, lasts = [], [], [], []
+        return
     bytes_ = np.frombuffer(raw, dtype=np.uint8)
     for lo in range(0, n - LENGTH + 1, SEGMENT):  # string starts lo .. hi-1
         hi = min(lo + SEGMENT, n - LENGTH + 1)
@@ -88,11 +91,33 @@ def anchors(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
         m = np.minimum(m[:-(REACH + 1 - 16)], m[REACH + 1 - 16:])  # over REACH + 1 = 31 places
         at = (m & np.uint64(0xFFFFFF)).astype(np.int64)
         change = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
-        places.append(at[change] + lo)
-        hashes.append(h[at[change]])
-        firsts.append(change + lo)
-        lasts.append(np.concatenate((change[1:], [len(at)])) - 1 + lo)
-    return np.concatenate(places), np.concatenate(hashes), np.concatenate(firsts), np.concatenate(lasts)
+        yield lo, h, at[change], change, np.concatenate((change[1:], [len(at)])) - 1
+
+
+def _columns(parts: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    none = (np.empty(0, dtype=np.int64), np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64))
+    return tuple(map(np.concatenate, zip(*parts))) if parts else none
+
+
+def anchors(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Anchor places, their token hashes, and the first and last string start that each serves."""
+    return _columns([(at + lo, h[at], first + lo, last + lo) for lo, h, at, first, last in _anchored(raw)])
+
+
+def grams(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Anchor places, the hash of a gram, and the first and last string start, for each side of each anchor that serves strings.
+
+    Strings that start up to ``SIDE`` (15) bytes before their anchor share the ``SIDE + GRAM`` (35) bytes from it on; those that start
+    farther before it share the ``SIDE + 1 + GRAM`` (36) up to the end of its token.
+    """
+    parts = []
+    for lo, h, at, first, last in _anchored(raw):
+        near, far = np.flatnonzero(at - last <= SIDE), np.flatnonzero(at - first > SIDE)
+        a = at[near]
+        parts.append((a + lo, mix64(h[a] * _ODD[5] + h[a + SIDE]), np.maximum(first[near], a - SIDE) + lo, last[near] + lo))
+        a = at[far]
+        parts.append((a + lo, mix64(h[a] * _ODD[6] + h[a - SIDE - 1]), first[far] + lo, np.minimum(last[far], a - SIDE - 1) + lo))
+    return _columns(parts)
 
 
 # ------------------------------------------------------------------ 1: tokens of two documents
@@ -107,13 +132,16 @@ def _leads(raw: bytes, places: np.ndarray) -> np.ndarray:
 
 
 def _packed(tokens: np.ndarray) -> bytes:
-    """The six leading bytes of each token hash; equal ones may differ behind, which marks too much, never too little."""
-    return tokens.astype(">u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+    """The six leading bytes of each token hash; equal ones may differ behind, which marks too much, never too little.
+
+    All first bytes come first, then all second ones: of sorted tokens these are long runs, which a shuffle compresses.
+    """
+    return tokens.astype(">u8").view(np.uint8).reshape(-1, 8)[:, :6].T.tobytes()
 
 
 def _unpacked(data: bytes) -> np.ndarray:
     out = np.zeros((len(data) // 6, 8), dtype=np.uint8)
-    out[:, :6] = np.frombuffer(data, dtype=np.uint8).reshape(-1, 6)
+    out[:, :6] = np.frombuffer(data, dtype=np.uint8).reshape(6, -1).T
     return out.view(">u8").reshape(-1).astype(np.uint64)
 
 
@@ -155,11 +183,9 @@ def _repeated_tokens(docs: DataFrame, copied: np.ndarray, buckets: int) -> DataF
             one = np.concatenate(([True], every[1:] != every[:-1]))
             tokens = every[one]
             twice = np.diff(np.concatenate((np.flatnonzero(one), [len(every)]))) > 1
-            # anchors have the least hashes of their strings, so the leading bits are small ones; mixed again they spread evenly
-            bucket = (mix64(tokens) >> np.uint64(32)).astype(np.int64) * buckets >> 32
-            order = np.argsort(bucket, kind="stable")
-            tokens, twice = tokens[order], twice[order]
-            cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
+            # by leading bits, which are evenly spread: the tokens of a bucket have their places in one part of the bitmap
+            bucket = (tokens >> np.uint64(32)).astype(np.int64) * buckets >> 32
+            cuts = np.searchsorted(bucket, np.arange(buckets + 1))
             rows = [(b, _packed(tokens[x:y]), np.packbits(twice[x:y]).tobytes()) for b, (x, y) in enumerate(zip(cuts[:-1], cuts[1:])) if y > x]
             rows.append((-1, np.concatenate(picked).tobytes(), b""))
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.binary(), pa.binary()))], names=["bucket", "tokens", "twice"])
@@ -167,7 +193,7 @@ def _repeated_tokens(docs: DataFrame, copied: np.ndarray, buckets: int) -> DataF
         for batch in batches:
             for t in originals(batch).column(3).to_pylist():
                 raw = _raw(t)
-                place, token, _, _ = anchors(raw)
+                place, token, _, _ = grams(raw)
                 if len(place):
                     pick = np.flatnonzero(token % np.uint64(SAMPLED) == 0)
                     picked.append(_leads(raw, place[pick]))
@@ -183,7 +209,7 @@ def _repeated_tokens(docs: DataFrame, copied: np.ndarray, buckets: int) -> DataF
     return _with_bits(docs).mapInArrow(local, "bucket int, tokens binary, twice binary")
 
 
-def _merged_tokens(lists: DataFrame) -> DataFrame:
+def _merged_tokens(lists: DataFrame, filter_bits: int = FILTER_BITS) -> DataFrame:
     """``kind, bits``: bitmap places of the tokens that two documents hold (0) and many batches hold (1); sampled leading bytes (2)."""
 
     def merge(frame):
@@ -198,7 +224,7 @@ def _merged_tokens(lists: DataFrame) -> DataFrame:
         count = np.diff(np.concatenate((first, [len(every)])))
         shared = (count > 1) | np.logical_or.reduceat(flag, first)
         marks = [np.unique(_place(every[first][which], bits)).astype(np.int32).tobytes()
-                 for which, bits in ((shared, FILTER_BITS), (count >= HOT_BATCHES, HOT_BITS))]
+                 for which, bits in ((shared, filter_bits), (count >= HOT_BATCHES, HOT_BITS))]
         return pd.DataFrame({"kind": [0, 1], "bits": marks})
 
     return lists.groupBy("bucket").applyInPandas(merge, "kind int, bits binary")
@@ -273,8 +299,8 @@ def _contexts(docs: DataFrame, copied: np.ndarray, bitmap: bytes, hot: bytes, sp
                 if doc_id is None:
                     continue
                 raw = _raw(text)
-                place, token, first, last = anchors(raw)
-                hit = np.flatnonzero(_marked(bits, token, FILTER_BITS))
+                place, token, first, last = grams(raw)
+                hit = np.flatnonzero(_marked(bits, token, 8 * len(bits)))
                 if not len(hit):
                     continue
                 hot_here = _marked(hot_bits, token[hit], HOT_BITS).tolist()
@@ -429,9 +455,10 @@ def spans(docs: DataFrame) -> DataFrame:
     unsure = stored(unsure, "unsure")  # marked by chance: few
     both = lambda f, *more: f(docs, copied, *more).unionByName(f(unsure, np.zeros(1, dtype=np.int64), *more))
     suffixes = int(total // (REACH // 2 + 1)) + 1
-    marked = stored(_merged_tokens(both(_repeated_tokens, suffixes // BUCKET_TOKENS + 1)), "tokens")
+    filter_bits = max(FILTER_BITS, min(MOST_BITS, 1 << (2 * suffixes).bit_length()))
+    marked = stored(_merged_tokens(both(_repeated_tokens, 2 * suffixes // BUCKET_TOKENS + 1), filter_bits), "tokens")
     ranges = suffixes // (TASK_ROWS // 2) + 1
-    rows = both(_contexts, _bitmap(marked.where("kind = 0"), FILTER_BITS), _bitmap(marked.where("kind = 1"), HOT_BITS), _splitters(marked, ranges * 4))
+    rows = both(_contexts, _bitmap(marked.where("kind = 0"), filter_bits), _bitmap(marked.where("kind = 1"), HOT_BITS), _splitters(marked, ranges * 4))
     equal = whole.select("doc_id", "th", F.lit(0).cast("long").alias("start"), F.col("n").alias("stop"))
     gathered = _removed(rows, ranges * 2).unionByName(equal).groupBy("doc_id", "th").agg(F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("parts"))
     empty = F.expr("cast(array() as array<struct<start:bigint,stop:bigint>>)")

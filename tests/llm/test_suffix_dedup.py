@@ -90,3 +90,28 @@ def test_tasks_list_a_bounded_number_of_tokens(spark, monkeypatch):
     assert max(len(r.tokens) // 6 for r in lists if r.bucket >= 0) < 300
     held = [sum(len(r.tokens) for r in lists if r.bucket == b) for b in range(3)]
     assert max(held) < 2 * min(held), held
+
+
+def test_grams_serve_each_string_once(corpus):
+    for _, t in corpus[:20]:
+        raw = (t or "").encode()
+        whole, served = {}, []
+        for p, _, lo, hi in zip(*S.anchors(raw)):
+            whole.update({s: p for s in range(lo, hi + 1)})
+        for p, _, lo, hi in zip(*S.grams(raw)):
+            assert all(whole[s] == p and (p - s <= S.SIDE) == (p - lo <= S.SIDE) for s in range(lo, hi + 1))
+            served += range(lo, hi + 1)
+        assert sorted(served) == sorted(whole)
+    text = bytes(random.Random(3).randrange(97, 123) for _ in range(200))
+    both = [{(p - shift, g) for p, g, lo, hi in zip(*S.grams(raw)) if lo >= shift and hi <= shift + 150} for raw, shift in ((text, 0), (b"another head " + text, 13))]
+    assert both[0] & both[1] and len(both[0] ^ both[1]) <= 2
+
+
+def test_short_phrases_that_repeat_do_not_travel(spark):
+    """Phrases of 30 bytes hold whole tokens, but no 50-byte string; only longer grams that repeat are marked."""
+    rng = random.Random(7)
+    phrases = ["".join(rng.choice("abcdefghij ") for _ in range(30)) for _ in range(40)]
+    docs = spark.createDataFrame([(i, " ".join(f"{rng.random()}{p}" for p in phrases)) for i in range(6)], "doc_id long, text string")
+    assert all(S.anchors(t.encode())[1].tolist() for _, t in docs.collect())
+    rows = S._merged_tokens(S._repeated_tokens(docs.select("doc_id", S._half("text").alias("th"), "text"), np.zeros(1, dtype=np.int64), 3))
+    assert sum(len(r.bits) for r in rows.where("kind = 0").collect()) == 0
