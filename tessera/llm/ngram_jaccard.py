@@ -13,6 +13,10 @@ its neighbours in size and the set that reaches it first, a number of candidates
 merged, and only sets that are still in different components go through the multi-match count.  Any link between
 different texts joins its two ends, directly or through others, so the components are those of the whole graph.
 
+Before whole sets travel, candidates meet over parity bitmaps of one to two bits a shingle: two sets differ in at least as many
+shingles as their bitmaps in bits, so a pair whose bitmaps differ too much is no link.  Sets of 64 bits a shingle
+travel for the other pairs only, and each of those is compared exactly.
+
 Sets are compared by 64-bit shingle hashes, sets as wholes by a 64-bit digest of them.  Defined cases: null, empty
 and blank texts have no shingles and are linked with nothing; fewer words than ``k`` are one shingle; a null
 ``doc_id`` is a document whose id sorts after all others and is the component's id only if all are null; rows that
@@ -102,6 +106,23 @@ def node_of(found: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(found.tobytes()) - (1 << 63)
 
 
+def parity(found: np.ndarray) -> bytes:
+    """A bitmap of a power of two of bits, as many as shingles or more: of each bit, whether an odd number of shingles fall on it."""
+    width = max(64, 1 << (len(found) - 1).bit_length()) if len(found) else 64
+    odd = np.bincount((found & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def may_be_similar(x: np.ndarray, y: np.ndarray, total: int, percent: int) -> bool:
+    """False only if sets with the bitmaps ``x`` and ``y`` (bytes), of ``total`` shingles together, cannot be similar."""
+    if len(x) < len(y):
+        x, y = y, x
+    while len(x) > len(y):  # the bitmap of half the bits
+        x = x[:len(x) // 2] ^ x[len(x) // 2:]
+    apart = int(np.bitwise_count(x ^ y).sum())  # in at least so many shingles the sets differ
+    return (100 - percent) * (total + apart) >= 200 * apart
+
+
 def least_shared(n, percent: int):
     """The fewest shingles that a set of ``n`` shares with a similar one."""
     return (percent * n + 99) // 100
@@ -132,29 +153,31 @@ def _texts(batches) -> Iterator[tuple]:
 
 
 def _sized(docs: DataFrame, k: int) -> DataFrame:
-    """A row (doc_id, text_hash, n, node) a document, and the chunks of the sketch of each task's distinct sets."""
-    schema = "doc_id long, text_hash long, n long, node long, chunk int, counts binary"
+    """A row (doc_id, text_hash, n, node, bits) a document, and the chunks of the sketch of each task's distinct sets."""
+    schema = "doc_id long, text_hash long, n long, node long, bits binary, chunk int, counts binary"
     names = [c.split()[0] for c in schema.split(", ")]
 
     def run(batches):
         counts, seen = np.zeros(CELLS, dtype=np.uint32), set()
         for batch, texts in _texts(batches):
-            sizes, nodes = [], []
+            sizes, nodes, bits = [], [], []
             for t in texts:
                 found = shingles(t, k)
                 sizes.append(len(found))
+                bits.append(parity(found))
                 nodes.append(node := node_of(found))
                 if node not in seen:
                     seen.add(node)
                     np.add.at(counts, _cells(found), 1)
             m = len(texts)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary())],
+                [batch.column(0), batch.column(2), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(bits, pa.binary()),
+                 pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary())],
                 names=names)
         if seen:
             parts = [zlib.compress(p.tobytes(), 1) for p in np.split(counts, CHUNKS)]
             yield pa.RecordBatch.from_arrays(
-                [*[pa.nulls(CHUNKS, pa.int64())] * 4, pa.array(range(CHUNKS), pa.int32()), pa.array(parts, pa.binary())],
+                [*[pa.nulls(CHUNKS, pa.int64())] * 4, pa.nulls(CHUNKS, pa.binary()), pa.array(range(CHUNKS), pa.int32()), pa.array(parts, pa.binary())],
                 names=names)
 
     return docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text")).mapInArrow(run, schema)
@@ -234,28 +257,41 @@ def _sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     return docs.select("text", F.xxhash64(F.col("doc_id").cast("long")).alias("h")).mapInArrow(run, "node long, found binary")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of nodes whose sets are similar."""
-    both = (pairs.join(sets.select(F.col("node").alias("a"), F.col("found").alias("found_a")), "a")
-            .join(sets.select(F.col("node").alias("b"), F.col("found").alias("found_b")), "b"))
+def _compared(pairs: DataFrame, rows: DataFrame, test) -> DataFrame:
+    """The pairs (a, b) of nodes for which ``test`` holds on the two values (buffers) of ``rows`` (node, n, value) and their ``n`` together."""
+    mine = lambda c: rows.select(F.col("node").alias(c), F.col("n").alias("n_" + c), F.col("value").alias("value_" + c))
+    both = pairs.join(mine("a"), "a").join(mine("b"), "b")
 
     def run(batches):
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                x, y = (np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in (x, y))
-                both_ = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * both_ >= percent * (len(x) + len(y) - both_))
+            keep = [test(x.as_buffer(), y.as_buffer(), n) for x, y, n in zip(batch.column(2), batch.column(3), batch.column(4).to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return both.select("a", "b", "found_a", "found_b").mapInArrow(run, "a long, b long").distinct()
+    return both.select("a", "b", "value_a", "value_b", (F.col("n_a") + F.col("n_b")).alias("n")).mapInArrow(run, "a long, b long").distinct()
+
+
+def _close(pairs: DataFrame, sized: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of nodes that their bitmaps do not rule out."""
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    rows = stored(sized.where("n > 0").join(nodes, "node").select("node", "n", F.col("bits").alias("value")).dropDuplicates(["node"]), "bits")
+    return _compared(pairs, rows, lambda x, y, n: may_be_similar(np.frombuffer(x, dtype=np.uint8), np.frombuffer(y, dtype=np.uint8), n, percent))
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of nodes whose sets are similar."""
+
+    def similar(x, y, n):
+        both = len(np.intersect1d(np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64), assume_unique=True))
+        return 100 * both >= percent * (n - both)
+
+    return _compared(pairs, sets.select("node", (F.octet_length("found") / 8).cast("long").alias("n"), F.col("found").alias("value")), similar)
 
 
 def _grouped(docs: DataFrame, k: int, percent: int) -> DataFrame:
     """``doc_id, text_hash, n, grp, component_id`` of every document; ``grp`` is a node of its component."""
     rows = stored(_sized(docs, k), "sized")
     sketch = _sketch(rows)
-    sized = rows.where(F.col("chunk").isNull()).select("doc_id", "text_hash", "n", "node")
+    sized = rows.where(F.col("chunk").isNull()).select("doc_id", "text_hash", "n", "node", "bits")
     first = sized.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("first_id"))
 
     # postings that meet another set; one exchange by token serves the test and what follows it
@@ -277,6 +313,7 @@ def _grouped(docs: DataFrame, k: int, percent: int) -> DataFrame:
     linear = stored(near.where(within).select(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")).distinct(), "linear")
 
     def verified(pairs: DataFrame) -> DataFrame:
+        pairs = stored(_close(pairs, sized, percent), "close")
         nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
         sets = stored(_sets(docs, nodes.join(first, "node").select(F.col("first_id").alias("doc_id")), k), "sets")
         return stored(_verified(pairs, sets, percent), "links")

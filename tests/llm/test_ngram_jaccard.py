@@ -81,3 +81,32 @@ def test_repeated_rows_and_odd_names(spark):
     out = N.keep_first(df)
     assert out.columns == df.columns
     assert sorted(tuple(r) for r in out.collect()) == [(1, text, 1, 2, 3), (3, "other words", 1, 2, 3), (4, "", 1, 2, 3), (4, "", 1, 2, 3)]
+
+
+def test_bitmaps_rule_out_no_similar_pair():
+    rng = np.random.default_rng(8)
+    out = []
+    for percent, share in itertools.product((80, 85), np.linspace(0, 1, 21)):
+        for n in (1, 5, 60, 64, 65, 500, 513, 3000):
+            a = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+            b = np.unique(np.concatenate((a[:round(n * share)], rng.integers(0, 1 << 63, n - round(n * share) + n // 20, dtype=np.uint64))))
+            both = len(np.intersect1d(a, b))
+            may = N.may_be_similar(*(np.frombuffer(N.parity(x), dtype=np.uint8) for x in (a, b)), len(a) + len(b), percent)
+            assert may or 100 * both < percent * (len(a) + len(b) - both)
+            out.append((both / (len(a) + len(b) - both), len(a), may))
+    assert not any(may for j, n, may in out if j < 0.6 and n >= 500)
+
+
+def test_only_sets_that_may_be_similar_travel(spark, monkeypatch):
+    """Texts that share a passage with each of two others meet in the postings; whole sets travel only for those that their bitmaps leave."""
+    rng = np.random.default_rng(6)
+    words = lambda n: [f"w{x}" for x in rng.integers(0, 10**6, n)]
+    passages = [words(100) for _ in range(40)]
+    rows = [(i, " ".join(passages[i] + passages[i - 1])) for i in range(40)]
+    near = words(300)
+    rows += [(500, " ".join(near)), (501, " ".join(near[:-4] + words(4)))]
+    wanted, sets = [], N._sets
+    monkeypatch.setattr(N, "_sets", lambda docs, ids, k: (wanted.extend(r[0] for r in ids.collect()), sets(docs, ids, k))[1])
+    got = {r["doc_id"]: r["component_id"] for r in N.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 4, 85).collect()}
+    assert got == {i: 500 if i == 501 else i for i, _ in rows}
+    assert sorted(wanted) == [500, 501]
