@@ -23,7 +23,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,6 +32,7 @@ from tessera.llm.common import every, free_name, held_out, labelled_sample, stor
 FIT_ROWS = 8000
 FIT_MAX_BYTES = 200_000
 FIT_TOGETHER = 64
+SCORE_TOGETHER = 64
 BUCKETS = 1 << 17
 DIM = 8
 SCALE = 4.0
@@ -67,17 +67,19 @@ def bag_of(text: str | None) -> tuple[list[str], np.ndarray]:
     return list(counts), SCALE * logs / math.sqrt(SMOOTH + float(logs @ logs))
 
 
+def known_of(bag: tuple[list[str], np.ndarray], vocab: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Of a bag the words in ``vocab``: their places there, in order, and their shares."""
+    known = sorted((vocab[w], s) for w, s in zip(*bag) if w in vocab)
+    return np.array([i for i, _ in known], dtype=np.int32), np.array([s for _, s in known], dtype=np.float32)
+
+
 def fit(texts: list[str], labels: list[int], epochs: int = EPOCHS, min_docs: int = MIN_DOCS) -> Model:
     """Fit on a few texts in memory; :func:`fit_on` counts the words of a table with Spark and gets the same model."""
     bags = [bag_of(t) for t in texts]
     in_docs = Counter(w for words, _ in bags for w in words)
     vocab = {w: i for i, w in enumerate(sorted(w for w, c in in_docs.items() if c >= min_docs))}
-    places, shares = [], []
-    for words, share in bags:
-        known = sorted((vocab[w], s) for w, s in zip(words, share) if w in vocab)
-        places.append(np.array([i for i, _ in known], dtype=np.int32))
-        shares.append(np.array([s for _, s in known], dtype=np.float32))
-    return fit_bags(list(vocab), places, shares, labels, epochs)
+    places, shares = zip(*(known_of(b, vocab) for b in bags)) if bags else ((), ())
+    return fit_bags(list(vocab), list(places), list(shares), labels, epochs)
 
 
 def fit_bags(vocab: list[str], places: list[np.ndarray], shares: list[np.ndarray], labels: list[int],
@@ -165,41 +167,49 @@ def fit_on(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, max_bytes:
            min_docs: int = MIN_DOCS) -> Model:
     """Fit on at most ``rows`` labelled documents of at most ``max_bytes`` each, none of the held-out fold.
 
-    Words of fewer than ``min_docs`` documents of the sample count in a mean but teach nothing.  Executors make the bags and
-    count the words; the driver gets the vocabulary and, of each document, places in it and shares.
+    Words of fewer than ``min_docs`` documents of the sample count in a mean but teach nothing.  Executors make the bags,
+    once to count the words and once to place them, so no row a word is stored, joined or sorted; the driver gets the
+    vocabulary and, of each document, places in it and shares.
     """
-    def bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, FIT_TOGETHER):
-                part = batch.slice(at, FIT_TOGETHER)
-                made = [bag_of(t) for t in part["text"].to_pylist()]
-                row = np.repeat(np.arange(len(made)), [len(w) for w, _ in made])
-                yield pa.RecordBatch.from_arrays(
-                    [part["doc_id"].take(pa.array(row)), pa.array([w for words, _ in made for w in words], pa.string()),
-                     pa.array(np.concatenate([s for _, s in made]).astype(np.float32))], names=["doc_id", "word", "share"])
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for texts in _few(batches):
+            in_docs = Counter(w for t in texts["text"].to_pylist() for w in set(WORD.findall((t or "").lower())))
+            yield pa.RecordBatch.from_arrays([pa.array(in_docs.keys(), pa.string()), pa.array(in_docs.values(), pa.int64())], names=["word", "n"])
 
     sample = stored(labelled_sample(docs, labels, "toxic", rows, max_bytes), "toxicity_sample")
     id_type = sample.schema["doc_id"].dataType.simpleString()
-    words = stored(sample.select("doc_id", "text").mapInArrow(bags, f"doc_id {id_type}, word string, share float"), "toxicity_words")
-    vocab = sorted(r["word"] for r in words.groupBy("word").count().where(F.col("count") >= min_docs).select("word").toLocalIterator())
-    places = docs.sparkSession.createDataFrame([(w, i) for i, w in enumerate(vocab)], "word string, place int")
-    # the vocabulary is bounded by the sample's bytes, and joined by the planner's choice; a group is one document of at most max_bytes
-    known = words.join(places, "word").groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("place", "share"))).alias("k"))
-    got = (sample.select("doc_id", "y").join(known, "doc_id", "left").orderBy("doc_id")
-           .select("y", F.coalesce("k.place", F.array()).alias("places"), F.coalesce("k.share", F.array()).alias("shares")).toArrow())
+    counts = sample.select("text").mapInArrow(words, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    vocab = sorted(r["word"] for r in counts.where(F.col("n") >= min_docs).select("word").toLocalIterator())
+    shared = docs.sparkSession.sparkContext.broadcast({w: i for i, w in enumerate(vocab)})  # bounded by the sample's bytes
+
+    def known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _few(batches):
+            made = [known_of(bag_of(t), shared.value) for t in part["text"].to_pylist()]
+            yield pa.RecordBatch.from_arrays([part["doc_id"], part["y"], pa.array([p for p, _ in made], pa.list_(pa.int32())),
+                                              pa.array([s for _, s in made], pa.list_(pa.float32()))], names=["doc_id", "y", "places", "shares"])
+
+    got = (sample.mapInArrow(known, f"doc_id {id_type}, y int, places array<int>, shares array<float>")
+           .orderBy("doc_id").select("y", "places", "shares").toArrow())
     return fit_bags(vocab, [np.asarray(p.values, dtype=np.int32) for p in got["places"]],
                     [np.asarray(s.values, dtype=np.float32) for s in got["shares"]], got["y"].to_pylist())
 
 
+def _few(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows, at most ``FIT_TOGETHER`` at a time."""
+    for batch in batches:
+        yield from (batch.slice(at, FIT_TOGETHER) for at in range(0, batch.num_rows, FIT_TOGETHER))
+
+
 def _scored(docs: DataFrame, model: Model, name: str) -> DataFrame:
     """``docs`` with a score column; no shuffle, only the text goes to Python."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS numbers, whatever the corpus
 
-    @F.pandas_udf("double")
-    def toxic(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("double")
+    def toxic(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         scorer = Scorer(shared.value)
-        for s in texts:
-            yield pd.Series(scorer.scores(s))
+        for s in texts:  # a batch stays as Arrow has it; few of its texts are strings at once
+            few = [scorer.scores(s.slice(at, SCORE_TOGETHER).to_pylist()) for at in range(0, len(s), SCORE_TOGETHER)]
+            yield pa.array(np.concatenate([np.empty(0), *few]))
 
     return docs.withColumn(name, toxic.asNondeterministic()("text"))
 

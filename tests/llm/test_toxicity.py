@@ -5,7 +5,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from tessera.llm import toxicity as T
-from tessera.llm.common import held_out, labelled_sample
+from tessera.llm.common import held_out, labelled_sample, stored
 
 
 def made(n, seed=1):
@@ -75,3 +75,17 @@ def test_words_counted_by_spark_give_the_model_of_the_texts(spark):
 def test_query(spark):
     got = T.op3_subword_toxicity(spark, "/root/testdata/sf0.001").collect()
     assert len(got) == 200 and all(0 <= r["score"] <= 1 for r in got)
+
+
+def test_the_fit_stores_no_more_than_its_sample(spark, monkeypatch):
+    """No row a word is written or joined; the model is that of the sample in memory."""
+    rows = made(120)
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, (_, y) in enumerate(rows)], "doc_id long, toxic int")
+    kept = []
+    monkeypatch.setattr(T, "stored", lambda df, name: kept.append(stored(df, name)) or kept[-1])
+    model = T.fit_on(docs, labels)
+    sample = labelled_sample(docs, labels, "toxic", T.FIT_ROWS, T.FIT_MAX_BYTES).collect()
+    assert sum(df.count() for df in kept) <= len(sample) < 120
+    want = T.fit([r["text"] for r in sample], [r["y"] for r in sample])
+    assert want.bias == model.bias and np.array_equal(want.weights, model.weights) and want.weights.any()
